@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import decontamination, mixing, sharding
+from gavel.llm import decontamination, language, mixing, secrets, sharding, tokens
 from gavel.session import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by pattern and by Markov models."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(secrets.samples(spark, docs)))
+    of = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("secrets", lambda s: s["kind"] != "markov")
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 byte-balanced contiguous shards."""
     text = F.coalesce("text", F.lit(""))
@@ -29,5 +38,17 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("text_md5")
 
 
-QUERIES = {"op3_sharding": op3_sharding, "op5_decontamination": op5_decontamination, "op7_mixing": op7_mixing}
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    judged = language.predict(docs.select("doc_id", "text"), language.train(docs))
+    return judged.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and tokens within every context limit."""
+    return tokens.context_limits(tokens.length_histogram(table(spark, sf_dir, "documents").select("text")))
+
+
+QUERIES = {"op1_secrets": op1_secrets, "op3_sharding": op3_sharding, "op5_decontamination": op5_decontamination, "op7_mixing": op7_mixing, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
 ORACLE: dict[str, str] = {}
