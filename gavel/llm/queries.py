@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import decontamination, language, mixing, secrets, sharding, tokens
+from gavel.llm import decontamination, language, mixing, neardup, secrets, sharding, tokens
 from gavel.session import table
 
 
@@ -33,6 +33,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(joined, 256).alias("items_sha256"), "contaminated")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 2-word shingles are alike by 80 percent or more."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_key")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed at weights 3, 1, 2 with one and a half times all words."""
     return mixing.mix(table(spark, sf_dir, "documents")).drop("text_md5")
@@ -50,5 +55,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.context_limits(tokens.length_histogram(table(spark, sf_dir, "documents").select("text")))
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op3_sharding": op3_sharding, "op5_decontamination": op5_decontamination, "op7_mixing": op7_mixing, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_secrets": op1_secrets, "op3_sharding": op3_sharding, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
 ORACLE: dict[str, str] = {}
