@@ -1,4 +1,55 @@
-"""placeholder"""
-STAGES = []
+"""The corpus pipeline: language ID, near-duplicates, decontamination, mixing, sharding.
+
+Each stage works on all that its predecessor kept and is written and read again before the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gavel.llm import decontamination, language, mixing, neardup, sharding
+from gavel.llm.storage import materialise
+from gavel.session import table
+
+#: Shards of the result.
+SHARDS = 24
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language is found; those without text or letters go."""
+    return language.predict(docs, language.train(docs)).filter("lang_pred <> 'und'").select(*docs.columns)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies: shingles of five words, similarity of 0.8 or more."""
+    return neardup.deduplicate(docs, words=5)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth lies in benchmark passages."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and slot."""
+    size = (F.octet_length(F.coalesce("text", F.lit(""))) + 8).cast("long")
+    return sharding.assign_shards(docs, SHARDS, size, ties=[F.xxhash64("text", "source")])
+
+
+STAGES = [("language_id", identify), ("near_dedup", deduplicate), ("decontamination", decontaminate), ("mixing", mix), ("sharding", shard)]
+#: SQL cannot express the first two stages; tests hold run() against a brute-force version.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of sf_dir after all stages."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
