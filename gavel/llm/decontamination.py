@@ -29,13 +29,18 @@ def _joined(tokens: Column, start: Column, length: Column) -> Column:
     return F.array_join(F.slice(tokens, start + 1, length), " ")
 
 
+def _hash(tokens: str, length: int, start: Column) -> Column:
+    """Hash of `length` words from a 0-based place; words beyond the end add nothing."""
+    return F.xxhash64(*(F.get(F.col(tokens), start + i) for i in range(length)))
+
+
 def benchmark_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     """item_id, length, phrase, hash: the distinct windows of each item; an item of fewer words is one window."""
     cut = items.select("item_id", words(F.col("text")).alias("__words")).filter(F.size("__words") > 0)
     length = F.least(F.size("__words"), F.lit(size))
     at = cut.withColumn("length", length).withColumn("__at", F.explode(F.sequence(F.lit(0), F.size("__words") - F.col("length"))))
-    phrase = F.slice("__words", F.col("__at") + 1, F.col("length"))
-    return at.select("item_id", "length", F.array_join(phrase, " ").alias("phrase"), F.xxhash64(phrase).alias("hash")).distinct()
+    at = at.withColumn("__phrase", F.slice("__words", F.col("__at") + 1, F.col("length")))
+    return at.select("item_id", "length", F.array_join("__phrase", " ").alias("phrase"), _hash("__phrase", size, F.lit(0)).alias("hash")).distinct()
 
 
 def find_hits(docs: DataFrame, items: DataFrame, size: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
@@ -51,18 +56,22 @@ def find_hits(docs: DataFrame, items: DataFrame, size: int = WINDOW, broadcast_w
     if not lengths:
         lengths = [size]
     cut = docs.select(F.col("doc_id").alias("__id"), key(F.col("text")).alias("__key"), words(F.col("text")).alias("__words"))
-    none = F.array().cast("array<struct<at:int,n:int,h:bigint>>")
-    window = lambda n: lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.xxhash64(F.slice("__words", i + 1, n)).alias("h"))
-    of_length = lambda n: F.when(F.size("__words") >= n, F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("__words") - n)), window(n))).otherwise(none)
-    starts = F.flatten(F.array(*map(of_length, lengths)))
-    scan = cut.select("*", F.explode(starts).alias("__w"))
+    # positions are exploded and windows hashed in generated code; words and windows stay in the task that read the text
+    # (explode_outer, since the filter that Spark infers for explode would cut every text into words once more)
+    starts = F.when(F.size("__words") >= min(lengths), F.sequence(F.lit(0), F.size("__words") - min(lengths)))
+    fits = cut.select("*", F.explode_outer(starts).alias("__at")).filter("__at is not null")
+    if len(lengths) == 1:
+        scan = fits.select("*", F.lit(lengths[0]).alias("__n"), _hash("__words", lengths[0], F.col("__at")).alias("__h"))
+    else:
+        each = F.explode(F.array(*(F.struct(F.lit(n).alias("n"), _hash("__words", n, F.col("__at")).alias("h")) for n in lengths)))
+        scan = fits.select("*", each.alias("__w")).filter(F.col("__at") + F.col("__w.n") <= F.size("__words")).select("__id", "__key", "__words", "__at", F.col("__w.n").alias("__n"), F.col("__w.h").alias("__h"))
+    phrase = _joined(F.col("__words"), F.col("__at"), F.col("__n"))
     if small:
-        found = scan.join(F.broadcast(table), F.col("__w.h") == F.col("hash"))
-        found = found.filter((F.col("__w.n") == F.col("length")) & (_joined(F.col("__words"), F.col("__w.at"), F.col("__w.n")) == F.col("phrase")))
+        found = scan.join(F.broadcast(table), F.col("__h") == F.col("hash")).filter((F.col("__n") == F.col("length")) & (phrase == F.col("phrase")))
     else:  # the table is dealt by hash instead, and only phrases travel to it
-        scan = scan.select("__id", "__key", "__w", _joined(F.col("__words"), F.col("__w.at"), F.col("__w.n")).alias("__phrase"))
-        found = scan.join(table, (F.col("__w.h") == F.col("hash")) & (F.col("__phrase") == F.col("phrase")))
-    hits = materialise(found.select("__id", "__key", F.col("__w.at").alias("at"), F.col("__w.n").alias("n"), "hash", "length", "phrase").distinct(), "bench-hits")
+        scan = scan.select("__id", "__key", "__at", "__n", "__h", phrase.alias("__phrase"))
+        found = scan.join(table, (F.col("__h") == F.col("hash")) & (F.col("__phrase") == F.col("phrase")))
+    hits = materialise(found.select("__id", "__key", F.col("__at").alias("at"), F.col("__n").alias("n"), "hash", "length", "phrase").distinct(), "bench-hits")
     covered = F.aggregate(
         F.sort_array(F.collect_list(F.struct("at", "n"))),
         F.struct(F.lit(0).alias("end"), F.lit(0).alias("hit")),
