@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import decontamination, language, mixing, neardup, secrets, sharding, tokens
+from gavel.llm import decontamination, language, mixing, neardup, neighbours, secrets, sharding, tokens
 from gavel.session import table
 
 
@@ -43,6 +43,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("text_md5")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -55,5 +61,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.context_limits(tokens.length_histogram(table(spark, sf_dir, "documents").select("text")))
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op3_sharding": op3_sharding, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_secrets": op1_secrets, "op3_sharding": op3_sharding, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op8_neighbours": op8_neighbours, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
 ORACLE: dict[str, str] = {}

@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gavel.llm.storage import smallest
+
 # fixed values: the patterns of the three kinds, in the order in which kinds are listed
 PATTERNS = {
     "assign": r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -66,7 +68,7 @@ def samples(spark: SparkSession, documents: DataFrame, strings: int = SAMPLE_STR
     camel = F.concat(part(1), F.initcap(part(2)), F.initcap(part(3)), number)
     named = F.when(pick(7) == 0, join("_")).when(pick(7) == 1, join("-")).when(pick(7) == 2, join("/")).when(pick(7) == 3, camel).when(pick(7) == 4, F.upper(join("_"))).when(pick(7) == 5, date).otherwise(join(""))
     identifiers = ids.select(named.alias("token"), F.lit(False).alias("random"))
-    chosen = documents.select("text", F.xxhash64("doc_id").alias("__h"), F.xxhash64("text").alias("__t")).filter("text is not null").orderBy("__h", "__t").limit(docs)
+    chosen = smallest(documents.filter("text is not null").select("doc_id", "text"), F.xxhash64("doc_id"), docs)
     word = F.explode(F.regexp_extract_all("text", F.lit(f"[{_CLASS}]{{3,}}"), F.lit(0)))
     ordinary = chosen.select(word.alias("token"), F.lit(False).alias("random")).filter(~F.col("token").rlike("[0-9]"))
     return randoms.unionAll(identifiers).unionAll(ordinary)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,3 +29,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def smallest(df: DataFrame, hashed: Column, rows: int) -> DataFrame:
+    """The rows of df with the `rows` smallest values of hashed (more at equal values), the same at every run.
+
+    Only hashes are ranked; the rows themselves are filtered where they are read.
+    """
+    last = df.select(hashed.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).head()[0]
+    return df.filter(hashed <= F.lit(last)) if last is not None else df.limit(0)
