@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import decontamination, language, mixing, neardup, neighbours, secrets, sharding, tokens
+from gavel.llm import decontamination, language, linedup, mixing, neardup, neighbours, secrets, sharding, tokens
 from gavel.session import table
 
 
@@ -18,6 +18,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated runs of lines, as a digest."""
+    left = linedup.deduplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 byte-balanced contiguous shards."""
     text = F.coalesce("text", F.lit(""))
@@ -61,5 +67,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.context_limits(tokens.length_histogram(table(spark, sf_dir, "documents").select("text")))
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op3_sharding": op3_sharding, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op8_neighbours": op8_neighbours, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_secrets": op1_secrets, "op2_line_dedup": op2_line_dedup, "op3_sharding": op3_sharding, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op8_neighbours": op8_neighbours, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
 ORACLE: dict[str, str] = {}
