@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import decontamination, language, linedup, mixing, neardup, neighbours, secrets, sharding, tokens
+from gavel.llm import decontamination, language, linedup, mixing, neardup, neighbours, repeats, secrets, sharding, tokens
 from gavel.session import table
 
 
@@ -32,6 +32,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings of 200 bytes that start anywhere else too, as a digest."""
+    left = repeats.deduplicate_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in 13-word windows of the benchmark."""
     found = decontamination.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -67,5 +73,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.context_limits(tokens.length_histogram(table(spark, sf_dir, "documents").select("text")))
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_line_dedup": op2_line_dedup, "op3_sharding": op3_sharding, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op8_neighbours": op8_neighbours, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_secrets": op1_secrets, "op2_line_dedup": op2_line_dedup, "op3_sharding": op3_sharding, "op4_repeats": op4_repeats, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op8_neighbours": op8_neighbours, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
 ORACLE: dict[str, str] = {}
