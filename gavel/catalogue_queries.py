@@ -1,4 +1,4 @@
-"""Registry of the catalogue and harvest queries."""
+"""All registered catalogue and harvest queries."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from gavel.plans import catalogue, dates, filters, harvest, links, lookups, ordered, payloads, reports  # noqa: F401  each registers its own
+from gavel.registry import ORACLE, QUERIES  # noqa: F401
