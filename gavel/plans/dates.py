@@ -1 +1,134 @@
+"""Date queries: file names and headings made from order dates, look-backs, year pruning, month series."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gavel.functions import dates
+from gavel.registry import query
+from gavel.session import table
+
+AS_OF = "1999-03-31"
+D = "CAST(o_orderdate AS DATE)"
+FR = "['janvier','février','mars','avril','mai','juin','juillet','août','septembre','octobre','novembre','décembre']"
+NL = "['januari','februari','maart','april','mei','juni','juli','augustus','september','oktober','november','december']"
+
+
+def _orders(spark, sf_dir):
+    """o_orderkey, d (order date moved to this century), dd, mm, yyyy."""
+    d = F.add_months(F.col("o_orderdate").cast("date"), 360)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", d.alias("d"))
+    return rows.withColumns({"dd": F.date_format("d", "dd"), "mm": F.date_format("d", "MM"), "yyyy": F.date_format("d", "yyyy")})
+
+
+ORDERS = f"(SELECT *, strftime(d, '%d') AS dd, strftime(d, '%m') AS mm, strftime(d, '%Y') AS yyyy FROM (SELECT o_orderkey, o_custkey, CAST({D} + INTERVAL 360 MONTH AS DATE) AS d FROM orders))"
+
+
+def _made(kinds: list, key: str = "o_orderkey"):
+    out = F.when(F.lit(False), "")
+    for i, parts in enumerate(kinds):
+        out = out.when(F.col(key) % len(kinds) == i, F.concat(*(F.col(p) if p in ("dd", "mm", "yyyy", "name") else F.substr("yyyy", F.lit(3), F.lit(2)) if p == "yy" else F.lit(p) for p in parts)))
+    return out
+
+
+def _name(table_: list[str]):
+    return F.element_at(F.lit([n.split("/")[0] for n in table_]), F.month("d"))
+
+
+#: How a date is written in each kind of path; whether the rules can read it back, and which day they give.
+PATHS = [("GR", "yyyy", "mm", "dd", "-x.pdf"), ("yyyy", ".", "mm", ".", "dd", "-PV.pdf"), ("P-", "dd", ".", "mm", ".", "yyyy", ".pdf"), ("pv-", "yyyy", "-", "mm", "-", "dd", ".pdf"), ("p-", "dd", "mm", "yyyy", "-o.pdf"), ("/wp-content/uploads/", "yyyy", "/", "mm", "/x.pdf"), ("pv-", "dd", "-", "mm", "-", "yy", ".pdf"), ("pv-", "dd", "-", "mm", "-", "yyyy", ".pdf"), ("/seances-", "yyyy", "/", "dd", "-", "name", ".pdf"), ("/seances-", "yyyy", "/autre.pdf"), ("pv-", "dd", "-", "name", "-", "yyyy", "-web.pdf"), ("/pv/", "dd", "-", "name", "-", "yyyy", "/x.pdf"), ("pvcc", "dd", "mm", "yyyy", ".pdf"), ("yy", ".", "mm", ".", "dd", "-PV.pdf"), ("verslag.pdf",)]
+
+
+@query(f"SELECT o_orderkey, CASE WHEN o_orderkey % 15 = 5 THEN CAST(date_trunc('month', d) AS DATE) WHEN o_orderkey % 15 = 9 THEN CAST(date_trunc('year', d) AS DATE) WHEN o_orderkey % 15 = 14 THEN NULL ELSE d END AS day FROM {ORDERS}")
+def date_rules_path(spark, sf_dir):
+    rows = _orders(spark, sf_dir).withColumn("name", _name(dates.FRENCH))
+    return rows.select("o_orderkey", dates.parsed(_made(PATHS), "cms_path").alias("day"))
+
+
+@query(f"SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 5 THEN CAST(date_trunc('month', d) AS DATE) ELSE d END AS day FROM {ORDERS}")
+def date_rules_text_fr(spark, sf_dir):
+    rows = _orders(spark, sf_dir).withColumn("name", _name(dates.FRENCH))
+    text = _made([("PV du ", "dd", "/", "mm", "/", "yy", " x"), ("P ", "dd", ".", "mm", ".", "yyyy"), ("PV de la séance du ", "dd", " ", "name", " ", "yyyy"), ("du ", "dd", " ", "name", " ", "yyyy"), ("du ", "dd", " ", "name"), ("procès-verbal de ", "name", " ", "yyyy")])
+    k = F.col("o_orderkey") % 6
+    both = F.when(k < 3, dates.parsed(text, "link_text")).otherwise(dates.du_with_fallback(text, F.col("yyyy")))
+    return rows.select("o_orderkey", both.alias("day"))
+
+
+@query(f"SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 2 THEN NULL ELSE d END AS day FROM {ORDERS}")
+def date_rules_text_nl(spark, sf_dir):
+    rows = _orders(spark, sf_dir).withColumn("name", _name(dates.DUTCH))
+    kinds = [(("dd", " ", "name", " ", "yyyy"), "dutch_heading"), (("x ", "dd", "-", "mm", "-", "yyyy"), "dutch_heading"), (("op ", "dd", " ", "name", " ", "yyyy"), "dutch_heading"), (("/notulen-gr-", "dd", "-", "name", "-", "yyyy"), "dutch_url"), (("/a_", "yyyy", "mm", "dd"), "dutch_url"), (("Raad van ", "dd", " ", "name", " ", "yyyy", " (x)"), "dutch_title"), (("/x-", "dd", "-", "name", "-", "yyyy"), "dutch_tail")]
+    text, out = _made([k for k, _ in kinds]), F.when(F.lit(False), F.lit(None).cast("date"))
+    for i, (_, rules) in enumerate(kinds):
+        out = out.when(F.col("o_orderkey") % len(kinds) == i, dates.parsed(text, rules))
+    return rows.select("o_orderkey", out.alias("day"))
+
+
+@query(f"SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN d WHEN 1 THEN NULL ELSE CAST(date_trunc('month', d) AS DATE) END AS day FROM {ORDERS}")
+def date_rules_invalid(spark, sf_dir):
+    """Impossible dates fall through to the next rule, or to none."""
+    text = _made([("x-", "yyyy", "0230-", "yyyy", ".", "mm", ".", "dd", ".pdf"), ("x-", "yyyy", "-13-45.pdf"), ("/uploads/", "yyyy", "/", "mm", "/x-", "yyyy", "0230-x.pdf")])
+    return _orders(spark, sf_dir).select("o_orderkey", dates.parsed(text, "cms_path").alias("day"))
+
+
+@query(f"SELECT o_orderkey, CASE o_orderkey % 9 WHEN 6 THEN CAST(date_trunc('month', d) AS DATE) ELSE d END AS day FROM {ORDERS}")
+def date_rules_other(spark, sf_dir):
+    kinds = [(("x_", "dd", "-", "mm", "-", "yyyy", ".pdf"), "file_stem"), (("x_", "yyyy", "mm", "dd", ".pdf"), "file_stem"), (("op ", "dd", "/", "mm", "/", "yyyy"), "slash"), (("dd", "mm", "yyyy", "-0"), "slug"), (("Raad ", "yyyy", "-", "mm", "-", "dd"), "folder_label"), (("Raad ", "dd", "-", "mm", "-", "yyyy"), "folder_label"), (("/", "yyyy", "-", "mm", "/x.pdf"), "folder_path"), (("/a/", "yyyy", "-", "mm", "-", "dd", "/b"), "path_folder"), (("GR_", "yyyy", "_", "mm", "_", "dd"), "dutch_tail")]
+    text, out = _made([k for k, _ in kinds]), F.when(F.lit(False), F.lit(None).cast("date"))
+    for i, (_, rules) in enumerate(kinds):
+        out = out.when(F.col("o_orderkey") % len(kinds) == i, dates.parsed(text, rules))
+    return _orders(spark, sf_dir).select("o_orderkey", out.alias("day"))
+
+
+@query(f"SELECT event_id, coalesce(strftime(CASE WHEN event_id % 3 <> 0 THEN ts END, '%Y%m%d'), substr('abcdef-' || event_id, 1, 8)) AS label, CAST(to_timestamp(CAST(epoch(ts) AS BIGINT)) AT TIME ZONE 'UTC' AS DATE) AS day FROM events")
+def meeting_labels(spark, sf_dir):
+    """Labels from timestamps or ids, and days from Unix seconds."""
+    stamp = F.when(F.col("event_id") % 3 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    seconds = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000000)
+    return table(spark, sf_dir, "events").select("event_id", dates.label(stamp, F.concat(F.lit("abcdef-"), F.col("event_id").cast("string"))).alias("label"), F.timestamp_seconds(seconds).cast("date").alias("day"))
+
+
+MODES = {"days31": "DATE '{d}' - 31 * {n}", "days30": "DATE '{d}' - 30 * {n}", "calendar": "CAST(DATE '{d}' - INTERVAL ({n}) MONTH AS DATE)", "clamped_next": "make_date(year(DATE '{d}'), greatest(1, month(DATE '{d}') - {n} + 1), 1)", "clamped": "make_date(year(DATE '{d}'), greatest(1, month(DATE '{d}') - {n}), 1)"}
+CASES = [(AS_OF, 1), (AS_OF, 12), ("1999-01-15", 2), ("1999-02-01", 12), ("1996-02-29", 12), ("1998-12-31", 6)]
+
+
+@query(" UNION ALL ".join(f"SELECT '{m}' AS mode, DATE '{d}' AS as_of, {n} AS n, {e.format(d=d, n=n)} AS cutoff, (SELECT count(*) FROM orders WHERE {D} >= {e.format(d=d, n=n)}) AS orders_since" for m, e in MODES.items() for d, n in CASES))
+def cutoff_modes(spark, sf_dir):
+    """The five definitions of a look-back, at month ends and around New Year, and the orders since."""
+    limits = None
+    for m in MODES:
+        for d, n in CASES:
+            one = spark.range(1).select(F.lit(m).alias("mode"), F.lit(d).cast("date").alias("as_of"), F.lit(n).alias("n"), dates.cutoff(F.lit(d).cast("date"), n, m).alias("cutoff"))
+            limits = one if limits is None else limits.unionAll(one)
+    # one pass: orders by day, few thousand rows, meet the thirty limits
+    days = table(spark, sf_dir, "orders").groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count("*").alias("c"))
+    joined = limits.join(days, F.col("day") >= F.col("cutoff"), "left")
+    return joined.groupBy("mode", "as_of", "n", "cutoff").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("orders_since"))
+
+
+@query(f"SELECT o_orderkey, (day IS NULL OR day >= DATE '{AS_OF}' - 31 * 24) AS kept, coalesce(day >= DATE '{AS_OF}' - 31 * 24, false) AS strict FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE {D} END AS day FROM orders)")
+def cutoff_null_policy(spark, sf_dir):
+    day = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderdate").cast("date"))
+    limit = dates.cutoff(F.lit(AS_OF).cast("date"), 24, "days31")
+    return table(spark, sf_dir, "orders").select("o_orderkey", dates.since(day, limit, True).alias("kept"), dates.since(day, limit, False).alias("strict"))
+
+
+@query(f"SELECT year({D}) AS y, count(*) AS n FROM orders WHERE {D} >= DATE '1997-01-01' GROUP BY 1")
+def year_prune(spark, sf_dir):
+    """Years from the cutoff's on; a comparison with the stored column, so that it reaches the scan."""
+    rows = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+    return rows.groupBy(F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT m.month, count(o_orderkey) AS n FROM (SELECT CAST(unnest(generate_series(DATE '1996-11-01', DATE '1998-02-01', INTERVAL 1 MONTH)) AS DATE) AS month) m LEFT JOIN orders ON date_trunc('month', {D}) = m.month GROUP BY 1")
+def month_series_join(spark, sf_dir):
+    months = spark.range(1).select(F.explode(F.sequence(F.lit("1996-11-01").cast("date"), F.lit("1998-02-01").cast("date"), F.expr("interval 1 month"))).alias("month"))
+    own = table(spark, sf_dir, "orders").groupBy(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month")).agg(F.count("*").alias("n"))
+    return months.join(own, "month", "left").select("month", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("SELECT o_orderkey, greatest(ym, '199601') AS first, CASE WHEN greatest(ym, '199601') > '199712' THEN 0 ELSE 1 END AS has_months FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y%m') AS ym FROM orders)")
+def month_bounds(spark, sf_dir):
+    """A requested first month clamped to the known ones; text compares as dates do."""
+    first = F.greatest(F.date_format("o_orderdate", "yyyyMM"), F.lit("199601"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", first.alias("first"), F.when(first > "199712", 0).otherwise(1).alias("has_months"))
