@@ -47,9 +47,9 @@ def unseen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
 def first_match(terms: DataFrame, organs: DataFrame, term: str, name: str, rule, order: str) -> DataFrame:
     """For each term the first organ that the rule accepts, else the term itself, as `resolved`.
 
-    Terms are what users type, a few rows; the organs may be many, and each term keeps one of them map-side.
+    The rule is no equality, so each term meets each organ; terms are what a user typed. Each keeps one map-side.
     """
-    hits = organs.join(F.broadcast(terms.limit(1000)), rule(F.col(name), F.col(term)))
+    hits = organs.join(terms, rule(F.col(name), F.col(term)))
     best = hits.groupBy(term).agg(F.min_by(name, order).alias("__best"))
     return terms.join(best, term, "left").withColumn("resolved", F.coalesce("__best", term)).drop("__best")
 
