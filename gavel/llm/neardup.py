@@ -6,9 +6,11 @@ coordinate and value. Two sets of similarity 0.8 agree in fewer than MATCHES of
 of each node can be skipped: partners share one of the others. Lists of those are merged, the skipped coordinates are
 counted by comparing signatures, and what is left is compared on the full sets.
 
-Within a list, nodes first meet only the list's leaders, one for each size band. Nodes that this joins are one
-component, and later rounds compare only nodes of different components, so a list of thousands of near copies costs
-about its length instead of its square, and no link that could join two components is lost.
+Within a list, nodes first meet the list's leaders, one for each size band. Nodes that this joins are one component;
+after that only nodes of different components need to meet. Short lists are joined with themselves. Lists that are
+longer are families, often near copies that are alike to a common origin but not to each other: their nodes are
+dealt into chunks by component and size, and only chunks meet that can hold a link between components. A task gets
+two chunks with their sets and returns links, not pairs, so rows grow with the links that are new.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,8 +29,8 @@ from gavel.llm.storage import materialise
 
 #: Minima of a signature; least number that partners share; words of a shingle; similarity in percent.
 COORDINATES, MATCHES, WORDS, PERCENT = 48, 22, 2, 80
-#: Lists are met by leaders this many times at most before all their components are compared.
-LEADER_ROUNDS = 2
+#: Longest list that is joined with itself; nodes and shingles of a chunk of a longer one, at most.
+SHORT, CHUNK, CHUNK_SHINGLES = 16, 512, 400_000
 _random = np.random.default_rng(20240502)
 _A = (_random.integers(0, 1 << 31, COORDINATES, dtype=np.uint64) * 2 + 1).astype(np.uint32)[:, None]
 _B = _random.integers(0, 1 << 32, COORDINATES, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -119,33 +122,87 @@ def _sets_of(wanted: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     return full_sets(found.groupBy("node").agg(F.first("text").alias("text")), words)
 
 
+def _families(lists: DataFrame) -> DataFrame:
+    """family, node: nodes that share a list, directly or not."""
+    leader = lists.groupBy("token").agg(F.min("node").alias("b"))
+    found = components(lists.join(leader, "token").select(F.col("node").alias("a"), "b"))
+    return found.select(F.col("root").alias("family"), "node")
+
+
+def _chunks(members: DataFrame) -> DataFrame:
+    """members (family, node, n, root) with a chunk number: equal components together, then equal sizes."""
+    before = Window.partitionBy("family").orderBy("root", "n", "node").rowsBetween(Window.unboundedPreceding, -1)
+    weight = F.greatest(F.lit(1.0 / CHUNK), F.col("n") / CHUNK_SHINGLES)
+    return members.withColumn("chunk", F.floor(F.coalesce(F.sum(weight).over(before), F.lit(0.0))).cast("int"))
+
+
+def _new_links(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between components among two chunks: one for each pair of components."""
+    sets = [np.asarray(x) for x in [*left["shingles"], *right["shingles"]]]
+    sizes, owner = np.array([len(x) for x in sets]), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keep = count[code] > 1
+    owner, code = owner[keep], np.unique(code[keep], return_inverse=True)[1]
+    k, common = len(left), np.zeros((len(left), len(right)), dtype=np.float32)
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    for at in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
+        lo, hi = np.searchsorted(code, [at, at + 4096])
+        marks = np.zeros((len(sets), 4096), dtype=np.float32)
+        marks[owner[lo:hi], code[lo:hi] - at] = 1
+        common += marks[:k] @ marks[k:].T
+    both = sizes[:k, None] + sizes[None, k:] - common
+    ra, rb = left["root"].to_numpy(), right["root"].to_numpy()
+    i, j = np.nonzero((100 * common >= percent * both) & (ra[:, None] != rb[None, :]))
+    out = pd.DataFrame({"a": left["node"].to_numpy()[i], "b": right["node"].to_numpy()[j], "x": np.minimum(ra[i], rb[j]), "y": np.maximum(ra[i], rb[j])})
+    return out.drop_duplicates(["x", "y"])[["a", "b"]]
+
+
+def _family_links(lists: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components among the nodes of long lists."""
+    sized = lists.groupBy("node").agg(F.first("n").alias("n"))
+    members = _families(lists).join(sized, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = materialise(_chunks(members), "near-chunks")
+    about = members.groupBy("family", "chunk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+    other = about.select("family", *(F.col(c).alias(f"{c}_") for c in ("chunk", "lo", "hi", "r1", "r2")))
+    meets = about.join(other, "family").filter("chunk <= chunk_").filter(~((F.col("r1") == F.col("r2_")) & (F.col("r2") == F.col("r1_"))))
+    meets = meets.filter((100 * F.col("hi") >= percent * F.col("lo_")) & (100 * F.col("hi_") >= percent * F.col("lo")))
+    meets = materialise(meets.select("family", "chunk", "chunk_"), "near-meets")
+    held = members.join(sets, "node").select("family", "chunk", "node", "root", "shingles")
+    left = held.join(meets, ["family", "chunk"])
+    right = held.withColumnRenamed("chunk", "chunk_").join(meets, ["family", "chunk_"])
+    right = right.select(*(F.col(c).alias(f"{c}_2") for c in ("family", "chunk", "chunk_", "node", "root", "shingles")))
+    meet = lambda x, y: _new_links(x, y.rename(columns=lambda c: c.removesuffix("_2")), percent)
+    return left.groupBy("family", "chunk", "chunk_").cogroup(right.groupBy("family_2", "chunk_2", "chunk__2")).applyInPandas(meet, "a long, b long")
+
+
 def link_nodes(docs: DataFrame, nodes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """node, root for each node that is linked with another, directly or not.
 
     nodes: node, n, signature, and doc_id, text_key of a row with the set.
     """
-    lists = materialise(postings(nodes), "near-postings").withColumn("band", F.floor(F.log(F.col("n")) / float(np.log(100 / percent))))
-    roots = tested = links = sets = None
-    for turn in range(LEADER_ROUNDS + 1):
-        own = lists.withColumn("root", F.col("node")) if roots is None else lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        if turn < LEADER_ROUNDS:  # each node meets a leader of its list, another in each round
-            leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx")))
-            met = own.join(own.groupBy("token", "band").agg(leader.alias("l")).select("token", "band", "l.x", "l.nx", "l.rx"), ["token", "band"])
-        else:  # all that is left: nodes of one list in different components
-            met = own.join(own.select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx")), "token").filter("node < x")
-        pairs = met.filter((F.col("root") != F.col("rx")) & _close("n", "nx", percent)).select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(_agreeing(pairs, nodes), "near-pairs")
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-        ends = ends if sets is None else ends.join(sets, "node", "left_anti")
-        more = materialise(_sets_of(nodes.select("node", "doc_id", "text_key").join(ends, "node"), docs, words), "near-sets")
-        sets = more if sets is None else sets.unionAll(more)
-        more = materialise(_alike(pairs, sets, percent), "near-links")
-        links = more if links is None else links.unionAll(more)
-        roots = components(links)
-    return roots
+    lists = materialise(postings(nodes), "near-postings")
+    long = F.col("m")
+    lists = lists.join(lists.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1"), "token")
+    lists = materialise(lists.withColumn("band", F.floor(F.log(F.col("n")) / float(np.log(100 / percent)))), "near-lists")
+    wanted = nodes.select("node", "doc_id", "text_key").join(lists.select("node").distinct(), "node", "left_semi")
+    sets = materialise(_sets_of(wanted, docs, words), "near-sets")
+
+    leader = F.min(F.struct(F.xxhash64("node"), F.col("node").alias("x"), F.col("n").alias("nx")))
+    met = lists.join(lists.groupBy("token", "band").agg(leader.alias("l")).select("token", "band", "l.x", "l.nx"), ["token", "band"]).filter("node <> x")
+    pair = (F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
+    pairs = materialise(_agreeing(met.filter(_close("n", "nx", percent)).select(*pair).distinct(), nodes), "near-pairs")
+    links = materialise(_alike(pairs, sets, percent), "near-links")
+    roots = components(links)
+
+    short = lists.filter(long <= SHORT).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    met = short.join(short.select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx")), "token").filter("node < x and root <> rx")
+    more = met.filter(_close("n", "nx", percent)).select(*pair).distinct().join(pairs, ["a", "b"], "left_anti")
+    links = links.unionAll(materialise(_alike(_agreeing(more, nodes), sets, percent), "near-links"))
+    roots = components(links)
+
+    links = links.unionAll(materialise(_family_links(lists.filter(long > SHORT), roots, sets, percent), "near-links"))
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
