@@ -24,11 +24,11 @@ from gavel.llm.storage import materialise
 from gavel.llm.suffixes import suffix_array
 
 #: Bytes that count as a repeat; bytes that are hashed for an anchor.
-LENGTH, ANCHOR = 200, 32
+LENGTH, ANCHOR = 200, 64
 #: Bits of the bitmap of anchors that is broadcast (8 MB), and of each of its parts.
 BITS, PART_BITS = 26, 16
 #: Bytes of segments that are sorted together, unless one anchor has more.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 _PLACES = np.uint64((1 << 30) - 1)
 
 
@@ -99,10 +99,17 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches: Python copies of texts are short-lived."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _anchors(docs: DataFrame, length: int, anchor: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in _sliced(batches):
                 for s in segments(_bytes(batch.column(0)), length, anchor):
                     yield pa.RecordBatch.from_arrays([pa.array(s["key"])], ["key"])
 
@@ -114,7 +121,7 @@ def _segments(docs: DataFrame, bits, length: int, anchor: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in _sliced(batches):
                 ids, keys = batch.column("doc_id"), batch.column("text_key")
                 for s in segments(_bytes(batch.column("text")), length, anchor):
                     keep = _among(bits.value, s["key"])
@@ -130,7 +137,7 @@ def _bodies(docs: DataFrame, bits, length: int, anchor: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in _sliced(batches):
                 texts = _bytes(batch.column(0))
                 for s in segments(texts, length, anchor):
                     keep = np.flatnonzero(_among(bits.value, s["key"]))
@@ -175,7 +182,7 @@ def _sorted_shards(bodies: DataFrame, length: int) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["key", "content", "first", "last"])
 
-        for batch in batches:
+        for batch in _sliced(batches):
             for row in zip(*(batch.column(c).to_pylist() for c in ("key", "content", "starts", "body")), strict=True):
                 if size > SHARD_BYTES and row[0] != held[-1][0]:
                     yield flush()
@@ -233,12 +240,10 @@ def deduplicate_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHO
     joined = _keyed(docs).join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")), "left").select("doc_id", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                texts = _bytes(part.column("text"))
-                out = [without_spans(t, [(x["first"], x["last"]) for x in s or []]) for t, s in zip(texts, part.column("spans").to_pylist(), strict=True)]
-                columns = [part.column("doc_id"), pa.array([o[0] for o in out], pa.binary()), pa.array([len(t) for t in texts], pa.int64()), *(pa.array([o[i] for o in out], pa.int64()) for i in (1, 2))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
+        for part in _sliced(batches):
+            texts = _bytes(part.column("text"))
+            out = [without_spans(t, [(x["first"], x["last"]) for x in s or []]) for t, s in zip(texts, part.column("spans").to_pylist(), strict=True)]
+            columns = [part.column("doc_id"), pa.array([o[0] for o in out], pa.binary()), pa.array([len(t) for t in texts], pa.int64()), *(pa.array([o[i] for o in out], pa.int64()) for i in (1, 2))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
     return joined.mapInArrow(cut, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")

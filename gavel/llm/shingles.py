@@ -11,7 +11,7 @@ _BASE, _NEXT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 #: Bytes that one numpy pass takes; a longer text is a block of its own.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -87,7 +87,7 @@ def _sweep(t: np.ndarray, mine: np.ndarray, seeds: dict[int, np.ndarray], runs:
         before = position - 1
         at = np.flatnonzero((before >= 0) & mine[before])
         symbol = t[before[at]]
-        order = np.argsort(symbol, kind="stable")
+        order = np.argsort(symbol.astype(np.uint16), kind="stable")  # SYMBOLS fit, and 16 bits sort by radix
         at, symbol = at[order], symbol[order]
         cuts = np.flatnonzero(np.concatenate(([len(at) > 0], symbol[1:] != symbol[:-1])))
         pushed = {}
@@ -176,7 +176,7 @@ def suffix_array(t: np.ndarray, limit: int = IN_MEMORY, symbols: int = SYMBOLS)
     """
     t = t.astype(np.int64)
     n = len(t)
-    if n < 3 or int(t.max()) >= symbols:
+    if n < 3 or int(t.max()) >= min(symbols, 1 << 16):
         return _doubled(t)
     small, runs = _types(t), _runs(t)
     star = np.flatnonzero(small & np.concatenate(([False], ~small[:-1])))
