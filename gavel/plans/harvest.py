@@ -1 +1,112 @@
+"""The harvest: one pipeline for all source types, driven by a row of settings each."""
 
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gavel.functions import dates, filters, names, urls
+from gavel.operators import ordered, reports, sinks
+from gavel.plans import links
+from gavel.registry import query
+from gavel.session import table
+
+
+@dataclass(frozen=True)
+class Source:
+    """Settings of a source type: date rules in order, look-back, undated documents, dedup scope, filter, sink."""
+
+    rules: tuple[str, ...] = ("cms_path",)
+    cutoff: str = "days31"
+    months: int = 12
+    keep_undated: bool = True
+    stop_early: bool = False
+    scope: tuple[str, ...] = ("page_id",)
+    filter_on: tuple[str, ...] = ("label", "link")
+    sink: sinks.Policy = sinks.Policy()
+
+
+# fixed values: the settings by source type; types not listed have the defaults
+SOURCES = {
+    "meetingburger": Source(("dutch_title",), "days30", stop_early=True, scope=("entity",), filter_on=("label",), sink=sinks.Policy(require_magic=False)),
+    "lblod": Source(("dutch_heading",), scope=(), filter_on=("label", "link"), sink=sinks.Policy(least_bytes=100, existing_succeeds=False, force_extension=".pdf")),
+    "imio": Source(("french_text", "file_stem"), scope=("entity",)),
+    "wordpress": Source(("link_text", "cms_path")),
+    "drupal": Source(("folder_path",)),
+    "icordis": Source(("dutch_url",), filter_on=("link",)),
+    "linkebeek": Source(("dutch_tail",), scope=("entity",), filter_on=("label",)),
+    "docodis": Source(("iso",), filter_on=("label",)),
+    "pubcon": Source(("slash",), scope=("entity",)),
+    "irisnet": Source(("folder_label",), "days30", keep_undated=False, filter_on=("label",), sink=sinks.Policy(require_magic=False)),
+    "idelibe": Source(("iso",), "days30", sink=sinks.Policy(require_magic=False)),
+    "ibabs": Source(("dutch_title",), "clamped_next", 3, keep_undated=False, scope=("entity",)),
+    "gelinktnotuleren": Source(("iso",)),
+    "provantwerpen": Source(("path_folder",), "calendar", 6, keep_undated=False),
+    "vlaamsbrabant": Source(("iso",), "clamped", 3, keep_undated=False),
+    "hainaut": Source(("french_du",), "calendar", 6, keep_undated=False),
+    "brussel": Source(("slash",), keep_undated=False),
+    "molenbeek": Source(("slash",), keep_undated=False),
+    "schaerbeek": Source(("slug",), keep_undated=False),
+    "ixelles": Source(("slash",)),
+}
+
+
+def select_documents(found: DataFrame, source: Source, as_of, terms: list[str] | None = None) -> DataFrame:
+    """Links (entity, page_id, pos, link, label) that a source type would download, with day and doc_type.
+
+    Dates from the link and its label by the source's rules, then look-back, filter and first occurrence in the
+    source's scope; all in one plan, with one shuffle for the dedup.
+    """
+    day = F.coalesce(*(d for r in source.rules for d in (dates.parsed(F.col("label"), r), dates.parsed(F.col("link"), r))))
+    limit = dates.cutoff(as_of, source.months, source.cutoff)
+    rows = found.withColumn("day", day)
+    if source.stop_early:
+        rows = ordered.until_first_old(rows, F.col("day") < limit, ["entity"], ["page_id", "pos"])
+    rows = rows.filter(dates.since(F.col("day"), limit, source.keep_undated)).filter(filters.any_term([F.col(c) for c in source.filter_on], terms))
+    rows = ordered.first_occurrence(rows, ["link"], ["page_id", "pos"], list(source.scope)) if source.scope else rows
+    return rows.withColumn("doc_type", filters.document_type(F.col("label"))).withColumn("file", names.sanitise(names.hint(F.date_format("day", "yyyy-MM-dd"), urls.last_segment(F.col("link")))))
+
+
+LINK = f"{links.BASE} || '/' || regexp_replace(href, '^/+', '') || '-' || strftime(DATE '2024-12-31' - INTERVAL (CAST(pos * 40 + page_id % 30 AS INT)) DAY, '%Y%m%d') || '.pdf'"
+
+
+def _dated_links(spark, sf_dir) -> DataFrame:
+    """The pages' links as documents whose names hold dates that go back with their place on the page."""
+    rows = links._links(spark, sf_dir).withColumn("entity", urls.host(F.col("url")))
+    day = F.date_sub(F.lit("2024-12-31").cast("date"), (F.col("pos") * 40 + F.col("page_id") % 30).cast("int"))
+    return rows.select("entity", "page_id", "pos", "label", F.concat("link", F.lit("-"), F.date_format(day, "yyyyMMdd"), F.lit(".pdf")).alias("link"))
+
+
+DOCS = f"(SELECT lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)', 2)) AS entity, page_id, pos, label, {LINK} AS link, CAST(DATE '2024-12-31' - INTERVAL (CAST(pos * 40 + page_id % 30 AS INT)) DAY AS DATE) AS day FROM {links.ANCHORS})"
+
+
+@query(f"SELECT entity, page_id, pos, link, day, strftime(day, '%Y-%m-%d') || '_' || list_extract(string_split(link, '/'), -1) AS raw, CASE WHEN contains(lower(label), 'agenda') THEN 'agenda' ELSE 'overig' END AS doc_type FROM {DOCS} WHERE day >= DATE '2024-12-31' - 31 * 3 AND (contains(lower(label), 'th') OR contains(lower(link), 'th')) QUALIFY row_number() OVER (PARTITION BY entity, link ORDER BY page_id, pos) = 1")
+def harvest_documents(spark, sf_dir):
+    """From pages to the documents to download, with the settings of one source type."""
+    source = Source(("cms_path",), months=3, scope=("entity",))
+    out = select_documents(_dated_links(spark, sf_dir), source, F.lit("2024-12-31").cast("date"), ["th"])
+    return out.select("entity", "page_id", F.col("pos").cast("long").alias("pos"), "link", "day", F.concat_ws("_", F.date_format("day", "yyyy-MM-dd"), urls.last_segment(F.col("link"))).alias("raw"), "doc_type")
+
+
+@query(f"SELECT entity, count(*) AS total, count(*) FILTER (WHERE NOT skipped AND ok) AS new, count(*) FILTER (WHERE skipped) AS skipped, count(*) FILTER (WHERE NOT skipped AND NOT ok) AS failed FROM (SELECT *, page_id % 4 = 0 AS skipped, page_id % 4 IN (2, 3) AS ok FROM {DOCS}) GROUP BY 1")
+def harvest_outcomes(spark, sf_dir):
+    """New, skipped and failed documents of each entity against a manifest of what is there."""
+    rows = _dated_links(spark, sf_dir).withColumn("hint", F.concat(F.lit("d"), F.col("page_id").cast("string"), F.lit("-"), F.col("pos").cast("string"), F.lit(".pdf")))
+    rows = rows.withColumns({"url": F.col("link"), "disposition": F.lit(None).cast("string"), "content_type": F.lit("application/pdf"), "status": F.lit(200), "body": F.when(F.col("page_id") % 4 == 1, "<html>").otherwise("%PDF-1.4")})
+    manifest = rows.filter("page_id % 4 = 0").select(F.col("hint").alias("file"))
+    out = sinks.stored(rows, manifest)
+    return reports.outcomes(out, ["entity"], F.col("success"), F.col("skipped"))
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id % 3 <> 0 AND source NOT IN (SELECT source FROM documents WHERE doc_id % 3 = 0 AND doc_id < 100)")
+def incremental_new_only(spark, sf_dir):
+    """Second slice of documents without the sources that the first one brought."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return docs.filter("doc_id % 3 <> 0").join(docs.filter("doc_id % 3 = 0 AND doc_id < 100").select("source").distinct(), "source", "left_anti").select("doc_id", "source")
+
+
+@query("SELECT n_regionkey, '{\"n\":' || count(*) || ',\"items\":[' || string_agg('{\"n_nationkey\":' || n_nationkey || ',\"n_name\":\"' || n_name || '\"}', ',' ORDER BY n_nationkey) || ']}' AS document FROM nation GROUP BY 1")
+def json_by_entity(spark, sf_dir):
+    return sinks.json_documents(table(spark, sf_dir, "nation").select("n_regionkey", "n_nationkey", "n_name"), ["n_regionkey"])
