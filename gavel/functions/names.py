@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 RESERVED = ["CON", "PRN", "AUX", "NUL", *(f"COM{i}" for i in range(1, 10)), *(f"LPT{i}" for i in range(1, 10))]
 
 
-@F.pandas_udf("string")
-def _nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in batches:
-        yield batch.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
-
-
 def nfkc(value: Column) -> Column:
     """Compatibility composition; Spark has no such function, so this one leaves the JVM. Use it on names only."""
-    return _nfkc(value)
+
+    @F.pandas_udf("string")
+    def compose(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield batch.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+
+    return compose(value)
 
 
 def sanitise(name: Column, longest: int = 180, unicode: bool = False) -> Column:

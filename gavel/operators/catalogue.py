@@ -112,7 +112,7 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 def numbered(spark: SparkSession, path: str) -> DataFrame:
     """line_no (header: 1), line of a text file; positions come from the reader, a file being one split in order."""
-    lines = spark.read.option("wholetext", True).text(path)
+    lines = spark.read.text(path, wholetext=True)
     return lines.select(F.posexplode(F.split("value", "\r?\n")).alias("at", "line")).select((F.col("at") + 1).alias("line_no"), "line").filter("line <> ''")
 
 

@@ -109,7 +109,8 @@ class PageSource(DataSource):
 
 
 def register(spark) -> None:
-    """Make the source known to a session."""
+    """Make the source known to a session, and let queries push their filters to it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PageSource)
 
 
