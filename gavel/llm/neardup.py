@@ -6,11 +6,13 @@ coordinate and value. Two sets of similarity 0.8 agree in fewer than MATCHES of
 of each node can be skipped: partners share one of the others. Lists of those are merged, the skipped coordinates are
 counted by comparing signatures, and what is left is compared on the full sets.
 
-Within a list, nodes first meet the list's leaders, one for each size band. Nodes that this joins are one component;
-after that only nodes of different components need to meet. Short lists are joined with themselves. Lists that are
-longer are families, often near copies that are alike to a common origin but not to each other: their nodes are
-dealt into chunks by component and size, and only chunks meet that can hold a link between components. A task gets
-two chunks with their sets and returns links, not pairs, so rows grow with the links that are new.
+Short lists are joined with themselves, and pairs that agree in MATCHES coordinates stay. Long lists are not: their
+nodes are chained to one another. What hangs together by either is a family, and all links lie within families.
+
+A family's texts meet in chunks of bounded size, in one task each, which compares full sets and returns the links
+between components, not pairs. Each chunk of a large family also gets the family's leaders, so that copies become one
+component at a cost in proportion to their number; after that, chunks meet each other only where they hold nodes of
+different components.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from gavel.llm.storage import materialise
 
 #: Minima of a signature; least number that partners share; words of a shingle; similarity in percent.
 COORDINATES, MATCHES, WORDS, PERCENT = 48, 22, 2, 80
-#: Longest list that is joined with itself; nodes and shingles of a chunk of a longer one, at most.
-SHORT, CHUNK, CHUNK_SHINGLES = 16, 512, 400_000
+#: Longest list that is joined with itself; nodes and shingles of a chunk, at most; leaders of a large family.
+SHORT, CHUNK, CHUNK_SHINGLES, LEADERS = 16, 512, 400_000, 8
 _random = np.random.default_rng(20240502)
 _A = (_random.integers(0, 1 << 31, COORDINATES, dtype=np.uint64) * 2 + 1).astype(np.uint32)[:, None]
 _B = _random.integers(0, 1 << 32, COORDINATES, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -70,22 +72,6 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(), "text").mapInArrow(make, "doc_id long, text_key long, n_shingles long, node long, signature array<int>")
 
 
-def full_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """node, shingles for rows of node, text."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                with np.errstate(over="ignore"):
-                    rows = [s.view(np.int64) for s in shingle_sets(_texts(part.column("text")), words)]
-                ends = np.cumsum([0, *map(len, rows)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows or [np.zeros(0, np.int64)]), pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("node"), lists], ["node", "shingles"])
-
-    return docs.select("node", "text").mapInArrow(make, "node long, shingles array<long>")
-
-
 def postings(nodes: DataFrame) -> DataFrame:
     """token, node, n: each node's postings but the MATCHES - 1 most frequent, without those of one node only."""
     tokens = nodes.select("node", "n", F.posexplode("signature").alias("at", "value"))
@@ -96,8 +82,10 @@ def postings(nodes: DataFrame) -> DataFrame:
     return merged.select("p.token", "node", "n")
 
 
-def _close(a: str, b: str, percent: int) -> Column:
-    return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
+def _close(a: str, b: str, percent: int, half: bool = False) -> Column:
+    """Whether sets of these sizes can be alike; half: whether the first is large enough for the second."""
+    enough = 100 * F.col(a) >= percent * F.col(b)
+    return enough if half else enough & (100 * F.col(b) >= percent * F.col(a))
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -108,71 +96,83 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.filter(same >= MATCHES).select("a", "b")
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have the similarity."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
-    return both.filter(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
-
-
-def _sets_of(wanted: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """full_sets of the nodes in wanted (node, doc_id, text_key), one row a node."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__key"), "text")
-    found = keyed.join(wanted, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__key") == F.col("text_key")))
-    return full_sets(found.groupBy("node").agg(F.first("text").alias("text")), words)
-
-
-def _families(lists: DataFrame) -> DataFrame:
-    """family, node: nodes that share a list, directly or not."""
-    leader = lists.groupBy("token").agg(F.min("node").alias("b"))
-    found = components(lists.join(leader, "token").select(F.col("node").alias("a"), "b"))
+def _families(agreeing: DataFrame, long: DataFrame) -> DataFrame:
+    """family, node: nodes that agreeing pairs (a, b) or long lists (token, node) hold together."""
+    leader = long.groupBy("token").agg(F.min("node").alias("b"))
+    found = components(agreeing.unionAll(long.join(leader, "token").select(F.col("node").alias("a"), "b")))
     return found.select(F.col("root").alias("family"), "node")
 
 
-def _chunks(members: DataFrame) -> DataFrame:
-    """members (family, node, n, root) with a chunk number: equal components together, then equal sizes."""
-    before = Window.partitionBy("family").orderBy("root", "n", "node").rowsBetween(Window.unboundedPreceding, -1)
+def _chunks(members: DataFrame, order: list[str]) -> DataFrame:
+    """members (family, node, n ...) with a chunk number; neighbours in the order given share chunks."""
+    before = Window.partitionBy("family").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     weight = F.greatest(F.lit(1.0 / CHUNK), F.col("n") / CHUNK_SHINGLES)
     return members.withColumn("chunk", F.floor(F.coalesce(F.sum(weight).over(before), F.lit(0.0))).cast("int"))
 
 
-def _new_links(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links between components among two chunks: one for each pair of components."""
-    sets = [np.asarray(x) for x in [*left["shingles"], *right["shingles"]]]
-    sizes, owner = np.array([len(x) for x in sets]), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    values, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set on the left with each on the right."""
+    if len(left) * len(right) <= 64:
+        return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in right] for a in left], dtype=np.float32).reshape(len(left), len(right))
+    sets = [*left, *right]
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     keep = count[code] > 1
     owner, code = owner[keep], np.unique(code[keep], return_inverse=True)[1]
-    k, common = len(left), np.zeros((len(left), len(right)), dtype=np.float32)
-    order = np.argsort(code, kind="stable")
+    order, out, k = np.argsort(code, kind="stable"), np.zeros((len(left), len(right)), dtype=np.float32), len(left)
     owner, code = owner[order], code[order]
     for at in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
         lo, hi = np.searchsorted(code, [at, at + 4096])
         marks = np.zeros((len(sets), 4096), dtype=np.float32)
         marks[owner[lo:hi], code[lo:hi] - at] = 1
-        common += marks[:k] @ marks[k:].T
-    both = sizes[:k, None] + sizes[None, k:] - common
+        out += marks[:k] @ marks[k:].T
+    return out
+
+
+def _links(left: pd.DataFrame, right: pd.DataFrame, words: int, percent: int) -> pd.DataFrame:
+    """Links (a, b) among the components of two chunks (node, root, text): each that is joined, to the least of them."""
+    with np.errstate(over="ignore"):
+        one, two = (list(shingle_sets([t.encode() for t in x["text"]], words)) for x in (left, right))
+    common = _common(one, two)
+    both = np.array([len(x) for x in one])[:, None] + np.array([len(x) for x in two])[None, :] - common
     ra, rb = left["root"].to_numpy(), right["root"].to_numpy()
     i, j = np.nonzero((100 * common >= percent * both) & (ra[:, None] != rb[None, :]))
-    out = pd.DataFrame({"a": left["node"].to_numpy()[i], "b": right["node"].to_numpy()[j], "x": np.minimum(ra[i], rb[j]), "y": np.maximum(ra[i], rb[j])})
-    return out.drop_duplicates(["x", "y"])[["a", "b"]]
+    known = np.unique(np.concatenate((ra, rb)))
+    x, y, least = np.searchsorted(known, ra[i]), np.searchsorted(known, rb[j]), np.arange(len(known))
+    while True:
+        low, was = np.minimum(least[x], least[y]), least.copy()
+        np.minimum.at(least, x, low)
+        np.minimum.at(least, y, low)
+        least = least[least]
+        if (least == was).all():
+            break
+    moved = np.flatnonzero(least != np.arange(len(known)))
+    return pd.DataFrame({"a": known[moved], "b": known[least[moved]]})
+
+
+def _within(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links within each (family, chunk); chunks are dealt to tasks in groups, so that small ones cost little."""
+
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        found = [_links(one.assign(root=one["node"]), one.assign(root=one["node"]), words, percent) for _, one in batch.groupby(["family", "chunk"]) if len(one) > 1]
+        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []})
 
+    rows = texts.agg(F.sum("n")).head()[0] or 0
+    dealt = F.pmod(F.xxhash64("family", "chunk"), F.lit(max(1, int(rows // CHUNK_SHINGLES) * 2)))
+    return texts.withColumn("deal", dealt).groupBy("deal").applyInPandas(run, "a long, b long")
 
-def _family_links(lists: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components among the nodes of long lists."""
-    sized = lists.groupBy("node").agg(F.first("n").alias("n"))
-    members = _families(lists).join(sized, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    members = materialise(_chunks(members), "near-chunks")
+
+def _across(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between chunks (family, chunk, node, n, root) of one family that hold different components."""
     about = members.groupBy("family", "chunk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("root").alias("r1"), F.max("root").alias("r2"))
     other = about.select("family", *(F.col(c).alias(f"{c}_") for c in ("chunk", "lo", "hi", "r1", "r2")))
     meets = about.join(other, "family").filter("chunk <= chunk_").filter(~((F.col("r1") == F.col("r2_")) & (F.col("r2") == F.col("r1_"))))
-    meets = meets.filter((100 * F.col("hi") >= percent * F.col("lo_")) & (100 * F.col("hi_") >= percent * F.col("lo")))
-    meets = materialise(meets.select("family", "chunk", "chunk_"), "near-meets")
-    held = members.join(sets, "node").select("family", "chunk", "node", "root", "shingles")
+    meets = materialise(meets.filter(_close("hi", "lo_", percent, half=True) & _close("hi_", "lo", percent, half=True)).select("family", "chunk", "chunk_"), "near-meets")
+    held = members.join(texts, "node").select("family", "chunk", "node", "root", "text")
     left = held.join(meets, ["family", "chunk"])
     right = held.withColumnRenamed("chunk", "chunk_").join(meets, ["family", "chunk_"])
-    right = right.select(*(F.col(c).alias(f"{c}_2") for c in ("family", "chunk", "chunk_", "node", "root", "shingles")))
-    meet = lambda x, y: _new_links(x, y.rename(columns=lambda c: c.removesuffix("_2")), percent)
+    right = right.select(*(F.col(c).alias(f"{c}_2") for c in ("family", "chunk", "chunk_", "node", "root", "text")))
+    meet = lambda x, y: _links(x, y.rename(columns=lambda c: c.removesuffix("_2")), words, percent)
     return left.groupBy("family", "chunk", "chunk_").cogroup(right.groupBy("family_2", "chunk_2", "chunk__2")).applyInPandas(meet, "a long, b long")
 
 
@@ -182,27 +182,29 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, words: int = WORDS, percent: i
     nodes: node, n, signature, and doc_id, text_key of a row with the set.
     """
     lists = materialise(postings(nodes), "near-postings")
-    long = F.col("m")
-    lists = lists.join(lists.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1"), "token")
-    lists = materialise(lists.withColumn("band", F.floor(F.log(F.col("n")) / float(np.log(100 / percent)))), "near-lists")
-    wanted = nodes.select("node", "doc_id", "text_key").join(lists.select("node").distinct(), "node", "left_semi")
-    sets = materialise(_sets_of(wanted, docs, words), "near-sets")
-
-    leader = F.min(F.struct(F.xxhash64("node"), F.col("node").alias("x"), F.col("n").alias("nx")))
-    met = lists.join(lists.groupBy("token", "band").agg(leader.alias("l")).select("token", "band", "l.x", "l.nx"), ["token", "band"]).filter("node <> x")
-    pair = (F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
-    pairs = materialise(_agreeing(met.filter(_close("n", "nx", percent)).select(*pair).distinct(), nodes), "near-pairs")
-    links = materialise(_alike(pairs, sets, percent), "near-links")
-    roots = components(links)
-
-    short = lists.filter(long <= SHORT).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    met = short.join(short.select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx")), "token").filter("node < x and root <> rx")
-    more = met.filter(_close("n", "nx", percent)).select(*pair).distinct().join(pairs, ["a", "b"], "left_anti")
-    links = links.unionAll(materialise(_alike(_agreeing(more, nodes), sets, percent), "near-links"))
+    lists = materialise(lists.join(lists.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1"), "token"), "near-lists")
+    short, long = lists.filter(F.col("m") <= SHORT), lists.filter(F.col("m") > SHORT)
+    met = short.join(short.select("token", F.col("node").alias("x"), F.col("n").alias("nx")), "token").filter(_close("n", "nx", percent) & (F.col("node") < F.col("x")))
+    agreeing = _agreeing(met.select(F.col("node").alias("a"), F.col("x").alias("b")).distinct(), nodes)
+    members = _families(agreeing, long).join(nodes.select("node", "n", "doc_id", "text_key"), "node")
+    members = materialise(_chunks(members, ["n", "node"]), "near-members")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__key"), "text")
+    wanted = members.select("node", F.col("doc_id").alias("__d"), "text_key")
+    found = keyed.join(wanted, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("text_key")))
+    texts = materialise(found.groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+
+    # leaders of families of several chunks join each chunk
+    sizes = members.groupBy("family").agg(F.max("chunk").alias("last")).filter("last > 0")
+    leaders = members.join(sizes, "family").withColumn("r", F.row_number().over(Window.partitionBy("family").orderBy(F.xxhash64("node")))).filter(F.col("r") <= LEADERS)
+    leaders = leaders.select("family", "node", "n", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("chunk"))
+    first = members.select("family", "node", "n", "chunk").unionAll(leaders.select("family", "node", "n", "chunk")).distinct()
+    links = materialise(_within(first.join(texts, "node"), words, percent), "near-links")
     roots = components(links)
-
-    links = links.unionAll(materialise(_family_links(lists.filter(long > SHORT), roots, sets, percent), "near-links"))
-    return components(links)
+    large = members.drop("chunk").join(sizes.select("family"), "family")
+    if large.isEmpty():
+        return roots
+    large = materialise(_chunks(large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), ["root", "n", "node"]), "near-large")
+    return components(links.unionAll(materialise(_across(large, texts, words, percent), "near-links")))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
