@@ -60,7 +60,7 @@ def schedule(spark, targets: DataFrame, slots: int) -> DataFrame:
     edge = Window.orderBy("__src").rowsBetween(Window.unboundedPreceding, 0)
     upto = targets.withColumn("__high", F.sum("target").over(edge)).withColumn("__sum", F.sum("target").over(Window.partitionBy()))
     # one array over all sources: the point is looked up by counting the edges at or below it, in two steps
-    edges = upto.agg(F.sort_array(F.collect_list(F.struct((F.col("__high") / F.col("__sum")).alias("high"), "__src"))).alias("__edges"), F.count("*").alias("__n"))
+    edges = upto.agg(F.sort_array(F.collect_list(F.struct(F.coalesce(F.try_divide("__high", "__sum"), F.lit(1.0)).alias("high"), "__src"))).alias("__edges"), F.count("*").alias("__n"))
     point = F.conv(F.reverse(F.lpad(F.bin(F.col("slot")), bits, "0")), 2, 10).cast("double") / slots if bits else F.lit(0.0)
     step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("__n"))).cast("int"))
     strides = F.transform(F.sequence(step, F.greatest(step, F.col("__n").cast("int")), step), lambda i: F.get(F.col("__edges.high"), i - 1))
