@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavel.llm import decontamination, language, linedup, mixing, neardup, neighbours, repeats, secrets, sharding, tokens
+from gavel.llm.oracle import ORACLE  # noqa: F401
 from gavel.session import table
 
 
@@ -74,4 +75,3 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_secrets": op1_secrets, "op2_line_dedup": op2_line_dedup, "op3_sharding": op3_sharding, "op4_repeats": op4_repeats, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op8_neighbours": op8_neighbours, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
-ORACLE: dict[str, str] = {}
