@@ -5,8 +5,9 @@ select equal anchors. A segment is what consecutive starts with one anchor cover
 cannot repeat and go; equal segments repeat as a whole; only the different segments of an anchor are sorted.
 Sorting. The segments of an anchor meet in one shard, whose suffixes are sorted with their common prefixes by external
 induced sorting (gavel.llm.suffixes); a start whose prefix with a neighbour has LENGTH bytes repeats.
-Passes over the text are cheaper here than moving it: each cuts the segments anew and a bitmap of fixed size, broadcast,
-says which anchors matter. Only the last join moves texts.
+Segments travel once, as four numbers each, to the task of their anchor, where sorted runs tell what repeats. Only the
+different segments of an anchor need their bytes; a second pass cuts them again and takes those whose anchor is in a
+bitmap of fixed size, which is broadcast, for texts cost more to move than to cut.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavel.llm.shingles import _BYTE, blocks, mixed, powers
@@ -29,6 +30,8 @@ LENGTH, ANCHOR = 200, 64
 BITS, PART_BITS = 26, 16
 #: Bytes of segments that are sorted together, unless one anchor has more.
 SHARD_BYTES = 1 << 20
+#: Contents that a task remembers to have sent before it starts anew.
+SENT = 500_000
 _PLACES = np.uint64((1 << 30) - 1)
 
 
@@ -91,8 +94,9 @@ def _among(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+def _row() -> Column:
+    """64 bits that stand for a row's id and text; rows that agree in both lose the same bytes."""
+    return F.xxhash64("doc_id", "text").alias("row")
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
@@ -106,42 +110,94 @@ def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-def _anchors(docs: DataFrame, length: int, anchor: int) -> DataFrame:
+def _segments(docs: DataFrame, length: int, anchor: int) -> DataFrame:
+    """row, span (first and last start), key, content of all segments."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in _sliced(batches):
-                for s in segments(_bytes(batch.column(0)), length, anchor):
-                    yield pa.RecordBatch.from_arrays([pa.array(s["key"])], ["key"])
+                for s in segments(_bytes(batch.column("text")), length, anchor):
+                    columns = [batch.column("row").take(pa.array(s["text"])), pa.array(s["lo"] << 32 | s["hi"]), pa.array(s["key"]), pa.array(s["content"])]
+                    yield pa.RecordBatch.from_arrays(columns, ["row", "span", "key", "content"])
 
-    return docs.select("text").mapInArrow(scan, "key long")
+    return docs.select(_row(), "text").mapInArrow(scan, "row long, span long, key long, content long")
 
 
-def _segments(docs: DataFrame, bits, length: int, anchor: int) -> DataFrame:
-    """Segments whose anchor is in the bitmap, without their text."""
+class Settler:
+    """Reads segments sorted by key and content, in pieces, and keeps one row between them.
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for batch in _sliced(batches):
-                ids, keys = batch.column("doc_id"), batch.column("text_key")
-                for s in segments(_bytes(batch.column("text")), length, anchor):
-                    keep = _among(bits.value, s["key"])
-                    which = pa.array(s["text"][keep])
-                    columns = [ids.take(which), keys.take(which), *(pa.array(s[c][keep]) for c in ("lo", "hi", "at", "key", "content"))]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "lo", "hi", "at", "key", "content"])
+    Kind 0: the content occurs again, so all of it repeats. Kind 1: it does not, but its anchor has other contents, so
+    parts may. A content that is alone with its anchor is dropped.
+    """
 
-    return _keyed(docs).mapInArrow(scan, "doc_id long, text_key long, lo long, hi long, at long, key long, content long")
+    def __init__(self) -> None:
+        self.held: np.ndarray | None = None  # row, span, key, content of a content seen once so far
+        self.last = (0, 0)  # key and content of the last row
+        self.again = self.others = self.any = False  # the last content was seen twice; its key has other contents
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Settled rows (columns row, span, key, content) and their kinds."""
+        if self.held is not None:
+            rows = np.concatenate((self.held, rows))
+        if not len(rows):
+            return rows, np.zeros(0, dtype=np.int32)
+        key, content = rows[:, 2], rows[:, 3]
+        new_key = np.concatenate(([True], key[1:] != key[:-1]))
+        new = new_key | np.concatenate(([True], content[1:] != content[:-1]))
+        start = np.flatnonzero(new)
+        count = np.diff(np.concatenate((start, [len(rows)])))
+        group = np.cumsum(new_key[start]) - 1  # of each run, which key of this piece
+        runs = np.bincount(group)
+        if self.any and self.last[0] == key[0]:
+            goes_on = self.held is not None or self.last[1] == content[0]
+            count[0] += goes_on and self.again
+            runs[0] += self.others if goes_on else 1
+        many = runs[group] > 1
+        kind = np.where(count > 1, 0, np.where(many, 1, 2))
+        self.again, self.others, self.any, self.last = bool(count[-1] > 1), bool(many[-1]), True, (key[-1], content[-1])
+        each = np.repeat(kind, np.diff(np.concatenate((start, [len(rows)]))))
+        self.held = None if self.again else rows[-1:]
+        stop = len(rows) if self.again else len(rows) - 1
+        keep = np.flatnonzero(each[:stop] < 2)
+        return rows[keep], each[keep].astype(np.int32)
+
+    def end(self) -> tuple[np.ndarray, np.ndarray]:
+        """What the held row turns out to be."""
+        rows = self.held if self.held is not None and self.others else np.zeros((0, 4), dtype=np.int64)
+        return rows, np.ones(len(rows), dtype=np.int32)
+
+
+def _settled(found: DataFrame) -> DataFrame:
+    """row, span, kind, and for kind 1 key and content: the segments that repeat, or may in parts."""
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, settler = ["row", "span", "key", "content"], Settler()
+
+        def made(rows: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(kind), *(pa.array(np.where(kind == 1, rows[:, i], 0)) for i in (2, 3))]
+            return pa.RecordBatch.from_arrays(columns, ["row", "span", "kind", "key", "content"])
+
+        for batch in batches:
+            yield made(*settler.take(np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names], axis=1)))
+        yield made(*settler.end())
+
+    return found.repartition("key").sortWithinPartitions("key", "content").mapInArrow(settle, "row long, span long, kind int, key long, content long")
 
 
 def _bodies(docs: DataFrame, bits, length: int, anchor: int) -> DataFrame:
-    """key, content, starts, body: segments whose anchor is in the bitmap, with their bytes; equal ones of a batch once."""
+    """key, content, starts, body: segments whose anchor is in the bitmap, with their bytes; equal ones of a task mostly once."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         with np.errstate(over="ignore"):
             for batch in _sliced(batches):
                 texts = _bytes(batch.column(0))
                 for s in segments(texts, length, anchor):
                     keep = np.flatnonzero(_among(bits.value, s["key"]))
                     keep = keep[np.unique(s["content"][keep], return_index=True)[1]]
+                    keep = keep[[c not in sent for c in s["content"][keep].tolist()]] if len(keep) else keep
+                    sent = set() if len(sent) > SENT else sent
+                    sent.update(s["content"][keep].tolist())
                     body = [texts[t][a : b + length] for t, a, b in zip(s["text"][keep], s["lo"][keep], s["hi"][keep], strict=True)]
                     columns = [pa.array(s["key"][keep]), pa.array(s["content"][keep]), pa.array((s["hi"] - s["lo"] + 1)[keep]), pa.array(body, pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, ["key", "content", "starts", "body"])
@@ -184,6 +240,8 @@ def _sorted_shards(bodies: DataFrame, length: int) -> DataFrame:
 
         for batch in _sliced(batches):
             for row in zip(*(batch.column(c).to_pylist() for c in ("key", "content", "starts", "body")), strict=True):
+                if held and row[:2] == held[-1][:2]:
+                    continue
                 if size > SHARD_BYTES and row[0] != held[-1][0]:
                     yield flush()
                     held, size = [], 0
@@ -197,22 +255,15 @@ def _sorted_shards(bodies: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """doc_id, text_key, first, last: bytes to remove (last exclusive), overlapping."""
-    context = docs.sparkSession.sparkContext
-    counted = _anchors(docs, length, anchor).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    found = materialise(_segments(docs, context.broadcast(bitmap(counted)), length, anchor), "repeat-segments")
-    # equal segments repeat wherever they occur; a key with but one content, if it occurs twice, is settled by that
-    kinds = materialise(found.groupBy("key", "content").agg(F.count("*").alias("n")), "repeat-contents")
-    keys = kinds.groupBy("key").agg(F.count("*").alias("contents"), F.min("n").alias("least"))
-    mixed_keys = materialise(keys.filter("contents > 1 and least = 1").select("key"), "repeat-keys")
-    bodies = _bodies(docs, context.broadcast(bitmap(mixed_keys)), length, anchor)
-    bodies = bodies.groupBy("key", "content").agg(F.first("starts").alias("starts"), F.first("body").alias("body")).join(mixed_keys, "key", "left_semi")
-    partial = materialise(_sorted_shards(bodies, length), "repeat-starts")
-    single = kinds.filter("n = 1").join(partial, ["key", "content"]).select("key", "content", "first", "last")
-    whole = kinds.filter("n > 1").select("key", "content", F.lit(0).cast("long").alias("first"), F.lit(None).cast("long").alias("last"))
-    marks = single.unionAll(whole)
-    spans = found.join(marks, ["key", "content"])
-    return spans.select("doc_id", "text_key", (F.col("lo") + F.col("first")).alias("first"), (F.when(F.col("last").isNull(), F.col("hi")).otherwise(F.col("lo") + F.col("last")) + length).alias("last"))
+    """row, first, last: bytes to remove (last exclusive), overlapping."""
+    settled = materialise(_settled(_segments(docs, length, anchor)), "repeat-segments")
+    single = settled.filter("kind = 1")
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(single.select("key").distinct()))
+    partial = materialise(_sorted_shards(_bodies(docs, bits, length, anchor), length), "repeat-starts")
+    lo, hi = F.shiftrightunsigned("span", 32), F.col("span").bitwiseAND(0xFFFFFFFF)
+    whole = settled.filter("kind = 0").select("row", lo.alias("first"), (hi + length).alias("last"))
+    parts = single.select("row", lo.alias("lo"), "key", "content").join(partial, ["key", "content"])
+    return whole.unionAll(parts.select("row", (F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last") + length).alias("last")))
 
 
 def without_spans(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -236,8 +287,8 @@ def deduplicate_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHO
     Each byte goes that lies in `length` bytes which also start anywhere else, in the same document too; overlaps
     count, and so do repeated rows. Null texts are empty, shorter texts are left alone. Other columns are not carried.
     """
-    spans = repeated_spans(docs, length, anchor).groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    joined = _keyed(docs).join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")), "left").select("doc_id", "text", "spans")
+    spans = repeated_spans(docs, length, anchor).groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row(), "text").join(spans, "row", "left").select("doc_id", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _sliced(batches):
