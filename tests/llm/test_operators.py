@@ -317,3 +317,17 @@ def test_tokens(docs, rows, empty):
 def test_digest_of_nothing(spark, sf_dir):
     row = queries.op5_decontamination(spark, sf_dir).filter("n_items = 0").head()
     assert row["items_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_settler():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        rows = rng.integers(0, [1000, 5, 4, 3], (rng.integers(0, 30), 4))
+        rows = rows[np.lexsort((rows[:, 3], rows[:, 2]))]
+        settler, got = repeats.Settler(), []
+        for part in np.split(rows, np.sort(rng.integers(0, len(rows) + 1, 5))):
+            got += [(tuple(r), int(k)) for r, k in zip(*settler.take(part), strict=True)]
+        got += [(tuple(r), int(k)) for r, k in zip(*settler.end(), strict=True)]
+        times, contents = Counter((k, c) for _, _, k, c in rows.tolist()), Counter(k for k, _ in {(k, c) for _, _, k, c in rows.tolist()})
+        want = [(tuple(r), 0 if times[r[2], r[3]] > 1 else 1) for r in rows.tolist() if times[r[2], r[3]] > 1 or contents[r[2]] > 1]
+        assert sorted(got) == sorted(want)
