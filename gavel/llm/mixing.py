@@ -3,7 +3,8 @@
 Each source's documents are shuffled by a hash and laid end to end; the words are cut into equal blocks. The slots of
 the mix follow the van der Corput sequence: the i-th point, mapped through the cumulative target weights, names the
 source of slot i, so every stretch of the schedule is close to the weights. The r-th slot of a source takes its r-th
-block, over again once all are taken.
+block, over again once all are taken. Blocks grow with the mix; a source whose target is only a few of them would get
+no slot or far too many words, so it has a schedule of its own, in slots of one word.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from gavel.llm.storage import materialise
 WORD = r"[^\x20\x09-\x0D]+"
 #: Least number of slots (less where the mix has fewer words) and most words in a slot.
 SLOTS, SLOT_WORDS = 1 << 16, 1 << 22
+#: Least target of a source in the common schedule, in slots: it gets one more or less at most, and its blocks are off by less.
+LEAST_SLOTS = 200
 #: Rows of a source that one window task orders, about.
 ROWS_A_TASK = 50_000
 
@@ -93,7 +96,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     slots = max(1, 1 << (max(min(slots, total), total // SLOT_WORDS) - 1).bit_length()) if total else 1
     targets = materialise(source_targets(sized, weights, share, cap), "mix-targets")
     block_words = max(1e-9, share * (words or 0) / slots)
-    plan = targets.withColumn("__blocks", F.greatest(F.lit(1), F.round(F.col("words") / block_words)).cast("long"))
+    own = F.col("target") < LEAST_SLOTS * block_words
+    plan = targets.filter(~own).withColumn("__blocks", F.greatest(F.lit(1), F.round(F.col("words") / block_words)).cast("long"))
 
     keyed = sized.join(targets.withColumnRenamed("words", "source_size").withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     # where a document lies among its source's words: totals per source and hash prefix, then a window inside each
@@ -118,7 +122,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     overlap = F.least(F.col("__to"), F.col("__start") + F.col("size")) - F.greatest(F.col("__from"), F.col("__start"))
     got = parts.groupBy(F.col("__src").alias("__s"), F.col("__start").alias("__at")).agg(F.sum(F.greatest(overlap, F.lit(0)) * F.col("__times")).alias("taken"))
     joined = laid.join(got, (F.col("__src") == F.col("__s")) & (F.col("__start") == F.col("__at")) & (F.col("size") > 0), "left")
-    return joined.select("doc_id", "source", "text_md5", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    # slots of one word take all words of a source some times, and the first of them once more
+    whole = F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
+    more = F.round("target").cast("long") - whole * F.col("source_size")
+    by_word = whole * F.col("size") + F.least(F.col("size"), F.greatest(more - F.col("__start"), F.lit(0)))
+    return joined.select("doc_id", "source", "text_md5", "size", "source_size", "target", F.when(own, by_word).otherwise(F.coalesce("taken", F.lit(0))).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
