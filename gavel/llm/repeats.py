@@ -8,6 +8,8 @@ induced sorting (gavel.llm.suffixes); a start whose prefix with a neighbour has
 Segments travel once, as four numbers each, to the task of their anchor, where sorted runs tell what repeats. Only the
 different segments of an anchor need their bytes; a second pass cuts them again and takes those whose anchor is in a
 bitmap of fixed size, which is broadcast, for texts cost more to move than to cut.
+An anchor with more than HOT different segments is not sorted in one shard: each string of LENGTH bytes in its segments
+goes by a hash of 128 bits to the task of its equals, so that shards are bounded by SHARD_BYTES and HOT segments.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,8 @@ LENGTH, ANCHOR = 200, 64
 BITS, PART_BITS = 26, 16
 #: Bytes of segments that are sorted together, unless one anchor has more.
 SHARD_BYTES = 1 << 20
+#: Most different segments of one anchor that are sorted together.
+HOT = 4096
 #: Contents that a task remembers to have sent before it starts anew.
 SENT = 500_000
 _PLACES = np.uint64((1 << 30) - 1)
@@ -167,25 +172,52 @@ class Settler:
         return rows, np.ones(len(rows), dtype=np.int32)
 
 
-def _settled(found: DataFrame) -> DataFrame:
-    """row, span, kind, and for kind 1 key and content: the segments that repeat, or may in parts."""
+class Variety:
+    """Reads keys and contents sorted by both, in pieces, and tells which keys have more than `hot` contents."""
+
+    def __init__(self, hot: int) -> None:
+        self.hot, self.last, self.seen = hot, None, 0  # last key and content, contents of that key so far
+
+    def take(self, key: np.ndarray, content: np.ndarray) -> np.ndarray:
+        """Keys of this piece that are known to be hot by its end."""
+        if not len(key):
+            return key
+        new_key = np.concatenate(([True], key[1:] != key[:-1]))
+        new = new_key | np.concatenate(([True], content[1:] != content[:-1]))
+        start = np.flatnonzero(new_key)
+        number = np.add.reduceat(new.astype(np.int64), start)
+        if self.last is not None and self.last[0] == key[0]:
+            number[0] += self.seen - (self.last[1] == content[0])
+        self.last, self.seen = (key[-1], content[-1]), int(number[-1])
+        return key[start][number > self.hot]
+
+
+def _settled(found: DataFrame, hot: int = HOT) -> DataFrame:
+    """row, span, kind, and for kind 1 key and content: the segments that repeat, or may in parts. Kind 2: only the key of a hot anchor."""
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, settler = ["row", "span", "key", "content"], Settler()
+        names, settler, variety = ["row", "span", "key", "content"], Settler(), Variety(hot)
 
         def made(rows: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
-            columns = [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(kind), *(pa.array(np.where(kind == 1, rows[:, i], 0)) for i in (2, 3))]
+            columns = [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(kind), *(pa.array(np.where(kind > 0, rows[:, i], 0)) for i in (2, 3))]
             return pa.RecordBatch.from_arrays(columns, ["row", "span", "kind", "key", "content"])
 
         for batch in batches:
-            yield made(*settler.take(np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names], axis=1)))
+            piece = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names], axis=1)
+            yield made(*settler.take(piece))
+            if len(many := variety.take(piece[:, 2], piece[:, 3])):
+                none = np.zeros(len(many), dtype=np.int64)
+                yield made(np.stack((none, none, many, none), axis=1), np.full(len(many), 2, dtype=np.int32))
         yield made(*settler.end())
 
     return found.repartition("key").sortWithinPartitions("key", "content").mapInArrow(settle, "row long, span long, kind int, key long, content long")
 
 
-def _bodies(docs: DataFrame, bits, length: int, anchor: int) -> DataFrame:
-    """key, content, starts, body: segments whose anchor is in the bitmap, with their bytes; equal ones of a task mostly once."""
+def _bodies(docs: DataFrame, bits, length: int, anchor: int, hot, of_hot: bool = False) -> DataFrame:
+    """key, content, starts, body: segments whose anchor is in the bitmap, with their bytes; equal ones of a task mostly once.
+
+    hot: the sorted keys of hot anchors, broadcast. Only their segments are returned if of_hot is set, else all others.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -194,6 +226,9 @@ def _bodies(docs: DataFrame, bits, length: int, anchor: int) -> DataFrame:
                 texts = _bytes(batch.column(0))
                 for s in segments(texts, length, anchor):
                     keep = np.flatnonzero(_among(bits.value, s["key"]))
+                    if len(hot.value):
+                        found = hot.value[np.minimum(np.searchsorted(hot.value, s["key"][keep]), len(hot.value) - 1)] == s["key"][keep]
+                        keep = keep[found == of_hot]
                     keep = keep[np.unique(s["content"][keep], return_index=True)[1]]
                     keep = keep[[c not in sent for c in s["content"][keep].tolist()]] if len(keep) else keep
                     sent = set() if len(sent) > SENT else sent
@@ -254,12 +289,45 @@ def _sorted_shards(bodies: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(sort, "key long, content long, first long, last long")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def _matched(bodies: DataFrame, length: int) -> DataFrame:
+    """key, content, first, last: starts within each body whose strings of `length` bytes are in other rows or starts too.
+
+    Equal bodies may come in several rows: their content occurs again, so that all of it is settled elsewhere.
+    """
+    names = ["one", "two", "key", "content", "start"]
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _sliced(batches, 64):
+            starts = batch.column("starts").to_numpy(zero_copy_only=False)
+            digests = b"".join(xxhash.xxh3_128_digest(b[i : i + length]) for b, n in zip(batch.column("body").to_pylist(), starts.tolist(), strict=True) for i in range(n))
+            both = np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
+            each = np.repeat(np.arange(len(starts)), starts)
+            place = np.arange(len(each)) - np.repeat(np.cumsum(starts) - starts, starts)
+            columns = [both[:, 0], both[:, 1], *(batch.column(c).to_numpy(zero_copy_only=False)[each] for c in ("key", "content")), place]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settler = Settler()
+        for batch in batches:
+            rows, kind = settler.take(np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in ("content", "start", "one", "two", "key")], axis=1))
+            rows = rows[kind == 0]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in (4, 0, 1, 1)], ["key", "content", "first", "last"])
+
+    dealt = bodies.mapInArrow(strings, ", ".join(f"{n} long" for n in names)).repartition("one").sortWithinPartitions("one", "two")
+    return dealt.mapInArrow(settle, "key long, content long, first long, last long")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """row, first, last: bytes to remove (last exclusive), overlapping."""
-    settled = materialise(_settled(_segments(docs, length, anchor)), "repeat-segments")
+    settled = materialise(_settled(_segments(docs, length, anchor), hot), "repeat-segments")
     single = settled.filter("kind = 1")
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(single.select("key").distinct()))
-    partial = materialise(_sorted_shards(_bodies(docs, bits, length, anchor), length), "repeat-starts")
+    context = docs.sparkSession.sparkContext
+    bits = context.broadcast(bitmap(single.select("key").distinct()))
+    # fewer than one in `hot` segments is the key of a hot anchor
+    keys = context.broadcast(np.sort(np.array([r["key"] for r in settled.filter("kind = 2").select("key").distinct().collect()], dtype=np.int64)))
+    partial = materialise(_sorted_shards(_bodies(docs, bits, length, anchor, keys), length), "repeat-starts")
+    if len(keys.value):
+        partial = partial.unionAll(materialise(_matched(_bodies(docs, bits, length, anchor, keys, of_hot=True), length), "repeat-hot-starts"))
     lo, hi = F.shiftrightunsigned("span", 32), F.col("span").bitwiseAND(0xFFFFFFFF)
     whole = settled.filter("kind = 0").select("row", lo.alias("first"), (hi + length).alias("last"))
     parts = single.select("row", lo.alias("lo"), "key", "content").join(partial, ["key", "content"])
@@ -281,13 +349,13 @@ def without_spans(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int
     return b"".join([*kept, text[at:]]), removed, runs
 
 
-def deduplicate_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def deduplicate_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """doc_id, kept (binary: what is left of the text's UTF-8 bytes), n_bytes, n_removed, n_spans: a row for each of docs.
 
     Each byte goes that lies in `length` bytes which also start anywhere else, in the same document too; overlaps
     count, and so do repeated rows. Null texts are empty, shorter texts are left alone. Other columns are not carried.
     """
-    spans = repeated_spans(docs, length, anchor).groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    spans = repeated_spans(docs, length, anchor, hot).groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row(), "text").join(spans, "row", "left").select("doc_id", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
