@@ -25,6 +25,8 @@ DOCUMENTS_A_LANGUAGE = 400
 ROUNDS, EVEN = 3, 1e-3
 #: Log-probability of a character that is no piece, the same in every language.
 UNKNOWN = -16.0
+#: Characters of a token that are learned from together, and what is read on both sides of them.
+SPAN, CONTEXT = 512, 64
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 LETTER = re.compile(r"[^\W\d_]")
 #: Distinct words kept in a worker before it starts anew; cells of a matrix of words.
@@ -84,9 +86,9 @@ class Pieces:
         return out
 
 
-def _matrices(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _matrices(words: list[str], mark: str = MARK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(places, code points by word and position, lengths) of groups of words of about equal length."""
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + len(mark)
     order = np.argsort(lengths, kind="stable")
     i = 0
     while i < len(order):
@@ -97,7 +99,7 @@ def _matrices(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
             j = min(j, i + max(1, CELLS // int(lengths[order[i]])))
             wide = int(lengths[order[j - 1]])
         at = order[i:j]
-        text = "".join(MARK + words[k] for k in at)
+        text = "".join(mark + words[k] for k in at)
         flat = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         codes, own = np.zeros((len(at), wide), dtype=np.uint64), lengths[at]
         codes[np.arange(wide)[None, :] < own[:, None]] = flat.astype(np.uint64) + np.uint64(1)
@@ -145,31 +147,54 @@ def word_scores(index: Pieces, table: np.ndarray, words: list[str]) -> np.ndarra
     return out
 
 
+def _spans(words: list[str], counts: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Marked words, longer ones than SPAN in overlapping parts: text, count, and the places whose pieces count in it."""
+    rows = []
+    for word, n in zip(words, counts.tolist(), strict=True):
+        word = MARK + word
+        for a in range(0, len(word), SPAN):
+            lo = max(0, a - CONTEXT)
+            rows.append((word[lo : a + SPAN + CONTEXT], n, a - lo, min(a + SPAN, len(word)) - lo))
+    text, n, first, stop = zip(*rows, strict=True) if rows else ((), (), (), ())
+    return list(text), np.array(n, dtype=float), np.array(first, dtype=np.int64), np.array(stop, dtype=np.int64)
+
+
+def _sums(probability: list[np.ndarray], ends: np.ndarray, backward: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over the segmentations up to each place, or from each on, by place and word; and the logarithms of their scales."""
+    rows, wide = probability[0].shape
+    sums, scales = np.zeros((wide + 1, rows)), np.zeros((wide + 1, rows))
+    recent, scale = [], np.zeros(rows)  # the latest sums, all at the same scale
+    for k in range(wide + 1):
+        j = wide - k if backward else k
+        row = (ends == j).astype(float) if backward else np.full(rows, float(j == 0))
+        for n in range(1, min(len(probability), k) + 1):
+            row += recent[-n] * probability[n - 1][:, j if backward else j - n]
+        if k % 8 == 7:
+            top = np.where(row > 0, row, 1.0)
+            row = row / top
+            recent = [x / top for x in recent[-len(probability) :]]
+            scale = scale + np.log(top)
+        recent.append(row)
+        del recent[: -len(probability)]
+        sums[j], scales[j] = row, scale
+    return sums, scales
+
+
 def _expected(index: Pieces, p: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece over all segmentations of the words, for one language."""
     use, unknown = np.zeros(len(p)), np.exp(UNKNOWN)
-    for at, codes, lengths in _matrices(words):
-        keep = lengths <= 40  # longer strings are no words to learn from
-        if not keep.any():
-            continue
-        at, codes, lengths = at[keep], codes[keep], lengths[keep]
-        codes = codes[:, : lengths.max()]
+    words, counts, first, stop = _spans(words, counts)
+    for at, codes, lengths in _matrices(words, ""):
         found, wide, rows = _rolled(index, codes), codes.shape[1], np.arange(len(at))
         one = np.where(found[0] == 0, unknown, p[found[0]])
         probability = [one, *(p[f] for f in found[1:])]
-        forward, backward = np.zeros((wide + 1, len(at))), np.zeros((wide + 1, len(at)))
-        forward[0] = 1.0
-        for j in range(1, wide + 1):
-            for n in range(1, min(len(found), j) + 1):
-                forward[j] += forward[j - n] * probability[n - 1][:, j - n]
-        backward[lengths, rows] = 1.0
-        for j in range(wide - 1, -1, -1):
-            for n in range(1, min(len(found), wide - j) + 1):
-                backward[j] += backward[j + n] * probability[n - 1][:, j]
-        weight = counts[at] / np.maximum(forward[lengths, rows], 1e-300)
+        (ahead, ahead_scale), (back, back_scale) = _sums(probability, lengths, False), _sums(probability, lengths, True)
+        total = ahead_scale[lengths, rows] + np.log(ahead[lengths, rows])
+        inside = (np.arange(wide) >= first[at][:, None]) & (np.arange(wide) < stop[at][:, None])
         for n in range(1, len(found) + 1):
-            share = (forward[: wide - n + 1] * backward[n:]).T * probability[n - 1] * weight[:, None]
-            np.add.at(use, found[n - 1].ravel(), share.ravel())
+            k = wide - n + 1
+            share = ahead[:k] * back[n:] * np.exp(np.minimum(ahead_scale[:k] + back_scale[n:] - total, 700.0))
+            np.add.at(use, found[n - 1].ravel(), (share.T * probability[n - 1] * inside[:, :k] * counts[at][:, None]).ravel())
     use[0] = 0.0
     return use
 
