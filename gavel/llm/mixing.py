@@ -22,6 +22,8 @@ SLOTS, SLOT_WORDS = 1 << 16, 1 << 22
 LEAST_SLOTS = 200
 #: Rows of a source that one window task orders, about.
 ROWS_A_TASK = 50_000
+#: Most sources whose places are broadcast (about 100 bytes each).
+BROADCAST_SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -129,15 +131,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     return joined.select("doc_id", "source", "text_md5", "size", "source_size", "target", F.when(own, by_word).otherwise(F.coalesce("taken", F.lit(0))).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: str = "mix", broadcast_sources: int = BROADCAST_SOURCES, **options) -> DataFrame:
     """The rows of docs as often as the mix takes them, to the nearest whole document; all columns are kept.
 
-    A document that the mix takes for half its words or more appears once, from one and a half times on twice.
+    A document that the mix takes for half its words or more appears once, from one and a half times on twice; one
+    without words never. Within a source the schedule takes the first documents of the shuffled order once more often
+    than the rest, so one place in that order a source says how often each is taken, and texts need not move. Rows
+    that agree in id and text have the same place: they are taken alike.
     """
-    plan = mix(docs, **options)
-    copies = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("text_md5").alias("__md5"), F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int").alias("__copies"))
-    # rows that agree in id, source and text differ by a word at a cut at most: they share the mean
-    copies = copies.groupBy("__id", "__source", "__md5").agg(F.round(F.avg("__copies")).cast("int").alias("__copies")).filter("__copies > 0")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.md5(F.coalesce("text", F.lit(""))) == F.col("__md5"))
-    columns = docs.columns
-    return docs.join(copies, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*columns)
+    order = lambda key: F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), key))
+    plan = mix(docs, seed=seed, **options).filter("size > 0")
+    plan = plan.select(F.col("source").alias("__source"), order(F.col("text_md5")).alias("__order"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("__copies"))
+    lasts = plan.groupBy("__source", "__copies").agg(F.max("__order").alias("__order"))  # two rows a source
+    lasts = materialise(lasts.groupBy("__source").agg(F.min("__copies").alias("__least"), F.max("__copies").alias("__most"), F.max_by("__order", "__copies").alias("__last")), "mix-lasts")
+    lasts = F.broadcast(lasts) if lasts.count() <= broadcast_sources else lasts
+    joined = docs.filter(F.col("text").rlike(WORD)).join(lasts, F.col("source").eqNullSafe(F.col("__source")))
+    copies = F.when(order(F.md5("text")) <= F.col("__last"), F.col("__most")).otherwise(F.col("__least"))
+    return joined.withColumn("__copies", copies).filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
