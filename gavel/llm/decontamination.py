@@ -12,17 +12,25 @@ from pyspark.sql import functions as F
 
 from gavel.llm.storage import materialise
 
-#: Everything that separates words, after lower-casing.
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Everything that separates words, after lower-casing and before.
+SEPARATORS, ANY_CASE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of a window; most windows of a benchmark that are broadcast (about 200 bytes each), beyond them a shuffle.
 WINDOW, BROADCAST_WINDOWS = 13, 500_000
+#: Most contaminated documents whose keys are broadcast (about 50 bytes each); beyond them the texts are shuffled.
+BROADCAST_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
     """Array of the words of text, lower-cased in ASCII; empty for null."""
-    cut = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SEPARATORS)
-    return F.filter(cut, lambda w: w != "")
+    text = F.coalesce(text, F.lit(""))
+    lower = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))  # lower() is quick on ASCII
+    return F.filter(F.split(lower, SEPARATORS), lambda w: w != "")
+
+
+def count_words(text: Column) -> Column:
+    """Number of words of text, for which the case need not be changed; 0 for null."""
+    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), ANY_CASE), lambda w: w != "")).cast("long")
 
 
 def _joined(tokens: Column, start: Column, length: Column) -> Column:
@@ -44,7 +52,7 @@ def benchmark_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
 
 
 def find_hits(docs: DataFrame, items: DataFrame, size: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """One row for each distinct (doc_id, text) with a hit: __id, __key, n_hit, item_ids (array of strings, sorted).
+    """One row for each distinct (doc_id, text) with a hit: __id, __key, __n_words, n_hit, item_ids (array of strings, sorted).
 
     A document word is hit if it lies in any occurrence of a window. Rows that agree in doc_id and text share a row;
     __key is a hash of the text. Null or wordless texts and items match nothing.
@@ -67,22 +75,22 @@ def find_hits(docs: DataFrame, items: DataFrame, size: int = WINDOW, broadcast_w
         scan = fits.select("*", each.alias("__w")).filter(F.col("__at") + F.col("__w.n") <= F.size("__words")).select("__id", "__key", "__words", "__at", F.col("__w.n").alias("__n"), F.col("__w.h").alias("__h"))
     phrase = _joined(F.col("__words"), F.col("__at"), F.col("__n"))
     if small:
-        found = scan.join(F.broadcast(table), F.col("__h") == F.col("hash")).filter((F.col("__n") == F.col("length")) & (phrase == F.col("phrase")))
+        found = scan.withColumn("__size", F.size("__words")).join(F.broadcast(table), F.col("__h") == F.col("hash")).filter((F.col("__n") == F.col("length")) & (phrase == F.col("phrase")))
     else:  # the table is dealt by hash instead, and only phrases travel to it
-        scan = scan.select("__id", "__key", "__at", "__n", "__h", phrase.alias("__phrase"))
+        scan = scan.select("__id", "__key", "__at", "__n", "__h", F.size("__words").alias("__size"), phrase.alias("__phrase"))
         found = scan.join(table, (F.col("__h") == F.col("hash")) & (F.col("__phrase") == F.col("phrase")))
-    hits = materialise(found.select("__id", "__key", F.col("__at").alias("at"), F.col("__n").alias("n"), "hash", "length", "phrase").distinct(), "bench-hits")
+    hits = materialise(found.select("__id", "__key", F.col("__at").alias("at"), F.col("__n").alias("n"), "hash", "length", "phrase", "__size").distinct(), "bench-hits")
     covered = F.aggregate(
         F.sort_array(F.collect_list(F.struct("at", "n"))),
         F.struct(F.lit(0).alias("end"), F.lit(0).alias("hit")),
         lambda acc, w: F.struct(F.greatest(acc["end"], w["at"] + w["n"]).alias("end"), (acc["hit"] + F.greatest(F.lit(0), w["at"] + w["n"] - F.greatest(acc["end"], w["at"]))).alias("hit")),
         lambda acc: acc["hit"].cast("long"),
     )
-    counted = hits.groupBy("__id", "__key").agg(covered.alias("n_hit"))
+    counted = hits.groupBy("__id", "__key").agg(covered.alias("n_hit"), F.first("__size").cast("long").alias("__n_words"))
     owners = hits.select("__id", "__key", "hash", "length", "phrase").distinct().join(listed, ["hash", "length", "phrase"])
     owners = owners.groupBy("__id", "__key").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
     same = counted["__id"].eqNullSafe(owners["__id"]) & (counted["__key"] == owners["__key"])
-    return counted.join(owners, same).select(counted["__id"], counted["__key"], "n_hit", "item_ids")
+    return counted.join(owners, same).select(counted["__id"], counted["__key"], "__n_words", "n_hit", "item_ids")
 
 
 def key(text: Column) -> Column:
@@ -97,11 +105,17 @@ def contamination(docs: DataFrame, items: DataFrame, share: int = 20, **options)
     """
     found = find_hits(docs, items, **options)
     own = docs.drop("n_words", "n_hit", "item_ids", "contaminated").withColumn("__text_key", key(F.col("text")))
-    joined = own.withColumn("n_words", F.size(words(F.col("text"))).cast("long")).join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left")
+    joined = own.withColumn("n_words", count_words(F.col("text"))).join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left")
     joined = joined.withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long")).withColumn("item_ids", F.coalesce("item_ids", F.array().cast("array<string>")))
-    return joined.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).drop("__id", "__key", "__text_key")
+    return joined.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).drop("__id", "__key", "__n_words", "__text_key")
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """docs without its contaminated rows, with the columns of docs."""
-    return contamination(docs, items, **options).filter(~F.col("contaminated")).select(*docs.columns)
+def decontaminate(docs: DataFrame, items: DataFrame, share: int = 20, broadcast_rows: int = BROADCAST_ROWS, **options) -> DataFrame:
+    """docs without its contaminated rows (n_hit > 0 and share * n_hit >= n_words), with the columns of docs.
+
+    Only keys of the contaminated ones are gathered; while they are few, they go to the texts. Null texts stay.
+    """
+    bad = find_hits(docs, items, **options).filter(share * F.col("n_hit") >= F.col("__n_words")).select("__id", "__key")
+    bad = materialise(bad, "bench-bad")
+    bad = F.broadcast(bad) if bad.count() <= broadcast_rows else bad
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (key(F.col("text")) == F.col("__key")), "left_anti")
