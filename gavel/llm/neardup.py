@@ -3,20 +3,24 @@
 Texts with equal shingle sets share one node. Each node's signature has COORDINATES minima; a posting is a pair of
 coordinate and value. Two sets of similarity 0.8 agree in fewer than MATCHES of 48 coordinates with probability
 3e-8, so partners must share MATCHES postings. Ordered by how many nodes have a posting, the MATCHES - 1 most frequent
-of each node can be skipped: partners share one of the others. Lists of those are merged, the skipped coordinates are
-counted by comparing signatures, and what is left is compared on the full sets.
+of each node can be skipped: partners share one of the others, so only lists of those are merged.
 
-Short lists are joined with themselves, and pairs that agree in MATCHES coordinates stay. Long lists are not: their
-nodes are chained to one another. What hangs together by either is a family, and all links lie within families.
+Lists of up to SHORT nodes are merged as blocks (equal lists once): each block counts, for all its pairs, the
+coordinates that agree, skipped ones too, and keeps those of MATCHES or more. A longer list is chained to its least node
+first, and its pairs are counted later. What hangs together by either is a family; all links lie within families.
 
-A family's texts meet in chunks of bounded size, in one task each, which compares full sets and returns the links
-between components, not pairs. Each chunk of a large family also gets the family's leaders, so that copies become one
-component at a cost in proportion to their number; after that, chunks meet each other only where they hold nodes of
-different components.
+A family's texts meet in chunks of bounded size. There pairs are counted by their signatures first, and those of
+MATCHES or more are confirmed on the full sets, strongest first, as long as they would join different components: what
+is already joined needs no further link. Each chunk of a large family also gets some of the family's leaders, so that
+copies become one component at a cost in proportion to their number; after that, chunks meet each other only where
+sizes allow a link and they hold nodes of different components.
+
+Texts stay where they are unless they may be in a family: a bitmap of those rows is broadcast to the scan.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +29,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gavel.llm import bitmaps
 from gavel.llm.components import components
 from gavel.llm.shingles import mixed, shingle_sets
 from gavel.llm.storage import materialise
 
 #: Minima of a signature; least number that partners share; words of a shingle; similarity in percent.
 COORDINATES, MATCHES, WORDS, PERCENT = 48, 22, 2, 80
-#: Longest list that is joined with itself; nodes and shingles of a chunk, at most; leaders of a large family.
-SHORT, CHUNK, CHUNK_SHINGLES, LEADERS = 16, 512, 400_000, 8
+#: Nodes of a list that is counted as a block, at most; nodes and shingles of a chunk, about; leaders of a large family.
+SHORT, CHUNK, CHUNK_SHINGLES, LEADERS = 64, 512, 400_000, 8
+#: Pairs that numpy compares at a time; pairs of a chunk above which full sets are compared all together.
+PAIRS, MANY = 1 << 16, 4096
 _random = np.random.default_rng(20240502)
 _A = (_random.integers(0, 1 << 31, COORDINATES, dtype=np.uint64) * 2 + 1).astype(np.uint32)[:, None]
 _B = _random.integers(0, 1 << 32, COORDINATES, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -72,80 +79,154 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(), "text").mapInArrow(make, "doc_id long, text_key long, n_shingles long, node long, signature array<int>")
 
 
-def postings(nodes: DataFrame) -> DataFrame:
-    """token, node, n: each node's postings but the MATCHES - 1 most frequent, without those of one node only."""
-    tokens = nodes.select("node", "n", F.posexplode("signature").alias("at", "value"))
-    tokens = tokens.select("node", "n", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value").cast("long")).alias("token"))
+def postings(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """token, node: each node's postings but the MATCHES - 1 most frequent, without those of one node only.
+
+    Sets so small that one shingle more or less takes them below the similarity are like no other set.
+    """
+    tokens = nodes.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).select("node", F.posexplode("signature").alias("at", "value"))
+    tokens = tokens.select("node", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value").cast("long")).alias("token"))
     frequent = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    kept = tokens.join(frequent, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("l"))  # at most COORDINATES each
-    merged = kept.filter(F.size("l") >= MATCHES).select("node", "n", F.explode(F.slice("l", F.lit(1), F.size("l") - MATCHES + 1)).alias("p"))
-    return merged.select("p.token", "node", "n")
+    kept = tokens.join(frequent, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("l"))  # at most COORDINATES each
+    return kept.filter(F.size("l") >= MATCHES).select(F.explode(F.slice("l", F.lit(1), F.size("l") - MATCHES + 1)["token"]).alias("token"), "node")
 
 
-def _close(a: str, b: str, percent: int, half: bool = False) -> Column:
-    """Whether sets of these sizes can be alike; half: whether the first is large enough for the second."""
-    enough = 100 * F.col(a) >= percent * F.col(b)
-    return enough if half else enough & (100 * F.col(b) >= percent * F.col(a))
+def _least(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of each of n places the least that links x - y reach."""
+    least = np.arange(n)
+    while len(x):
+        low, was = np.minimum(least[x], least[y]), least.copy()
+        np.minimum.at(least, x, low)
+        np.minimum.at(least, y, low)
+        least = least[least]
+        if (least == was).all():
+            break
+    return least
+
+
+def _close(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can be alike."""
+    return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+
 
+def agreeing(blocks: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that hold together what agrees in MATCHES coordinates or more within blocks (block, node, n, signature)."""
+
+    def count(block: np.ndarray, node: np.ndarray, n: np.ndarray, signs: np.ndarray) -> pa.RecordBatch:
+        start = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+        sizes = np.diff(np.concatenate((start, [len(block)])))
+        pairs = [start[sizes == m][:, None, None] + np.stack(np.triu_indices(m, 1))[None] for m in np.unique(sizes[sizes > 1])]
+        i, j = (np.concatenate([p[:, k].ravel() for p in pairs] or [np.zeros(0, dtype=np.int64)]) for k in (0, 1))
+        good = [np.zeros(0, dtype=np.int64)]
+        for at in range(0, len(i), PAIRS):
+            x, y = i[at : at + PAIRS], j[at : at + PAIRS]
+            good.append(at + np.flatnonzero(_close(n[x], n[y], percent) & ((signs[x] == signs[y]).sum(axis=1) >= MATCHES)))
+        good = np.concatenate(good)
+        least = _least(len(block), i[good], j[good])
+        moved = np.flatnonzero(least != np.arange(len(block)))
+        return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[least[moved]])], ["a", "b"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of a block that may go on
+        for batch in batches:
+            own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "node", "n")] + [batch.column("signature").flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)]
+            own = [np.concatenate(x) for x in zip(held, own, strict=True)] if held else own
+            cut = int(np.searchsorted(own[0], own[0][-1])) if len(own[0]) else 0  # blocks come in order
+            if cut:
+                yield count(*(x[:cut] for x in own))
+            held = [x[cut:] for x in own]
+        if held:
+            yield count(*held)
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures agree in MATCHES coordinates or more."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("signature").alias(f"s{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    return both.filter(same >= MATCHES).select("a", "b")
+    return blocks.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "a long, b long")
 
 
-def _families(agreeing: DataFrame, long: DataFrame) -> DataFrame:
-    """family, node: nodes that agreeing pairs (a, b) or long lists (token, node) hold together."""
+def _families(links: DataFrame, long: DataFrame) -> DataFrame:
+    """family, node: nodes that links (a, b) or long lists (token, node) hold together."""
     leader = long.groupBy("token").agg(F.min("node").alias("b"))
-    found = components(agreeing.unionAll(long.join(leader, "token").select(F.col("node").alias("a"), "b")))
+    found = components(links.unionAll(long.join(leader, "token").select(F.col("node").alias("a"), "b")))
     return found.select(F.col("root").alias("family"), "node")
 
 
-def _chunks(members: DataFrame, order: list[str]) -> DataFrame:
-    """members (family, node, n ...) with a chunk number; neighbours in the order given share chunks."""
-    before = Window.partitionBy("family").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    weight = F.greatest(F.lit(1.0 / CHUNK), F.col("n") / CHUNK_SHINGLES)
-    return members.withColumn("chunk", F.floor(F.coalesce(F.sum(weight).over(before), F.lit(0.0))).cast("int"))
+def _chunks(members: DataFrame, percent: int) -> DataFrame:
+    """members (family, node, n, lead ...) with `chunk`: by hash, within groups of one lead and of about one size.
+
+    A family that fits in one chunk is one. Nodes of one lead are dealt to as many chunks as they fill; those without
+    (null) by their roots, so that a component that is small stays together. Counts are summed before they move.
+    """
+    weight = F.greatest(F.count("*") / CHUNK, F.sum("n") / CHUNK_SHINGLES).alias("__w")
+    banded = members.withColumn("__band", F.floor(F.log("n") / math.log(100 / percent if percent < 100 else 2)))
+    whole = banded.groupBy("family").agg(weight).select(F.col("family").alias("__f"), (F.col("__w") <= 1).alias("__one"))
+    parts = banded.groupBy(F.col("family").alias("__g"), F.col("lead").alias("__l"), F.col("__band").alias("__b")).agg(F.ceil(weight).alias("__parts"))
+    joined = banded.join(whole, F.col("family") == F.col("__f")).join(parts, (F.col("family") == F.col("__g")) & F.col("lead").eqNullSafe(F.col("__l")) & (F.col("__band") == F.col("__b")))
+    dealt = F.pmod(F.xxhash64(F.when(F.col("lead").isNull(), F.col("root")).otherwise(F.col("node"))), F.col("__parts"))
+    return joined.withColumn("chunk", F.when(F.col("__one"), F.lit(0)).otherwise(F.xxhash64("lead", "__band", dealt))).select(*members.columns, "chunk")
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of each set on the left with each on the right."""
-    if len(left) * len(right) <= 64:
-        return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in right] for a in left], dtype=np.float32).reshape(len(left), len(right))
     sets = [*left, *right]
     owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     keep = count[code] > 1
     owner, code = owner[keep], np.unique(code[keep], return_inverse=True)[1]
-    order, out, k = np.argsort(code, kind="stable"), np.zeros((len(left), len(right)), dtype=np.float32), len(left)
+    order, out, k = np.argsort(code, kind="stable"), np.zeros((len(left), len(right)), dtype=np.int64), len(left)
     owner, code = owner[order], code[order]
     for at in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
         lo, hi = np.searchsorted(code, [at, at + 4096])
         marks = np.zeros((len(sets), 4096), dtype=np.float32)
         marks[owner[lo:hi], code[lo:hi] - at] = 1
-        out += marks[:k] @ marks[k:].T
+        out += (marks[:k] @ marks[k:].T).astype(np.int64)  # at most 4096 each, exact
     return out
 
 
-def _links(left: pd.DataFrame, right: pd.DataFrame, words: int, percent: int) -> pd.DataFrame:
-    """Links (a, b) among the components of two chunks (node, root, text): each that is joined, to the least of them."""
+def _counted(one: list[np.ndarray], two: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of sets that agree in MATCHES coordinates and whose sizes allow a link, strongest first."""
+    signs, others = (np.stack([signature(x) for x in sets]) for sets in (one, two))
+    n, m = np.array([len(x) for x in one]), np.array([len(x) for x in two])
+    step, found = max(1, PAIRS // len(two)), [np.zeros((3, 0), dtype=np.int64)]
+    for at in range(0, len(one), step):
+        same = np.zeros((len(signs[at : at + step]), len(two)), dtype=np.int8)
+        for c in range(COORDINATES):
+            same += signs[at : at + step, c, None] == others[None, :, c]
+        i, j = np.nonzero((same >= MATCHES) & _close(n[at : at + step, None], m[None, :], percent))
+        found.append(np.stack((same[i, j], i + at, j)))
+    same, i, j = np.concatenate(found, axis=1)
+    order = np.argsort(-same, kind="stable")
+    return i[order], j[order]
+
+
+def _links(left: pd.DataFrame, right: pd.DataFrame | None, words: int, percent: int) -> pd.DataFrame:
+    """Links (a, b) among the components of two chunks (node, root, text), or of one: each that is joined, to the least of them."""
+    both = [x.drop_duplicates("node") for x in (left, right) if x is not None]
     with np.errstate(over="ignore"):
-        one, two = (list(shingle_sets([t.encode() for t in x["text"]], words)) for x in (left, right))
-    common = _common(one, two)
-    both = np.array([len(x) for x in one])[:, None] + np.array([len(x) for x in two])[None, :] - common
-    ra, rb = left["root"].to_numpy(), right["root"].to_numpy()
-    i, j = np.nonzero((100 * common >= percent * both) & (ra[:, None] != rb[None, :]))
-    known = np.unique(np.concatenate((ra, rb)))
-    x, y, least = np.searchsorted(known, ra[i]), np.searchsorted(known, rb[j]), np.arange(len(known))
-    while True:
-        low, was = np.minimum(least[x], least[y]), least.copy()
-        np.minimum.at(least, x, low)
-        np.minimum.at(least, y, low)
-        least = least[least]
-        if (least == was).all():
-            break
+        sets = [list(shingle_sets([t.encode() for t in x["text"]], words)) for x in both]
+        i, j = _counted(sets[0], sets[-1], percent)
+    roots, known = [x["root"].to_numpy() for x in both], np.unique(np.concatenate([x["root"].to_numpy() for x in both]))
+    x, y = np.searchsorted(known, roots[0][i]), np.searchsorted(known, roots[-1][j])
+    differ = x != y
+    i, j, x, y = i[differ], j[differ], x[differ], y[differ]
+    parent, table = list(range(len(known))), None
+
+    def find(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    tried = 0
+    for a, b, p, q in zip(i.tolist(), j.tolist(), x.tolist(), y.tolist(), strict=True):
+        p, q = find(p), find(q)
+        if p == q:
+            continue
+        tried += 1
+        if tried == MANY:
+            table = _common(sets[0], sets[-1])
+        one, two = sets[0][a], sets[-1][b]
+        common = int(table[a, b]) if table is not None else len(np.intersect1d(one, two, assume_unique=True))
+        if 100 * common >= percent * (len(one) + len(two) - common):
+            parent[max(p, q)] = min(p, q)
+    least = np.array([find(k) for k in range(len(known))], dtype=np.int64)
     moved = np.flatnonzero(least != np.arange(len(known)))
     return pd.DataFrame({"a": known[moved], "b": known[least[moved]]})
 
@@ -154,7 +235,7 @@ def _within(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links within each (family, chunk); chunks are dealt to tasks in groups, so that small ones cost little."""
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
-        found = [_links(one.assign(root=one["node"]), one.assign(root=one["node"]), words, percent) for _, one in batch.groupby(["family", "chunk"]) if len(one) > 1]
+        found = [_links(one.assign(root=one["node"]), None, words, percent) for _, one in batch.groupby(["family", "chunk"]) if len(one) > 1]
         return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []})
 
     rows = texts.agg(F.sum("n")).head()[0] or 0
@@ -167,7 +248,8 @@ def _across(members: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     about = members.groupBy("family", "chunk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("root").alias("r1"), F.max("root").alias("r2"))
     other = about.select("family", *(F.col(c).alias(f"{c}_") for c in ("chunk", "lo", "hi", "r1", "r2")))
     meets = about.join(other, "family").filter("chunk <= chunk_").filter(~((F.col("r1") == F.col("r2_")) & (F.col("r2") == F.col("r1_"))))
-    meets = materialise(meets.filter(_close("hi", "lo_", percent, half=True) & _close("hi_", "lo", percent, half=True)).select("family", "chunk", "chunk_"), "near-meets")
+    enough = (100 * F.col("hi") >= percent * F.col("lo_")) & (100 * F.col("hi_") >= percent * F.col("lo"))
+    meets = materialise(meets.filter(enough).select("family", "chunk", "chunk_"), "near-meets")
     held = members.join(texts, "node").select("family", "chunk", "node", "root", "text")
     left = held.join(meets, ["family", "chunk"])
     right = held.withColumnRenamed("chunk", "chunk_").join(meets, ["family", "chunk_"])
@@ -176,34 +258,58 @@ def _across(members: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return left.groupBy("family", "chunk", "chunk_").cogroup(right.groupBy("family_2", "chunk_2", "chunk__2")).applyInPandas(meet, "a long, b long")
 
 
+def _among(docs: DataFrame, keys: DataFrame, once: bool = False) -> DataFrame:
+    """Rows of docs whose `__row` may be among keys (key: long); once: of a row that repeats, one a task is enough."""
+    shipped = docs.sparkSession.sparkContext.broadcast(bitmaps.build(keys, bitmaps.bits_for(keys.count())))  # bounded size
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            row = batch.column("__row").to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(bitmaps.among(shipped.value, row))
+            if once and len(at):
+                at = at[np.sort(np.unique(row[at], return_index=True)[1])]
+                at = at[[r not in seen for r in row[at].tolist()]]
+                seen.update(row[at].tolist())
+            yield batch.take(pa.array(at))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def link_nodes(docs: DataFrame, nodes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """node, root for each node that is linked with another, directly or not.
 
     nodes: node, n, signature, and doc_id, text_key of a row with the set.
     """
-    lists = materialise(postings(nodes), "near-postings")
+    lists = materialise(postings(nodes, percent), "near-postings")
     lists = materialise(lists.join(lists.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1"), "token"), "near-lists")
-    short, long = lists.filter(F.col("m") <= SHORT), lists.filter(F.col("m") > SHORT)
-    met = short.join(short.select("token", F.col("node").alias("x"), F.col("n").alias("nx")), "token").filter(_close("n", "nx", percent) & (F.col("node") < F.col("x")))
-    agreeing = _agreeing(met.select(F.col("node").alias("a"), F.col("x").alias("b")).distinct(), nodes)
-    members = _families(agreeing, long).join(nodes.select("node", "n", "doc_id", "text_key"), "node")
-    members = materialise(_chunks(members, ["n", "node"]), "near-members")
-    keyed = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__key"), "text")
+    blocks = lists.filter(F.col("m") <= SHORT).groupBy("token").agg(F.sort_array(F.collect_list("node")).alias("nodes")).select("nodes").distinct()
+    blocks = blocks.select(F.xxhash64("nodes").alias("block"), F.explode("nodes").alias("node")).join(nodes.select("node", "n", "signature"), "node")
+    links = materialise(agreeing(blocks, percent), "near-agreeing")
+    found = _families(links, lists.filter(F.col("m") > SHORT)).join(nodes.select("node", "n", "doc_id", "text_key"), "node")
+    found = found.withColumns({"lead": F.lit(None).cast("long"), "root": F.col("node")})
+    members = materialise(_chunks(found, percent), "near-members")
+    row = lambda d, k: F.xxhash64(d, k)
+    own = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__key"), "text").withColumn("__row", row("__id", "__key"))
     wanted = members.select("node", F.col("doc_id").alias("__d"), "text_key")
-    found = keyed.join(wanted, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("text_key")))
-    texts = materialise(found.groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+    near = _among(own, members.select(row("doc_id", "text_key").alias("key")), once=True)
+    texts = near.join(wanted, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("text_key")))
+    texts = materialise(texts.select("node", "text"), "near-texts")
 
     # leaders of families of several chunks join each chunk
-    sizes = members.groupBy("family").agg(F.max("chunk").alias("last")).filter("last > 0")
-    leaders = members.join(sizes, "family").withColumn("r", F.row_number().over(Window.partitionBy("family").orderBy(F.xxhash64("node")))).filter(F.col("r") <= LEADERS)
-    leaders = leaders.select("family", "node", "n", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("chunk"))
-    first = members.select("family", "node", "n", "chunk").unionAll(leaders.select("family", "node", "n", "chunk")).distinct()
+    whole = members.groupBy("family").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).filter("lo < hi").select("family")
+    large = members.drop("chunk").join(whole, "family")
+    least = F.min_by("node", F.xxhash64("node"))
+    leaders = large.groupBy("family", F.pmod(F.xxhash64("node", F.lit("lead")), F.lit(LEADERS)).alias("__k")).agg(least.alias("node"))
+    leaders = leaders.drop("__k").join(members.select("family", "chunk").distinct(), "family").join(nodes.select("node", "n"), "node")
+    first = members.select("family", "node", "n", "chunk").unionByName(leaders).distinct()
     links = materialise(_within(first.join(texts, "node"), words, percent), "near-links")
     roots = components(links)
-    large = members.drop("chunk").join(sizes.select("family"), "family")
     if large.isEmpty():
         return roots
-    large = materialise(_chunks(large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), ["root", "n", "node"]), "near-large")
+    large = large.drop("root", "lead").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    many = large.groupBy("family", "root").agg(F.count("*").alias("__c")).filter(F.col("__c") >= CHUNK // 8).select("family", "root", F.col("root").alias("lead"))
+    large = materialise(_chunks(large.join(many, ["family", "root"], "left"), percent), "near-large")
     return components(links.unionAll(materialise(_across(large, texts, words, percent), "near-links")))
 
 
@@ -213,6 +319,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     component_id is the smallest doc_id that links reach; a document without words is alone, also if others are
     empty too. kept: it is that document itself. Rows that share a doc_id but not a text are documents of their own.
     Null ids belong to components, but name none: where all are null, so is component_id, and kept is true.
+    Texts of any length count whole; columns of other names in docs are not carried. An empty table gives no rows.
     """
     signed = materialise(signatures(docs, words), "near-signatures")
     first = F.min(F.struct("doc_id", "text_key"))
@@ -226,9 +333,24 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """docs with one row of each component, all columns kept. Of rows that repeat id and text one stays."""
-    kept = near_duplicates(docs, **options).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    own = docs.withColumn("__own", F.xxhash64("text"))
-    one = own.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id", "__own").orderBy("doc_id"))
-    return one.withColumn("__n", first).filter("__n = 1").select(*docs.columns)
+    """docs with one row of each component, all columns kept. Of rows that repeat id and text the least stays.
+
+    Rows pass the scan as they are unless a bitmap says that they may go; only those are moved to be judged.
+    """
+    judged = near_duplicates(docs, **options).groupBy("doc_id", "text_key").agg(F.first("kept").alias("kept"), F.count("*").alias("copies"))
+    judged = materialise(judged.withColumn("key", F.xxhash64("doc_id", "text_key")), "near-judged")
+    doubtful = judged.filter(~F.col("kept") | (F.col("copies") > 1)).select("key")
+    own = docs.withColumn("__key", F.xxhash64("text")).withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("__key")))
+    shipped = docs.sparkSession.sparkContext.broadcast(bitmaps.build(doubtful, bitmaps.bits_for(doubtful.count())))  # bounded size
+
+    def part(inside: bool):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(bitmaps.among(shipped.value, batch.column("__row").to_numpy(zero_copy_only=False)) == inside))
+
+        return own.mapInArrow(keep, own.schema)
+
+    kept = judged.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k"))
+    moved = part(True).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__k")), "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id", "__key").orderBy(F.to_json(F.struct(*docs.columns))))
+    return part(False).select(*docs.columns).unionByName(moved.withColumn("__n", first).filter("__n = 1").select(*docs.columns))

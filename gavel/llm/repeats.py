@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavel.llm.shingles import _BYTE, blocks, mixed, powers
+from gavel.llm.shingles import blocks, mixed
 from gavel.llm.storage import materialise
 from gavel.llm.suffixes import suffix_array
 
@@ -40,6 +40,22 @@ SENT = 500_000
 _PLACES = np.uint64((1 << 30) - 1)
 
 
+_BYTE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_powers: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse modulo 2 to the 64."""
+    if len(_powers[0]) < n:
+        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        for i, b in enumerate((_BASE, inverse)):
+            steps = np.full(n, b, dtype=np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+    return _powers[0][:n], _powers[1][:n]
+
+
 def segments(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) -> Iterator[dict[str, np.ndarray]]:
     """Segments of texts: which text, first and last start, place and key of the anchor, hash of the content."""
     wide = length - anchor + 1

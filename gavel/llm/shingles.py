@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-
-_BYTE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE, _NEXT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+import xxhash
+
+_NEXT = np.uint64(0xD6E8FEB86659FD93)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: By number of bytes, the mask of so many low bytes of a 64-bit word.
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: Bytes of a word that are hashed in numpy, eight at a time; longer words are hashed one by one.
+SHORT_WORD = 64
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 #: Bytes that one numpy pass takes; a longer text is a block of its own.
@@ -21,29 +27,21 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_powers: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse modulo 2 to the 64."""
-    if len(_powers[0]) < n:
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for i, b in enumerate((_BASE, inverse)):
-            steps = np.full(n, b, dtype=np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps)
-    return _powers[0][:n], _powers[1][:n]
-
-
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of each word of a byte array: runs without ASCII white space, A-Z lower-cased."""
     gap = _SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True])).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
-    lower = np.where((data >= 65) & (data <= 90), data + 32, data)
-    up, down = powers(len(data) + 1)
-    total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_BYTE[lower] * down[:-1])))
-    return start, mixed((total[end] - total[start]) * up[end] + (end - start).astype(np.uint64))
+    lower = np.concatenate((_LOWER[data], np.zeros(8, dtype=np.uint8)))
+    eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=lower, strides=(1,))  # the eight bytes from each place on
+    length = end - start
+    h = length.astype(np.uint64) * _NEXT
+    for k in range(0, min(int(length.max(initial=0)), SHORT_WORD), 8):
+        left = np.flatnonzero(length > k)
+        h[left] = mixed(h[left] ^ (eight[start[left] + k] & _MASK[np.minimum(length[left] - k, 8)]))
+    for i in np.flatnonzero(length > SHORT_WORD):
+        h[i] = xxhash.xxh3_64_intdigest(lower[start[i] : end[i]].tobytes())
+    return start, h
 
 
 def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
