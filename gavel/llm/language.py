@@ -7,13 +7,13 @@ white space, so words are scored once a batch however often they occur, for all
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +27,14 @@ ROUNDS, EVEN = 3, 1e-3
 UNKNOWN = -16.0
 #: Characters of a token that are learned from together, and what is read on both sides of them.
 SPAN, CONTEXT = 512, 64
+#: Least characters of a part of a word that is scored in parts; words of twice as many are.
+LONG_WORD = 64
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: Distinct words kept in a worker before it starts anew; cells of a matrix of words.
-KEPT_WORDS, CELLS = 300_000, 400_000
+KEPT_WORDS, CELLS = 150_000, 400_000
+#: Characters of texts that are scored together.
+BLOCK = 1_000_000
 
 
 @lru_cache(maxsize=2)
@@ -120,10 +124,36 @@ def _rolled(index: Pieces, codes: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _parts(index: Pieces, word: str) -> list[str]:
+    """Word in parts of LONG_WORD characters or more, cut where no piece of the vocabulary lies across.
+
+    Every segmentation has these cuts, so the word's sum is the product of the parts' sums.
+    """
+    codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)[None, :] + np.uint64(1)
+    across = np.zeros(len(word) + 1, dtype=np.int64)
+    for n, found in enumerate(_rolled(index, codes), 1):
+        start = np.flatnonzero(found[0])
+        np.add.at(across, start + 1, 1)
+        np.add.at(across, start + n, -1)
+    cuts = [0]
+    for c in np.flatnonzero(np.cumsum(across)[: len(word)] == 0).tolist():
+        if c - cuts[-1] >= LONG_WORD:
+            cuts.append(c)
+    return [word[a:b] for a, b in zip(cuts, [*cuts[1:], len(word)], strict=True)]
+
+
 def word_scores(index: Pieces, table: np.ndarray, words: list[str]) -> np.ndarray:
     """Log-likelihood of each word in each language: a row a word, a column a language."""
+    marked = [[MARK + w] if len(w) < 2 * LONG_WORD else _parts(index, MARK + w) for w in words]
+    scores, out = _scores(index, table, [p for parts in marked for p in parts]), np.zeros((len(words), table.shape[1]))
+    np.add.at(out, np.repeat(np.arange(len(words)), [len(parts) for parts in marked]), scores)
+    return out
+
+
+def _scores(index: Pieces, table: np.ndarray, words: list[str]) -> np.ndarray:
+    """Log-likelihoods of strings as they are, by the forward algorithm."""
     out, unknown = np.zeros((len(words), table.shape[1])), np.exp(UNKNOWN)
-    for at, codes, lengths in _matrices(words):
+    for at, codes, lengths in _matrices(words, ""):
         found, wide = _rolled(index, codes), codes.shape[1]
         alpha, scale = [np.ones((len(at), table.shape[1]))], np.zeros(len(at))
         for j in range(1, wide + 1):
@@ -259,7 +289,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs and lang_pred, score: the likeliest learned language and its posterior under even priors.
 
     `und` and 0 if the text is null or has no letter, or nothing was learned. Of equal languages the first by code
-    point wins. Every word of the text counts. Columns of these names in docs are replaced.
+    point wins. Every word of the text counts, whatever its length. Columns of these names in docs are replaced; repeated
+    rows are judged each by itself, and alike.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # pieces times languages, fixed by the vocabulary
 
@@ -319,7 +350,7 @@ class Scorer:
         block: list[tuple[int, str]] = []
         size = 0
         for i, t in [*todo, (-1, "")]:
-            if i < 0 or size > 4_000_000:
+            if i < 0 or size > BLOCK:
                 totals = self._totals([x for _, x in block])
                 best = totals.argmax(axis=1)
                 share = 1.0 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1) if len(block) else []
