@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -14,25 +16,46 @@ from pyspark.sql import functions as F
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value
 
+#: What the pattern's \s stands for, and the length of a run of it that the pattern is kept from: it recurses there.
+SPACE, LONG_RUN = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000", 1000
+_LONG = re.compile(f"[{SPACE}]{{{LONG_RUN},}}")
+
 
 @lru_cache(maxsize=2)
-def encoding(path: str):
-    """The tokenizer of a file of ranks, once a process."""
+def encoding(lines: bytes):
+    """The tokenizer of the lines of a file of ranks, once a process."""
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines())}
+    return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def token_count(encoder, text: str) -> int:
+    """Number of tokens of text, as the pattern cuts it.
+
+    Of white space before other text the pattern takes all but the last character as one piece, and all of it at the
+    end of a text; long runs are cut out as that piece, so that texts of any length can be encoded.
+    """
+    at = n = 0
+    for run in _LONG.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        n += len(encoder.encode_ordinary(text[at : run.start()])) + len(encoder._encode_single_piece(text[run.start() : stop].encode()))
+        at = stop
+    return n + len(encoder.encode_ordinary(text[at:]))
 
 
 def encoded_length(text: Column, path: str = RANKS) -> Column:
-    """Number of tokens of the whole text; 0 for null and empty texts. Special tokens' strings are ordinary text."""
+    """Number of tokens of the whole text; 0 for null and empty texts. Special tokens' strings are ordinary text.
+
+    Texts may be of any length, also a single run of white space or letters; equal texts count once each.
+    """
+    lines = Path(path).read_bytes()  # in the driver: executors need no file
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = encoding(path).encode_ordinary
+        encoder = encoding(lines)
         for texts in batches:
-            yield pd.Series([len(encode(t)) if t else 0 for t in texts], dtype="int64")
+            yield pd.Series([token_count(encoder, t) if t else 0 for t in texts], dtype="int64")
 
     return count(text)
 

@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -304,7 +305,7 @@ def test_forward_sums_all_segmentations():
 
 
 def test_tokens(docs, rows, empty):
-    encode = tokens.encoding(tokens.RANKS).encode_ordinary
+    encode = tokens.encoding(Path(tokens.RANKS).read_bytes()).encode_ordinary
     lengths = [len(encode(t or "")) for _, t, *_ in rows]
     table = {r["n_tokens"]: r for r in tokens.context_limits(tokens.length_histogram(docs)).collect()}
     assert {n: r["n_docs"] for n, r in table.items()} == Counter(lengths)
