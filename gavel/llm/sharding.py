@@ -37,6 +37,8 @@ def prefix_sums(df: DataFrame, key: str, ties: list[Column], measures: dict[str,
     cuts = df.agg(F.percentile_approx(F.col(key).cast("long"), probes, 20 * fan * fan).alias("c")).head()["c"] or []
     base = df.withColumn("__bucket", _bucket(F.col(key).cast("long"), sorted(set(cuts)), fan))
     base = reduce(lambda d, m: d.withColumn(f"__own_{m[0]}", m[1]), measures.items(), base)
+    named = [f"__tie_{i}" for i in range(len(ties))]
+    base = reduce(lambda d, t: d.withColumn(*t), zip(named, ties, strict=True), base)  # before rows move, so that what ties are made of need not
     totals = base.groupBy("__bucket").agg(*(F.sum(f"__own_{m}").alias(f"__sum_{m}") for m in measures))
     earlier, every = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     offsets = totals.select(
@@ -44,10 +46,10 @@ def prefix_sums(df: DataFrame, key: str, ties: list[Column], measures: dict[str,
         *(F.coalesce(F.sum(f"__sum_{m}").over(earlier), F.lit(0)).alias(f"__off_{m}") for m in measures),
         *(F.sum(f"__sum_{m}").over(every).alias(f"__all_{m}") for m in measures),
     )
-    within = Window.partitionBy("__bucket").orderBy(F.col(key).asc_nulls_first(), *ties).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("__bucket").orderBy(F.col(key).asc_nulls_first(), *named).rowsBetween(Window.unboundedPreceding, 0)
     joined = base.join(F.broadcast(offsets), F.col("__bucket") == F.col("__at"))  # at most `buckets` rows
     out = reduce(lambda d, m: d.withColumn(f"__before_{m}", F.col(f"__off_{m}") + F.sum(f"__own_{m}").over(within) - F.col(f"__own_{m}")), measures, joined)
-    return out.drop("__bucket", "__at", *(f"__{x}_{m}" for x in ("own", "off") for m in measures))
+    return out.drop("__bucket", "__at", *named, *(f"__{x}_{m}" for x in ("own", "off") for m in measures))
 
 
 def assign_shards(df: DataFrame, shards: int, size: Column, key: str = "doc_id", ties: list[Column] | None = None, buckets: int = BUCKETS) -> DataFrame:
