@@ -5,10 +5,12 @@ from gavel.llm.mixing import SLOTS
 LINE_DEDUP = r"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS line FROM split),
-counted AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k FROM lines WHERE NOT regexp_full_match(line, '[\x09-\x0D\x20]*')),
-wide AS (SELECT doc_id, k, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS content FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
-first AS (SELECT doc_id, k, first_value(doc_id) OVER f AS fd, first_value(k) OVER f AS fk FROM wide WHERE content IS NOT NULL WINDOW f AS (PARTITION BY content ORDER BY doc_id, k)),
-gone AS (SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = fd THEN greatest(k, fk + 3) ELSE k END, k + 3)) AS k FROM first WHERE NOT (doc_id = fd AND k = fk)),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^\x09-\x0D\x20]+')) AS words, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k FROM lines WHERE NOT regexp_full_match(line, '[\x09-\x0D\x20]*')),
+ahead AS (SELECT doc_id, k, words, line, lead(words, 1) OVER w AS w1, lead(line, 1) OVER w AS l1, lead(line, 2) OVER w AS l2 FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+sized AS (SELECT *, CASE WHEN words >= 50 THEN 1 WHEN words + w1 >= 50 THEN 2 ELSE 3 END AS m FROM ahead),
+wide AS (SELECT doc_id, k, m, CASE m WHEN 1 THEN line WHEN 2 THEN line || chr(10) || l1 ELSE line || chr(10) || l1 || chr(10) || l2 END AS content FROM sized),
+first AS (SELECT doc_id, k, m, first_value(doc_id) OVER f AS fd, first_value(k) OVER f AS fk FROM wide WHERE content IS NOT NULL WINDOW f AS (PARTITION BY content ORDER BY doc_id, k)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = fd THEN greatest(k, fk + m) ELSE k END, k + m)) AS k FROM first WHERE NOT (doc_id = fd AND k = fk)),
 runs AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE last IS NULL OR last < k - 1) AS n_runs FROM (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS last FROM gone) GROUP BY 1),
 kept AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text FROM lines l LEFT JOIN counted c USING (doc_id, i) LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.k = c.k WHERE g.k IS NULL GROUP BY 1)
 SELECT d.doc_id, (SELECT count(*) FROM counted c WHERE c.doc_id = d.doc_id) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs, sha256(coalesce(kept.text, '')) AS kept_sha256

@@ -7,7 +7,7 @@ Sorting. The segments of an anchor meet in one shard, whose suffixes are sorted
 induced sorting (gavel.llm.suffixes); a start whose prefix with a neighbour has LENGTH bytes repeats.
 Segments travel once, as four numbers each, to the task of their anchor, where sorted runs tell what repeats. Only the
 different segments of an anchor need their bytes; a second pass cuts them again and takes those whose anchor is in a
-bitmap of fixed size, which is broadcast, for texts cost more to move than to cut.
+bitmap of bounded size, which is broadcast, for texts cost more to move than to cut.
 An anchor with more than HOT different segments is not sorted in one shard: each string of LENGTH bytes in its segments
 goes by a hash of 128 bits to the task of its equals, so that shards are bounded by SHARD_BYTES and HOT segments.
 """
@@ -17,22 +17,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gavel.llm import bitmaps
 from gavel.llm.shingles import blocks, mixed
 from gavel.llm.storage import materialise
 from gavel.llm.suffixes import suffix_array
 
 #: Bytes that count as a repeat; bytes that are hashed for an anchor.
 LENGTH, ANCHOR = 200, 64
-#: Bits of the bitmap of anchors that is broadcast (8 MB), and of each of its parts.
-BITS, PART_BITS = 26, 16
 #: Bytes of segments that are sorted together, unless one anchor has more.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 21
 #: Most different segments of one anchor that are sorted together.
 HOT = 4096
 #: Contents that a task remembers to have sent before it starts anew.
@@ -90,31 +88,6 @@ def segments(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) ->
         yield {"text": doc + first, "lo": lo - bounds[doc], "hi": hi - bounds[doc], "at": at - bounds[doc], "key": grams[at].view(np.int64), "content": content.view(np.int64)}
 
 
-def _slot(keys: np.ndarray) -> np.ndarray:
-    return (keys.view(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
-
-
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """Bits of the keys (column key) by their top BITS bits: a superset of them, of fixed size."""
-    slot = F.shiftrightunsigned("key", 64 - BITS)
-    spread = keys.select(F.shiftright(slot, PART_BITS).cast("int").alias("part"), slot.bitwiseAND((1 << PART_BITS) - 1).cast("int").alias("bit"))
-
-    def pack(one: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(1 << PART_BITS, dtype=bool)
-        bits[one["bit"].to_numpy()] = True
-        return pd.DataFrame({"part": [int(one["part"].iloc[0])], "bits": [np.packbits(bits).tobytes()]})
-
-    out = np.zeros((1 << (BITS - PART_BITS), (1 << PART_BITS) // 8), dtype=np.uint8)
-    for r in spread.distinct().groupBy("part").applyInPandas(pack, "part int, bits binary").collect():
-        out[r["part"]] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out.ravel()
-
-
-def _among(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = _slot(keys)
-    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
-
-
 def _row() -> Column:
     """64 bits that stand for a row's id and text; rows that agree in both lose the same bytes."""
     return F.xxhash64("doc_id", "text").alias("row")
@@ -232,7 +205,8 @@ def _settled(found: DataFrame, hot: int = HOT) -> DataFrame:
 def _bodies(docs: DataFrame, bits, length: int, anchor: int, hot, of_hot: bool = False) -> DataFrame:
     """key, content, starts, body: segments whose anchor is in the bitmap, with their bytes; equal ones of a task mostly once.
 
-    hot: the sorted keys of hot anchors, broadcast. Only their segments are returned if of_hot is set, else all others.
+    hot: a bitmap of the keys of hot anchors, broadcast, or None. Only segments of keys in it are returned if of_hot
+    is set, else all others; either way is right for any key.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,10 +215,9 @@ def _bodies(docs: DataFrame, bits, length: int, anchor: int, hot, of_hot: bool =
             for batch in _sliced(batches):
                 texts = _bytes(batch.column(0))
                 for s in segments(texts, length, anchor):
-                    keep = np.flatnonzero(_among(bits.value, s["key"]))
-                    if len(hot.value):
-                        found = hot.value[np.minimum(np.searchsorted(hot.value, s["key"][keep]), len(hot.value) - 1)] == s["key"][keep]
-                        keep = keep[found == of_hot]
+                    keep = np.flatnonzero(bitmaps.among(bits.value, s["key"]))
+                    if hot is not None:
+                        keep = keep[bitmaps.among(hot.value, s["key"][keep]) == of_hot]
                     keep = keep[np.unique(s["content"][keep], return_index=True)[1]]
                     keep = keep[[c not in sent for c in s["content"][keep].tolist()]] if len(keep) else keep
                     sent = set() if len(sent) > SENT else sent
@@ -337,12 +310,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     """row, first, last: bytes to remove (last exclusive), overlapping."""
     settled = materialise(_settled(_segments(docs, length, anchor), hot), "repeat-segments")
     single = settled.filter("kind = 1")
-    context = docs.sparkSession.sparkContext
-    bits = context.broadcast(bitmap(single.select("key").distinct()))
-    # fewer than one in `hot` segments is the key of a hot anchor
-    keys = context.broadcast(np.sort(np.array([r["key"] for r in settled.filter("kind = 2").select("key").distinct().collect()], dtype=np.int64)))
+    ship = lambda keys, n: docs.sparkSession.sparkContext.broadcast(bitmaps.build(keys, bitmaps.bits_for(n)))
+    anchors, many = single.select("key").distinct(), settled.filter("kind = 2").select("key").distinct()
+    bits, n_hot = ship(anchors, anchors.count()), many.count()
+    keys = ship(many, n_hot) if n_hot else None
     partial = materialise(_sorted_shards(_bodies(docs, bits, length, anchor, keys), length), "repeat-starts")
-    if len(keys.value):
+    if n_hot:
         partial = partial.unionAll(materialise(_matched(_bodies(docs, bits, length, anchor, keys, of_hot=True), length), "repeat-hot-starts"))
     lo, hi = F.shiftrightunsigned("span", 32), F.col("span").bitwiseAND(0xFFFFFFFF)
     whole = settled.filter("kind = 0").select("row", lo.alias("first"), (hi + length).alias("last"))

@@ -181,7 +181,7 @@ def suffix_array(t: np.ndarray, limit: int = IN_MEMORY, symbols: int = SYMBOLS)
     small, runs = _types(t), _runs(t)
     star = np.flatnonzero(small & np.concatenate(([False], ~small[:-1])))
     zeros = np.zeros(len(star), dtype=np.int64)
-    rough = star[np.argsort(t[star], kind="stable")]
+    rough = star[np.argsort(t[star].astype(np.uint16), kind="stable")]
     order = _induce(t, small, runs, rough, zeros, limit)[0]  # sorts the pieces from one star to the next
     is_star = np.zeros(n, dtype=bool)
     is_star[star] = True

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from gavel.llm import repeats
+from gavel.llm import bitmaps, repeats
 
 HOT = 20
 
@@ -39,9 +39,10 @@ def test_shards_are_bounded(spark):
     docs = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
     settled = repeats._settled(repeats._segments(docs, 200, 64), HOT)
     hot = sorted({r["key"] for r in settled.filter("kind = 2").collect()})
-    every = np.full(1 << repeats.BITS - 3, 255, dtype=np.uint8)
+    every = np.full(1 << 13, 255, dtype=np.uint8)
     context = spark.sparkContext
-    bodies = lambda keys, **o: repeats._bodies(docs, context.broadcast(every), 200, 64, context.broadcast(np.array(keys, dtype=np.int64)), **o)
+    marked = lambda keys: context.broadcast(bitmaps.build(spark.createDataFrame([(k,) for k in keys], "key long"), 28))
+    bodies = lambda keys, **o: repeats._bodies(docs, context.broadcast(every), 200, 64, marked(keys) if keys else None, **o)
     most = lambda frame: frame.groupBy("key").agg(F.countDistinct("content").alias("n")).agg(F.max("n")).head()[0]
     assert hot and most(bodies([])) > HOT  # all of these once went to one shard
     assert most(bodies(hot)) <= HOT
