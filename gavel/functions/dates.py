@@ -38,38 +38,45 @@ _FR, _FR_NAMES = _named(MONTHS_FR)
 _NL, _NL_NAMES = _named(MONTHS_NL)
 _URL, _URL_NAMES = _named(MONTHS_URL)
 
-#: Rule sets by what they read; patterns avoid look-around, so that other engines can run them too.
+_ANY = r"([a-zéûèêô]{3,9})"
+
+# fixed values: the patterns by what they read, in the order in which they are tried
 RULES: dict[str, tuple[Rule, ...]] = {
     "cms_path": (
-        Rule(r"(?:^|[^0-9])(20\d{2})(\d{2})(\d{2})(?:[^0-9]|$)", "YMD"),
-        Rule(r"(20\d{2})\.(\d{2})\.(\d{2})", "YMD"),
-        Rule(r"(?:^|[^0-9])(\d{1,2})\.(\d{1,2})\.(20\d{2})", "DMY"),
-        Rule(r"(20\d{2})-(\d{2})-(\d{2})", "YMD"),
-        Rule(r"-(\d{2})(\d{2})(20\d{2})-", "DMY"),
-        Rule(r"/uploads/(20\d{2})/(\d{2})/", "YM"),
-        Rule(r"-(\d{2})-(\d{2})-(\d{2})(?:-en-pdf)?(?:\.pdf)?$", "DMy"),
-        Rule(r"-(\d{2})-(\d{2})-(20\d{2})", "DMY"),
-        Rule(rf"(?i)/seances-(20\d{{2}})/(\d{{1,2}})(?:er)?-({_FR})\.pdf", "YDN", _FR_NAMES),
+        Rule(r"(?<!\d)(20\d{2})(0[1-9]|1[0-2])([0-2]\d|3[01])(?!\d)", "YMD"),
+        Rule(r"(?<!\d)(20\d{2})\.(\d{2})\.(\d{2})(?!\d)", "YMD"),
+        Rule(r"(\d{1,2})\.(\d{1,2})\.(20\d{2})(?!\d)", "DMY"),
+        Rule(r"(20\d{2})-(\d{2})-(\d{2})(?!\d)", "YMD"),
+        Rule(r"-([0-2]\d|3[01])(0[1-9]|1[0-2])(20\d{2})-", "DMY"),
+        Rule(r"/wp-content/uploads/(20\d{2})/(\d{2})/", "YM"),
+        Rule(r"(?i)-(\d{2})-(\d{2})-(\d{2})(?:-en-pdf)?\.pdf$", "DMy"),
+        Rule(r"-(\d{2})-(\d{2})-(20\d{2})(?!\d)", "DMY"),
+        Rule(rf"(?iu)/seances-(20\d{{2}})/(?:.*/)?(\d{{1,2}})[a-z]*[-_]{_ANY}\.pdf$", "YDN", _FR_NAMES),
         Rule(r"/seances-(20\d{2})/", "Y"),
-        Rule(rf"(?i)[-_](\d{{1,2}})-({_FR})-(20\d{{2}})", "DNY", _FR_NAMES),
-        Rule(rf"(?i)/(\d{{1,2}})-({_FR})-(20\d{{2}})/", "DNY", _FR_NAMES),
-        Rule(r"(\d{2})(\d{2})(20\d{2})\.[A-Za-z]+$", "DMY"),
-        Rule(r"(?:^|[^0-9])(\d{2})\.(\d{2})\.(\d{2})(?:[^0-9]|$)", "yMD"),
+        Rule(rf"(?iu)[_-](\d{{1,2}})-{_ANY}-(20\d{{2}})(?=[^a-z]|$)", "DNY", _FR_NAMES),
+        Rule(r"(?iu)/(\d{1,2})-([a-zéûèêô]+)-(20\d{2})/", "DNY", _FR_NAMES),
+        Rule(r"(?i)[^0-9](\d{2})(0[1-9]|1[0-2])(20\d{2})\.[a-z]{2,4}$", "DMY"),
+        Rule(r"(?<!\d)(\d{2})\.(\d{2})\.(\d{2})(?!\d)", "yMD"),
     ),
     "link_text": (
         Rule(r"(\d{1,2})/(\d{1,2})/(\d{4})", "DMY"),
-        Rule(r"(\d{1,2})/(\d{1,2})/(\d{2})(?:[^0-9]|$)", "DMy"),
-        Rule(r"(\d{1,2})\.(\d{1,2})\.(20\d{2})", "DMY"),
-        Rule(r"(20\d{2})-(\d{2})-(\d{2})", "YMD"),
-        Rule(rf"(?i)(\d{{1,2}})\s+({_FR})\s+(20\d{{2}})", "DNY", _FR_NAMES),
+        Rule(r"(\d{1,2})/(\d{1,2})/(\d{2})(?!\d{2})", "DMy"),
+        Rule(r"(\d{1,2})\.(\d{1,2})\.(20\d{2})(?!\d)", "DMY"),
+        Rule(r"(20\d{2})-(\d{2})-(\d{2})(?!\d)", "YMD"),
+        Rule(rf"(?iu)(\d{{1,2}})\s+{_ANY}\.?\s+(20\d{{2}})(?!\d)", "DNY", _FR_NAMES),
+    ),
+    "folder_path": (
+        Rule(r"/(20\d{2})-(\d{2})/", "YM"),
+        Rule(r"(20\d{2})-(0[1-9]|1[0-2])-([0-2]\d|3[01])(?!\d)", "YMD"),
+        Rule(r"(20\d{2})_(0[1-9]|1[0-2])_([0-2]\d|3[01])(?!\d)", "YMD"),
+        Rule(r"(?<!\d)(20\d{2})(0[1-9]|1[0-2])([0-2]\d|3[01])(?!\d)", "YMD"),
     ),
-    "folder_path": (Rule(r"/(20\d{2})-(\d{2})/", "YM"), Rule(r"(20\d{2})-(\d{2})-(\d{2})", "YMD"), Rule(r"(20\d{2})_(\d{2})_(\d{2})", "YMD"), Rule(r"(20\d{2})(\d{2})(\d{2})", "YMD")),
     "file_stem": (
-        Rule(r"[._ -](\d{2})[._ -](\d{2})[._ -](20\d{2})", "DMY"),
-        Rule(r"(20\d{2})[._ -](\d{2})[._ -](\d{2})", "YMD"),
-        Rule(r"(?:^|[^0-9])(\d{2})[._ -](\d{2})[._ -](\d{2})(?:[^0-9]|$)", "yMD"),
-        Rule(r"(?:^|[^0-9])(20\d{2})(\d{2})(\d{2})(?:[^0-9]|$)", "YMD"),
-        Rule(r"(?:^|[^0-9])(\d{2})(\d{2})(20\d{2})(?:[^0-9]|$)", "DMY"),
+        Rule(r"[._-](\d{2})[._-](\d{2})[._-](20\d{2})(?!\d)", "DMY"),
+        Rule(r"(20\d{2})[._-](\d{2})[._-](\d{2})(?!\d)", "YMD"),
+        Rule(r"(\d{2})[._-](\d{2})[._-](\d{2})(?!\d)", "yMD"),
+        Rule(r"^\D*(?:\d{1,7}\D+)*(\d{4})(\d{2})(\d{2})", "YMD"),
+        Rule(r"^\D*(?:\d{1,7}\D+)*(\d{2})(\d{2})(\d{4})", "DMY"),
     ),
     "french_text": (Rule(rf"(?i)(\d{{1,2}})\s+({_FR})\s+(20\d{{2}})", "DNY", _FR_NAMES),),
     "dutch_heading": (Rule(rf"(?i)^\s*(\d{{1,2}})\s+({_NL})\s+(\d{{4}})", "DNY", _NL_NAMES), Rule(r"(\d{2})-(\d{2})-(\d{4})", "DMY")),
@@ -89,11 +96,11 @@ def _by_rule(text: Column, rule: Rule) -> Column:
     part = {k: F.regexp_extract(text, rule.pattern, i) for i, k in enumerate(rule.groups, 1)}
     year = part["Y"] if "Y" in part else F.concat(F.lit("20"), part["y"])
     if "N" in part:
-        month = F.element_at(F.create_map(*(F.lit(x) for pair in rule.names for x in (pair[0], f"{pair[1]:02d}"))), F.lower(part["N"]))
+        month = F.try_element_at(F.create_map(*(F.lit(x) for pair in rule.names for x in (pair[0], f"{pair[1]:02d}"))), F.lower(part["N"]))  # null for a word that is no month
     else:
         month = F.lpad(part["M"], 2, "0") if "M" in part else F.lit("01")
     day = F.lpad(part["D"], 2, "0") if "D" in part else F.lit("01")
-    return F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-MM-dd")
+    return F.try_to_date(F.concat(year, F.lit("-"), month, F.lit("-"), day), "yyyy-MM-dd")
 
 
 def parsed(text: Column, rules: str) -> Column:
@@ -105,7 +112,7 @@ def du_with_fallback(text: Column, year: Column) -> Column:
     """french_du, and between its rules "du D month" of the fallback year."""
     bare = Rule(rf"(?i)du\s+(\d{{1,2}})\s+({_FR})", "DN", _FR_NAMES)
     day, name = F.lpad(F.regexp_extract(text, bare.pattern, 1), 2, "0"), F.lower(F.regexp_extract(text, bare.pattern, 2))
-    month = F.element_at(F.create_map(*(F.lit(x) for pair in _FR_NAMES for x in (pair[0], f"{pair[1]:02d}"))), name)
+    month = F.try_element_at(F.create_map(*(F.lit(x) for pair in _FR_NAMES for x in (pair[0], f"{pair[1]:02d}"))), name)
     guess = F.when(text.rlike(bare.pattern), F.try_to_date(F.concat_ws("-", year.cast("string"), month, day), "yyyy-MM-dd"))
     first, last = RULES["french_du"]
     return F.coalesce(F.when(text.rlike(first.pattern), _by_rule(text, first)), guess, F.when(text.rlike(last.pattern), _by_rule(text, last)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,8 +82,8 @@ def organ_two_way(name: Column, term: Column) -> Column:
 
 
 def organ_word(name: Column, term: str) -> Column:
-    """Term as a whole word, bounded by start, white space or end."""
-    return name.rlike(rf"(?i)(^|\s){term}(\s|$)")
+    """Term, taken literally, as a whole word, bounded by start, white space or end."""
+    return name.rlike(rf"(?i)(^|\s){re.escape(term)}(\s|$)")
 
 
 def organ_code(code: Column, term: str) -> Column:

@@ -24,10 +24,11 @@ def nfkc(value: Column) -> Column:
     return compose(value)
 
 
-def sanitise(name: Column, longest: int = 180, unicode: bool = False) -> Column:
+def sanitise(name: Column, longest: int = 180, unicode: bool = True) -> Column:
     """A name that any file system takes: no separators, control characters, reserved stems or leading dots.
 
-    Empty or null gives `document`. Too long names keep a short extension. unicode: compose characters first.
+    Empty or null gives `document`. Too long names keep a short extension. Characters are composed first, unless
+    unicode is off, which keeps names in ASCII in the JVM.
     """
     value = F.coalesce(nfkc(name) if unicode else name, F.lit(""))
     value = F.regexp_replace(value, r"\.{2,}", "_")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: White space that is trimmed.
+BLANK = " \t\n\r\x0b\x0c"
 _ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)"
 
 
 def is_valid(url: Column, trimmed: bool = True) -> Column:
     """http or https with a host; null is not. Some sources do not trim first."""
-    value = F.trim(url) if trimmed else url
+    value = F.btrim(url, F.lit(BLANK)) if trimmed else url
     return F.coalesce(value.rlike(r"^(?i:https?)://[^/?#]+"), F.lit(False))
 
 
@@ -21,7 +23,7 @@ def host(url: Column) -> Column:
 
 def origin(url: Column) -> Column:
     """scheme://authority; empty unless the URL is valid."""
-    value = F.trim(url)
+    value = F.btrim(url, F.lit(BLANK))
     return F.when(is_valid(url), F.concat(F.lower(F.regexp_extract(value, _ORIGIN, 1)), F.lit("://"), F.regexp_extract(value, _ORIGIN, 2))).otherwise("")
 
 

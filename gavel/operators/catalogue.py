@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavel.functions import urls
@@ -72,7 +72,7 @@ TYPES = [
 
 def _test(kind: str, args: list, url: Column, lower: Column) -> Column:
     if kind == "empty":
-        return F.trim(lower) == ""
+        return F.btrim(lower, F.lit(urls.BLANK)) == ""
     if kind == "any":
         return F.greatest(F.lit(False), *(lower.contains(a) for a in args))
     if kind == "all":
@@ -80,7 +80,7 @@ def _test(kind: str, args: list, url: Column, lower: Column) -> Column:
     if kind == "pattern":
         return lower.rlike(args[0])
     if kind == "id":
-        return F.regexp_extract(lower, args[0], 1).isin([str(i) for i in args[1]])
+        return F.coalesce(F.regexp_extract(lower, args[0], 1).try_cast("int").isin([int(i) for i in args[1]]), F.lit(False))
     return urls.host(url).isin(*args)
 
 
@@ -117,8 +117,14 @@ def numbered(spark: SparkSession, path: str) -> DataFrame:
 
 
 def audit(rows: DataFrame, key: str, url: str, order: str) -> DataFrame:
-    """rows with `problems`: earlier row of the same key or URL, then the first of: no URL, bad syntax, no handler."""
-    same = lambda c: F.first(order).over(Window.partitionBy(c).orderBy(order))
-    twice = lambda c, what: F.when((F.col(c) != "") & (same(c) < F.col(order)), F.concat(F.lit(f"{what} of row "), same(c).cast("string")))
-    structure = F.when(F.trim(url) == "", "no URL").when(~urls.is_valid(F.col(url)), "bad syntax").when(classify(F.col(url)).isin(OTHER, "leeg"), "no handler")
-    return rows.withColumn("problems", F.array_compact(F.array(twice(key, "name"), twice(url, "URL"), structure)))
+    """rows with `problems`: earlier row of the same key or URL, then the first of: no URL, bad syntax, no handler.
+
+    The first row of a key is a minimum, so that it is found map-side first, however often the key occurs.
+    """
+    out = rows
+    for c, what in ((key, "name"), (url, "URL")):
+        first = rows.filter(F.col(c) != "").groupBy(F.col(c).alias("__c")).agg(F.min(order).alias("__first"), F.count("*").alias("__n")).filter("__n > 1")
+        twice = F.when(F.col("__first") < F.col(order), F.concat(F.lit(f"{what} of row "), F.col("__first").cast("string")))
+        out = out.join(first, F.col(c) == F.col("__c"), "left").withColumn(f"__{what}", twice).drop("__c", "__first", "__n")
+    structure = F.when(F.btrim(url, F.lit(urls.BLANK)) == "", "no URL").when(~urls.is_valid(F.col(url)), "bad syntax").when(classify(F.col(url)).isin(OTHER, "leeg"), "no handler")
+    return out.withColumn("problems", F.array_compact(F.array("__name", "__URL", structure))).drop("__name", "__URL")

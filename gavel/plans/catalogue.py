@@ -159,18 +159,18 @@ def sanitize_names(spark, sf_dir):
 
 
 @query(
-    "SELECT doc_id, CASE WHEN substr(v, 1, 60) = '' THEN 'gemeente' ELSE substr(v, 1, 60) END AS slug, substr(translate(lower(raw), ' /', '__'), 1, 30) AS folder FROM (SELECT doc_id, raw, regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(raw, '''', ''), '[ /]', '_', 'g'), '[^A-Za-z0-9_-]', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g') AS v FROM (SELECT doc_id, substr(text, 1, 80) AS raw FROM documents WHERE lang = 'en'))"
+    "SELECT doc_id, CASE WHEN substr(v, 1, 60) = '' THEN 'gemeente' ELSE substr(v, 1, 60) END AS slug, substr(translate(lower(raw), ' /', '__'), 1, 30) AS folder FROM (SELECT doc_id, raw, regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(raw, '''', ''), '[ /]', '_', 'g'), '[^A-Za-z0-9_-]', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g') AS v FROM (SELECT doc_id, text AS raw FROM documents WHERE text IS NOT NULL))"
 )
 def slugify_names(spark, sf_dir):
-    raw = F.substr("text", F.lit(1), F.lit(80))
-    return table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", names.slug(raw).alias("slug"), names.folder(raw).alias("folder"))
+    raw = F.col("text")
+    return table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", names.slug(raw).alias("slug"), names.folder(raw).alias("folder"))
 
 
 @query(
-    f"SELECT folded, count(*) AS n, count(DISTINCT word) AS spellings FROM (SELECT word, translate(translate(lower(word), '{names.MARKED}', '{names.PLAIN}'), ' -', '') AS folded FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents WHERE lang = 'fr') WHERE length(word) BETWEEN 2 AND 6) GROUP BY folded"
+    f"SELECT folded, count(*) AS n, count(DISTINCT word) AS spellings FROM (SELECT word, translate(translate(lower(word), '{names.MARKED}', '{names.PLAIN}'), ' -', '') AS folded FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)) GROUP BY folded"
 )
 def accent_fold_match(spark, sf_dir):
-    words = table(spark, sf_dir, "documents").filter("lang = 'fr'").select(F.explode(F.split("text", " ")).alias("word")).filter("length(word) BETWEEN 2 AND 6")
+    words = table(spark, sf_dir, "documents").select(F.explode(F.split("text", " ")).alias("word"))
     return words.groupBy(names.folded(F.col("word")).alias("folded")).agg(F.count("*").alias("n"), F.countDistinct("word").alias("spellings"))
 
 

@@ -37,6 +37,8 @@ def _name(table_: list[str]):
 
 #: How a date is written in each kind of path; whether the rules can read it back, and which day they give.
 PATHS = [("GR", "yyyy", "mm", "dd", "-x.pdf"), ("yyyy", ".", "mm", ".", "dd", "-PV.pdf"), ("P-", "dd", ".", "mm", ".", "yyyy", ".pdf"), ("pv-", "yyyy", "-", "mm", "-", "dd", ".pdf"), ("p-", "dd", "mm", "yyyy", "-o.pdf"), ("/wp-content/uploads/", "yyyy", "/", "mm", "/x.pdf"), ("pv-", "dd", "-", "mm", "-", "yy", ".pdf"), ("pv-", "dd", "-", "mm", "-", "yyyy", ".pdf"), ("/seances-", "yyyy", "/", "dd", "-", "name", ".pdf"), ("/seances-", "yyyy", "/autre.pdf"), ("pv-", "dd", "-", "name", "-", "yyyy", "-web.pdf"), ("/pv/", "dd", "-", "name", "-", "yyyy", "/x.pdf"), ("pvcc", "dd", "mm", "yyyy", ".pdf"), ("yy", ".", "mm", ".", "dd", "-PV.pdf"), ("verslag.pdf",)]
+#: Paths with more or fewer digits than a date, an impossible one before the right one, separators and sub-folders; the day that they give.
+ODD_PATHS = [("/x/", "yyyy", "1399-", "yyyy", "mm", "dd", ".pdf"), ("/seances-", "yyyy", "/", "dd", "_", "name", ".pdf"), ("/seances-", "yyyy", "/sub/", "dd", "-", "name", ".pdf"), ("/9", "dd", "mm", "yyyy", ".pdf"), ("/a-", "dd", ".", "mm", ".", "yyyy", "5.pdf"), ("/x-", "yyyy", "-", "mm", "-", "dd", "3.pdf"), ("/seances-", "yyyy", "/99-", "name", ".pdf"), ("/pv-", "dd", "-jour-", "yyyy", "/", "dd", "-", "name", "-", "yyyy", "/x.pdf")]
 
 
 @query(f"SELECT o_orderkey, CASE WHEN o_orderkey % 15 = 5 THEN CAST(date_trunc('month', d) AS DATE) WHEN o_orderkey % 15 = 9 THEN CAST(date_trunc('year', d) AS DATE) WHEN o_orderkey % 15 = 14 THEN NULL ELSE d END AS day FROM {ORDERS}")
@@ -45,6 +47,13 @@ def date_rules_path(spark, sf_dir):
     return rows.select("o_orderkey", dates.parsed(_made(PATHS), "cms_path").alias("day"))
 
 
+@query(f"SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN d WHEN 1 THEN d WHEN 2 THEN d WHEN 6 THEN CAST(date_trunc('year', d) AS DATE) WHEN 7 THEN d END AS day FROM {ORDERS}")
+def date_rules_path_odd(spark, sf_dir):
+    """Digit bounds and bounded parts: what looks like a date but is none gives nothing, or the next one."""
+    rows = _orders(spark, sf_dir).withColumn("name", _name(dates.FRENCH))
+    return rows.select("o_orderkey", dates.parsed(_made(ODD_PATHS), "cms_path").alias("day"))
+
+
 @query(f"SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 5 THEN CAST(date_trunc('month', d) AS DATE) ELSE d END AS day FROM {ORDERS}")
 def date_rules_text_fr(spark, sf_dir):
     rows = _orders(spark, sf_dir).withColumn("name", _name(dates.FRENCH))
@@ -67,7 +76,7 @@ def date_rules_text_nl(spark, sf_dir):
 @query(f"SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN d WHEN 1 THEN NULL ELSE CAST(date_trunc('month', d) AS DATE) END AS day FROM {ORDERS}")
 def date_rules_invalid(spark, sf_dir):
     """Impossible dates fall through to the next rule, or to none."""
-    text = _made([("x-", "yyyy", "0230-", "yyyy", ".", "mm", ".", "dd", ".pdf"), ("x-", "yyyy", "-13-45.pdf"), ("/uploads/", "yyyy", "/", "mm", "/x-", "yyyy", "0230-x.pdf")])
+    text = _made([("x-", "yyyy", "0230-", "yyyy", ".", "mm", ".", "dd", ".pdf"), ("x-", "yyyy", "-13-45.pdf"), ("/wp-content/uploads/", "yyyy", "/", "mm", "/x-", "yyyy", "0230-x.pdf")])
     return _orders(spark, sf_dir).select("o_orderkey", dates.parsed(text, "cms_path").alias("day"))
 
 

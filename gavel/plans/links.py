@@ -95,9 +95,11 @@ def html_list_items(spark, sf_dir):
     return found.select("page_id", "text")
 
 
-@query()
+@query("SELECT doc_id, CAST(1 AS BIGINT) AS row_no, replace(replace(replace(text, '&', ''), '<', ''), ' ', '|') AS cells FROM documents WHERE trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') <> '' AND NOT regexp_matches(text, '[\\x09-\\x0D\\x1C-\\x1F\\x{85}\\x{A0}]|^ | $|  ')")
 def html_rows_udtf(spark, sf_dir):
-    """Cells of tables built from the documents' lines; tests compare them with fixtures."""
-    cells = F.array_join(F.transform(F.slice(F.split("text", " "), 1, 4), lambda w: F.concat(F.lit("<td>"), w, F.lit("</td>"))), "")
-    made = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("<table><tr><th>x</th></tr><tr>"), cells, F.lit("</tr></table>")).alias("html"))
+    """Cells of tables built from the words of whole documents that have single spaces between them only."""
+    plain = table(spark, sf_dir, "documents").filter(~F.col("text").rlike(r"[\x09-\x0D\x1C-\x1F\x{85}\x{A0}]|^ | $|  ") & (F.col("text") != ""))
+    words = F.split(F.replace(F.replace("text", F.lit("&"), F.lit("")), F.lit("<"), F.lit("")), " ")
+    cells = F.array_join(F.transform(words, lambda w: F.concat(F.lit("<td>"), w, F.lit("</td>"))), "")
+    made = plain.select("doc_id", F.concat(F.lit("<table><tr><th>x</th></tr><tr>"), cells, F.lit("</tr></table>")).alias("html"))
     return html.table_rows(made, "html", ["doc_id"]).select("doc_id", "row_no", F.array_join("cells", "|").alias("cells"))

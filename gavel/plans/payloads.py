@@ -59,13 +59,13 @@ def jsonapi_join(spark, sf_dir):
     return out.select(F.col("meeting").cast("long").alias("id"), "start", F.col("ancestor").alias("organ"))
 
 
-@query("SELECT o_orderkey, '/notulen-' || strftime(o_orderdate, '%d%m%Y') || '-0' AS loc, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 20 = 0 AND CAST(o_orderdate AS DATE) >= DATE '1996-01-01'")
+@query("SELECT o_orderkey, '/notulen-' || strftime(o_orderdate, '%d%m%Y') || '-0' AS loc, CAST(o_orderdate AS DATE) AS day FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1996-01-01'")
 def sitemap_documents(spark, sf_dir):
     """Locations of a sitemap whose slugs hold dates; strict cutoff."""
     from gavel.functions import dates
 
     xml = F.concat(F.lit("<urlset><url><loc> /notulen-"), F.date_format("o_orderdate", "ddMMyyyy"), F.lit("-0 </loc></url><url><loc>/x</loc></url></urlset>"))
-    found = table(spark, sf_dir, "orders").filter("o_orderkey % 20 = 0").select("o_orderkey", F.explode(payloads.sitemap_locations(xml)).alias("loc"))
+    found = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(payloads.sitemap_locations(xml)).alias("loc"))
     found = found.withColumn("day", dates.parsed(F.regexp_replace("loc", "^/notulen-", ""), "slug"))
     return found.filter(dates.since(F.col("day"), F.lit("1996-01-01").cast("date"), False))
 
