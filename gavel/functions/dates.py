@@ -78,7 +78,8 @@ RULES: dict[str, tuple[Rule, ...]] = {
         Rule(r"^\D*(?:\d{1,7}\D+)*(\d{4})(\d{2})(\d{2})", "YMD"),
         Rule(r"^\D*(?:\d{1,7}\D+)*(\d{2})(\d{2})(\d{4})", "DMY"),
     ),
-    "french_text": (Rule(rf"(?i)(\d{{1,2}})\s+({_FR})\s+(20\d{{2}})", "DNY", _FR_NAMES),),
+    "french_text": (Rule(rf"(?iu)(\d{{1,2}})\s+({_FR})\s+(20\d{{2}})", "DNY", _FR_NAMES),),
+    "spoken_french": (Rule(rf"(?iu)(\d{{1,2}})(?:er)?\s+({_FR})\s+(\d{{4}})", "DNY", _FR_NAMES),),
     "dutch_heading": (Rule(rf"(?i)^\s*(\d{{1,2}})\s+({_NL})\s+(\d{{4}})", "DNY", _NL_NAMES), Rule(r"(\d{2})-(\d{2})-(\d{4})", "DMY")),
     "dutch_url": (Rule(r"(?:^|[^0-9])(20\d{2})(\d{2})(\d{2})(?:[^0-9]|$)", "YMD"), Rule(rf"(?i)-(\d{{1,2}})-({_URL})-(20\d{{2}})", "DNY", _URL_NAMES)),
     "dutch_title": (Rule(rf"(?i)(\d{{1,2}})\s+({_NL})\s+(\d{{4}})", "DNY", _NL_NAMES),),

@@ -53,3 +53,24 @@ def table_report(rows: DataFrame, keys: list[str], columns: list[str], order: li
 def badge(name: Column, url: Column, local: Column) -> Column:
     """Link to a document: to the local file where there is one."""
     return F.concat(F.lit('<a class="'), F.when(local.isNotNull(), "local").otherwise("external"), F.lit('" href="'), escaped(F.coalesce(local, url)), F.lit('">'), escaped(name), F.lit("</a>"))
+
+
+def card_report(rows: DataFrame, keys: list[str], group: str, day: str, order: str, name: Column, target: Column, missing: str = "Overig") -> DataFrame:
+    """One page a key: a section for each group, in the order in which groups come up, its cards by day, newest first."""
+    card = F.concat(F.lit('<div class="card"><a href="'), escaped(target), F.lit('">'), escaped(name), F.lit("</a> "), escaped(F.col(day)), F.lit("</div>"))
+    cards = F.sort_array(F.collect_list(F.struct(day, order, card.alias("__card"))), asc=False)
+    groups = rows.groupBy(*keys, F.coalesce(F.col(group), F.lit(missing)).alias("__group")).agg(F.min(order).alias("__first"), F.array_join(F.transform(cards, lambda c: c["__card"]), "").alias("__cards"))
+    section = F.concat(F.lit("<section><h2>"), escaped(F.col("__group")), F.lit("</h2>"), F.col("__cards"), F.lit("</section>"))
+    sections = F.sort_array(F.collect_list(F.struct("__first", section.alias("__section"))))
+    return groups.groupBy(*keys).agg(F.array_join(F.transform(sections, lambda s: s["__section"]), "").alias("html"))
+
+
+def entity_report(rows: DataFrame, key: str, decision: str, status: str, name: str, order: str) -> DataFrame:
+    """One page an entity: decisions with a class for their status, then counts, then publications."""
+    css = F.when(F.col(status).isin("projet", "definitif"), F.col(status)).otherwise("unknown")
+    line = F.when(F.col(decision), F.concat(F.lit('<p class="'), css, F.lit('">'), escaped(F.col(name)), F.lit("</p>"))).otherwise(F.concat(F.lit("<p>"), escaped(F.col(name)), F.lit("</p>")))
+    part = lambda own: F.sort_array(F.collect_list(F.when(own, F.struct(order, line.alias("__line")))))
+    made = rows.groupBy(key).agg(part(F.col(decision)).alias("__one"), part(~F.col(decision)).alias("__two"))
+    shown = lambda c: F.when(F.size(c) == 0, "<p>geen</p>").otherwise(F.array_join(F.transform(c, lambda x: x["__line"]), ""))
+    counts = F.concat(F.lit("<h2>"), F.size("__one").cast("string"), F.lit(" besluiten, "), F.size("__two").cast("string"), F.lit(" publicaties</h2>"))
+    return made.select(key, F.concat(F.lit("<h1>"), escaped(F.col(key).cast("string")), F.lit("</h1>"), shown("__one"), counts, shown("__two")).alias("html"))

@@ -86,6 +86,26 @@ def elements(pages: DataFrame, column: str, keys: list[str], tags: tuple[str, ..
     return _extract(pages, column, keys, "pos long, tag string, value string, text string", rows)
 
 
+def flow(pages: DataFrame, column: str, keys: list[str], tags: tuple[str, ...] = ()) -> DataFrame:
+    """pos, last, tag, attrs, text of each element (with one of the tags, if given), in document order.
+
+    last is the position of the last element inside it, so that what an element holds lies between pos and last.
+    """
+
+    def rows(text):
+        found = parsed(text)
+        last, open_ = list(range(len(found))), []
+        for i, e in enumerate(found):
+            while open_ and found[open_[-1]][3] >= e[3]:
+                last[open_.pop()] = i - 1
+            open_.append(i)
+        for i in open_:
+            last[i] = len(found) - 1
+        return ((i, last[i], e[0], e[1], e[2].strip()) for i, e in enumerate(found) if not tags or e[0] in tags)
+
+    return _extract(pages, column, keys, "pos long, last long, tag string, attrs map<string,string>, text string", rows)
+
+
 def options(pages: DataFrame, column: str, keys: list[str], select: str) -> DataFrame:
     """pos, value, label of the options of one select field; options without a value are left out."""
 
