@@ -2,9 +2,9 @@
 
 Each half of a vector has a codebook of its own; a pair of nearest centroids is the vector's cell. A query walks the
 cells in the order of the summed squared distances of their two centroids, by a heap, until the cells that it has seen
-hold enough vectors; these are reranked by the exact distance. A query's cells travel as one row for each first
-centroid, with the second centroids beside it; there it meets the entries, in parts where they are many. Of vectors that are equal only as many can be among the nearest as are asked for, so the
-others, of larger ids, stay out of the index.
+hold enough vectors; these are reranked by the exact distance. A query's cells travel as one row for each group of
+first centroids; there it meets the entries, in parts where they are many. Of vectors that are equal only as many can
+be among the nearest as are asked for, so the others, of larger ids, stay out of the index.
 """
 
 from __future__ import annotations
@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from gavel.llm.storage import materialise, smallest
 
 #: Centroids of each half; bound of the sample that they are fitted on; rounds of fitting.
-CENTROIDS, SAMPLE, ROUNDS = 64, 8192, 12
+CENTROIDS, SAMPLE, ROUNDS = 256, 8192, 12
 #: A query walks cells with this share of the entries at least, and this many. The share is high for vectors without
 #: structure (measured recalls are in the README); clustered vectors need far less.
-SEEN_SHARE, SEEN_LEAST = 0.45, 2000
-#: Entries of one first centroid that one task compares at a time, about.
-PART = 8192
+SEEN_SHARE, SEEN_LEAST = 0.3, 2000
+#: First centroids that are one group; entries of a group that one task compares at a time, about.
+GROUP, PART = 16, 8192
 
 
 @dataclass
@@ -43,6 +43,20 @@ def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     return vectors.filter(F.col(column).isNotNull() & F.coalesce(good, F.lit(False)) & F.exists(column, lambda x: x != 0))
 
 
+def comparable(vectors: DataFrame) -> DataFrame:
+    """usable() rows with an id and of the table's dimension, one an id.
+
+    Vectors of different lengths have no distance: those of the length that most have take part (the longest of
+    equally frequent ones). Of rows that repeat an id the least vector, component by component, stands for it.
+    """
+    good = usable(vectors).filter("vec_id is not null").select("vec_id", "embedding")
+    sizes = good.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
+    good = good.filter(F.size("embedding") == sizes[0]["d"]) if sizes else good
+    if good.groupBy("vec_id").count().filter("count > 1").isEmpty():
+        return good
+    return good.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+
+
 def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances of points to centres."""
     return np.maximum((points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1)[None, :], 0)
@@ -121,53 +135,56 @@ def index(vectors: DataFrame, books: Codebooks, copies: int) -> DataFrame:
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, share: float = SEEN_SHARE, least: int = SEEN_LEAST, part: int = PART, **fitting) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of vectors for each query, by Euclidean distance, ties by vec_id.
 
-    Both have vec_id (distinct) and embedding; a query is not its own candidate. Vectors that are null, zero or hold
-    null or non-finite components take no part. Distances are computed in double precision on the original vectors.
+    Both have vec_id and embedding; a query is not its own candidate, and is looked up in vectors by its id. Vectors
+    that are null, zero or hold null or non-finite components take no part, nor do those of another length than most
+    (see comparable). Distances are computed in double precision on the original vectors. Other columns are ignored.
     """
     spark = vectors.sparkSession
-    good = usable(vectors)
+    good = materialise(comparable(vectors), "ann-vectors")
     books = fit(good, **fitting)
     entries = materialise(index(good, books, k + 1), "ann-index")
     sizes = np.zeros(len(books.first) * len(books.second), dtype=np.int64)
-    for r in entries.groupBy("cell").count().collect():  # at most a row a cell
+    for r in entries.groupBy("cell").count().toLocalIterator():  # at most a row a cell
         sizes[r["cell"]] = r["count"]
     enough = max(least, int(share * sizes.sum()))
-    wide = len(books.second)
-    parts = np.maximum(1, -(-sizes.reshape(-1, wide).sum(1) // part))
+    wide = len(books.second) * GROUP  # cells of a group of first centroids
+    groups = np.add.reduceat(sizes, np.arange(0, len(sizes), wide))
+    parts = np.maximum(1, -(-groups // part))
     shared = spark.sparkContext.broadcast((books, sizes, parts))
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         books, sizes, parts = shared.value
-        half, wide = books.first.shape[1], len(books.second)
+        half = books.first.shape[1]
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                some, rows = batch.iloc[lo : lo + 256], []
+            for lo in range(0, len(batch), 64):
+                some, rows = batch.iloc[lo : lo + 64], []
                 points = np.array(some["embedding"].tolist(), dtype=np.float64).reshape(len(some), -1)
                 one, two = _nearest(points[:, :half], books.first), _nearest(points[:, half:], books.second)
                 for q, v, a, b in zip(some["vec_id"], some["embedding"], one, two, strict=True):
                     cells = np.sort(walk(a, b, sizes, enough)).astype(np.int64)
                     for own in np.split(cells, np.flatnonzero(np.diff(cells // wide)) + 1) if len(cells) else []:
                         rows += [(q, v, own[0] // wide, p, (own % wide).tolist()) for p in range(parts[own[0] // wide])]
-                yield pd.DataFrame(rows, columns=["query_id", "vector", "first", "part", "seconds"])
+                yield pd.DataFrame(rows, columns=["query_id", "vector", "group", "part", "cells"])
 
-    asked = usable(queries).select("vec_id", "embedding").mapInPandas(visit, "query_id long, vector array<double>, first int, part int, seconds array<int>")
-    held = entries.withColumn("first", F.floor(F.col("cell") / wide).cast("int"))
-    dealt = F.element_at(F.lit([int(x) for x in parts]), F.col("first") + 1)
-    held = held.withColumn("part", F.pmod(F.xxhash64("vec_id"), dealt).cast("int")).withColumn("second", F.col("cell") % wide)
+    asked = good.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").mapInPandas(visit, "query_id long, vector array<double>, group int, part int, cells array<int>")
+    held = entries.withColumn("group", F.floor(F.col("cell") / wide).cast("int")).withColumn("cell", F.col("cell") % wide)
+    dealt = F.element_at(F.lit([int(x) for x in parts]), F.col("group") + 1)
+    held = held.withColumn("part", F.pmod(F.xxhash64("vec_id"), dealt).cast("int"))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            right = right.sort_values(["second", "vec_id"])
-            ids, points, second = right["vec_id"].to_numpy(), np.array(right["embedding"].tolist(), dtype=np.float64), right["second"].to_numpy()
-            for q, v, seconds in zip(left["query_id"].to_numpy(), left["vector"], left["seconds"], strict=True):
-                at = np.flatnonzero(np.isin(second, seconds) & (ids != q))
+            ids, points, cell = right["vec_id"].to_numpy(), np.array(right["embedding"].tolist(), dtype=np.float64), right["cell"].to_numpy()
+            for q, v, cells in zip(left["query_id"].to_numpy(), left["vector"], left["cells"], strict=True):
+                walked = np.zeros(wide, dtype=bool)
+                walked[cells] = True
+                at = np.flatnonzero(walked[cell] & (ids != q))
                 d = np.sqrt(((points[at] - np.asarray(v, dtype=np.float64)) ** 2).sum(1))
                 best = _lowest(d, ids[at], k)
                 out.append(pd.DataFrame({"query_id": q, "vec_id": ids[at][best], "score": d[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    found = asked.groupBy("first", "part").cogroup(held.groupBy("first", "part")).applyInPandas(compare, "query_id long, vec_id long, score double")
+    found = asked.groupBy("group", "part").cogroup(held.groupBy("group", "part")).applyInPandas(compare, "query_id long, vec_id long, score double")
     nearest = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", nearest).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -50,4 +50,15 @@ got AS (SELECT doc_id, sum((least(hi, start + size) - greatest(lo, start)) * tim
 SELECT doc_id, source, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM laid LEFT JOIN got USING (doc_id)
 """
 
-ORACLE = {"op2_line_dedup": LINE_DEDUP, "op5_decontamination": DECONTAMINATION, "op7_mixing": MIXING}
+NEAR = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) = 1 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS s FROM w),
+n AS (SELECT w.doc_id, count(s) AS n FROM w LEFT JOIN sh USING (doc_id) GROUP BY 1),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1)
+SELECT n.doc_id, n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN least ON x = n.doc_id
+"""
+
+ORACLE = {"op2_line_dedup": LINE_DEDUP, "op5_decontamination": DECONTAMINATION, "op6_near_duplicates": NEAR, "op7_mixing": MIXING}
