@@ -17,33 +17,37 @@ SHARDS = 24
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; those without text or letters go."""
+    """Documents in which a language is found; those whose text is null, empty or has no letter go. Repeated rows stay."""
     return language.predict(docs, language.train(docs)).filter("lang_pred <> 'und'").select(*docs.columns)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies: shingles of five words, similarity of 0.8 or more."""
+    """One document of each group of copies: shingles of five words, similarity of 0.8 or more.
+
+    The smallest id of a group stays, texts without words each; of rows that repeat id and text one stays. Columns of
+    any name are kept as they are.
+    """
     return neardup.deduplicate(docs, words=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth lies in benchmark passages."""
+    """Documents of which less than a twentieth lies in benchmark passages; those without words, and repeated rows, stay."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them, a null source being one; those without words are never taken."""
     return mixing.mixed_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and slot."""
+    """Documents with their shard and slot, in order of id (nulls first) and of a hash of text and source."""
     size = (F.octet_length(F.coalesce("text", F.lit(""))) + 8).cast("long")
     return sharding.assign_shards(docs, SHARDS, size, ties=[F.xxhash64("text", "source")])
 
 
 STAGES = [("language_id", identify), ("near_dedup", deduplicate), ("decontamination", decontaminate), ("mixing", mix), ("sharding", shard)]
-#: SQL cannot express the first two stages; tests hold run() against a brute-force version.
+#: SQL cannot express the first stage; a test holds run() against plain Python, with that stage's predictions given.
 ORACLE_SQL = None
 
 
