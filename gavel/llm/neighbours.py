@@ -166,7 +166,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, share: float = S
                         rows += [(q, v, own[0] // wide, p, (own % wide).tolist()) for p in range(parts[own[0] // wide])]
                 yield pd.DataFrame(rows, columns=["query_id", "vector", "group", "part", "cells"])
 
-    asked = good.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").mapInPandas(visit, "query_id long, vector array<double>, group int, part int, cells array<int>")
+    asked = good.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").repartition(spark.sparkContext.defaultParallelism, "vec_id")  # small rows, long walks
+    asked = asked.mapInPandas(visit, "query_id long, vector array<double>, group int, part int, cells array<int>")
     held = entries.withColumn("group", F.floor(F.col("cell") / wide).cast("int")).withColumn("cell", F.col("cell") % wide)
     dealt = F.element_at(F.lit([int(x) for x in parts]), F.col("group") + 1)
     held = held.withColumn("part", F.pmod(F.xxhash64("vec_id"), dealt).cast("int"))
