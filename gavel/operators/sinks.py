@@ -1,10 +1,11 @@
-"""Sinks: what is new against a manifest, checks of bodies, JSON documents."""
+"""Sinks: what is new against a manifest, checks of bodies, the store of bodies, JSON documents."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavel.functions import filters, names, urls
@@ -48,6 +49,25 @@ def stored(documents: DataFrame, manifest: DataFrame, policy: Policy | None = No
     return joined.withColumn("error", error).withColumn("success", F.col("error").isNull()).drop("__there", "__page")
 
 
+def save_bodies(judged: DataFrame, path: str) -> None:
+    """Append the bodies of what `stored` found new and good to the store at path (Parquet: file, url, body).
+
+    Skipped rows are not written again, failed ones never. Names that meet within one batch are all kept, each with its
+    URL; `ordered.distinct_names` sets them apart. A job that fails leaves no rows.
+    """
+    judged.filter("success AND NOT skipped").select("file", "url", "body").write.mode("append").parquet(path)
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The names in the store at path, as `stored` takes them; none where there is no store yet. No body is read."""
+    try:
+        return spark.read.schema("file string").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string")
+
+
 def json_documents(rows: DataFrame, keys: list[str], into: str = "document") -> DataFrame:
     """One JSON document a key of all the other columns' rows, which sort in their own order."""
     others = [c for c in rows.columns if c not in keys]

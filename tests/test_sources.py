@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from gavel.operators import sinks
@@ -109,3 +110,26 @@ def test_write_by_entity(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "entity string, n int")
     sinks.write_by_entity(rows, str(tmp_path / "j"), ["entity"])
     assert spark.read.json(str(tmp_path / "j")).filter(F.col("entity") == "b").select("n").head()["n"] == 2
+
+
+def test_bodies_are_stored_once(spark, tmp_path):
+    schema = "url string, hint string, disposition string, content_type string, status int, body string"
+    row = lambda name, status=200, body="%PDF-1.4": (f"https://a.be/{name}", name, None, "application/pdf", status, body)
+    path = str(tmp_path / "bodies")
+    batches = [[row("a.pdf"), row("b.pdf", 404, ""), row("c.pdf", 200, "<html>")], [row("a.pdf"), row("b.pdf"), row("c.pdf", 200, None)]]
+    seen = []
+    for batch in batches:
+        judged = sinks.stored(spark.createDataFrame(batch, schema), sinks.manifest(spark, path))
+        seen.append({r["hint"]: (r["success"], r["skipped"]) for r in judged.collect()})
+        sinks.save_bodies(judged, path)
+    assert seen[0] == {"a.pdf": (True, False), "b.pdf": (False, False), "c.pdf": (False, False)}
+    assert seen[1] == {"a.pdf": (True, True), "b.pdf": (True, False), "c.pdf": (False, False)}
+    assert sorted((r["file"], r["body"]) for r in spark.read.parquet(path).collect()) == [("a.pdf", "%PDF-1.4"), ("b.pdf", "%PDF-1.4")]
+
+
+def test_paging_is_never_cut_short():
+    assert list(fetch.paged(lambda at: ([at], at < 20 * 12_000))) == list(range(0, 20 * 12_000 + 1, 20))
+    with pytest.raises(RuntimeError, match="more than 3 pages"):
+        list(fetch.paged(lambda at: ([at], True), limit=3))
+    with pytest.raises(RuntimeError, match="repeats"):
+        list(fetch.paged(lambda at: ([1, 2], True)))
