@@ -61,4 +61,29 @@ least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1)
 SELECT n.doc_id, n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN least ON x = n.doc_id
 """
 
-ORACLE = {"op2_line_dedup": LINE_DEDUP, "op5_decontamination": DECONTAMINATION, "op6_near_duplicates": NEAR, "op7_mixing": MIXING}
+# the checksum goes byte by byte through the table that the reversed polynomial gives; sums and quotients are exact
+SHARDING = r"""
+WITH poly AS (SELECT list(CAST(list_reduce(list_prepend(CAST(b AS UBIGINT), CAST(range(8) AS UBIGINT[])), lambda c, i: xor(c >> 1, (c & 1) * 3988292384)) AS UBIGINT) ORDER BY b) AS tab FROM range(256) t(b)),
+bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+cut AS (SELECT doc_id, len(h) // 2 + 8 AS size, list_transform(regexp_extract_all(h, '..'), lambda x: CAST('0x' || x AS UBIGINT)) AS bs FROM bytes),
+summed AS (SELECT doc_id, size, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), bs), lambda c, b: xor(c >> 8, tab[CAST(xor(c, b) & 255 AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) AS BIGINT) AS text_crc32 FROM cut, poly),
+laid AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) - size AS earlier, sum(size) OVER () AS every FROM summed),
+placed AS (SELECT *, CAST(least(23, (2 * earlier + size) * 24 // (2 * every)) AS INTEGER) AS shard FROM laid)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM placed
+"""
+
+# two hexadecimal digits a byte, so that strings are cut at bytes; pieces that overlap spare walking long texts
+REPEATS = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+pieces AS (SELECT doc_id, o, substr(h, 2 * o + 1, 2398) AS g FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199, 1000)) AS o FROM d WHERE len(h) >= 400)),
+starts AS (SELECT doc_id, o + q AS p, md5_number(substr(g, 2 * q + 1, 400)) AS k FROM (SELECT doc_id, o, g, unnest(range(len(g) // 2 - 199)) AS q FROM pieces)),
+again AS (SELECT doc_id, p FROM starts WHERE k IN (SELECT k FROM starts GROUP BY k HAVING count(*) > 1)),
+edges AS (SELECT *, coalesce(p > lag(p) OVER w + 200, true) AS opens FROM again WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+runs AS (SELECT doc_id, min(p) AS lo, max(p) + 200 AS hi FROM (SELECT *, count(*) FILTER (WHERE opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM edges) GROUP BY doc_id, run),
+gaps AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS last FROM runs),
+gone AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * last + 1, 2 * (lo - last)), '' ORDER BY lo) AS kept, max(hi) AS hi FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept || substr(h, 2 * hi + 1), h))) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLE = {"op2_line_dedup": LINE_DEDUP, "op3_sharding": SHARDING, "op4_repeats": REPEATS, "op5_decontamination": DECONTAMINATION, "op6_near_duplicates": NEAR, "op7_mixing": MIXING}
