@@ -1,8 +1,8 @@
 """Secret scan: fixed patterns, and two character Markov models compared by log-likelihood ratio.
 
 Both models are first-order over a small alphabet: one of random strings, one of ordinary identifiers and words,
-counted from labelled samples. A long token with letters and digits whose ratio clears the threshold is a secret that
-no pattern names. All of it is column expressions: tables and patterns are literals, nothing shuffles.
+counted from labelled samples. A long token whose ratio clears the threshold is a secret that no pattern names; tokens
+are judged whole, and where the whole is ordinary, by their parts between / and =. All of it is column expressions: tables and patterns are literals, nothing shuffles.
 """
 
 from __future__ import annotations
@@ -24,10 +24,13 @@ PATTERNS = {
 ASSIGNED = 8
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 _CLASS = "A-Za-z0-9+/_=-"
-#: A token that the models judge: 16 characters or more, a digit and a letter among them.
+#: A token that the models judge: 16 characters or more, a digit and a letter among them; a part of one, a letter in it.
 CANDIDATE = rf"(?<![{_CLASS}])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[{_CLASS}]{{16,}}"
+PART = r"(?<![A-Za-z0-9+_-])(?=[0-9+_-]*+[A-Za-z])[A-Za-z0-9+_-]{16,}"
 #: Nats by which the random model must explain a token better, in all and for each character.
 MARGIN, MARGIN_A_CHARACTER = 10.0, 0.35
+#: The same for parts without a digit, which long words resemble more.
+LETTERS_MARGIN, LETTERS_MARGIN_A_CHARACTER = 30.0, 1.0
 #: Bounds of the training sample: random strings, identifiers, documents whose words count as ordinary.
 SAMPLE_STRINGS, SAMPLE_DOCUMENTS = 6000, 1000
 
@@ -153,23 +156,28 @@ def masked(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), F.array_join(both, "")).otherwise(text)
 
 
-def scan(docs: DataFrame, table: list[float], text: str = "text", margin: float = MARGIN, each: float = MARGIN_A_CHARACTER) -> DataFrame:
+def scan(docs: DataFrame, table: list[float], text: str = "text", margin: float = MARGIN, each: float = MARGIN_A_CHARACTER, letters: float = LETTERS_MARGIN, each_letter: float = LETTERS_MARGIN_A_CHARACTER) -> DataFrame:
     """All columns of docs and `secrets`: array of (start, rank, kind, end), sorted by start, then kind as listed.
 
     Kinds: assign, access, hex (leftmost, not overlapping within a kind), markov (added by the models, apart from the
-    others). Positions are code points, ends exclusive. Null texts count as empty. Columns named secrets are replaced.
+    others; a part within a token that is listed is not listed again). Positions are code points, ends exclusive. Texts of
+    any length count whole, repeated rows each for itself. Null texts count as empty. Columns named secrets are replaced.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     own = docs.withColumn("__assign", F.filter(find(body, PATTERNS["assign"], 2), lambda s: F.length(s["part"]) >= ASSIGNED))
     own = own.withColumn("__access", find(body, PATTERNS["access"])).withColumn("__hex", find(body, PATTERNS["hex"]))
-    hides = lambda s: F.when(s.rlike(CANDIDATE), masked(masked(masked(s, PATTERNS["assign"]), PATTERNS["access"]), PATTERNS["hex"])).otherwise("")
+    hides = lambda s: F.when(s.rlike(f"[{_CLASS}]{{16}}"), masked(masked(masked(s, PATTERNS["assign"]), PATTERNS["access"]), PATTERNS["hex"])).otherwise("")
     own = own.withColumn("__rest", hides(body))
-    random = lambda s: _with(ratio(s["match"], table), lambda r: (r >= margin) & (r >= each * F.length(s["match"])))
-    own = own.withColumn("__markov", F.filter(find(F.col("__rest"), CANDIDATE), random))
+    clears = lambda s, r, m, e: (r >= m) & (r >= e * F.length(s["match"]))
+    random = lambda s: _with(ratio(s["match"], table), lambda r: F.when(s["match"].rlike("[0-9]"), clears(s, r, margin, each)).otherwise(clears(s, r, letters, each_letter)))
+    own = own.withColumn("__whole", F.filter(find(F.col("__rest"), CANDIDATE), random))
+    apart = lambda s: ~F.exists("__whole", lambda w: (w["start"] <= s["start"]) & (s["end"] <= w["end"]))
+    parts = F.filter(F.filter(find(F.col("__rest"), PART), apart), random)
+    own = own.withColumn("__markov", F.concat("__whole", parts))
     kinds = ["assign", "access", "hex", "markov"]
     named = lambda i: lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("rank"), F.lit(kinds[i]).alias("kind"), s["end"].alias("end"))
     tagged = [F.transform(f"__{k}", named(i)) for i, k in enumerate(kinds)]
-    return own.withColumn("secrets", F.array_sort(F.concat(*tagged))).drop(*(f"__{k}" for k in kinds), "__rest")
+    return own.withColumn("secrets", F.array_sort(F.concat(*tagged))).drop(*(f"__{k}" for k in kinds), "__rest", "__whole")
 
 
 def listed(spans: Column) -> Column:
