@@ -86,4 +86,58 @@ SELECT d.doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT)
 FROM d LEFT JOIN gone USING (doc_id)
 """
 
-ORACLE = {"op2_line_dedup": LINE_DEDUP, "op3_sharding": SHARDING, "op4_repeats": REPEATS, "op5_decontamination": DECONTAMINATION, "op6_near_duplicates": NEAR, "op7_mixing": MIXING}
+
+
+def _trie(start: str, name: str, levels: int) -> str:
+    """CTEs {name}0 ... (g, r, d, c) of the nodes of a trie over start (g, r, d, c: group, rank, digest, nodes of the group), and {name}p (g, r, top, path) from each leaf to the top."""
+    out = [f"{name}0 AS (SELECT g, r, d, c FROM {start})", f"{name}f0 AS (SELECT g, r, r AS q, [] :: STRUCT(l VARCHAR, r VARCHAR)[] AS path FROM {start})"]
+    for k in range(levels):
+        up = f"SELECT g, r // 8 AS r, CASE WHEN any_value(c) > 1 THEN sha256(string_agg(d, '' ORDER BY r)) ELSE any_value(d) END AS d, any_value((c + 7) // 8) AS c FROM {name}{k} GROUP BY g, r // 8"
+        run = f"SELECT g, r, c, coalesce(string_agg(d, '') OVER (PARTITION BY g, r // 8 ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lt, coalesce(string_agg(d, '') OVER (PARTITION BY g, r // 8 ORDER BY r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rt FROM {name}{k}"
+        out += [f"{name}{k + 1} AS ({up})", f"{name}f{k + 1} AS (SELECT f.g, f.r, q // 8 AS q, CASE WHEN c > 1 THEN list_append(path, {{'l': lt, 'r': rt}}) ELSE path END AS path FROM {name}f{k} f JOIN ({run}) s ON s.g = f.g AND s.r = f.q)"]
+    return ",\n".join([*out, f"{name}p AS (SELECT f.g, f.r, t.d AS top, path FROM {name}f{levels} f JOIN {name}{levels} t USING (g))"])
+
+
+def _bytes(field: str) -> str:
+    return f"coalesce(strlen(CAST({field} AS VARCHAR)) || ':' || {field}, '-')"
+
+
+# eight levels: sixteen million documents a language
+_FIELDS = [_bytes(f) for f in ("doc_id", "source", "lang", "n_chars")]
+MANIFEST = f"""
+WITH poly AS (SELECT list(CAST(list_reduce(list_prepend(CAST(b AS UBIGINT), CAST(range(8) AS UBIGINT[])), lambda c, i: xor(c >> 1, (c & 1) * 3988292384)) AS UBIGINT) ORDER BY b) AS tab FROM range(256) t(b)),
+ids AS (SELECT DISTINCT doc_id AS id, list_transform(regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'), lambda x: CAST('0x' || x AS UBIGINT)) AS bs FROM documents WHERE doc_id IS NOT NULL),
+sums AS (SELECT id, xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), bs), lambda c, b: xor(c >> 8, tab[CAST(xor(c, b) & 255 AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) % 3 = 0 AS hit FROM ids, poly),
+own AS (SELECT doc_id, coalesce('=' || lang, '') AS g, sha256(concat({", ".join(_FIELDS)}, {_bytes("text")})) AS leaf, CASE WHEN hit THEN sha256(concat({", ".join(_FIELDS)}, {_bytes("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")})) END AS presented FROM documents LEFT JOIN sums ON id = doc_id),
+leaves AS (SELECT *, leaf AS d, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY g) AS c FROM own),
+{_trie("leaves", "a", 8)},
+langs AS (SELECT DISTINCT '' AS g, ap.g AS lang, top AS d, dense_rank() OVER (ORDER BY encode(ap.g)) - 1 AS r, (SELECT count(DISTINCT g) FROM own) AS c FROM ap),
+{_trie("langs", "b", 8)},
+whole AS (SELECT l.doc_id, leaf, presented, ap.top AS subroot, bp.top AS root, list_concat(ap.path, bp.path) AS path FROM leaves l JOIN ap ON ap.g = l.g AND ap.r = l.r JOIN langs ON langs.lang = l.g JOIN bp ON bp.r = langs.r),
+folded AS (SELECT *, list_reduce(list_prepend({{'l': coalesce(presented, leaf), 'r': ''}}, path), lambda x, y: {{'l': sha256(concat(y.l, x.l, y.r)), 'r': ''}}).l AS folded_root FROM whole)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda x: x.l || x.r), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
+
+
+def _rounds(rounds: int) -> str:
+    """CTEs a0 ... (i, p, v, e, d: nearest entry and distance) and c0 ... (p, e, v) in turn."""
+    out = []
+    for k in range(rounds + 1):
+        out.append(f"a{k} AS MATERIALIZED (SELECT i, p, v, m % 16 AS e, m // 16 AS d FROM (SELECT x.i, x.p, any_value(x.v) AS v, min(list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 16 + c.e) AS m FROM parts x JOIN c{k} c ON c.p = x.p GROUP BY x.i, x.p))")
+        sums = f"SELECT p, e, j, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT p, e, unnest(v) AS x, unnest(range(len(v))) AS j FROM a{k}) GROUP BY p, e, j"
+        out.append(f"c{k + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(f.v, c.v) AS v FROM c{k} c LEFT JOIN (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM ({sums}) GROUP BY p, e) f ON f.p = c.p AND f.e = c.e)")
+    return ",\n".join(out[:-1])
+
+
+CODES = f"""
+WITH kept AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS i, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT i, p, ints[p * (len(ints) // 8) + 1 : (p + 1) * (len(ints) // 8)] AS v FROM kept, range(8) t(p)),
+c0 AS (SELECT p, i AS e, v FROM parts WHERE i < 16),
+{_rounds(6)},
+coded AS (SELECT i, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a6 GROUP BY i),
+flat AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN coded USING (i), flat
+"""
+
+ORACLE = {"op2_line_dedup": LINE_DEDUP, "op3_sharding": SHARDING, "op4_repeats": REPEATS, "op5_decontamination": DECONTAMINATION, "op6_near_duplicates": NEAR, "op7_mixing": MIXING, "op11_manifest": MANIFEST, "op12_codes": CODES}

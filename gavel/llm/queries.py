@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import decontamination, language, linedup, mixing, neardup, neighbours, repeats, secrets, sharding, tokens
+from gavel.llm import codes, decontamination, language, linedup, manifest, mixing, neardup, neighbours, repeats, secrets, sharding, tokens
 from gavel.llm.oracle import ORACLE  # noqa: F401
 from gavel.session import table
 
@@ -74,4 +76,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.context_limits(tokens.length_histogram(table(spark, sf_dir, "documents").select("text")))
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_line_dedup": op2_line_dedup, "op3_sharding": op3_sharding, "op4_repeats": op4_repeats, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op8_neighbours": op8_neighbours, "op9_language": op9_language, "op10_token_counts": op10_token_counts}
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents, folded again from rows of which a third are tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = manifest.leaf_digest([lowered if f == "text" else F.col(f) for f in fields])
+    presented = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, tampered)
+    tree = manifest.manifest(docs, fields, carry={"presented": presented})
+    tree = tree.withColumn("folded_root", manifest.fold(F.coalesce("presented", "leaf"), F.col("path")))
+    return tree.select("doc_id", "leaf", "subroot", "root", F.sha2(manifest.siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of eight parts for every vector, with their errors."""
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"), keep=("label",))
+    digest = hashlib.sha256(codes.listed(books).encode()).hexdigest()
+    out = codes.label_errors(coded)
+    return out.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+QUERIES = {"op1_secrets": op1_secrets, "op2_line_dedup": op2_line_dedup, "op3_sharding": op3_sharding, "op4_repeats": op4_repeats, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op8_neighbours": op8_neighbours, "op9_language": op9_language, "op10_token_counts": op10_token_counts, "op11_manifest": op11_manifest, "op12_codes": op12_codes}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,40 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@dataclass
+class Bucketed:
+    """A written table whose rows are dealt to `buckets` by a key."""
+
+    name: str
+    path: str
+    buckets: int
+    table: DataFrame
+
+
+def bucketed(df: DataFrame, key: str, label: str, rows: int = 0, buckets: int = 0) -> Bucketed:
+    """df as a table in the shared folder, bucketed by key: tables of equally many buckets join without a shuffle.
+
+    Either buckets of about `rows` rows are made (one for each core at least), or rows stay in the tasks that they are
+    in and `buckets` says how many buckets those have been read from.
+    """
+    spark = df.sparkSession
+    if not buckets:
+        buckets = max(spark.sparkContext.defaultParallelism, -(-df.count() // rows))
+        df = df.repartition(buckets, key)
+    name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
+    path = f"{shared_folder(spark)}/{name}"
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return Bucketed(name, path, buckets, spark.table(name))
+
+
+def discard(spark: SparkSession, *written: Bucketed | None) -> None:
+    """Delete tables that nothing reads any more."""
+    for one in filter(None, written):
+        spark.sql(f"DROP TABLE IF EXISTS {one.name}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(one.path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def smallest(df: DataFrame, hashed: Column, rows: int) -> DataFrame:
     """The rows of df with the `rows` smallest values of hashed (more at equal values), the same at every run.
 
