@@ -140,4 +140,12 @@ flat AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) A
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN coded USING (i), flat
 """
 
-ORACLE = {"op2_line_dedup": LINE_DEDUP, "op3_sharding": SHARDING, "op4_repeats": REPEATS, "op5_decontamination": DECONTAMINATION, "op6_near_duplicates": NEAR, "op7_mixing": MIXING, "op11_manifest": MANIFEST, "op12_codes": CODES}
+NEAR_VECTORS = """
+WITH RECURSIVE good AS (SELECT *, row_number() OVER () AS i, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0)),
+links AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.i <> b.i AND len(a.v) = len(b.v) AND list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.93),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.x = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN least ON least.x = vec_id
+"""
+
+ORACLE = {"op2_line_dedup": LINE_DEDUP, "op3_sharding": SHARDING, "op4_repeats": REPEATS, "op5_decontamination": DECONTAMINATION, "op6_near_duplicates": NEAR, "op7_mixing": MIXING, "op11_manifest": MANIFEST, "op12_codes": CODES, "op13_near_vectors": NEAR_VECTORS}

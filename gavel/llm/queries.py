@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import codes, decontamination, language, linedup, manifest, mixing, neardup, neighbours, repeats, secrets, sharding, tokens
+from gavel.llm import codes, decontamination, language, linedup, manifest, mixing, neardup, neighbours, repeats, secrets, sharding, tokens, vectordup
 from gavel.llm.oracle import ORACLE  # noqa: F401
 from gavel.session import table
 
@@ -96,4 +96,9 @@ def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_line_dedup": op2_line_dedup, "op3_sharding": op3_sharding, "op4_repeats": op4_repeats, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op8_neighbours": op8_neighbours, "op9_language": op9_language, "op10_token_counts": op10_token_counts, "op11_manifest": op11_manifest, "op12_codes": op12_codes}
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of the vectors of a label whose cosine is 0.93 or more."""
+    return vectordup.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+
+
+QUERIES = {"op1_secrets": op1_secrets, "op2_line_dedup": op2_line_dedup, "op3_sharding": op3_sharding, "op4_repeats": op4_repeats, "op5_decontamination": op5_decontamination, "op6_near_duplicates": op6_near_duplicates, "op7_mixing": op7_mixing, "op8_neighbours": op8_neighbours, "op9_language": op9_language, "op10_token_counts": op10_token_counts, "op11_manifest": op11_manifest, "op12_codes": op12_codes, "op13_near_vectors": op13_near_vectors}
