@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gavel.llm.rows import packed, unpacked
 from gavel.llm.storage import materialise
 
 #: Everything that separates words, after lower-casing and before.
@@ -111,11 +112,12 @@ def contamination(docs: DataFrame, items: DataFrame, share: int = 20, **options)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, share: int = 20, broadcast_rows: int = BROADCAST_ROWS, **options) -> DataFrame:
-    """docs without its contaminated rows (n_hit > 0 and share * n_hit >= n_words), with the columns of docs.
+    """docs without its contaminated rows (n_hit > 0 and share * n_hit >= n_words), with the columns of docs, of any names.
 
     Only keys of the contaminated ones are gathered; while they are few, they go to the texts. Null texts stay.
     """
     bad = find_hits(docs, items, **options).filter(share * F.col("n_hit") >= F.col("__n_words")).select("__id", "__key")
     bad = materialise(bad, "bench-bad")
     bad = F.broadcast(bad) if bad.count() <= broadcast_rows else bad
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (key(F.col("text")) == F.col("__key")), "left_anti")
+    own = packed(docs, "doc_id", "text")
+    return unpacked(own.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (key(F.col("text")) == F.col("__key")), "left_anti"), docs, "doc_id", "text")

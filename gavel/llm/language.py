@@ -7,16 +7,18 @@ white space, so words are scored once a batch however often they occur, for all
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gavel.llm.rows import quoted
+
 #: The vocabulary's file (only the driver reads it) and the mark that starts a word in it.
 VOCABULARY, MARK = "/opt/tokenizers/piece_bpe_32k.model", "▁"
 #: Bound of the training sample: documents a language, those of the smallest id hash.
@@ -29,6 +31,8 @@ UNKNOWN = -16.0
 SPAN, CONTEXT = 512, 64
 #: Least characters of a part of a word that is scored in parts; words of twice as many are.
 LONG_WORD = 64
+#: Characters of a part from which on it is scored in blocks; characters of a block; blocks that are carried together.
+UNBROKEN, STRIDE, STRIDES = 4096, 512, 256
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 LETTER = regex.compile(r"\p{L}")
 #: Distinct words kept in a worker before it starts anew; cells of a matrix of words.
@@ -111,17 +115,16 @@ def _matrices(words: list[str], mark: str = MARK) -> Iterator[tuple[np.ndarray,
         i = j
 
 
-def _rolled(index: Pieces, codes: np.ndarray) -> list[np.ndarray]:
+def _rolled(index: Pieces, codes: np.ndarray) -> Iterator[np.ndarray]:
     """For each length l from 1: the pieces of l characters, by the position where they start."""
-    out, wide = [], codes.shape[1]
+    wide = codes.shape[1]
     with np.errstate(over="ignore"):
         body, power = codes.copy(), _MULTIPLIER  # body: sum of codes times powers, without the length's term
         for n in range(1, min(index.longest, wide) + 1):
             if n > 1:
                 body = body[:, :-1] * _MULTIPLIER + codes[:, n - 1 :]
                 power = power * _MULTIPLIER
-            out.append(index.find((body + np.uint64(n) * power) * _MULTIPLIER))
-    return out
+            yield index.find((body + np.uint64(n) * power) * _MULTIPLIER)
 
 
 def _parts(index: Pieces, word: str) -> list[str]:
@@ -145,17 +148,77 @@ def _parts(index: Pieces, word: str) -> list[str]:
 def word_scores(index: Pieces, table: np.ndarray, words: list[str]) -> np.ndarray:
     """Log-likelihood of each word in each language: a row a word, a column a language."""
     marked = [[MARK + w] if len(w) < 2 * LONG_WORD else _parts(index, MARK + w) for w in words]
-    scores, out = _scores(index, table, [p for parts in marked for p in parts]), np.zeros((len(words), table.shape[1]))
-    np.add.at(out, np.repeat(np.arange(len(words)), [len(parts) for parts in marked]), scores)
+    parts, out = [p for own in marked for p in own], np.zeros((len(words), table.shape[1]))
+    long = np.fromiter((len(p) >= UNBROKEN for p in parts), dtype=bool, count=len(parts))
+    scores = np.zeros((len(parts), table.shape[1]))
+    scores[~long] = _scores(index, table, [p for p, n in zip(parts, long, strict=True) if not n])
+    for i in np.flatnonzero(long):
+        scores[i] = _unbroken(index, table, parts[i])
+    np.add.at(out, np.repeat(np.arange(len(words)), [len(own) for own in marked]), scores)
     return out
 
 
+def _transfers(found: list[np.ndarray], table: np.ndarray, starts: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """What `steps` steps of the forward algorithm make of each unit state at each start, and the logarithm of its scale.
+
+    A state has the sums at a place and at those before it, as many as the longest piece has characters.
+    """
+    deep, unknown = len(found), np.exp(UNKNOWN)
+    recent = [np.zeros((len(starts), deep, table.shape[1])) for _ in range(deep)]  # by block, unit state, language; the latest first
+    for n, sums in enumerate(recent):
+        sums[:, n] = 1.0
+    scale = np.zeros((len(starts), table.shape[1]))
+    for k in range(1, steps + 1):
+        new = np.zeros(recent[0].shape)
+        for n, sums in enumerate(recent, 1):
+            at = starts + k - n
+            ids = np.where(at >= 0, found[n - 1][np.maximum(at, 0)], 0)
+            if n == 1:
+                new += sums * np.where((ids == 0)[:, None], unknown, table[ids])[:, None, :]
+            elif ids.any():
+                new += sums * table[ids][:, None, :]
+        recent = [new, *recent[:-1]]
+        if k % 8 == 0:
+            top = np.max([x.max(axis=1) for x in recent], axis=0)
+            top[top == 0] = 1.0
+            recent = [x / top[:, None, :] for x in recent]
+            scale += np.log(top)
+    return np.stack(recent), scale
+
+
+def _unbroken(index: Pieces, table: np.ndarray, word: str) -> np.ndarray:
+    """Log-likelihood of one long string in each language, by the forward algorithm in blocks.
+
+    A step of the algorithm is linear in the state before it. So all blocks are walked at once, from every unit state,
+    and the state is carried from block to block by what these give.
+    """
+    deep = index.longest
+    state, total = np.zeros((deep, table.shape[1])), np.zeros(table.shape[1])
+    state[0] = 1.0
+    for lo in range(0, len(word), STRIDE * STRIDES):
+        head = max(0, lo - deep + 1)
+        text = word[head : lo + STRIDE * STRIDES]
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)[None, :] + np.uint64(1)
+        found = [f[0] for f in _rolled(index, codes)]
+        found += [np.zeros(1, dtype=np.int32)] * (deep - len(found))
+        first, whole = lo - head, (len(text) - (lo - head)) // STRIDE
+        for starts, steps in ((first + STRIDE * np.arange(whole), STRIDE), (np.array([first + STRIDE * whole]), len(text) - first - STRIDE * whole)):
+            if len(starts) and steps:
+                moved, scale = _transfers([np.pad(f, (0, len(text) - len(f))) for f in found], table, starts, steps)
+                for b in range(len(starts)):
+                    state = np.einsum("ail,il->al", moved[:, b], state)
+                    top = state.max(axis=0)
+                    top[top == 0] = 1.0
+                    state, total = state / top, total + scale[b] + np.log(top)
+    return np.log(np.maximum(state[0], 1e-300)) + total
+
+
 def _scores(index: Pieces, table: np.ndarray, words: list[str]) -> np.ndarray:
     """Log-likelihoods of strings as they are, by the forward algorithm."""
     out, unknown = np.zeros((len(words), table.shape[1])), np.exp(UNKNOWN)
     for at, codes, lengths in _matrices(words, ""):
-        found, wide = _rolled(index, codes), codes.shape[1]
-        alpha, scale = [np.ones((len(at), table.shape[1]))], np.zeros(len(at))
+        found, wide = list(_rolled(index, codes)), codes.shape[1]
+        alpha, scale = [np.ones((len(at), table.shape[1]))], np.zeros((len(at), table.shape[1]))
         for j in range(1, wide + 1):
             a = alpha[-1] * np.where((found[0][:, j - 1] == 0)[:, None], unknown, table[found[0][:, j - 1]])
             for n in range(2, min(len(found), j) + 1):
@@ -164,16 +227,15 @@ def _scores(index: Pieces, table: np.ndarray, words: list[str]) -> np.ndarray:
                 if len(hit):
                     a[hit] += alpha[-n][hit] * table[ids[hit]]
             if j % 8 == 0:  # keep the numbers in range; all that later steps use shares a scale
-                top = a.max(axis=1)
-                top[top == 0] = 1.0
-                a /= top[:, None]
-                alpha = [x / top[:, None] for x in alpha[-index.longest :]]
+                top = np.where(a > 0, a, 1.0)  # of each language, for one may fall far behind
+                a = a / top
+                alpha = [x / top for x in alpha[-index.longest :]]
                 scale += np.log(top)
             alpha.append(a)
             del alpha[: -index.longest - 1]
             ends = np.flatnonzero(lengths == j)
             if len(ends):
-                out[at[ends]] = np.log(np.maximum(a[ends], 1e-300)) + scale[ends, None]
+                out[at[ends]] = np.log(np.maximum(a[ends], 1e-300)) + scale[ends]
     return out
 
 
@@ -215,7 +277,7 @@ def _expected(index: Pieces, p: np.ndarray, words: list[str], counts: np.ndarray
     use, unknown = np.zeros(len(p)), np.exp(UNKNOWN)
     words, counts, first, stop = _spans(words, counts)
     for at, codes, lengths in _matrices(words, ""):
-        found, wide, rows = _rolled(index, codes), codes.shape[1], np.arange(len(at))
+        found, wide, rows = list(_rolled(index, codes)), codes.shape[1], np.arange(len(at))
         one = np.where(found[0] == 0, unknown, p[found[0]])
         probability = [one, *(p[f] for f in found[1:])]
         (ahead, ahead_scale), (back, back_scale) = _sums(probability, lengths, False), _sums(probability, lengths, True)
@@ -285,14 +347,9 @@ def train(docs: DataFrame, vocabulary: str = VOCABULARY, sample: int = DOCUMENTS
     return Model(languages, table, index)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs and lang_pred, score: the likeliest learned language and its posterior under even priors.
-
-    `und` and 0 if the text is null or has no letter, or nothing was learned. Of equal languages the first by code
-    point wins. Every word of the text counts, whatever its length. Columns of these names in docs are replaced; repeated
-    rows are judged each by itself, and alike.
-    """
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # pieces times languages, fixed by the vocabulary
+def judgement(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """A function of a text column: struct of lang_pred and score, see predict()."""
+    shipped = spark.sparkContext.broadcast(model)  # pieces times languages, fixed by the vocabulary
 
     @F.pandas_udf("lang_pred string, score double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -302,10 +359,25 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 score = Scorer(model)
             yield score(texts)
 
-    own = docs.drop("lang_pred", "score").withColumn("__judged", judge(F.col(text)))
+    return judge
+
+
+def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """docs and lang_pred, score: the likeliest learned language and its posterior under even priors.
+
+    `und` and 0 if the text is null or has no letter, or nothing was learned. Of equal languages the first by code
+    point wins. Every word of the text counts, whatever its length. Columns of these names in docs are replaced; repeated
+    rows are judged each by itself, and alike.
+    """
+    own = docs.drop("lang_pred", "score").withColumn("__judged", judgement(docs.sparkSession, model)(quoted(text)))
     return own.withColumn("lang_pred", F.col("__judged.lang_pred")).withColumn("score", F.col("__judged.score")).drop("__judged")
 
 
+def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Rows of docs in whose text predict() finds a language, with the columns of docs, of any names, as they are."""
+    return docs.filter(judgement(docs.sparkSession, model)(quoted(text))["lang_pred"] != "und")
+
+
 class _Numbers(dict):
     """Numbers words as they come; `new` has those not scored yet."""
 

@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gavel.llm.rows import quoted
 from gavel.llm.storage import materialise
 
 #: Bits of a digit of a rank; nodes of a run; levels that one shuffle folds; rows of a bucket that one window orders, at most.
@@ -151,10 +152,9 @@ def manifest(docs: DataFrame, fields: list[str], key: str = "doc_id", group: str
     with those of the result.
     """
     carry = carry or {}
-    plain = lambda n: F.col("`" + n.replace("`", "``") + "`")
     number = F.col("__key")
     signed = F.concat(F.lit("1"), F.lpad(F.hex(number.bitwiseXOR(F.lit(-(2**63)))), 16, "0"))
-    rows = docs.select(plain(key).cast("long").alias("__key"), plain(group).alias("__group"), leaf_digest([plain(f) for f in fields]).alias("digest"), *(c.alias(n) for n, c in carry.items()))
+    rows = docs.select(quoted(key).cast("long").alias("__key"), quoted(group).alias("__group"), leaf_digest([quoted(f) for f in fields]).alias("digest"), *(c.alias(n) for n, c in carry.items()))
     named = F.coalesce(F.concat(F.lit("="), F.col("__group").cast("string")), F.lit(""))
     unique = F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0")  # read from the written table, so a lost task changes nothing
     rows = rows.withColumn("group", named).withColumn("key", F.concat(F.coalesce(signed, F.lit("0")), F.left("digest", F.lit(16)), unique))

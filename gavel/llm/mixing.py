@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gavel.llm.rows import packed, unpacked
 from gavel.llm.storage import materialise
 
 #: Words: maximal runs without ASCII white space.
@@ -132,7 +133,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
 
 def mixed_documents(docs: DataFrame, seed: str = "mix", broadcast_sources: int = BROADCAST_SOURCES, **options) -> DataFrame:
-    """The rows of docs as often as the mix takes them, to the nearest whole document; all columns are kept.
+    """The rows of docs as often as the mix takes them, to the nearest whole document; all columns, of any names, are kept.
 
     A document that the mix takes for half its words or more appears once, from one and a half times on twice; one
     without words never. Within a source the schedule takes the first documents of the shuffled order once more often
@@ -145,6 +146,8 @@ def mixed_documents(docs: DataFrame, seed: str = "mix", broadcast_sources: int =
     lasts = plan.groupBy("__source", "__copies").agg(F.max("__order").alias("__order"))  # two rows a source
     lasts = materialise(lasts.groupBy("__source").agg(F.min("__copies").alias("__least"), F.max("__copies").alias("__most"), F.max_by("__order", "__copies").alias("__last")), "mix-lasts")
     lasts = F.broadcast(lasts) if lasts.count() <= broadcast_sources else lasts
-    joined = docs.filter(F.col("text").rlike(WORD)).join(lasts, F.col("source").eqNullSafe(F.col("__source")))
+    own = packed(docs, "doc_id", "text", "source")
+    joined = own.filter(F.col("text").rlike(WORD)).join(lasts, F.col("source").eqNullSafe(F.col("__source")))
     copies = F.when(order(F.md5("text")) <= F.col("__last"), F.col("__most")).otherwise(F.col("__least"))
-    return joined.withColumn("__copies", copies).filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    taken = joined.withColumn("__copies", copies).filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return unpacked(taken, docs, "doc_id", "text", "source")

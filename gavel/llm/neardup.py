@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from gavel.llm import bitmaps
 from gavel.llm.components import components
+from gavel.llm.rows import packed, unpacked
 from gavel.llm.shingles import mixed, shingle_sets
 from gavel.llm.storage import materialise
 
@@ -333,14 +334,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """docs with one row of each component, all columns kept. Of rows that repeat id and text the least stays.
+    """docs with one row of each component, all columns kept, of any names. Of rows that repeat id and text the least stays.
 
     Rows pass the scan as they are unless a bitmap says that they may go; only those are moved to be judged.
     """
     judged = near_duplicates(docs, **options).groupBy("doc_id", "text_key").agg(F.first("kept").alias("kept"), F.count("*").alias("copies"))
     judged = materialise(judged.withColumn("key", F.xxhash64("doc_id", "text_key")), "near-judged")
     doubtful = judged.filter(~F.col("kept") | (F.col("copies") > 1)).select("key")
-    own = docs.withColumn("__key", F.xxhash64("text")).withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("__key")))
+    own = packed(docs, "doc_id", "text").withColumn("__key", F.xxhash64("text")).withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("__key")))
     shipped = docs.sparkSession.sparkContext.broadcast(bitmaps.build(doubtful, bitmaps.bits_for(doubtful.count())))  # bounded size
 
     def part(inside: bool):
@@ -352,5 +353,7 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
 
     kept = judged.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k"))
     moved = part(True).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__k")), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id", "__key").orderBy(F.to_json(F.struct(*docs.columns))))
-    return part(False).select(*docs.columns).unionByName(moved.withColumn("__n", first).filter("__n = 1").select(*docs.columns))
+    first = F.row_number().over(Window.partitionBy("doc_id", "__key").orderBy(F.to_json(F.struct("doc_id", "text", "extra"))))
+    columns = ("doc_id", "text", "extra")
+    kept = part(False).select(*columns).unionByName(moved.withColumn("__n", first).filter("__n = 1").select(*columns))
+    return unpacked(kept, docs, "doc_id", "text")

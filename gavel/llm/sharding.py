@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gavel.llm.rows import quoted
+
 #: Buckets of consecutive ids; totals of so many rows are broadcast. Rounded up to a square number.
 BUCKETS = 1024
 
@@ -57,12 +59,16 @@ def assign_shards(df: DataFrame, shards: int, size: Column, key: str = "doc_id",
 
     A row belongs to the shard whose equal share of all bytes holds the middle of the row, so every cut is off by
     half a row at most. size: non-negative long, never null. A row larger than a share leaves shards empty. Columns
-    named shard or slot in df are replaced; null keys come first; rows with an equal key are ordered by ties.
+    named shard or slot in df are replaced, all others, of any names, are kept; null keys come first; rows with an equal
+    key are ordered by ties.
     """
     ties = ties or []
-    summed = prefix_sums(df.withColumn("__size", size), key, [*ties, F.col("__size")], {"bytes": F.col("__size"), "rows": F.lit(1).cast("long")}, buckets)
+    kept = [c for c in df.columns if c.lower() not in ("shard", "slot")]
+    named = {f"__order_{i}": t for i, t in enumerate(ties)}
+    rows = df.select(F.struct(*map(quoted, kept)).alias("__own"), quoted(key).alias("__key"), size.alias("__size"), *(t.alias(n) for n, t in named.items()))
+    summed = prefix_sums(rows, "__key", [*map(F.col, named), F.col("__size")], {"bytes": F.col("__size"), "rows": F.lit(1).cast("long")}, buckets)
     middle = f"cast(2 * __before_bytes + __size as decimal(38,0)) * {shards} div (2 * __all_bytes)"
     placed = summed.withColumn("shard", F.expr(f"cast(if(__all_bytes = 0, 0, least({shards - 1}, {middle})) as int)"))
     first = placed.groupBy(F.col("shard").alias("__shard")).agg(F.min("__before_rows").alias("__first"))
     out = placed.join(F.broadcast(first), F.col("shard") == F.col("__shard"))  # one row a shard
-    return out.withColumn("slot", F.col("__before_rows") - F.col("__first")).drop("__shard", "__first", "__size", "__before_bytes", "__before_rows", "__all_bytes", "__all_rows")
+    return out.select(*(F.col("__own").getField(c).alias(c) for c in kept), "shard", (F.col("__before_rows") - F.col("__first")).alias("slot"))

@@ -29,14 +29,24 @@ def texts():
 
 @pytest.fixture(scope="module")
 def rows():
-    return [(i, t, ["en", "fr", None][i % 3], None if i % 5 == 0 else f"s{i % 4}") for i, t in enumerate(texts())]
+    return [(i, t, ["en", "fr", None][i % 3], None if i % 5 == 0 else f"s{i % 4}", None if t is None else len(t)) for i, t in enumerate(texts())]
+
+
+def vectors():
+    """Embeddings: copies, near copies, no label, and what takes no part."""
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(60, 16)).round(3)
+    rows = [(i, p.tolist(), [0, 1, None][i % 3]) for i, p in enumerate(points)]
+    rows += [(100 + i, points[i % 6].tolist(), i % 2) for i in range(24)] + [(200 + i, (points[i % 4] + 0.01 * i).tolist(), 0) for i in range(40)]
+    return rows + [(300, None, 1), (301, [], 1), (302, [0.0] * 16, 0), (303, [0.0] * 16, 0), (304, [None, *[1.0] * 15], 1), (305, [float("nan")] * 16, 1), (306, [float("inf"), *[1.0] * 15], None)]
 
 
 @pytest.fixture(scope="module")
 def folder(spark, rows, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("awkward"))
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(1, ITEM), (2, "zero one"), (3, None), (4, "?!"), (5, ITEM)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame(vectors(), "vec_id long, embedding array<float>, label int").repartition(2).write.parquet(f"{path}/embeddings.parquet")
     return path
 
 

@@ -43,3 +43,35 @@ def test_languages_without_spaces(spark):
     model = language.train(docs)
     assert all(len(set(model.table[1:, k])) > 1 for k in range(3))
     assert all(r["lang"] == r["lang_pred"] for r in language.predict(docs, model).collect())
+
+
+def test_unbroken_words_are_summed_as_a_whole(monkeypatch):
+    names = ["a", "b", "ab", "aba", "xx", "xxxxx"]
+    index, table = language.Pieces.of(names), np.random.default_rng(1).random((7, 2)) / 7
+    table[0] = 0.0
+
+    def plain(text):
+        sums = [np.zeros(2)]
+        for j in range(1, len(text) + 1):
+            part = {n: names.index(text[j - n : j]) + 1 if text[j - n : j] in names else 0 for n in range(1, min(5, j) + 1)}
+            terms = [sums[-n] + np.log(table[i]) if i else sums[-n] + language.UNKNOWN for n, i in part.items() if i or n == 1]
+            sums.append(np.logaddexp.reduce(terms))
+        return sums[-1]
+
+    monkeypatch.setattr(language, "STRIDE", 64)
+    monkeypatch.setattr(language, "STRIDES", 5)
+    monkeypatch.setattr(language, "UNBROKEN", 100)
+    for word in ("x" * 1001, "".join(np.random.default_rng(2).choice(list("abx"), 700)), "ab" * 320, "x" * 99, "xxab" * 16 + "x"):
+        for found in (language._unbroken(index, table, word), language._scores(index, table, [word])[0]):
+            assert np.allclose(found, plain(word), rtol=1e-9)
+        assert np.allclose(language.word_scores(index, table, [word])[0], plain(language.MARK + word), rtol=1e-9)
+
+
+def test_a_long_unbroken_word_takes_seconds():
+    import time
+
+    index = language.Pieces.of(language.pieces(language.VOCABULARY))
+    table = np.random.default_rng(0).random((len(index.keys), 4)) / len(index.keys)
+    table[0], began = 0.0, time.thread_time()
+    language.word_scores(index, table, ["x" * 200_000])
+    assert time.thread_time() - began < 10
