@@ -17,31 +17,49 @@ SHARDS = 24
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; those whose text is null, empty or has no letter go. Repeated rows stay."""
-    return language.predict(docs, language.train(docs)).filter("lang_pred <> 'und'").select(*docs.columns)
+    """Documents in which a language is found; those whose text is null, empty or has no letter go. Repeated rows stay.
+
+    Texts of any length are read whole. Columns of any name are kept as they are, lang_pred and score too.
+    """
+    return language.identified(docs, language.train(docs))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies: shingles of five words, similarity of 0.8 or more.
 
-    The smallest id of a group stays, texts without words each; of rows that repeat id and text one stays. Columns of
-    any name are kept as they are.
+    The smallest id of a group stays, texts without words each; of rows that repeat id and text one stays. Texts of any
+    length count whole. Columns of any name are kept as they are.
     """
     return neardup.deduplicate(docs, words=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth lies in benchmark passages; those without words, and repeated rows, stay."""
+    """Documents of which less than a twentieth lies in benchmark passages; those without words, and repeated rows, stay.
+
+    Texts of any length are searched whole. Columns of any name are kept as they are.
+    """
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them, a null source being one; those without words are never taken."""
+    """Documents as often as the mix of sources takes them, a null source being one; those without words are never taken.
+
+    A text of any length is one document. Columns of any name are kept as they are.
+    """
     return mixing.mixed_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and slot, in order of id (nulls first) and of a hash of text and source."""
+    """Documents with their shard and slot, in order of id (nulls first) and of a hash of text and source.
+
+    A text longer than a shard fills more than one. Columns of any name are kept as they are, but for shard and slot
+    that documents have already: these are kept as shard_before and slot_before (with more such endings if needed).
+    """
+    for name in [c for c in docs.columns if c.lower() in ("shard", "slot")]:
+        free = f"{name}_before"
+        while free.lower() in (c.lower() for c in docs.columns):
+            free += "_before"
+        docs = docs.withColumnRenamed(name, free)
     size = (F.octet_length(F.coalesce("text", F.lit(""))) + 8).cast("long")
     return sharding.assign_shards(docs, SHARDS, size, ties=[F.xxhash64("text", "source")])
 
