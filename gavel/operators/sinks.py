@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavel.functions import filters, names, urls
+from gavel.sources import files
 
 
 @dataclass(frozen=True)
@@ -21,11 +22,12 @@ class Policy:
     force_extension: str | None = None
 
 
-def stored(documents: DataFrame, manifest: DataFrame, policy: Policy | None = None) -> DataFrame:
+def stored(documents: DataFrame, manifest: DataFrame, policy: Policy | None = None, folder: str | None = None) -> DataFrame:
     """documents (url, hint, disposition, content_type, status, body) with file, success, skipped, error.
 
-    manifest has the column file: what is there already. Failures are rows, never exceptions. The manifest is joined
-    on the file's name, so a large one is shuffled and a small one broadcast by Spark's own choice.
+    manifest has the column file: what is there already, below a folder that a column names if `folder` is given.
+    Failures are rows, never exceptions. The manifest is joined on the file's name, so a large one is shuffled and a
+    small one broadcast by Spark's own choice.
     """
     policy = policy or Policy()
     name = names.resolved(F.col("disposition"), F.col("hint"), F.col("url"))
@@ -35,8 +37,9 @@ def stored(documents: DataFrame, manifest: DataFrame, policy: Policy | None = No
     if policy.force_extension:
         named = F.when(F.lower(name).endswith(policy.force_extension), name).otherwise(F.concat(name, F.lit(policy.force_extension)))
     checked = documents.withColumn("file", names.sanitise(named)).withColumn("__page", named.isNull())
-    there = manifest.select("file").distinct().withColumn("__there", F.lit(True))
-    joined = checked.join(there, "file", "left").withColumn("skipped", F.coalesce("__there", F.lit(False)))
+    there = manifest.select(F.col("file").alias("__path")).distinct().withColumn("__there", F.lit(True))
+    at = F.concat_ws("/", F.col(folder), "file") if folder else F.col("file")
+    joined = checked.join(there, at == F.col("__path"), "left").drop("__path").withColumn("skipped", F.coalesce("__there", F.lit(False)))
     size = F.length(F.coalesce("body", F.lit("")))
     error = (
         F.when(~urls.is_valid(F.col("url")), "invalid URL")
@@ -68,6 +71,43 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], "file string")
 
 
+#: Policies of the older sinks: PDF by name whatever the body, least size, an existing file is no success; anything with any body.
+LEGACY_PDF = Policy(require_magic=False, least_bytes=100, existing_succeeds=False, force_extension=".pdf")
+LEGACY_ANY = Policy(require_magic=False)
+#: Content that a payload holds itself is a page.
+INLINE = Policy(require_magic=False, force_extension=".html")
+
+
+def inline_documents(rows: DataFrame, name: str, content: str) -> DataFrame:
+    """Rows with content of their own as documents for `stored` with the policy INLINE; those without content go."""
+    missing = F.lit(None).cast("string")
+    return rows.filter(F.col(content).isNotNull()).withColumns({"url": F.coalesce("url", F.lit("https://inline.invalid/")), "hint": F.col(name), "disposition": missing, "content_type": F.lit("text/html"), "status": F.lit(200), "body": F.col(content)})
+
+
+def write_files(judged: DataFrame, path: str, folder: str | None = None, existing: str = "skip") -> None:
+    """Write what `stored` found new and good below path, one file a document, in a folder named by a column if there is one.
+
+    See sources.files: nothing is left of a job that fails, and one that is run again writes only what is missing. Two
+    rows of one name are one file; `ordered.distinct_names` sets them apart beforehand.
+    """
+    files.register(judged.sparkSession)
+    name = F.concat_ws("/", F.col(folder), "file") if folder else F.col("file")
+    rows = judged.filter("success AND NOT skipped").select(name.alias("file"), F.col("body").cast("binary").alias("body"))
+    rows.write.format("gavel-files").option("path", path).option("existing", existing).mode("append").save()
+
+
+def files_below(spark: SparkSession, path: str) -> DataFrame:
+    """file, bytes for every file below path that is not empty; none where there is no such folder. No content is read."""
+    try:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string, bytes long")
+    root = path.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
+    return found.select(F.substring_index("path", root, -1).alias("file"), F.col("length").alias("bytes"))
+
+
 def json_documents(rows: DataFrame, keys: list[str], into: str = "document") -> DataFrame:
     """One JSON document a key of all the other columns' rows, which sort in their own order."""
     others = [c for c in rows.columns if c not in keys]

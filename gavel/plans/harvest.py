@@ -11,7 +11,7 @@ from gavel.functions import dates, filters, names, urls
 from gavel.operators import ordered, reports, sinks
 from gavel.plans import links
 from gavel.registry import query
-from gavel.session import table
+from gavel.session import scratch, table
 
 
 @dataclass(frozen=True)
@@ -107,6 +107,27 @@ def incremental_new_only(spark, sf_dir):
     return docs.filter("doc_id % 3 <> 0").join(docs.filter("doc_id % 3 = 0").select("digest").distinct(), "digest", "left_anti").select("doc_id", "source")
 
 
+_FILES = "SELECT doc_id, source || '/' || doc_id AS stem, doc_id % 5 AS kind, strlen(coalesce(text, '')) AS n FROM documents WHERE source IS NOT NULL"
+
+
+@query(f"SELECT CASE kind WHEN 2 THEN stem || '.html' ELSE stem || '.pdf' END AS file, CASE kind WHEN 0 THEN n + 9 WHEN 2 THEN n WHEN 3 THEN 14 ELSE n END AS bytes FROM ({_FILES}) WHERE kind IN (0, 2, 3) OR (kind = 4 AND n >= 100)")
+def files_written(spark, sf_dir):
+    """Documents as files on disk, in a folder a source: PDF by its first bytes, pages that payloads hold, an older sink's
+    least size; a second run leaves alone what the first has written."""
+    path, kind, missing = scratch(spark, "files"), F.col("doc_id") % 5, F.lit(None).cast("string")
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").filter("source is not null").select("doc_id", "source", kind.alias("kind"), F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("hint"), F.lit("https://x.be/d").alias("url"), missing.alias("disposition"), F.lit("application/pdf").alias("content_type"), F.lit(200).alias("status"), F.when(kind == 0, F.concat(F.lit("%PDF-1.4 "), text)).otherwise(text).alias("body"))
+
+    def store(some: DataFrame, policy: sinks.Policy = sinks.Policy()) -> None:  # noqa: B008  it is frozen
+        sinks.write_files(sinks.stored(some, sinks.files_below(spark, path), policy, "source"), path, "source")
+
+    store(rows.filter("kind = 3").withColumn("body", F.lit("%PDF-1.4 first")))
+    store(rows.filter("kind in (0, 1, 3)").withColumn("body", F.when(F.col("kind") == 1, F.concat(F.lit("<html>"), "body")).when(F.col("kind") == 3, F.lit("%PDF-1.4 second one")).otherwise(F.col("body"))))
+    store(sinks.inline_documents(rows.filter("kind = 2").withColumns({"name": F.col("doc_id").cast("string"), "content": F.col("body")}), "name", "content"), sinks.INLINE)
+    store(rows.filter("kind = 4"), sinks.LEGACY_PDF)
+    return sinks.files_below(spark, path)
+
+
 @query("SELECT n_regionkey, '{\"n\":' || count(*) || ',\"items\":[' || string_agg('{\"n_nationkey\":' || n_nationkey || ',\"n_name\":\"' || n_name || '\"}', ',' ORDER BY n_nationkey) || ']}' AS document FROM nation GROUP BY 1")
 def json_by_entity(spark, sf_dir):
     return sinks.json_documents(table(spark, sf_dir, "nation").select("n_regionkey", "n_nationkey", "n_name"), ["n_regionkey"])

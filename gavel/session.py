@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,3 +26,14 @@ def build_session(master: str = "local[8]", partitions: int = 8, memory: str = "
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder, read by Spark alone so that any store works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder below spark.checkpoint.dir, which all machines see; a temporary one where that is unset (a local test)."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="gavel-")
+        if not known.isDefined():
+            spark.sparkContext.setCheckpointDir(folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"

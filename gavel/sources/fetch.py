@@ -112,33 +112,3 @@ def register(spark) -> None:
     """Make the source known to a session, and let queries push their filters to it."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PageSource)
-
-
-def canned(url: str, method: str = "GET") -> tuple[int, dict, str]:
-    """A transport without a network: answers by what the URL says. For tests and demonstrations."""
-    if "/fails" in url:
-        raise TimeoutError("timed out")
-    if "/busy" in url:
-        return 503, {}, ""
-    return (404, {}, "") if "/gone" in url else (200, {"Content-Type": "text/html"}, f"<a href='{url}/a.pdf'>a</a>")
-
-
-def paged(ask_page, first: int = 0, step: int = 20, stop=None, limit: int | None = None):
-    """Items of numbered pages until one is empty, has no next, or `stop` says that all of it is too old.
-
-    A page that repeats the one before (a server that ignores the number), or a page beyond `limit`, is an error: a
-    listing is never cut short without a word.
-    """
-    at, before, count = first, None, 0
-    while True:
-        if limit is not None and count >= limit:
-            raise RuntimeError(f"more than {limit} pages")
-        items, more = ask_page(at)
-        if not items:
-            return
-        if items == before:
-            raise RuntimeError(f"page {at} repeats the one before")
-        yield from items
-        if not more or (stop and stop(items)):
-            return
-        at, before, count = at + step, items, count + 1

@@ -7,7 +7,7 @@ import pytest
 ROOT = str(Path(__file__).parents[1])
 sys.path.insert(0, ROOT)
 sys.path.insert(0, str(Path(__file__).parent))
-os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, str(Path(__file__).parent), os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")

@@ -2,7 +2,6 @@
 
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from gavel.operators import sinks
@@ -60,15 +59,10 @@ def test_gives_up():
     assert fetch.fetch("ftp://x")[3] == "invalid URL"
 
 
-def test_pages_stop_early():
-    found = list(fetch.paged(lambda at: (list(range(at, at + 20)), True), stop=lambda items: items[-1] > 50))
-    assert found == list(range(60))
-
-
 def test_page_source(spark):
     fetch.register(spark)
     urls = ["https://a.be/1", "https://a.be/fails", "https://b.be/busy", "https://b.be/gone"]
-    options = {"urls": json.dumps(urls), "transport": "gavel.sources.fetch:canned", "spacing": "0", "delay": "0"}
+    options = {"urls": json.dumps(urls), "transport": "transports:canned", "spacing": "0", "delay": "0"}
     rows = {r["url"]: (r["status"], r["error"]) for r in spark.read.format("gavel-pages").options(**options).load().collect()}
     assert rows == {urls[0]: (200, None), urls[1]: (None, "timeout"), urls[2]: (503, "HTTP 503"), urls[3]: (404, "HTTP 404")}
 
@@ -125,11 +119,3 @@ def test_bodies_are_stored_once(spark, tmp_path):
     assert seen[0] == {"a.pdf": (True, False), "b.pdf": (False, False), "c.pdf": (False, False)}
     assert seen[1] == {"a.pdf": (True, True), "b.pdf": (True, False), "c.pdf": (False, False)}
     assert sorted((r["file"], r["body"]) for r in spark.read.parquet(path).collect()) == [("a.pdf", "%PDF-1.4"), ("b.pdf", "%PDF-1.4")]
-
-
-def test_paging_is_never_cut_short():
-    assert list(fetch.paged(lambda at: ([at], at < 20 * 12_000))) == list(range(0, 20 * 12_000 + 1, 20))
-    with pytest.raises(RuntimeError, match="more than 3 pages"):
-        list(fetch.paged(lambda at: ([at], True), limit=3))
-    with pytest.raises(RuntimeError, match="repeats"):
-        list(fetch.paged(lambda at: ([1, 2], True)))
