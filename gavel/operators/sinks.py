@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavel.functions import filters, names, urls
@@ -14,7 +14,10 @@ from gavel.sources import files
 
 @dataclass(frozen=True)
 class Policy:
-    """How a source stores documents: whether bodies must be PDF, their least size, what an existing file counts as."""
+    """How a source stores documents: whether bodies must be PDF, their least size, what an existing file counts as.
+
+    Each may be a column instead, where rows of several sources are stored together.
+    """
 
     require_magic: bool = True
     least_bytes: int = 1
@@ -30,12 +33,13 @@ def stored(documents: DataFrame, manifest: DataFrame, policy: Policy | None = No
     small one broadcast by Spark's own choice.
     """
     policy = policy or Policy()
+    of = lambda value: value if isinstance(value, Column) else F.lit(value)
     name = names.resolved(F.col("disposition"), F.col("hint"), F.col("url"))
     extension = names.extension_for(F.col("content_type"))
     dotted = F.substr(name, F.greatest(F.lit(1), F.length(name) - 5)).contains(".")
     named = F.when(dotted, name).otherwise(F.concat(name, extension))
-    if policy.force_extension:
-        named = F.when(F.lower(name).endswith(policy.force_extension), name).otherwise(F.concat(name, F.lit(policy.force_extension)))
+    forced = of(policy.force_extension)
+    named = F.when(forced.isNull(), named).when(F.lower(name).endswith(forced), name).otherwise(F.concat(name, forced))
     checked = documents.withColumn("file", names.sanitise(named)).withColumn("__page", named.isNull())
     there = manifest.select(F.col("file").alias("__path")).distinct().withColumn("__there", F.lit(True))
     at = F.concat_ws("/", F.col(folder), "file") if folder else F.col("file")
@@ -45,9 +49,9 @@ def stored(documents: DataFrame, manifest: DataFrame, policy: Policy | None = No
         F.when(~urls.is_valid(F.col("url")), "invalid URL")
         .when(F.col("status") != 200, F.concat(F.lit("HTTP "), F.col("status").cast("string")))
         .when(F.col("__page"), "page instead of document")
-        .when(F.col("skipped"), F.lit(None) if policy.existing_succeeds else "exists")
-        .when(size < policy.least_bytes, "empty")
-        .when(F.lit(policy.require_magic) & ~filters.body_ok(F.col("body")), "no PDF")
+        .when(F.col("skipped"), F.when(~of(policy.existing_succeeds), "exists"))
+        .when(size < of(policy.least_bytes), "empty")
+        .when(of(policy.require_magic) & ~filters.body_ok(F.col("body")), "no PDF")
     )
     return joined.withColumn("error", error).withColumn("success", F.col("error").isNull()).drop("__there", "__page")
 

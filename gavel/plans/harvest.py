@@ -2,71 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavel.functions import dates, filters, names, urls
-from gavel.operators import ordered, reports, sinks
+from gavel.functions import dates, urls
+from gavel.operators import reports, sinks
 from gavel.plans import links
 from gavel.registry import query
 from gavel.session import scratch, table
-
-
-@dataclass(frozen=True)
-class Source:
-    """Settings of a source type: date rules in order, look-back, undated documents, dedup scope, filter, sink."""
-
-    rules: tuple[str, ...] = ("cms_path",)
-    cutoff: str = "days31"
-    months: int = 12
-    keep_undated: bool = True
-    stop_early: bool = False
-    scope: tuple[str, ...] = ("page_id",)
-    filter_on: tuple[str, ...] = ("label", "link")
-    sink: sinks.Policy = sinks.Policy()
-
-
-# fixed values: the settings by source type; types not listed have the defaults
-SOURCES = {
-    "meetingburger": Source(("dutch_title",), "days30", stop_early=True, scope=("entity",), filter_on=("label",), sink=sinks.Policy(require_magic=False)),
-    "lblod": Source(("dutch_heading",), scope=(), filter_on=("label", "link"), sink=sinks.Policy(least_bytes=100, existing_succeeds=False, force_extension=".pdf")),
-    "imio": Source(("french_text", "file_stem"), scope=("entity",)),
-    "wordpress": Source(("link_text", "cms_path")),
-    "drupal": Source(("folder_path",)),
-    "icordis": Source(("dutch_url",), filter_on=("link",)),
-    "linkebeek": Source(("dutch_tail",), scope=("entity",), filter_on=("label",)),
-    "docodis": Source(("iso",), filter_on=("label",)),
-    "pubcon": Source(("slash",), scope=("entity",)),
-    "irisnet": Source(("folder_label",), "days30", keep_undated=False, filter_on=("label",), sink=sinks.Policy(require_magic=False)),
-    "idelibe": Source(("iso",), "days30", sink=sinks.Policy(require_magic=False)),
-    "ibabs": Source(("dutch_title",), "clamped_next", 3, keep_undated=False, scope=("entity",)),
-    "gelinktnotuleren": Source(("iso",)),
-    "provantwerpen": Source(("path_folder",), "calendar", 6, keep_undated=False),
-    "vlaamsbrabant": Source(("iso",), "clamped", 3, keep_undated=False),
-    "hainaut": Source(("french_du",), "calendar", 6, keep_undated=False),
-    "brussel": Source(("slash",), keep_undated=False),
-    "molenbeek": Source(("slash",), keep_undated=False),
-    "schaerbeek": Source(("slug",), keep_undated=False),
-    "ixelles": Source(("slash",)),
-}
-
-
-def select_documents(found: DataFrame, source: Source, as_of, terms: list[str] | None = None) -> DataFrame:
-    """Links (entity, page_id, pos, link, label) that a source type would download, with day and doc_type.
-
-    Dates from the link and its label by the source's rules, then look-back, filter and first occurrence in the
-    source's scope; all in one plan, with one shuffle for the dedup.
-    """
-    day = F.coalesce(*(d for r in source.rules for d in (dates.parsed(F.col("label"), r), dates.parsed(F.col("link"), r))))
-    limit = dates.cutoff(as_of, source.months, source.cutoff)
-    rows = found.withColumn("day", day)
-    if source.stop_early:
-        rows = ordered.until_first_old(rows, F.col("day") < limit, ["entity"], ["page_id", "pos"])
-    rows = rows.filter(dates.since(F.col("day"), limit, source.keep_undated)).filter(filters.any_term([F.col(c) for c in source.filter_on], terms))
-    rows = ordered.first_occurrence(rows, ["link"], ["page_id", "pos"], list(source.scope)) if source.scope else rows
-    return rows.withColumn("doc_type", filters.document_type(F.col("label"))).withColumn("file", names.sanitise(names.hint(F.date_format("day", "yyyy-MM-dd"), urls.last_segment(F.col("link")))))
+from gavel.sources import adapters
 
 
 LINK = f"{links.BASE} || '/' || regexp_replace(href, '^/+', '') || '-' || strftime(DATE '2024-12-31' - INTERVAL (CAST(pos * 40 + page_id % 30 AS INT)) DAY, '%Y%m%d') || '.pdf'"
@@ -85,8 +29,8 @@ DOCS = f"(SELECT lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]
 @query(f"SELECT entity, page_id, pos, link, day, strftime(day, '%Y-%m-%d') || '_' || list_extract(string_split(link, '/'), -1) AS raw, CASE WHEN contains(lower(label), 'agenda') THEN 'agenda' ELSE 'overig' END AS doc_type FROM {DOCS} WHERE day >= DATE '2024-12-31' - 31 * 3 AND (contains(lower(label), 'th') OR contains(lower(link), 'th')) QUALIFY row_number() OVER (PARTITION BY entity, link ORDER BY page_id, pos) = 1")
 def harvest_documents(spark, sf_dir):
     """From pages to the documents to download, with the settings of one source type."""
-    source = Source(("cms_path",), months=3, scope=("entity",))
-    out = select_documents(_dated_links(spark, sf_dir), source, F.lit("2024-12-31").cast("date"), ["th"])
+    one = {"one": adapters.Source(("cms_path",), months=3, scope=("entity",))}
+    out = adapters.select_documents(_dated_links(spark, sf_dir).withColumn("type", F.lit("one")), F.lit("2024-12-31").cast("date"), ["th"], sources=one)
     return out.select("entity", "page_id", F.col("pos").cast("long").alias("pos"), "link", "day", F.concat_ws("_", F.date_format("day", "yyyy-MM-dd"), urls.last_segment(F.col("link"))).alias("raw"), "doc_type")
 
 
@@ -100,6 +44,89 @@ def harvest_outcomes(spark, sf_dir):
     return reports.outcomes(out, ["entity"], F.col("success"), F.col("skipped"))
 
 
+# what SQL knows of the types, by hand: where the date stands and how exact it is, limit, undated ones, end at the first old one, scope, filter, sink
+_TYPES = """(VALUES
+('meetingburger', 'label', 'day', DATE '2024-01-06', true, true, 'entity', true, false, false, 1, true, ''),
+('lblod', 'label', 'day', DATE '2023-12-25', true, false, 'none', true, true, false, 100, false, '.pdf'),
+('imio', 'label', 'day', DATE '2023-12-25', true, false, 'entity', true, true, true, 1, true, ''),
+('wordpress', 'label', 'day', DATE '2023-12-25', true, false, 'page', true, true, true, 1, true, ''),
+('drupal', 'link', 'month', DATE '2023-12-25', true, false, 'page', true, true, true, 1, true, ''),
+('icordis', 'link', 'day', DATE '2023-12-25', true, false, 'page', false, true, true, 1, true, ''),
+('linkebeek', 'link', 'day', DATE '2023-12-25', true, false, 'entity', true, false, true, 1, true, ''),
+('docodis', 'label', 'day', DATE '2023-12-25', true, false, 'page', true, false, true, 1, true, ''),
+('pubcon', 'label', 'day', DATE '2023-12-25', true, false, 'entity', true, true, true, 1, true, ''),
+('irisnet', 'label', 'day', DATE '2024-01-06', false, false, 'page', true, false, false, 1, true, ''),
+('idelibe', 'label', 'day', DATE '2024-01-06', true, false, 'page', true, true, false, 1, true, ''),
+('ibabs', 'label', 'day', DATE '2024-10-01', false, false, 'entity', true, true, true, 1, true, ''),
+('gelinktnotuleren', 'label', 'day', DATE '2023-12-25', true, false, 'page', true, true, true, 1, true, ''),
+('provantwerpen', 'link', 'day', DATE '2024-06-30', false, false, 'page', true, true, true, 1, true, ''),
+('vlaamsbrabant', 'label', 'day', DATE '2024-09-01', false, false, 'page', true, true, true, 1, true, ''),
+('hainaut', 'label', 'day', DATE '2024-06-30', false, false, 'page', true, true, true, 1, true, ''),
+('brussel', 'label', 'day', DATE '2023-12-25', false, false, 'page', true, true, true, 1, true, ''),
+('molenbeek', 'label', 'day', DATE '2023-12-25', false, false, 'page', true, true, true, 1, true, ''),
+('schaerbeek', 'label', 'day', DATE '2023-12-25', false, false, 'page', true, true, true, 1, true, ''),
+('ixelles', 'label', 'day', DATE '2023-12-25', true, false, 'page', true, true, true, 1, true, ''),
+('forest', 'link', 'day', DATE '2023-12-25', true, false, 'page', true, true, true, 1, true, '')
+) t(type, stands, exact, first, undated, stops, scope, on_label, on_link, magic, least, there_ok, forced)"""
+_PLACED = f"(SELECT * EXCLUDE (day), CASE WHEN pos % 7 = 3 THEN NULL WHEN exact = 'month' THEN CAST(date_trunc('month', day) AS DATE) ELSE day END AS day, day AS stood FROM (SELECT d.*, {links.ABSOLUTE} AS plain, t.* FROM (SELECT *, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)', 2)) AS entity, CAST(DATE '2024-12-31' - INTERVAL (CAST(pos * 40 + page_id % 30 AS INT)) DAY AS DATE) AS day FROM {links.ANCHORS}) d JOIN {_TYPES} ON type = (SELECT list(type ORDER BY type) FROM {_TYPES})[page_id % 21 + 1]))"
+_CHOSEN = f"""SELECT type, entity, page_id, pos, plain, day FROM (
+SELECT *, bool_or(stops AND coalesce(day < first, false)) OVER (PARTITION BY type, entity ORDER BY page_id, pos) AS ended FROM {_PLACED})
+WHERE NOT ended AND coalesce(day >= first, undated) AND ((on_label AND contains(lower(label), 'th')) OR (on_link AND contains(lower(plain), 'th')))
+QUALIFY row_number() OVER (PARTITION BY type, CASE scope WHEN 'none' THEN page_id || '/' || pos WHEN 'page' THEN CAST(page_id AS VARCHAR) ELSE entity END, plain, CASE WHEN stands = 'link' AND pos % 7 <> 3 THEN stood END ORDER BY page_id, pos) = 1"""
+
+
+def _all_types(spark, sf_dir) -> DataFrame:
+    """The pages' links, dealt to all types by page; each has its date where its type looks for it, every seventh none."""
+    rows = links._links(spark, sf_dir).withColumn("entity", urls.host(F.col("url")))
+    kind = F.element_at(F.lit(sorted([*adapters.SOURCES, "forest"])), (F.col("page_id") % 21 + 1).cast("int"))
+    day = F.date_sub(F.lit("2024-12-31").cast("date"), (F.col("pos") * 40 + F.col("page_id") % 30).cast("int"))
+    of = lambda pattern: F.date_format(day, pattern)
+    month = lambda table: F.element_at(F.lit([n.split("/")[0] for n in table]), F.month(day))
+    spoken = lambda table: F.concat(of("d "), month(table), of(" yyyy"))
+    said = F.when(kind.isin("meetingburger", "lblod", "ibabs"), spoken(dates.DUTCH)).when(kind == "imio", spoken(dates.FRENCH)).when(kind == "hainaut", F.concat(F.lit("du "), spoken(dates.FRENCH)))
+    said = said.when(kind.isin("docodis", "idelibe", "gelinktnotuleren", "vlaamsbrabant"), of("yyyy-MM-dd")).when(kind.isin("pubcon", "brussel", "molenbeek", "ixelles", "wordpress"), of("dd/MM/yyyy")).when(kind == "schaerbeek", of("ddMMyyyy-"))
+    dated = F.col("pos") % 7 != 3
+    at_start = F.concat_ws(" ", F.when(dated, said), "label")
+    label = F.when(kind == "irisnet", F.concat_ws(" ", "label", F.when(dated, of("yyyy-MM-dd")))).when(said.isNotNull(), at_start).otherwise(F.col("label"))
+    link = F.when(~dated, F.col("link")).when(kind == "drupal", F.concat("link", of("'/'yyyy-MM'/x.pdf'"))).when(kind == "icordis", F.concat("link", of("'-'yyyyMMdd'.pdf'"))).when(kind == "linkebeek", F.concat("link", of("'-'d-"), month(dates.DUTCH), of("-yyyy"))).when(kind == "provantwerpen", F.concat("link", of("'/'yyyy-MM-dd'/x.pdf'"))).when(kind == "forest", F.concat("link", of("'-'yyyyMMdd'.pdf'"))).otherwise(F.col("link"))
+    return rows.select(kind.alias("type"), "entity", "page_id", "pos", label.alias("label"), link.alias("link"), F.col("link").alias("plain"))
+
+
+@query(_CHOSEN)
+def harvest_all_types(spark, sf_dir):
+    """What every source type would download, by its own settings, in one plan."""
+    out = adapters.select_documents(_all_types(spark, sf_dir), F.lit("2024-12-31").cast("date"), ["th"])
+    return out.select("type", "entity", "page_id", F.col("pos").cast("long").alias("pos"), "plain", "day")
+
+
+@query(
+    f"""SELECT type, count(DISTINCT entity) AS entities, count(DISTINCT CASE WHEN failed THEN entity END) AS with_failures, count(*) AS total, count(*) FILTER (WHERE NOT there AND NOT failed AND ok) AS new, count(*) FILTER (WHERE there) AS skipped, count(*) FILTER (WHERE failed) AS failed
+FROM (SELECT type, entity, page_id % 4 = 0 AS there, ok, NOT (page_id % 4 = 0) AND NOT ok AS failed FROM (SELECT type, entity, page_id, CASE page_id % 4 WHEN 1 THEN NOT magic AND least <= 6 WHEN 2 THEN least <= 120 WHEN 3 THEN least <= 8 ELSE true END AS ok FROM {_PLACED})) GROUP BY type"""
+)
+def harvest_all_tally(spark, sf_dir):
+    """New, skipped and failed documents of each type, every type by its own sink policy."""
+    rows = _all_types(spark, sf_dir).withColumn("hint", F.concat(F.lit("d"), F.col("page_id").cast("string"), F.lit("-"), F.col("pos").cast("string"), F.lit(".pdf")))
+    body = F.when(F.col("page_id") % 4 == 1, "<html>").when(F.col("page_id") % 4 == 2, F.rpad(F.lit("%PDF-1.4"), 120, "x")).otherwise("%PDF-1.4")
+    rows = rows.withColumns({"url": F.col("plain"), "disposition": F.lit(None).cast("string"), "content_type": F.lit("application/pdf"), "status": F.lit(200), "body": body})
+    there = rows.filter("page_id % 4 = 0").select(F.col("hint").alias("file"))
+    return adapters.outcomes(sinks.stored(rows, there, adapters.policies(F.col("type"))))
+
+
+@query(
+    """SELECT page_id, type FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'hainaut' WHEN 1 THEN 'molenbeek' ELSE 'docodis' END AS type FROM pages)"""
+)
+def harvest_listings(spark, sf_dir):
+    """Pages of types whose listings differ: below headings, in rows that begin with a date, and plain links."""
+    day = F.date_sub(F.lit("2024-12-31").cast("date"), (F.col("page_id") % 300).cast("int"))
+    kind = F.when(F.col("page_id") % 3 == 0, "hainaut").when(F.col("page_id") % 3 == 1, "molenbeek").otherwise("docodis")
+    text = F.when(kind == "hainaut", F.concat(F.lit("<h3>Conseil du "), F.date_format(day, "d "), adapters.french_month(day), F.date_format(day, " yyyy"), F.lit('</h3><a href="/x">page</a><a href="/a.pdf">a</a><a href="/b.pdf">b</a>')))
+    text = text.when(kind == "molenbeek", F.concat(F.lit("<table><tr><td>"), F.date_format(day, "dd/MM/yyyy"), F.lit('</td><td><a href="/a.pdf">pdf</a></td></tr><tr><td>x</td><td><a href="/b.pdf">b</a></td></tr></table>')))
+    text = text.otherwise(F.concat(F.lit('<a href="/a.pdf">Zitting '), F.date_format(day, "yyyy-MM-dd"), F.lit("</a>")))
+    pages = table(spark, sf_dir, "pages").select(kind.alias("type"), urls.host(F.col("url")).alias("entity"), "page_id", "url", text.alias("html"))
+    chosen = adapters.select_documents(adapters.listings(pages), F.lit("2024-12-31").cast("date"), months=100)
+    return chosen.filter((F.col("day") == F.date_sub(F.lit("2024-12-31").cast("date"), (F.col("page_id") % 300).cast("int"))) & F.col("link").endswith("/a.pdf")).select("page_id", "type")
+
+
 @query("SELECT doc_id, source FROM documents WHERE doc_id % 3 <> 0 AND md5(coalesce(text, '')) NOT IN (SELECT md5(coalesce(text, '')) FROM documents WHERE doc_id % 3 = 0)")
 def incremental_new_only(spark, sf_dir):
     """Second slice of the documents without the texts that the first one brought; texts meet as digests."""
