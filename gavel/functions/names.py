@@ -60,13 +60,36 @@ def folder(name: Column, longest: int = 30) -> Column:
     return F.substr(F.translate(F.lower(name), " /", "__"), F.lit(1), F.lit(longest))
 
 
-# fixed values: letters with marks of the languages that occur, and the same without
-MARKED, PLAIN = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
+def _bare_letters() -> tuple[str, str]:
+    """Lower-case letters that decompose to one letter and marks, and that letter of each."""
+    marked, plain = [], []
+    for c in map(chr, range(0xA0, 0x10000)):
+        base = "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
+        if len(base) == 1 and base != c:
+            marked.append(c)
+            plain.append(base)
+    return "".join(marked), "".join(plain)
+
+
+MARKED, PLAIN = _bare_letters()
+
+
+def without_marks(text: Column) -> Column:
+    """Text without the marks of letters, composed or not, of any script; letters that are no base and mark (ø, ł, æ) stay."""
+    return F.regexp_replace(F.translate(text, MARKED, PLAIN), r"\p{Mn}+", "")
 
 
 def folded(name: Column) -> Column:
     """Key for comparing names: lower case, no marks, spaces or hyphens."""
-    return F.translate(F.translate(F.lower(name), MARKED, PLAIN), " -", "")
+    return F.translate(without_marks(F.lower(name)), " -", "")
+
+
+def alike(name: Column) -> Column:
+    """The name in a collation that ignores case and marks: a join or group key that keeps the spelling.
+
+    Wider than folded(): it also takes ø for o and œ for oe. Spaces and hyphens count.
+    """
+    return F.collate(name, "UNICODE_CI_AI")
 
 
 def name_key(name: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gavel.functions import urls
@@ -98,22 +98,56 @@ def types(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TYPES, "type string, has_handler boolean, has_browser boolean, has_items boolean, has_organs boolean")
 
 
+def _trimmed(column: str) -> Column:
+    return F.trim(F.coalesce(column, F.lit("")))
+
+
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """entity, url, type, base_url, problem of a semicolon-separated catalogue with a header; further fields are ignored.
 
-    problem says why a row must be left out (no name, invalid URL); rows without a URL are fine. Line order is not
-    kept: numbered() gives it where it matters.
+    problem says why a row must be left out (no name, invalid URL); rows without a URL are fine. A file whose header
+    has fewer than two fields has no rows. Line order is not kept: audit_scan() gives it where it matters.
     """
+    header = spark.read.text(path).limit(1).collect()
+    known = bool(header) and ";" in header[0]["value"]
     raw = spark.read.option("sep", ";").option("header", True).schema("entity string, url string").csv(path)
-    rows = raw.select(F.trim(F.coalesce("entity", F.lit(""))).alias("entity"), F.trim(F.coalesce("url", F.lit(""))).alias("url"))
+    rows = (raw if known else raw.limit(0)).select(_trimmed("entity").alias("entity"), _trimmed("url").alias("url"))
     problem = F.when(F.col("entity") == "", "no name").when((F.col("url") != "") & ~urls.is_valid(F.col("url")), "invalid URL")
     return rows.select("entity", "url", classify(F.col("url")).alias("type"), urls.origin(F.col("url")).alias("base_url"), problem.alias("problem"))
 
 
-def numbered(spark: SparkSession, path: str) -> DataFrame:
-    """line_no (header: 1), line of a text file; positions come from the reader, a file being one split in order."""
-    lines = spark.read.text(path, wholetext=True)
-    return lines.select(F.posexplode(F.split("value", "\r?\n")).alias("at", "line")).select((F.col("at") + 1).alias("line_no"), "line").filter("line <> ''")
+#: Most splits whose offsets are broadcast (some 100 bytes each).
+BROADCAST_SPLITS = 100_000
+
+
+def numbered(spark: SparkSession, path: str, broadcast_splits: int = BROADCAST_SPLITS) -> DataFrame:
+    """file, line_no (from 1), line of text files of any size; empty lines count, and are left out.
+
+    Each split counts its lines, prefix sums over the splits of a file say how many lines come before a split, and the
+    place within it is the row's place in its task. No task holds more than a split, and no row is moved.
+    """
+    place = F.monotonically_increasing_id()
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value", place.alias("place"))
+    splits = lines.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).select("file", "start", "first", "before")
+    splits = F.broadcast(splits) if splits.count() <= broadcast_splits else splits
+    found = lines.join(splits, ["file", "start"]).select("file", (F.col("before") + F.col("place") - F.col("first") + 1).alias("line_no"), F.col("value").alias("line"))
+    return found.filter("line <> ''")
+
+
+def audit_scan(spark: SparkSession, path: str, **options) -> DataFrame:
+    """file, line_no, entity, url, type, base_url, reason: the catalogue for an audit, each row with its line.
+
+    Rows with an invalid URL are kept. reason says why a row is left out: fewer than two fields, or no name; the rows of
+    a file whose header has fewer than two fields are all left out.
+    """
+    lines = numbered(spark, path, **options)
+    headers = lines.filter("line_no = 1").select("file", F.contains("line", F.lit(";")).alias("__known"))
+    rows = lines.filter("line_no > 1").join(headers, "file", "left").withColumn("__r", F.from_csv("line", "entity string, url string", {"sep": ";"}))
+    rows = rows.select("file", "line_no", "line", "__known", _trimmed("__r.entity").alias("entity"), _trimmed("__r.url").alias("url"))
+    reason = F.when(~F.coalesce("__known", F.lit(False)), "no header").when(~F.contains("line", F.lit(";")), "fewer than two fields").when(F.col("entity") == "", "no name")
+    return rows.select("file", "line_no", "entity", "url", classify(F.col("url")).alias("type"), urls.origin(F.col("url")).alias("base_url"), reason.alias("reason"))
 
 
 def audit(rows: DataFrame, key: str, url: str, order: str) -> DataFrame:

@@ -44,14 +44,46 @@ def unseen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return rows.join(seen.select(key).distinct(), key, "left_anti")
 
 
-def first_match(terms: DataFrame, organs: DataFrame, term: str, name: str, rule, order: str) -> DataFrame:
-    """For each term the first organ that the rule accepts, else the term itself, as `resolved`.
+#: Characters of a gram; shorter texts are looked up whole.
+GRAM = 3
 
-    The rule is no equality, so each term meets each organ; terms are what a user typed. Each keeps one map-side.
+
+def _grams(text: Column, size: Column) -> Column:
+    """Distinct substrings of a size."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(text, i, size)))
+
+
+def contained(inner: DataFrame, a: str, outer: DataFrame, b: str) -> DataFrame:
+    """Distinct (a, b) where a occurs in b, whatever their case; neither is empty. No text meets all others.
+
+    The outer texts are indexed by their grams of up to three characters. An inner text is looked up by that of its
+    grams which fewest outer texts have, and only those are compared; a gram that none has rules it out.
+    """
+    texts = outer.select(F.col(b).alias("__b")).filter(F.length("__b") > 0).distinct().withColumn("__l", F.lower("__b"))
+    sizes = F.filter(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: n <= F.length("__l"))
+    index = texts.select("__b", "__l", F.explode(F.flatten(F.transform(sizes, lambda n: _grams(F.col("__l"), n)))).alias("__g"))
+    counts = index.groupBy("__g").agg(F.count("*").alias("__n"))
+    terms = inner.select(F.col(a).alias("__a")).filter(F.length("__a") > 0).distinct().withColumn("__t", F.lower("__a"))
+    asked = terms.select("__a", "__t", F.explode(_grams(F.col("__t"), F.least(F.lit(GRAM), F.length("__t")))).alias("__g")).join(counts, "__g", "left")
+    rarest = asked.groupBy("__a", "__t").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__g").alias("g"))).alias("__r")).filter("__r.n > 0").select("__a", "__t", F.col("__r.g").alias("__g"))
+    return rarest.join(index, "__g").filter(F.contains("__l", "__t")).select(F.col("__a").alias(a), F.col("__b").alias(b))
+
+
+def first_match(terms: DataFrame, organs: DataFrame, term: str, name: str, order: str, two_way: bool = True) -> DataFrame:
+    """For each term the first organ, by `order`, whose name holds it (or, two_way, is held by it), else the term, as `resolved`.
+
+    An empty name is held by every term, an empty term by every name; null ones match nothing.
     """
-    hits = organs.join(terms, rule(F.col(name), F.col(term)))
-    best = hits.groupBy(term).agg(F.min_by(name, order).alias("__best"))
-    return terms.join(best, term, "left").withColumn("resolved", F.coalesce("__best", term)).drop("__best")
+    rank = F.struct(F.col(order).alias("o"), F.col(name).alias("n"))
+    leading = organs.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("__name")).agg(F.min(rank).alias("__rank"))
+    pairs = contained(terms, term, organs.withColumnRenamed(name, "__name"), "__name")
+    if two_way:
+        pairs = pairs.unionAll(contained(organs.select(F.col(name).alias("__name")), "__name", terms, term).select(term, "__name"))
+    hits = pairs.join(leading, "__name").groupBy(term).agg(F.min("__rank").alias("__rank"))
+    every = organs.filter(F.col(name).isNotNull()).agg(F.min(rank).alias("__any"), F.min(F.when(F.col(name) == "", rank)).alias("__empty"))
+    out = terms.join(hits, term, "left").crossJoin(F.broadcast(every))  # one row
+    best = F.when(F.col(term) == "", F.col("__any")).when(F.col(term).isNull(), None).otherwise(F.least("__rank", "__empty") if two_way else F.col("__rank"))
+    return out.withColumn("resolved", F.coalesce(best["n"], term)).drop("__rank", "__any", "__empty")
 
 
 def levels(*tables: DataFrame) -> DataFrame:

@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gavel.functions import dates, filters, urls
-from gavel.operators import ordered
-
+from gavel.operators import lookups, ordered
 
 
 def _href() -> Column:
@@ -27,19 +26,19 @@ def _whole(keys: list[str]):
     return Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def rows_of_tables(flow: DataFrame, keys: list[str]) -> DataFrame:
+def rows_of_tables(flow: DataFrame, keys: list[str], cells: tuple[str, ...] = ("td",)) -> DataFrame:
     """flow with `row` (number of the table row that an element lies in, from 1) and `cell` (of the cell in it)."""
     rows = ordered.sections(flow, F.col("tag") == "tr", keys, ["pos"], "row")
-    return ordered.sections(rows, F.col("tag") == "td", [*keys, "row"], ["pos"], "cell").filter("row > 0")
+    return ordered.sections(rows, F.col("tag").isin(*cells), [*keys, "row"], ["pos"], "cell").filter("row > 0")
 
 
 def date_first_rows(flow: DataFrame, keys: list[str], limit: Column, ending: str = ".pdf") -> DataFrame:
-    """link, name, day: documents in rows whose first cell is a date at or after limit.
+    """link, name, day: documents in rows whose first cell, a heading or not, is a date at or after limit.
 
     A link that is called nothing or "pdf" is named after its file.
     """
-    rows = rows_of_tables(flow, keys)
-    first = F.first(F.when((F.col("tag") == "td") & (F.col("cell") == 1), F.col("text")), ignorenulls=True).over(_whole([*keys, "row"]))
+    rows = rows_of_tables(flow, keys, ("td", "th"))
+    first = F.first(F.when(F.col("tag").isin("td", "th") & (F.col("cell") == 1), F.col("text")), ignorenulls=True).over(_whole([*keys, "row"]))
     found = rows.withColumn("day", dates.parsed(first, "slash")).filter(is_link(ending) & (F.col("day") >= limit))
     name = F.when(F.lower("text").isin("", "pdf"), urls.stem(_href())).otherwise(F.col("text"))
     return found.select(*keys, _href().alias("link"), name.alias("name"), "day")
@@ -87,7 +86,7 @@ def year_lists(flow: DataFrame, keys: list[str], limit: Column, ending: str = ".
     return rows.withColumn("day", dates.parsed(said, "spoken_french")).filter(F.col("day") >= limit).select(*keys, _href().alias("link"), "day")
 
 
-def inherited_dates(flow: DataFrame, keys: list[str], prefix: str, headings: tuple[str, ...] = ("h2", "h3", "strong", "b")) -> DataFrame:
+def inherited_dates(flow: DataFrame, keys: list[str], prefix: str, headings: tuple[str, ...] = ("h2", "h3", "h4", "strong", "b")) -> DataFrame:
     """link, name, day, doc_type: links below prefix, with the date of the heading above them, else that of their file name.
 
     Links to pages, and those called nothing or HTML, are left out.
@@ -136,13 +135,21 @@ def children(pages: DataFrame, found: DataFrame, path: str = "path") -> DataFram
 
 def year_pages(links: DataFrame, keys: list[str], since: Column, index: DataFrame) -> DataFrame:
     """link: the first link of each year from `since` on; a page without any is a listing itself (index: keys, link)."""
-    years = links.filter(F.col("label").rlike(r"^20\d{2}$|^19\d{2}$")).withColumn("year", F.col("label").cast("int")).filter(F.col("year") >= since)
+    years = links.filter(F.col("label").rlike(r"^20\d{2}$")).withColumn("year", F.col("label").cast("int")).filter(F.col("year") >= since)
     first = ordered.first_occurrence(years, ["year"], ["pos"], keys)
     return first.select(*keys, "year", "link").unionByName(index.join(first.select(*keys).distinct(), keys, "left_anti").select(*keys, F.lit(None).cast("int").alias("year"), "link"))
 
 
-def for_sites(links: DataFrame, sites: DataFrame, host: str = "host") -> DataFrame:
-    """links that fit the pattern of their site (host, name, pattern), on the whole link; "www." aside. Others go."""
+def for_sites(links: DataFrame, sites: DataFrame, host: str = "host", within: bool = False) -> DataFrame:
+    """links that fit the pattern of their site (host, name, pattern), on the whole link; "www." aside. Others go.
+
+    within: a site's host need only occur in a link's; where several do, the longest counts.
+    """
+    if within:
+        pairs = lookups.contained(sites.select(F.col("host").alias("__part")), "__part", links, host)
+        longest = pairs.groupBy(host).agg(F.max_by("__part", F.struct(F.length("__part"), F.col("__part"))).alias("__part"))
+        own = sites.withColumnRenamed("host", "__part")
+        return links.join(longest, host).join(own, "__part").filter("link rlike pattern").drop("__part", "pattern")
     own = sites.withColumn("__h", urls.bare_host(F.col("host"))).drop("host")
     return links.join(own, urls.bare_host(F.col(host)) == F.col("__h")).filter("link rlike pattern").drop("__h", "pattern")
 

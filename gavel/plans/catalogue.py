@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gavel.functions import names, urls
-from gavel.operators import catalogue, reports
+from gavel.operators import catalogue, lookups, reports
 from gavel.registry import query
-from gavel.session import table
+from gavel.session import scratch, table
 
 
 def _sql_test(kind: str, args: list) -> str:
@@ -167,13 +167,66 @@ def slugify_names(spark, sf_dir):
 
 
 @query(
-    f"SELECT folded, count(*) AS n, count(DISTINCT word) AS spellings FROM (SELECT word, translate(translate(lower(word), '{names.MARKED}', '{names.PLAIN}'), ' -', '') AS folded FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)) GROUP BY folded"
+    f"SELECT folded, count(*) AS n, count(DISTINCT word) AS spellings FROM (SELECT word, translate(strip_accents(lower(word)), ' -', '') AS folded FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)) GROUP BY folded"
 )
 def accent_fold_match(spark, sf_dir):
     words = table(spark, sf_dir, "documents").select(F.explode(F.split("text", " ")).alias("word"))
     return words.groupBy(names.folded(F.col("word")).alias("folded")).agg(F.count("*").alias("n"), F.countDistinct("word").alias("spellings"))
 
 
+# letters with marks beside those of Western names, composed and not; by customer, in two spellings of a town
+_SPELT = ["Ž", "ő", "ệ", "Ǻ", "ḿ", "Й", "ά", "e\u0301", "S\u0327\u030c", "ğ"]
+_SPELT_SQL = "[" + ", ".join(f"'{x}'" for x in _SPELT) + "]"
+
+
+@query(f"SELECT a.c_custkey, count(*) AS spellings, min(b.c_custkey) AS first FROM (SELECT c_custkey, c_nationkey, {_SPELT_SQL}[c_custkey % 10 + 1] || '-Stad ' || (c_custkey % 50) AS name FROM customer) a JOIN (SELECT c_custkey, strip_accents(lower({_SPELT_SQL}[c_custkey % 10 + 1])) || 'stad' || (c_custkey % 50) AS key FROM customer) b ON replace(replace(strip_accents(lower(a.name)), ' ', ''), '-', '') = b.key GROUP BY a.c_custkey")
+def accent_fold_join(spark, sf_dir):
+    """Names with marks of many scripts meet the same names without, spelt otherwise."""
+    k, n = F.col("c_custkey"), (F.col("c_custkey") % 50).cast("string")
+    mark = F.element_at(F.lit(_SPELT), (k % 10 + 1).cast("int"))
+    own = table(spark, sf_dir, "customer")
+    one = own.select("c_custkey", names.folded(F.concat(mark, F.lit("-Stad "), n)).alias("key"))
+    two = own.select(k.alias("other"), names.folded(F.concat(names.without_marks(F.lower(mark)), F.lit("STAD"), n)).alias("key"))
+    return one.join(two, "key").groupBy("c_custkey").agg(F.count("*").alias("spellings"), F.min("other").alias("first"))
+
+
+@query("SELECT name, count(*) AS n, count(DISTINCT spelt) AS spellings FROM (SELECT strip_accents(lower(c_mktsegment)) AS name, CASE c_custkey % 3 WHEN 0 THEN upper(c_mktsegment) WHEN 1 THEN lower(c_mktsegment) ELSE replace(replace(lower(c_mktsegment), 'i', 'ï'), 'e', 'ė') END AS spelt FROM customer) GROUP BY name")
+def accent_group_by(spark, sf_dir):
+    """Names grouped in a collation: spellings that differ by case and marks are one group."""
+    s, k = F.col("c_mktsegment"), F.col("c_custkey") % 3
+    spelt = F.when(k == 0, F.upper(s)).when(k == 1, F.lower(s)).otherwise(F.replace(F.replace(F.lower(s), F.lit("i"), F.lit("ï")), F.lit("e"), F.lit("ė")))
+    rows = table(spark, sf_dir, "customer").select(spelt.alias("spelt")).withColumn("name", names.alike(F.col("spelt")))
+    return rows.groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("spelt").alias("spellings")).select(names.without_marks(F.lower(F.collate("name", "UTF8_BINARY"))).alias("name"), "n", "spellings")
+
+
+_TWO = "(SELECT c_custkey AS k, CASE WHEN c_custkey % 97 = 0 THEN '' ELSE substr(c_name, 1 + CAST(c_custkey % 5 AS INT), 4 + CAST(c_custkey % 12 AS INT)) END AS term FROM customer)"
+
+
+@query(f"SELECT t.k AS c_custkey, t.term, coalesce(min_by(s_name, s_suppkey), t.term) AS resolved FROM {_TWO} t LEFT JOIN supplier ON contains(lower(s_name), lower(t.term)) OR contains(lower(t.term), lower(s_name)) GROUP BY 1, 2")
+def names_contained(spark, sf_dir):
+    """The first supplier whose name holds a term or is held by it, found by shared grams: no term meets all suppliers."""
+    k = F.col("c_custkey")
+    term = F.when(k % 97 == 0, "").otherwise(F.substr("c_name", (k % 5).cast("int") + 1, (k % 12).cast("int") + 4))
+    terms = table(spark, sf_dir, "customer").select("c_custkey", term.alias("term"))
+    return lookups.first_match(terms, table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "term", "s_name", "s_suppkey").select("c_custkey", "term", "resolved")
+
+
+_LINES = "(SELECT c_custkey AS k, CAST(c_custkey % 4 AS BIGINT) AS part, CASE WHEN c_custkey % 13 = 0 THEN '' WHEN c_custkey % 11 = 0 THEN 'alone ' || c_custkey WHEN c_custkey % 7 = 0 THEN ' ;https://h.be/' || c_custkey ELSE c_name || '; https://h.be/' || c_custkey || ' ;more' END AS line FROM customer)"
+
+
+@query(f"SELECT part, row_number() OVER (PARTITION BY part ORDER BY k) + 1 AS line_no, k, CASE WHEN k % 11 = 0 THEN 'fewer than two fields' WHEN k % 7 = 0 THEN 'no name' END AS reason FROM {_LINES} QUALIFY line <> ''")
+def audit_lines(spark, sf_dir):
+    """Lines of large catalogues by their numbers, with the reasons why some are left out."""
+    k = F.col("c_custkey")
+    line = F.when(k % 13 == 0, "").when(k % 11 == 0, F.concat(F.lit("alone "), k.cast("string"))).when(k % 7 == 0, F.concat(F.lit(" ;https://h.be/"), k.cast("string"))).otherwise(F.concat("c_name", F.lit("; https://h.be/"), k.cast("string"), F.lit(" ;more")))
+    rows = table(spark, sf_dir, "customer").select((k % 4).alias("part"), k.alias("k"), line.alias("line"))
+    headers = rows.select("part").distinct().select("part", F.lit(-1).cast("long").alias("k"), F.lit("entity;url").alias("line"))
+    path = scratch(spark, "catalogue")
+    rows.unionByName(headers).repartition(4, "part").sortWithinPartitions("part", "k").select("part", "line").write.partitionBy("part").text(path)
+    found = catalogue.audit_scan(spark, path)
+    return found.select(F.regexp_extract("file", r"part=(\d+)", 1).cast("long").alias("part"), "line_no", F.regexp_extract(F.concat("url", F.lit(" "), "entity"), r"(\d+)", 1).cast("long").alias("k"), "reason")
+
+
 @query(
     "SELECT page_id, coalesce(CASE WHEN page_id % 4 = 1 THEN 'verslag ' || page_id || '.pdf' END, CASE WHEN page_id % 4 IN (0, 2) THEN 'n' || page_id || '.pdf' END, nullif(regexp_extract(url, '/([^/?#]+)/?(?:[?#].*)?$', 1), ''), 'document') AS name, CASE page_id % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN NULL ELSE '.bin' END AS ext FROM pages"
 )

@@ -56,15 +56,15 @@ def crawl_rounds(spark, sf_dir):
     return _crawled(spark, sf_dir).groupBy("depth").agg(F.count("*").alias("found"), F.count_if(goes).alias("entered"))
 
 
-_YEARS = "(SELECT DISTINCT o_custkey AS c, year(o_orderdate) AS y FROM orders)"
+_YEARS = "(SELECT DISTINCT o_custkey AS c, year(o_orderdate) + 6 AS y FROM orders)"
 _LINK = "'/c/' || c || '/' || y"
 
 
 @query(
-    f"SELECT 'year' AS how, c AS o_custkey, {_LINK} AS link FROM {_YEARS} WHERE y >= 1996 "
+    f"SELECT 'year' AS how, c AS o_custkey, {_LINK} AS link FROM {_YEARS} WHERE y >= 2002 "
     f"UNION ALL SELECT 'last', c, {_LINK} FROM {_YEARS} QUALIFY row_number() OVER (PARTITION BY c ORDER BY y DESC) <= 3 "
     f"UNION ALL SELECT 'also', c, {_LINK} FROM {_YEARS} UNION ALL SELECT 'also', c, '/c/' || c FROM {_YEARS} GROUP BY c "
-    f"UNION ALL SELECT 'instead', c, {_LINK} FROM {_YEARS} WHERE y = 1998 UNION ALL SELECT 'instead', c, '/c/' || c FROM {_YEARS} GROUP BY c HAVING count(*) FILTER (WHERE y = 1998) = 0"
+    f"UNION ALL SELECT 'instead', c, {_LINK} FROM {_YEARS} WHERE y = 2004 UNION ALL SELECT 'instead', c, '/c/' || c FROM {_YEARS} GROUP BY c HAVING count(*) FILTER (WHERE y = 2004) = 0"
 )
 def crawl_subfolders(spark, sf_dir):
     """Which sub-folders of a page are read: by year, the newest, all with the page itself, or the page where there is none."""
@@ -72,10 +72,10 @@ def crawl_subfolders(spark, sf_dir):
     links, keys = html.anchors(root, "html", ["o_custkey"]).withColumnRenamed("href", "link"), ["o_custkey"]
     index = root.select("o_custkey", F.concat(F.lit("/c/"), F.col("o_custkey").cast("string")).alias("link"))
     ways = {
-        "year": crawl.subfolders(links, index, keys, r"/\d{4}$", "year", since=1996),
+        "year": crawl.subfolders(links, index, keys, r"/\d{4}$", "year", since=2002),
         "last": crawl.subfolders(links, index, keys, r"/\d{4}$", "last", months=24),
         "also": crawl.subfolders(links, index, keys, r"/\d{4}$", root="also"),
-        "instead": crawl.subfolders(links, index, keys, r"/1998$", root="instead"),
+        "instead": crawl.subfolders(links, index, keys, r"/2004$", root="instead"),
     }
     out = [way.select(F.lit(how).alias("how"), "o_custkey", "link") for how, way in ways.items()]
     return out[0].unionAll(out[1]).unionAll(out[2]).unionAll(out[3])

@@ -54,7 +54,7 @@ def organ_match(spark, sf_dir):
 def organ_first_match(spark, sf_dir):
     """Each term's first organ by number; a term without one stands for itself."""
     terms = spark.createDataFrame([("GER",), ("united",), ("atlantis",), ("a",)], "term string")
-    return lookups.first_match(terms, table(spark, sf_dir, "nation"), "term", "n_name", filters.organ_two_way, "n_nationkey").select("term", "resolved")
+    return lookups.first_match(terms, table(spark, sf_dir, "nation"), "term", "n_name", "n_nationkey").select("term", "resolved")
 
 
 @query("SELECT doc_id, CASE WHEN contains(lower(text), 'tion') THEN 'projet' ELSE 'definitief' END AS status, (contains(lower(text), 'de la') OR contains(lower(text), 'of the')) AS relevant FROM documents")

@@ -9,7 +9,7 @@ from gavel.functions import filters, urls
 from gavel.operators import ordered
 from gavel.registry import query
 from gavel.session import table
-from gavel.sources import html
+from gavel.sources import html, tables
 
 ANCHOR = r'<a href="([^"]*)"[^>]*>([^<]*)</a>'
 
@@ -95,11 +95,45 @@ def html_list_items(spark, sf_dir):
     return found.select("page_id", "text")
 
 
-@query("SELECT doc_id, CAST(1 AS BIGINT) AS row_no, replace(replace(replace(text, '&', ''), '<', ''), ' ', '|') AS cells FROM documents WHERE trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') <> '' AND NOT regexp_matches(text, '[\\x09-\\x0D\\x1C-\\x1F\\x{85}\\x{A0}]|^ | $|  ')")
-def html_rows_udtf(spark, sf_dir):
-    """Cells of tables built from the words of whole documents that have single spaces between them only."""
-    plain = table(spark, sf_dir, "documents").filter(~F.col("text").rlike(r"[\x09-\x0D\x1C-\x1F\x{85}\x{A0}]|^ | $|  ") & (F.col("text") != ""))
-    words = F.split(F.replace(F.replace("text", F.lit("&"), F.lit("")), F.lit("<"), F.lit("")), " ")
+_SPACE = r"[\p{Z}\x09-\x0D\x1C-\x1F\x{85}]+"
+_SINGLE = f"trim(regexp_replace(text, '{_SPACE}', ' ', 'g'), ' ')"
+_CELLS = f"(SELECT doc_id, replace(replace(t, '&', ''), '<', '') AS t FROM (SELECT doc_id, {_SINGLE} AS t FROM documents) WHERE t <> '')"
+
+
+def _tabled(spark, sf_dir) -> DataFrame:
+    """Pages with a table of one row, whose cells are the words of a document."""
+    single = F.trim(F.regexp_replace("text", _SPACE, " "))
+    words = F.split(F.replace(F.replace(single, F.lit("&"), F.lit("")), F.lit("<"), F.lit("")), " ")
     cells = F.array_join(F.transform(words, lambda w: F.concat(F.lit("<td>"), w, F.lit("</td>"))), "")
-    made = plain.select("doc_id", F.concat(F.lit("<table><tr><th>x</th></tr><tr>"), cells, F.lit("</tr></table>")).alias("html"))
-    return html.table_rows(made, "html", ["doc_id"]).select("doc_id", "row_no", F.array_join("cells", "|").alias("cells"))
+    docs = table(spark, sf_dir, "documents").filter(single != "")
+    return docs.select("doc_id", F.concat(F.lit("<table><tr><th>x</th></tr><tr>"), cells, F.lit("</tr></table>")).alias("html"))
+
+
+@query(f"SELECT doc_id, CAST(1 AS BIGINT) AS row_no, replace(t, ' ', '|') AS cells FROM {_CELLS}")
+def html_rows_udtf(spark, sf_dir):
+    """Cells of tables that are made of the words of all documents."""
+    return html.table_rows(_tabled(spark, sf_dir), "html", ["doc_id"]).select("doc_id", "row_no", F.array_join("cells", "|").alias("cells"))
+
+
+@query(f"SELECT doc_id, CAST(0 AS BIGINT) AS table_no, CAST(1 AS BIGINT) AS row_no, len(string_split(t, ' ')) AS n_cells, md5(replace(t, ' ', '|')) AS cells FROM {_CELLS}")
+def html_rows_sql(spark, sf_dir):
+    """The same as a table function in SQL; the key travels by itself."""
+    tables.register(spark)
+    _tabled(spark, sf_dir).createOrReplaceTempView("gavel_tabled")
+    return spark.sql("SELECT doc_id, table_no, row_no, CAST(size(cells) AS BIGINT) AS n_cells, md5(array_join(cells, '|')) AS cells FROM html_rows(TABLE(SELECT doc_id, html FROM gavel_tabled), 'html')")
+
+
+@query("SELECT host, count(*) AS n_links, count(DISTINCT href) AS n_targets FROM (SELECT lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)', 2)) AS host, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"[^>]*>', 1)) AS href FROM pages) GROUP BY host")
+def html_links_sql(spark, sf_dir):
+    """Links of each host, by a table function whose input is partitioned by host, grouped in the same SQL."""
+    tables.register(spark)
+    table(spark, sf_dir, "pages").select(urls.host(F.col("url")).alias("host"), "page_id", "html").createOrReplaceTempView("gavel_hosted")
+    return spark.sql("SELECT host, count(*) AS n_links, count(DISTINCT href) AS n_targets FROM html_anchors(TABLE(gavel_hosted) PARTITION BY (host), 'html') GROUP BY host")
+
+
+@query("SELECT page_id, unnest(list_transform(regexp_extract_all(html, '<li>(.*?)</li>', 1), lambda x: regexp_replace(x, '<[^>]*>', '', 'g'))) AS text, 'li' AS tag FROM pages")
+def html_elements_sql(spark, sf_dir):
+    """Elements by tag, with an attribute, as a table function."""
+    tables.register(spark)
+    table(spark, sf_dir, "pages").select("page_id", "html").createOrReplaceTempView("gavel_listed")
+    return spark.sql("SELECT page_id, text, tag FROM html_elements(TABLE(gavel_listed), 'html', 'li, dt', 'id') WHERE tag = 'li'")

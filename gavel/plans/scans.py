@@ -60,7 +60,7 @@ def scan_date_first_rows(spark, sf_dir):
     """Table rows that begin with a date."""
     day = F.when(F.col("o_orderkey") % 5 == 0, "geen datum").otherwise(F.date_format(_day(), "dd/MM/yyyy"))
     label = F.when(F.col("o_orderkey") % 2 == 0, "PDF").otherwise(_text("Doc ", _k()))
-    found = _flow(spark, sf_dir, _text("<tr><td>", day, '</td><td><a href="/d/', _k(), '.pdf">', label, '</a> <a href="/d/x.html">x</a></td></tr>'), head="<table>", tail="</table>")
+    found = _flow(spark, sf_dir, _text(F.when(F.col("o_orderkey") % 3 == 0, _text("<tr><th>", day, "</th>")).otherwise(_text("<tr><td>", day, "</td>")), '<td><a href="/d/', _k(), '.pdf">', label, '</a> <a href="/d/x.html">x</a></td></tr>'), head="<table>", tail="</table>")
     return scans.date_first_rows(found, ["o_custkey"], _limit())
 
 
@@ -121,7 +121,8 @@ def scan_year_lists(spark, sf_dir):
 @query(f"SELECT c AS o_custkey, '/pub/n-' || strftime(d, '%Y-%m-%d') || '-' || k || '.pdf' AS link, 'Notulen ' || k AS name, coalesce(last_value(CASE WHEN k % 4 = 0 THEN d END IGNORE NULLS) OVER (PARTITION BY c ORDER BY k ROWS UNBOUNDED PRECEDING), d) AS day, 'notulen' AS doc_type FROM {O}")
 def scan_inherited_dates(spark, sf_dir):
     """Links take the date of the heading above them, and their own where there is none yet."""
-    heading = F.when(F.col("o_orderkey") % 4 == 0, _text("<h2>", F.date_format(_day(), "d"), " ", _month(dates.DUTCH), " ", F.date_format(_day(), "yyyy"), "</h2>")).otherwise("<b>geen datum</b>")
+    tag = F.when(F.col("o_orderkey") % 8 == 0, "h4").otherwise("h2")
+    heading = F.when(F.col("o_orderkey") % 4 == 0, _text("<", tag, ">", F.date_format(_day(), "d"), " ", _month(dates.DUTCH), " ", F.date_format(_day(), "yyyy"), "</", tag, ">")).otherwise("<b>geen datum</b>")
     links = _text('<a href="/pub/n-', F.date_format(_day(), "yyyy-MM-dd"), "-", _k(), '.pdf">Notulen ', _k(), '</a><a href="/pub/x.pdf">HTML</a><a href="/pub/', _k(), '.html">Notulen</a><a href="/other/x.pdf">x</a>')
     return scans.inherited_dates(_flow(spark, sf_dir, _text(heading, links)), ["o_custkey"], "/pub/")
 
@@ -179,12 +180,13 @@ def scan_unit_tree(spark, sf_dir):
     return found.filter(F.size(F.split("href", "/")) == 4).select("c_nationkey", F.col("href").alias("organ"))
 
 
-YEARS_SQL = "(SELECT DISTINCT o_custkey AS c, year(o_orderdate) AS y FROM orders)"
+# years of folders are six later, so that they lie on both sides of 2000
+YEARS_SQL = "(SELECT DISTINCT o_custkey AS c, year(o_orderdate) + 6 AS y FROM orders)"
 
 
 def _folders(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Root pages (o_custkey, html), year pages (path, html) and a folder of each order in its year's page."""
-    orders = table(spark, sf_dir, "orders").withColumn("year", F.year(_day()))
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year(_day()) + 6)
     years = orders.select("o_custkey", "year").distinct()
     y = F.col("year").cast("string")
     root = _pages(years, ["o_custkey"], _text('<a href="/c/', _c(), "/", y, '" data-key="', _c(), "-", y, '">', y, '</a><a href="/c/', _c(), "/", y, '/again">', y, "</a>"), "year", '<a href="/c/x">archief</a>')
@@ -193,10 +195,10 @@ def _folders(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     return orders, root, listing.select(_text("/c/", _c(), "/", y).alias("path"), "html")
 
 
-@query("SELECT c AS o_custkey, y AS year FROM " + YEARS_SQL)
+@query("SELECT c AS o_custkey, y AS year FROM " + YEARS_SQL + " WHERE y >= 2000")
 def scan_year_list(spark, sf_dir):
     """Links whose text is a year, each once, newest first."""
-    found = html.anchors(_folders(spark, sf_dir)[1], "html", ["o_custkey"]).filter(F.col("label").rlike(r"^(19|20)\d{2}$"))
+    found = html.anchors(_folders(spark, sf_dir)[1], "html", ["o_custkey"]).filter(F.col("label").rlike(r"^20\d{2}$"))
     return found.select("o_custkey", F.col("label").cast("long").alias("year")).distinct().orderBy("o_custkey", F.desc("year"))
 
 
@@ -205,7 +207,7 @@ def scan_folder_tree(spark, sf_dir):
     """From the root to year folders to meetings; folders without a date stay."""
     _, root, listing = _folders(spark, sf_dir)
     found = html.anchors(root, "html", ["o_custkey"]).withColumnRenamed("href", "link")
-    years = scans.year_pages(found, ["o_custkey"], F.lit(1995), root.select("o_custkey", F.lit("/").alias("link")))
+    years = scans.year_pages(found, ["o_custkey"], F.lit(2001), root.select("o_custkey", F.lit("/").alias("link")))
     below = html.anchors(scans.children(listing, years.select("o_custkey", "link")), "html", ["o_custkey"])
     return below.select("o_custkey", F.col("href").alias("link"), dates.parsed(F.col("label"), "folder_label").alias("day"))
 
@@ -216,7 +218,7 @@ def scan_recursive_folders(spark, sf_dir):
     orders, root, listing = _folders(spark, sf_dir)
     keyed = lambda pages: html.elements(pages, "html", ["o_custkey"], ("a",), "data-key").filter("value is not null and text <> ''")
     level = keyed(root)
-    years = ordered.first_occurrence(level.filter(F.col("text").rlike(r"^\d{4}$") & (F.col("text").try_cast("int") >= F.year(_limit()))), ["value"], ["pos"], ["o_custkey"])
+    years = ordered.first_occurrence(level.filter(F.col("text").rlike(r"^\d{4}$") & (F.col("text").try_cast("int") >= F.year(_limit()) + 6)), ["value"], ["pos"], ["o_custkey"])
     below = keyed(scans.children(listing, years.select("o_custkey", _text("/c/", F.replace("value", F.lit("-"), F.lit("/"))).alias("link"))))
     found = level.filter(~F.col("text").rlike(r"^\d{4}$")).unionByName(below).withColumn("day", dates.parsed(F.col("text"), "folder_label"))
     return found.filter(F.col("day") >= _limit()).select("o_custkey", F.col("value").alias("key"), "day")
@@ -229,19 +231,19 @@ def scan_keyed_elements(spark, sf_dir):
     return found.filter(F.col("value") != _c()).select("o_custkey", F.col("value").alias("key")).distinct()
 
 
-@query("SELECT c AS o_custkey, y AS year, '/c/' || c || '/' || y AS link FROM " + YEARS_SQL + " WHERE y >= 1998 UNION ALL SELECT c, NULL, '/' FROM (SELECT DISTINCT o_custkey AS c FROM orders) WHERE c NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) >= 1998)")
+@query("SELECT c AS o_custkey, y AS year, '/c/' || c || '/' || y AS link FROM " + YEARS_SQL + " WHERE y >= 2004 UNION ALL SELECT c, NULL, '/' FROM (SELECT DISTINCT o_custkey AS c FROM orders) WHERE c NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) >= 1998)")
 def scan_year_navigation(spark, sf_dir):
     """The first link of each year that counts; where there is none, the index page is the listing."""
     root = _folders(spark, sf_dir)[1]
     found = html.anchors(root, "html", ["o_custkey"]).withColumnRenamed("href", "link")
-    return scans.year_pages(found, ["o_custkey"], F.lit(1998), root.select("o_custkey", F.lit("/").alias("link")))
+    return scans.year_pages(found, ["o_custkey"], F.lit(2004), root.select("o_custkey", F.lit("/").alias("link")))
 
 
-@query("SELECT k AS o_orderkey, '/c/' || c || '/' || year(d) AS path FROM " + O + " WHERE year(d) BETWEEN 1995 AND 1998")
+@query("SELECT k AS o_orderkey, '/c/' || c || '/' || (year(d) + 6) AS path FROM " + O + " WHERE year(d) BETWEEN 1995 AND 1998")
 def scan_year_parameter(spark, sf_dir):
     """Pages of all years from the limit's to the current one, whether a page links to them or not."""
     orders, _, listing = _folders(spark, sf_dir)
-    asked = orders.select("o_custkey").distinct().select("o_custkey", F.explode(F.sequence(F.lit(1995), F.lit(1998))).alias("y"))
+    asked = orders.select("o_custkey").distinct().select("o_custkey", F.explode(F.sequence(F.lit(2001), F.lit(2004))).alias("y"))
     pages = scans.children(listing.withColumn("at", F.col("path")), asked.select(_text("/c/", _c(), "/", F.col("y").cast("string")).alias("link")), "path")
     return html.anchors(pages, "html", ["at"]).select(F.regexp_extract("href", r"(\d+)$", 1).cast("long").alias("o_orderkey"), F.col("at").alias("path"))
 

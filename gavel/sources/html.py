@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 
 #: Elements that have no end tag.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+#: Elements that hold others: what they say is said by those.
+CONTAINERS = {"html", "body", "main", "header", "footer", "nav", "aside", "section", "article", "form", "fieldset", "div", "table", "thead", "tbody", "tfoot", "tr", "ul", "ol", "dl"}
 
 
 class _Collector(HTMLParser):
@@ -66,30 +68,38 @@ def _extract(pages: DataFrame, column: str, keys: list[str], schema: str, rows:
     return pages.select(*keys, column).mapInPandas(run, ", ".join([*(f"{k} {types[k]}" for k in keys), schema]))
 
 
-def anchors(pages: DataFrame, column: str, keys: list[str]) -> DataFrame:
-    """pos, href, label of each anchor with a target."""
+ANCHORS = "pos long, href string, label string"
+ELEMENTS = "pos long, tag string, value string, text string"
+OPTIONS = "pos long, value string, label string"
+ROWS = "table_no long, row_no long, cells array<string>, links array<string>"
+CARDS = "pos long, title string, link string, day string, fields map<string,string>"
 
-    def rows(text):
-        found = [e for e in parsed(text) if e[0] == "a" and "href" in e[1]]
-        return ((i, e[1]["href"], e[2].strip()) for i, e in enumerate(found))
 
-    return _extract(pages, column, keys, "pos long, href string, label string", rows)
+def anchors_of(text: str | None) -> Iterator[tuple]:
+    """ANCHORS of a page: anchors with a target."""
+    return ((i, e[1]["href"], e[2].strip()) for i, e in enumerate(e for e in parsed(text) if e[0] == "a" and "href" in e[1]))
 
 
-def elements(pages: DataFrame, column: str, keys: list[str], tags: tuple[str, ...], attribute: str = "id") -> DataFrame:
-    """pos, tag, value (of one attribute), text of each element with one of the tags."""
+def elements_of(text: str | None, tags: tuple[str, ...], attribute: str = "id") -> Iterator[tuple]:
+    """ELEMENTS of a page: elements with one of the tags, and one attribute of each."""
+    return ((i, e[0], e[1].get(attribute), e[2].strip()) for i, e in enumerate(e for e in parsed(text) if e[0] in tags))
 
-    def rows(text):
-        found = [e for e in parsed(text) if e[0] in tags]
-        return ((i, e[0], e[1].get(attribute), e[2].strip()) for i, e in enumerate(found))
 
-    return _extract(pages, column, keys, "pos long, tag string, value string, text string", rows)
+def anchors(pages: DataFrame, column: str, keys: list[str]) -> DataFrame:
+    """pos, href, label of each anchor with a target."""
+    return _extract(pages, column, keys, ANCHORS, anchors_of)
+
+
+def elements(pages: DataFrame, column: str, keys: list[str], tags: tuple[str, ...], attribute: str = "id") -> DataFrame:
+    """pos, tag, value (of one attribute), text of each element with one of the tags."""
+    return _extract(pages, column, keys, ELEMENTS, lambda text: elements_of(text, tags, attribute))
 
 
 def flow(pages: DataFrame, column: str, keys: list[str], tags: tuple[str, ...] = ()) -> DataFrame:
     """pos, last, tag, attrs, text of each element (with one of the tags, if given), in document order.
 
-    last is the position of the last element inside it, so that what an element holds lies between pos and last.
+    last is the position of the last element inside it, so that what an element holds lies between pos and last. The
+    text of an element is that of all inside it; containers have none, so that no page is passed on once a level.
     """
 
     def rows(text):
@@ -101,70 +111,73 @@ def flow(pages: DataFrame, column: str, keys: list[str], tags: tuple[str, ...] =
             open_.append(i)
         for i in open_:
             last[i] = len(found) - 1
-        return ((i, last[i], e[0], e[1], e[2].strip()) for i, e in enumerate(found) if not tags or e[0] in tags)
+        return ((i, last[i], e[0], e[1], "" if e[0] in CONTAINERS else e[2].strip()) for i, e in enumerate(found) if not tags or e[0] in tags)
 
     return _extract(pages, column, keys, "pos long, last long, tag string, attrs map<string,string>, text string", rows)
 
 
+def options_of(text: str | None, select: str) -> Iterator[tuple]:
+    """OPTIONS of one select field of a page; options without a value are left out."""
+    inside, depth, n = False, 0, 0
+    for tag, attrs, label, level in parsed(text):
+        if inside and level <= depth:
+            inside = False
+        if tag == "select" and attrs.get("name") == select:
+            inside, depth = True, level
+        elif inside and tag == "option" and attrs.get("value"):
+            yield n, attrs["value"], label.strip()
+            n += 1
+
+
 def options(pages: DataFrame, column: str, keys: list[str], select: str) -> DataFrame:
     """pos, value, label of the options of one select field; options without a value are left out."""
+    return _extract(pages, column, keys, OPTIONS, lambda text: options_of(text, select))
 
-    def rows(text):
-        inside, depth, out = False, 0, []
-        for tag, attrs, label, level in parsed(text):
-            if inside and level <= depth:
-                inside = False
-            if tag == "select" and attrs.get("name") == select:
-                inside, depth = True, level
-            elif inside and tag == "option" and attrs.get("value"):
-                out.append((attrs["value"], label.strip()))
-        return ((i, *o) for i, o in enumerate(out))
 
-    return _extract(pages, column, keys, "pos long, value string, label string", rows)
+def rows_of(text: str | None) -> Iterator[tuple]:
+    """ROWS of the tables of a page that have cells; header cells are none."""
+    table, row, own = -1, -1, None
+    for tag, attrs, label, _ in parsed(text):
+        if tag in ("table", "tr"):
+            if own and own[2]:
+                yield own
+            table, row, own = (table + 1, -1, own and None) if tag == "table" else (table, row + 1, (table, row + 1, [], []))
+        elif tag == "td" and own:
+            own[2].append(label.strip())
+        elif tag == "a" and own and "href" in attrs:
+            own[3].append(attrs["href"])
+    if own and own[2]:
+        yield own
 
 
 def table_rows(pages: DataFrame, column: str, keys: list[str]) -> DataFrame:
     """table_no, row_no, cells, links of each row that has cells; a heading row counts, but has none."""
-
-    def rows(text):
-        table, row, out = -1, -1, []
-        for tag, attrs, label, _ in parsed(text):
-            if tag == "table":
-                table, row = table + 1, -1
-            elif tag == "tr":
-                row += 1
-                out.append((table, row, [], []))
-            elif tag == "td" and out:
-                out[-1][2].append(label.strip())
-            elif tag == "a" and out and "href" in attrs:
-                out[-1][3].append(attrs["href"])
-        return (r for r in out if r[2])
-
-    return _extract(pages, column, keys, "table_no long, row_no long, cells array<string>, links array<string>", rows)
+    return _extract(pages, column, keys, ROWS, rows_of)
+
+
+def cards_of(text: str | None, css_class: str) -> Iterator[tuple]:
+    """CARDS of a page: of each element with the class the heading, first link, machine date and label/value pairs."""
+    out, card = [], None
+    for tag, attrs, label, level in parsed(text):
+        if card and level <= card[0]:
+            card = None
+        if css_class in attrs.get("class", "").split():
+            card = [level, None, None, None, {}, None]
+            out.append(card)
+        elif card:
+            if tag in ("h2", "h3", "h4") and card[1] is None:
+                card[1] = label.strip()
+            elif tag == "a" and card[2] is None and "href" in attrs:
+                card[2] = attrs["href"]
+            elif tag == "time" and card[3] is None:
+                card[3] = attrs.get("datetime")
+            elif tag == "dt":
+                card[5] = label.strip()
+            elif tag == "dd" and card[5]:
+                card[4][card[5]] = label.strip()
+    return ((i, c[1], c[2], c[3], c[4]) for i, c in enumerate(out))
 
 
 def cards(pages: DataFrame, column: str, keys: list[str], css_class: str) -> DataFrame:
     """pos, title, link, day, fields of each element with the class: its heading, first link, machine date and label/value pairs."""
-
-    def rows(text):
-        out, card = [], None
-        for tag, attrs, label, level in parsed(text):
-            if card and level <= card[0]:
-                card = None
-            if css_class in attrs.get("class", "").split():
-                card = [level, None, None, None, {}, None]
-                out.append(card)
-            elif card:
-                if tag in ("h2", "h3", "h4") and card[1] is None:
-                    card[1] = label.strip()
-                elif tag == "a" and card[2] is None and "href" in attrs:
-                    card[2] = attrs["href"]
-                elif tag == "time" and card[3] is None:
-                    card[3] = attrs.get("datetime")
-                elif tag == "dt":
-                    card[5] = label.strip()
-                elif tag == "dd" and card[5]:
-                    card[4][card[5]] = label.strip()
-        return ((i, c[1], c[2], c[3], c[4]) for i, c in enumerate(out))
-
-    return _extract(pages, column, keys, "pos long, title string, link string, day string, fields map<string,string>", rows)
+    return _extract(pages, column, keys, CARDS, lambda text: cards_of(text, css_class))
