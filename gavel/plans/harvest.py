@@ -11,6 +11,7 @@ from gavel.plans import links
 from gavel.registry import query
 from gavel.session import scratch, table
 from gavel.sources import adapters
+from gavel.streaming import watch
 
 
 LINK = f"{links.BASE} || '/' || regexp_replace(href, '^/+', '') || '-' || strftime(DATE '2024-12-31' - INTERVAL (CAST(pos * 40 + page_id % 30 AS INT)) DAY, '%Y%m%d') || '.pdf'"
@@ -155,6 +156,29 @@ def files_written(spark, sf_dir):
     return sinks.files_below(spark, path)
 
 
+@query(f"SELECT count(*) AS total, count(*) FILTER (WHERE NOT skipped AND ok) AS new, count(*) FILTER (WHERE skipped) AS skipped, count(*) FILTER (WHERE NOT skipped AND NOT ok) AS failed, true AS same FROM (SELECT *, page_id % 4 = 0 AS skipped, page_id % 4 IN (2, 3) AS ok FROM {DOCS})")
+def harvest_watched(spark, sf_dir):
+    """Counts that a listener hears while pages are harvested as a stream, one file a batch, against those of the batch job."""
+    folder, out, checkpoint = scratch(spark, "watched-in"), scratch(spark, "watched"), scratch(spark, "watched-checkpoint")
+    rows = _dated_links(spark, sf_dir).select("page_id", F.col("link").alias("url"), F.concat(F.lit("d"), F.col("page_id").cast("string"), F.lit("-"), F.col("pos").cast("string"), F.lit(".pdf")).alias("hint"))
+    rows.repartition(3, "page_id").write.parquet(folder)
+    there = rows.filter("page_id % 4 = 0").select(F.col("hint").alias("file"))
+
+    def judged(found: DataFrame) -> DataFrame:
+        missing, body = F.lit(None).cast("string"), F.when(F.col("page_id") % 4 == 1, "<html>").otherwise("%PDF-1.4")
+        return sinks.stored(found.withColumns({"disposition": missing, "content_type": F.lit("application/pdf"), "status": F.lit(200), "body": body}), there).select("file", "success", "skipped", "error")
+
+    def run() -> None:
+        stream = spark.readStream.schema("page_id long, url string, hint string").option("maxFilesPerTrigger", 1).parquet(folder)
+        watch.watched(judged(stream)).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    heard = watch.listening(spark, run)
+    written = spark.read.schema("success boolean, skipped boolean").parquet(out)
+    told = F.struct(*(F.lit(heard[c]).alias(c) for c in watch.COUNTS))
+    sums = reports.outcomes(written, [], F.col("success"), F.col("skipped"))
+    return sums.select(*(F.col(c).cast("long").alias(c) for c in watch.COUNTS), (F.struct(*(F.col(c).cast("int").alias(c) for c in watch.COUNTS)) == told).alias("same"))
+
+
 @query("SELECT n_regionkey, '{\"n\":' || count(*) || ',\"items\":[' || string_agg('{\"n_nationkey\":' || n_nationkey || ',\"n_name\":\"' || n_name || '\"}', ',' ORDER BY n_nationkey) || ']}' AS document FROM nation GROUP BY 1")
 def json_by_entity(spark, sf_dir):
     return sinks.json_documents(table(spark, sf_dir, "nation").select("n_regionkey", "n_nationkey", "n_name"), ["n_regionkey"])

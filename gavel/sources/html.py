@@ -136,12 +136,17 @@ def options(pages: DataFrame, column: str, keys: list[str], select: str) -> Data
 
 def rows_of(text: str | None) -> Iterator[tuple]:
     """ROWS of the tables of a page that have cells; header cells are none."""
-    table, row, own = -1, -1, None
-    for tag, attrs, label, _ in parsed(text):
-        if tag in ("table", "tr"):
-            if own and own[2]:
+    table, row, own, depth = -1, -1, None, 0
+    for tag, attrs, label, level in parsed(text):
+        if own and (level <= depth or tag in ("table", "tr")):
+            if own[2]:
                 yield own
-            table, row, own = (table + 1, -1, own and None) if tag == "table" else (table, row + 1, (table, row + 1, [], []))
+            own = None
+        if tag == "table":
+            table, row = table + 1, -1
+        elif tag == "tr":
+            row, depth = row + 1, level
+            own = (table, row, [], [])
         elif tag == "td" and own:
             own[2].append(label.strip())
         elif tag == "a" and own and "href" in attrs:
