@@ -1,4 +1,4 @@
 """All registered catalogue and harvest queries."""
 
-from gavel.plans import catalogue, crawl, dates, filters, harvest, links, listing, lookups, ordered, payloads, reports, scans  # noqa: F401  each registers its own
+from gavel.plans import catalogue, crawl, dates, details, filters, harvest, links, listing, lookups, ordered, payloads, reports, scans  # noqa: F401  each registers its own
 from gavel.registry import ORACLE, QUERIES  # noqa: F401

@@ -85,6 +85,8 @@ RULES: dict[str, tuple[Rule, ...]] = {
     "dutch_title": (Rule(rf"(?i)(\d{{1,2}})\s+({_NL})\s+(\d{{4}})", "DNY", _NL_NAMES),),
     "dutch_tail": (Rule(rf"(?i)-(\d{{1,2}})-({_NL})-(\d{{4}})$", "DNY", _NL_NAMES), Rule(r"GR_(\d{4})_(\d{2})_(\d{2})", "YMD")),
     "slash": (Rule(r"(\d{1,2})/(\d{1,2})/(\d{4})", "DMY"),),
+    "slash_first": (Rule(r"^(\d{1,2})/(\d{1,2})/(\d{4})", "DMY"),),
+    "slash_meeting": (Rule(r"(?iu)séance du\s+(\d{1,2})/(\d{2})/(\d{4})", "DMY"),),
     "slug": (Rule(r"^(\d{2})(\d{2})(\d{4})(?:-|$)", "DMY"),),
     "iso": (Rule(r"(\d{4})-(\d{2})-(\d{2})", "YMD"),),
     "folder_label": (Rule(r"^(\d{4})-(\d{2})-(\d{2})$", "YMD"), Rule(r"(\d{4})-(\d{2})-(\d{2})\s*$", "YMD"), Rule(r"(\d{2})-(\d{2})-(\d{4})\s*$", "DMY")),

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gavel.functions import urls
+
 # fixed values: names that one file system reserves
 RESERVED = ["CON", "PRN", "AUX", "NUL", *(f"COM{i}" for i in range(1, 10)), *(f"LPT{i}" for i in range(1, 10))]
 
@@ -42,6 +44,31 @@ def sanitise(name: Column, longest: int = 180, unicode: bool = True) -> Column:
     return F.when(value == "", F.lit("document")).otherwise(value)
 
 
+def sanitise_weakly(name: Column, longest: int = 180) -> Column:
+    """An older sink's names: separators and control characters only; reserved stems and marks stay as they are."""
+    value = F.regexp_replace(F.regexp_replace(F.coalesce(name, F.lit("")), r'[<>:"/\\|?*\x00-\x1F]', "_"), r"_+", "_")
+    value = F.substr(F.regexp_replace(value, r"^[_. ]+|[_. ]+$", ""), F.lit(1), F.lit(longest))
+    return F.when(value == "", F.lit("document")).otherwise(value)
+
+
+def page_title(title: Column, heading: Column, url: Column, site: str) -> Column:
+    """Title of a page without the site's name at its end; else its heading; else the last segment of its URL."""
+    short = F.trim(F.regexp_replace(title, rf"(?i)\s*[|–-].*{site}.*$", ""))
+    return F.coalesce(F.nullif(short, F.lit("")), F.nullif(F.trim(heading), F.lit("")), urls.last_segment(url))
+
+
+def without_remark(title: Column) -> Column:
+    """A title without the remark in brackets at its end."""
+    return F.regexp_replace(title, r"\s*\([^()]*\)\s*$", "")
+
+
+def heading_text(html: Column, tag: str = "h1") -> Column:
+    """Text of a page's first heading without that of links in it; null where there is none."""
+    inner = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
+    bare = F.regexp_replace(F.regexp_replace(inner, r"(?is)<a\b.*?</a>", ""), r"<[^>]*>", "")
+    return F.nullif(F.trim(F.regexp_replace(bare, r"\s+", " ")), F.lit(""))
+
+
 def safe_path(base: Column, parts: list[Column], name: Column) -> Column:
     """A path below base, whatever the parts hold: each is sanitised, so none can climb."""
     return F.concat_ws("/", base, *(sanitise(p) for p in parts), sanitise(name))

@@ -74,3 +74,25 @@ def entity_report(rows: DataFrame, key: str, decision: str, status: str, name: s
     shown = lambda c: F.when(F.size(c) == 0, "<p>geen</p>").otherwise(F.array_join(F.transform(c, lambda x: x["__line"]), ""))
     counts = F.concat(F.lit("<h2>"), F.size("__one").cast("string"), F.lit(" besluiten, "), F.size("__two").cast("string"), F.lit(" publicaties</h2>"))
     return made.select(key, F.concat(F.lit("<h1>"), escaped(F.col(key).cast("string")), F.lit("</h1>"), shown("__one"), counts, shown("__two")).alias("html"))
+
+
+def agenda_html(items: Column, numbered: bool = False) -> Column:
+    """A list of agenda items (array of nr, title), with their numbers or without; nothing for none."""
+    tag = "ol" if numbered else "ul"
+    number = lambda x: F.when(F.lit(numbered) & (F.coalesce(x["nr"], F.lit("")) != ""), F.concat(F.lit("<strong>"), escaped(x["nr"]), F.lit("</strong> "))).otherwise("")
+    made = F.array_join(F.transform(items, lambda x: F.concat(F.lit("<li>"), number(x), escaped(x["title"]), F.lit("</li>"))), "")
+    return F.when(F.size(items) > 0, F.concat(F.lit(f'<{tag} class="agenda">'), made, F.lit(f"</{tag}>"))).otherwise("")
+
+
+def metadata_html(fields: dict[str, Column]) -> Column:
+    """A table of names and values; empty values have no row."""
+    row = lambda name, value: F.when(F.coalesce(value.cast("string"), F.lit("")) != "", F.concat(F.lit(f"<tr><th>{name}</th><td>"), escaped(value.cast("string")), F.lit("</td></tr>"))).otherwise("")
+    return F.concat(F.lit("<table>"), *(row(n, v) for n, v in fields.items()), F.lit("</table>"))
+
+
+def decision_card(title: Column, status: Column, fields: dict[str, Column], documents: Column) -> Column:
+    """A decision with its status, metadata and links to its documents (array of name, url, local)."""
+    css = F.when(status.isin("projet", "definitif"), status).otherwise("unknown")
+    links = F.array_join(F.transform(documents, lambda d: badge(d["name"], d["url"], d["local"])), "")
+    shown = F.when(F.size(documents) > 0, F.concat(F.lit("<div>"), links, F.lit("</div>"))).otherwise("<p>geen documenten</p>")
+    return F.concat(F.lit('<article><h3 class="'), css, F.lit('">'), escaped(title), F.lit("</h3>"), metadata_html(fields), shown, F.lit("</article>"))

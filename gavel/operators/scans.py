@@ -168,3 +168,86 @@ def with_bodies(documents: DataFrame, files: DataFrame) -> DataFrame:
     """documents (file_id, inline, ...) with `target` (the file's link, if there is one) and `inline` only where it is needed."""
     joined = documents.join(files.select(F.col("id").alias("__id"), F.col("link").alias("target")), F.col("file_id") == F.col("__id"), "left").drop("__id")
     return joined.withColumn("inline", F.when(F.col("target").isNull(), F.col("inline"))).filter("target is not null or inline is not null")
+
+
+def _within(flow: DataFrame, keys: list[str], is_outer: Column, into: str = "outer") -> DataFrame:
+    """Elements inside the last element that is_outer held for, with `into`: its pos and last."""
+    rows = ordered.carried_forward(flow, F.when(is_outer, F.struct("pos", "last")), keys, ["pos"], into)
+    return rows.filter((F.col("pos") > F.col(f"{into}.pos")) & (F.col("pos") <= F.col(f"{into}.last")))
+
+
+def of_classes(classes: list[str]) -> Column:
+    """Blocks that have all of some classes."""
+    own = F.split(F.coalesce(F.col("attrs")["class"], F.lit("")), r"\s+")
+    return (F.col("tag") == "div") & F.forall(F.lit(classes), lambda c: F.array_contains(own, c))
+
+
+def dated_cards(flow: DataFrame, keys: list[str], classes: list[str], limit: Column, terms: list[str] | None = None) -> DataFrame:
+    """link, name, day: documents in cards with all of the classes and a machine date at or after limit.
+
+    Each document counts once a page; one without a text is named after its file; terms are looked for in name and link.
+    """
+    rows = _within(flow, keys, of_classes(classes), "card")
+    stamp = F.when((F.col("tag") == "time") & F.array_contains(F.split(F.col("attrs")["class"], r"\s+"), "datetime"), F.col("attrs")["datetime"])
+    rows = rows.withColumn("stamp", F.first(stamp, ignorenulls=True).over(Window.partitionBy(*keys, "card").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    found = rows.withColumn("day", F.try_to_date(F.substr("stamp", F.lit(1), F.lit(10)), "yyyy-MM-dd"))
+    found = found.filter(is_link() & F.lower(_href()).contains(".pdf") & (F.col("day") >= limit))
+    found = found.select(*keys, "pos", _href().alias("link"), F.coalesce(F.nullif("text", F.lit("")), urls.stem(_href())).alias("name"), "day")
+    once = ordered.first_occurrence(found, ["link"], ["pos"], keys)
+    return once.filter(filters.any_term([F.col("name"), F.col("link")], terms)).drop("pos")
+
+
+def publication_cards(flow: DataFrame, keys: list[str], css_class: str = "item-card") -> DataFrame:
+    """title, link: the first link of each card; cards without one go."""
+    rows = _within(flow, keys, of_classes([css_class]), "card").filter(is_link())
+    return ordered.first_occurrence(rows, [], ["pos"], [*keys, "card"]).select(*keys, F.col("text").alias("title"), _href().alias("link"))
+
+
+def agenda_lines(flow: DataFrame, keys: list[str], start: str, ends: list[str], least: int = 5, longest: int = 300) -> DataFrame:
+    """nr, item: texts between one that begins with `start` and the next that begins with one of `ends`, for pages whose
+    agenda is no list. The texts are those of elements without others inside; up to `least` characters are none."""
+    leaves = flow.filter((F.col("pos") == F.col("last")) & (F.col("text") != ""))
+    rows = ordered.sections(leaves, F.col("text").rlike(f"(?i)^{start}"), keys, ["pos"], "begun").filter("begun > 0")
+    rows = ordered.sections(rows, F.col("text").rlike(f"(?i)^(?:{'|'.join(ends)})"), keys, ["pos"], "ended").filter("ended = 0")
+    rows = rows.filter(~F.col("text").rlike(f"(?i)^{start}") & (F.length("text") > least))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("pos"))
+    return rows.select(*keys, nth.alias("nr"), F.substr("text", F.lit(1), F.lit(longest)).alias("item"))
+
+
+def agenda_items(flow: DataFrame, keys: list[str], title: str, ends: list[str]) -> DataFrame:
+    """nr, item: the list below the agenda's heading, and for pages without one the texts after it."""
+    listed = items_under_heading(flow, keys, title, ends[0].lower())
+    lines = agenda_lines(flow.join(listed.select(*keys).distinct(), keys, "left_anti"), keys, title, ends)
+    return listed.unionByName(lines)
+
+
+def attachments(links: DataFrame, base: Column, path: str = "/Agenda/Document/", download: str = "/Document/LoadAgendaItemDocument/") -> DataFrame:
+    """links (link, label, ...) to attachments, with `target`: the download that the ids in the link stand for, else the link itself."""
+    document, item = (urls.query_parameter(F.col("link"), p) for p in ("documentId", "agendaItemId"))
+    rebuilt = F.concat(base, F.lit(download), document, F.lit("?agendaItemId="), item)
+    return links.filter(F.contains("link", F.lit(path)) & (F.trim("label") != "")).withColumn("target", F.coalesce(rebuilt, urls.absolute(F.col("link"), base)))
+
+
+def semantic_items(flow: DataFrame, keys: list[str], kind: str = "besluit:Agendapunt", longest: int = 300) -> DataFrame:
+    """pos, nr, title of the agenda items that `dl` elements of a type hold: what their first value says."""
+    rows = _within(flow, keys, (F.col("tag") == "dl") & (F.col("attrs")["typeof"] == kind), "node").filter("tag = 'dd'")
+    first = ordered.first_occurrence(rows, [], ["pos"], [*keys, "node"])
+    said = F.trim(F.coalesce(F.nullif(F.col("attrs")["content"], F.lit("")), F.col("text")))
+    pattern = r"(?s)^(\d+[\w.]*\.?)\s+(.*)"
+    numbered = said.rlike(pattern)
+    title = F.trim(F.when(numbered, F.regexp_extract(said, pattern, 2)).otherwise(said))
+    return first.filter(said != "").select(*keys, F.col("node.pos").alias("pos"), F.when(numbered, F.regexp_extract(said, pattern, 1)).otherwise("").alias("nr"), F.substr(title, F.lit(1), F.lit(longest)).alias("title"))
+
+
+def found_documents(links: DataFrame, page: Column) -> DataFrame:
+    """links (link, label, ...) to documents, with kind (pdf, word, unknown), name (a usual one where the label is empty) and target."""
+    low = F.lower("link")
+    kind = F.when(low.contains(".pdf"), "pdf").when(low.contains(".doc"), "word").when(low.contains("download"), "unknown")
+    usual = F.when(low.contains(".pdf"), "document.pdf").when(low.contains(".docx"), "document.docx").when(low.contains(".doc"), "document.doc").otherwise("document")
+    return links.withColumn("kind", kind).filter("kind is not null").withColumns({"name": F.coalesce(F.nullif(F.trim("label"), F.lit("")), usual), "target": urls.absolute(F.col("link"), urls.origin(page))})
+
+
+def direct_downloads(links: DataFrame, keys: list[str], limit: Column, rules: str, path: str = "/download.ashx") -> DataFrame:
+    """link, label, day of a static list's downloads, each once; the day is read off the label, undated ones stay."""
+    found = ordered.first_occurrence(links.filter(F.contains("link", F.lit(path))), ["link"], ["pos"], keys)
+    return found.withColumn("day", dates.parsed(F.col("label"), rules)).filter(dates.since(F.col("day"), limit, True)).select(*keys, "link", "label", "day")

@@ -85,7 +85,7 @@ def _all_types(spark, sf_dir) -> DataFrame:
     month = lambda table: F.element_at(F.lit([n.split("/")[0] for n in table]), F.month(day))
     spoken = lambda table: F.concat(of("d "), month(table), of(" yyyy"))
     said = F.when(kind.isin("meetingburger", "lblod", "ibabs"), spoken(dates.DUTCH)).when(kind == "imio", spoken(dates.FRENCH)).when(kind == "hainaut", F.concat(F.lit("du "), spoken(dates.FRENCH)))
-    said = said.when(kind.isin("docodis", "idelibe", "gelinktnotuleren", "vlaamsbrabant"), of("yyyy-MM-dd")).when(kind.isin("pubcon", "brussel", "molenbeek", "ixelles", "wordpress"), of("dd/MM/yyyy")).when(kind == "schaerbeek", of("ddMMyyyy-"))
+    said = said.when(kind.isin("docodis", "idelibe", "gelinktnotuleren", "vlaamsbrabant"), of("yyyy-MM-dd")).when(kind.isin("pubcon", "brussel", "molenbeek", "wordpress"), of("dd/MM/yyyy")).when(kind == "ixelles", of("'Séance du 'dd/MM/yyyy")).when(kind == "schaerbeek", of("ddMMyyyy-"))
     dated = F.col("pos") % 7 != 3
     at_start = F.concat_ws(" ", F.when(dated, said), "label")
     label = F.when(kind == "irisnet", F.concat_ws(" ", "label", F.when(dated, of("yyyy-MM-dd")))).when(said.isNotNull(), at_start).otherwise(F.col("label"))

@@ -86,7 +86,7 @@ def paged_offsets(spark, sf_dir):
     options = {"listings": json.dumps([f"https://o{h}.be/zittingen" for h in range(3)]), "protocol": "offset", "parameter": "b_start", "step": str(STEP), "look": "gavel.sources.listing:html_page", "transport": transport, "spacing": "0"}
     pages = spark.read.format("gavel-listing").options(**options).load().filter("newest >= DATE '2024-10-01'")
     found = html.anchors(pages.select("listing", "page", "body"), "body", ["listing", "page"])
-    found = found.withColumn("link", urls.absolute(F.col("href"), F.col("listing"))).filter((urls.host(F.col("link")) == urls.host(F.col("listing"))) & (F.col("link") != F.col("listing")))
+    found = found.withColumn("link", urls.absolute(F.col("href"), urls.origin(F.col("listing")))).filter((urls.host(F.col("link")) == urls.host(F.col("listing"))) & (F.col("link") != F.col("listing")))
     found = found.withColumn("day", dates.parsed(F.col("label"), "slash"))
     kept = found.filter(F.col("day") >= F.lit("2024-10-01").cast("date"))  # a page's items are as mixed as they come
     return ordered.first_occurrence(kept, ["link"], ["page", "pos"], ["listing"]).select(urls.host(F.col("listing")).alias("host"), urls.last_segment(F.col("link")).cast("long").alias("o_orderkey"), "day")

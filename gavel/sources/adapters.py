@@ -45,7 +45,7 @@ SOURCES = {
     "icordis": Source(("dutch_url",), filter_on=("link",)),
     "linkebeek": Source(("dutch_tail",), scope=("entity",), filter_on=("label",)),
     "docodis": Source(("iso",), filter_on=("label",)),
-    "pubcon": Source(("slash",), scope=("entity",)),
+    "pubcon": Source(("slash_first",), scope=("entity",)),
     "irisnet": Source(("folder_label",), "days30", keep_undated=False, filter_on=("label",), sink=sinks.LEGACY_ANY),
     "idelibe": Source(("iso",), "days30", sink=sinks.LEGACY_ANY),
     "ibabs": Source(("dutch_title",), "clamped_next", 3, keep_undated=False, scope=("entity",)),
@@ -56,7 +56,7 @@ SOURCES = {
     "brussel": Source(("slash",), keep_undated=False),
     "molenbeek": Source(("slash",), keep_undated=False),
     "schaerbeek": Source(("slug",), keep_undated=False),
-    "ixelles": Source(("slash",)),
+    "ixelles": Source(("slash_meeting",)),
 }
 
 

@@ -39,7 +39,7 @@ def test_filters_look_where_the_type_looks(spark):
 
 def test_one_plan_equals_type_after_type(spark):
     kinds = sorted([*adapters.SOURCES, "forest"])
-    rows = [(kinds[i % 21], f"e{i % 4}", i % 17, i, f"/p{i % 29}/2024{i % 12 + 1:02d}{i % 28 + 1:02d}.pdf", f"{i % 28 + 1}/{i % 12 + 1}/2024") for i in range(600)]
+    rows = [(kinds[i % 21], f"e{i % 4}", i % 17, i, f"/p{i % 29}/2024{i % 12 + 1:02d}{i % 28 + 1:02d}.pdf", f"{i % 28 + 1}/{i % 12 + 1:02d}/2024 séance du {i % 28 + 1}/{i % 12 + 1:02d}/2024") for i in range(600)]
     found = links(spark, *rows).cache()
     one = adapters.select_documents(found, F.lit(AS_OF).cast("date")).select("type", "link", "day").collect()
     for k in ("meetingburger", "ixelles", "forest"):
