@@ -44,17 +44,14 @@ def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
 
 
 def comparable(vectors: DataFrame) -> DataFrame:
-    """usable() rows with an id and of the table's dimension, one an id.
+    """vec_id, embedding of usable() rows with an id and of the table's dimension.
 
     Vectors of different lengths have no distance: those of the length that most have take part (the longest of
-    equally frequent ones). Of rows that repeat an id the least vector, component by component, stands for it.
+    equally frequent ones).
     """
     good = usable(vectors).filter("vec_id is not null").select("vec_id", "embedding")
     sizes = good.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    good = good.filter(F.size("embedding") == sizes[0]["d"]) if sizes else good
-    if good.groupBy("vec_id").count().filter("count > 1").isEmpty():
-        return good
-    return good.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return good.filter(F.size("embedding") == sizes[0]["d"]) if sizes else good
 
 
 def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -82,8 +79,8 @@ def _fit(points: np.ndarray, k: int, rounds: int) -> np.ndarray:
 
 def fit(vectors: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE, rounds: int = ROUNDS) -> Codebooks:
     """Codebooks from at most `sample` vectors, those of the smallest id hash."""
-    rows = smallest(vectors, F.xxhash64("vec_id"), sample).select("vec_id", "embedding").collect()
-    rows.sort(key=lambda r: r["vec_id"])
+    rows = smallest(vectors, F.xxhash64("vec_id", "embedding"), sample).select("vec_id", "embedding").collect()
+    rows.sort()
     if not rows:
         return Codebooks(np.zeros((1, 1)), np.zeros((1, 1)))
     points = np.array([r["embedding"] for r in rows], dtype=np.float64)
@@ -115,7 +112,7 @@ def walk(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, enough: int)
 
 
 def index(vectors: DataFrame, books: Codebooks, copies: int) -> DataFrame:
-    """vec_id, embedding, cell for every vector that can be among the `copies` nearest, of copies the smallest ids."""
+    """row, vec_id, embedding, cell for every vector that can be among the `copies` nearest, of copies the smallest ids."""
     shared = vectors.sparkSession.sparkContext.broadcast(books)  # fixed size
 
     @F.pandas_udf("int")
@@ -127,20 +124,22 @@ def index(vectors: DataFrame, books: Codebooks, copies: int) -> DataFrame:
             pair = _nearest(points[:, :half], books.first).argmin(1) * len(books.second) + _nearest(points[:, half:], books.second).argmin(1)
             yield pd.Series(pair.astype(np.int32))
 
-    nth = F.row_number().over(Window.partitionBy("__same", "embedding").orderBy("vec_id"))
-    fewer = vectors.select("vec_id", "embedding", F.xxhash64("embedding").alias("__same")).withColumn("__n", nth).filter(F.col("__n") <= copies)
-    return fewer.select("vec_id", "embedding", cell("embedding").alias("cell"))
+    nth = F.row_number().over(Window.partitionBy("__same", "embedding").orderBy("vec_id", "row"))
+    fewer = vectors.select("row", "vec_id", "embedding", F.xxhash64("embedding").alias("__same")).withColumn("__n", nth).filter(F.col("__n") <= copies)
+    return fewer.select("row", "vec_id", "embedding", cell("embedding").alias("cell"))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, share: float = SEEN_SHARE, least: int = SEEN_LEAST, part: int = PART, **fitting) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of vectors for each query, by Euclidean distance, ties by vec_id.
 
-    Both have vec_id and embedding; a query is not its own candidate, and is looked up in vectors by its id. Vectors
-    that are null, zero or hold null or non-finite components take no part, nor do those of another length than most
-    (see comparable). Distances are computed in double precision on the original vectors. Other columns are ignored.
+    Both have vec_id and embedding; a query is not its own candidate, and is looked up in vectors by its id. Rows that
+    repeat an id are all candidates; the least of their vectors, component by component, is the query of that id, and
+    finds the others. Vectors that are null, zero or hold null or non-finite components take no part, nor do those of
+    another length than most (see comparable). Distances are computed in double precision on the original vectors,
+    component after component. Other columns are ignored.
     """
     spark = vectors.sparkSession
-    good = materialise(comparable(vectors), "ann-vectors")
+    good = materialise(comparable(vectors).withColumn("row", F.monotonically_increasing_id()), "ann-vectors")
     books = fit(good, **fitting)
     entries = materialise(index(good, books, k + 1), "ann-index")
     sizes = np.zeros(len(books.first) * len(books.second), dtype=np.int64)
@@ -160,37 +159,40 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, share: float = S
                 some, rows = batch.iloc[lo : lo + 64], []
                 points = np.array(some["embedding"].tolist(), dtype=np.float64).reshape(len(some), -1)
                 one, two = _nearest(points[:, :half], books.first), _nearest(points[:, half:], books.second)
-                for q, v, a, b in zip(some["vec_id"], some["embedding"], one, two, strict=True):
+                for q, r, v, a, b in zip(some["vec_id"], some["row"], some["embedding"], one, two, strict=True):
                     cells = np.sort(walk(a, b, sizes, enough)).astype(np.int64)
                     for own in np.split(cells, np.flatnonzero(np.diff(cells // wide)) + 1) if len(cells) else []:
-                        rows += [(q, v, own[0] // wide, p, (own % wide).tolist()) for p in range(parts[own[0] // wide])]
-                yield pd.DataFrame(rows, columns=["query_id", "vector", "group", "part", "cells"])
+                        rows += [(q, r, v, own[0] // wide, p, (own % wide).tolist()) for p in range(parts[own[0] // wide])]
+                yield pd.DataFrame(rows, columns=["query_id", "own", "vector", "group", "part", "cells"])
 
-    asked = good.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").repartition(spark.sparkContext.defaultParallelism, "vec_id")  # small rows, long walks
-    asked = asked.mapInPandas(visit, "query_id long, vector array<double>, group int, part int, cells array<int>")
+    asked = good.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").groupBy("vec_id").agg(F.min(F.struct("embedding", "row")).alias("q"))
+    asked = asked.select("vec_id", "q.row", "q.embedding").repartition(spark.sparkContext.defaultParallelism, "vec_id")  # small rows, long walks
+    asked = asked.mapInPandas(visit, "query_id long, own long, vector array<double>, group int, part int, cells array<int>")
     held = entries.withColumn("group", F.floor(F.col("cell") / wide).cast("int")).withColumn("cell", F.col("cell") % wide)
     dealt = F.element_at(F.lit([int(x) for x in parts]), F.col("group") + 1)
-    held = held.withColumn("part", F.pmod(F.xxhash64("vec_id"), dealt).cast("int"))
+    held = held.withColumn("part", F.pmod(F.xxhash64("row"), dealt).cast("int"))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            ids, points, cell = right["vec_id"].to_numpy(), np.array(right["embedding"].tolist(), dtype=np.float64), right["cell"].to_numpy()
-            for q, v, cells in zip(left["query_id"].to_numpy(), left["vector"], left["cells"], strict=True):
+            ids, rows, points, cell = right["vec_id"].to_numpy(), right["row"].to_numpy(), np.array(right["embedding"].tolist(), dtype=np.float64), right["cell"].to_numpy()
+            for q, own, v, cells in zip(left["query_id"].to_numpy(), left["own"].to_numpy(), left["vector"], left["cells"], strict=True):
                 walked = np.zeros(wide, dtype=bool)
                 walked[cells] = True
-                at = np.flatnonzero(walked[cell] & (ids != q))
-                d = np.sqrt(((points[at] - np.asarray(v, dtype=np.float64)) ** 2).sum(1))
-                best = _lowest(d, ids[at], k)
-                out.append(pd.DataFrame({"query_id": q, "vec_id": ids[at][best], "score": d[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    found = asked.groupBy("group", "part").cogroup(held.groupBy("group", "part")).applyInPandas(compare, "query_id long, vec_id long, score double")
-    nearest = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+                at = np.flatnonzero(walked[cell] & (rows != own))
+                best, d = _lowest(points[at], np.asarray(v, dtype=np.float64), ids[at], rows[at], k)
+                out.append(pd.DataFrame({"query_id": q, "vec_id": ids[at][best], "row": rows[at][best], "score": d}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "row": [], "score": []})
+
+    found = asked.groupBy("group", "part").cogroup(held.groupBy("group", "part")).applyInPandas(compare, "query_id long, vec_id long, row long, score double")
+    nearest = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id", "row"))
     return found.withColumn("rank", nearest).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _lowest(d: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k lowest distances, ties by id."""
-    near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
-    return near[np.lexsort((ids[near], d[near]))][:k]
+def _lowest(points: np.ndarray, query: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the k points nearest to the query, ties by id and row, and their distances."""
+    rough = ((points - query) ** 2).sum(1)
+    near = np.flatnonzero(rough <= np.partition(rough, k - 1)[k - 1] * (1 + 1e-9)) if len(rough) > k else np.arange(len(rough))
+    d = np.sqrt(np.cumsum((points[near] - query) ** 2, axis=1)[:, -1]) if len(near) else np.zeros(0)  # one component after the other
+    order = np.lexsort((rows[near], ids[near], d))[:k]
+    return near[order], d[order]

@@ -148,4 +148,12 @@ least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1)
 SELECT vec_id, (SELECT count(*) FROM links WHERE links.x = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN least ON least.x = vec_id
 """
 
-ORACLE = {"op2_line_dedup": LINE_DEDUP, "op3_sharding": SHARDING, "op4_repeats": REPEATS, "op5_decontamination": DECONTAMINATION, "op6_near_duplicates": NEAR, "op7_mixing": MIXING, "op11_manifest": MANIFEST, "op12_codes": CODES, "op13_near_vectors": NEAR_VECTORS}
+# every vector is compared, as the index does in tables of up to two thousand vectors; sums go component after component
+NEIGHBOURS = """
+WITH good AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id, embedding) AS row, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+asked AS (SELECT * FROM good WHERE vec_id % 100 = 0 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY v, row) = 1),
+pairs AS (SELECT a.vec_id AS query_id, b.vec_id, b.row, sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), lambda s, x: s + x)) AS score FROM asked a JOIN good b ON a.row <> b.row)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id, row) AS INTEGER) AS rank, vec_id, score FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id, row) <= 10
+"""
+
+ORACLE = {"op2_line_dedup": LINE_DEDUP, "op3_sharding": SHARDING, "op4_repeats": REPEATS, "op5_decontamination": DECONTAMINATION, "op6_near_duplicates": NEAR, "op7_mixing": MIXING, "op8_neighbours": NEIGHBOURS, "op11_manifest": MANIFEST, "op12_codes": CODES, "op13_near_vectors": NEAR_VECTORS}
