@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Paths that materialise() has written within each open scope, the innermost last.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that are written within it are deleted at its end; a path that is taken off the list that it gives stays.
+
+    For a caller that writes what it needs of the results: they cannot be read afterwards.
+    """
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    finally:
+        remove(spark, *_scopes.pop())
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete written tables."""
+    for one in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(one)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df once to the shared folder and return the written table.
 
@@ -29,6 +55,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -62,8 +90,7 @@ def discard(spark: SparkSession, *written: Bucketed | None) -> None:
     """Delete tables that nothing reads any more."""
     for one in filter(None, written):
         spark.sql(f"DROP TABLE IF EXISTS {one.name}")
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(one.path)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, one.path)
 
 
 def smallest(df: DataFrame, hashed: Column, rows: int) -> DataFrame:

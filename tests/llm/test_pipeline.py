@@ -19,6 +19,18 @@ def test_pipeline(spark, sf_dir):
     assert out.groupBy("doc_id").count().filter("count > 2").count() == 0
 
 
+def test_what_stages_write_is_removed(spark, sf_dir):
+    from pathlib import Path
+
+    from gavel.llm import storage
+
+    folder = Path(storage.shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    out = corpus_pipeline.run(spark, sf_dir)
+    left = [p.name for p in set(folder.iterdir()) - before if p.name.startswith(("pipeline-", "near-", "links-", "bench-", "mix-"))]
+    assert len(left) == 1 and left[0].startswith("pipeline-mixing") and out.count() > 0
+
+
 def awkward(spark):
     """Documents with columns of names that stages use themselves, null and very long texts, ties and repeated rows."""
     words = " ".join(f"word{i % 991} of{i % 13}" for i in range(60_000))
