@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavel.llm import decontamination, language, mixing, neardup, sharding
-from gavel.llm.storage import materialise
+from gavel.llm.storage import materialise, remove, scope
 from gavel.session import table
 
 #: Shards of the result.
@@ -70,8 +70,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents of sf_dir after all stages."""
-    docs = table(spark, sf_dir, "documents")
+    """The documents of sf_dir after all stages. What a stage has written goes once the next one's result is there."""
+    docs, earlier = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scope(spark) as written:
+            docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            own = written.pop()
+        remove(spark, *earlier)
+        earlier = [own]
     return STAGES[-1][1](spark, docs, sf_dir)
