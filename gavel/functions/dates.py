@@ -7,18 +7,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: month names by language, in the order of months; variants after a slash
-FRENCH = "janvier février/fevrier mars avril mai juin juillet août/aout septembre octobre novembre décembre/decembre".split()
-DUTCH = "januari februari maart april mei juni juli augustus/augutus september oktober november december".split()
-DUTCH_SHORT = "jan feb mrt apr mei jun jul aug sep okt nov dec".split()
+# fixed values: month names by language, and the number of each
+FRENCH = {"janvier": 1, "février": 2, "fevrier": 2, "mars": 3, "avril": 4, "mai": 5, "juin": 6, "juillet": 7, "août": 8, "aout": 8, "septembre": 9, "octobre": 10, "novembre": 11, "décembre": 12, "decembre": 12}
+DUTCH = {"januari": 1, "februari": 2, "maart": 3, "april": 4, "mei": 5, "juni": 6, "juli": 7, "augustus": 8, "augutus": 8, "september": 9, "oktober": 10, "november": 11, "december": 12}
+DUTCH_SHORT = {"jan": 1, "feb": 2, "mrt": 3, "apr": 4, "mei": 5, "jun": 6, "jul": 7, "aug": 8, "sep": 9, "okt": 10, "nov": 11, "dec": 12}
+MONTHS_URL = DUTCH | DUTCH_SHORT
 
 
-def months(*languages: list[str]) -> dict[str, int]:
-    """Number of each month name."""
-    return {name: i for names in languages for i, group in enumerate(names, 1) for name in group.split("/")}
-
-
-MONTHS_FR, MONTHS_NL, MONTHS_URL = months(FRENCH), months(DUTCH), months(DUTCH, DUTCH_SHORT)
+def month_name(month: Column, table: dict[str, int]) -> Column:
+    """The usual name of a month by its number."""
+    usual = {n: name for name, n in reversed(table.items())}
+    return F.element_at(F.lit([usual[n] for n in range(1, 13)]), month)
 
 
 @dataclass(frozen=True)
@@ -34,8 +33,8 @@ def _named(table: dict[str, int]) -> tuple[str, tuple]:
     return "|".join(sorted(table, key=lambda x: (-len(x), x))), tuple(sorted(table.items()))
 
 
-_FR, _FR_NAMES = _named(MONTHS_FR)
-_NL, _NL_NAMES = _named(MONTHS_NL)
+_FR, _FR_NAMES = _named(FRENCH)
+_NL, _NL_NAMES = _named(DUTCH)
 _URL, _URL_NAMES = _named(MONTHS_URL)
 
 _ANY = r"([a-zéûèêô]{3,9})"

@@ -9,20 +9,66 @@ from gavel.functions import urls
 
 # fixed values: hosts and ids that belong to a source type
 PLONE_HOSTS = (
-    "www.viroinval.be www.couvin.be www.herstal.be www.burdinne.be www.andenne.be www.arlon.be www.blegny.be "
-    "www.chaumont-gistoux.be www.daverdisse.be www.estinnes.be www.froidchapelle.be www.gerpinnes.be "
-    "www.grace-hollogne.be www.heron.be www.honnelles.be www.jalhay.be www.jurbise.be www.meix-devant-virton.be "
-    "www.mettet.be www.paliseul.be www.philippeville.be www.quaregnon.be www.saint-ghislain.be "
-    "www.thimister-clermont.be www.thuin.be www.wasseiges.be www.clavier.be www.braine-lalleud.be "
-    "www.villedefontaine.be www.lahulpe.be www.manage-commune.be"
-).split()
+    "www.viroinval.be",
+    "www.couvin.be",
+    "www.herstal.be",
+    "www.burdinne.be",
+    "www.andenne.be",
+    "www.arlon.be",
+    "www.blegny.be",
+    "www.chaumont-gistoux.be",
+    "www.daverdisse.be",
+    "www.estinnes.be",
+    "www.froidchapelle.be",
+    "www.gerpinnes.be",
+    "www.grace-hollogne.be",
+    "www.heron.be",
+    "www.honnelles.be",
+    "www.jalhay.be",
+    "www.jurbise.be",
+    "www.meix-devant-virton.be",
+    "www.mettet.be",
+    "www.paliseul.be",
+    "www.philippeville.be",
+    "www.quaregnon.be",
+    "www.saint-ghislain.be",
+    "www.thimister-clermont.be",
+    "www.thuin.be",
+    "www.wasseiges.be",
+    "www.clavier.be",
+    "www.braine-lalleud.be",
+    "www.villedefontaine.be",
+    "www.lahulpe.be",
+    "www.manage-commune.be",
+)
 PRESS_HOSTS = (
-    "www.bernissart.be www.floreffe.be www.waterloo.be www.fernelmont.be www.chievres.be www.verlaine.be "
-    "www.brugelette.be www.fosses-la-ville.be www.pecq.be www.herbeumont.be www.lalouviere.be rumes-online.be "
-    "www.antoing.net www.ans-ville.be www.aubange.be www.burdinne.be www.crisnee.be www.gesves.be montdelenclus.be "
-    "www.orp-jauche.be www.trooz.be www.vaux-sur-sure.be www.hastiere.be www.pontacelles.be www.province.namur.be "
-    "www.courcelles.eu"
-).split()
+    "www.bernissart.be",
+    "www.floreffe.be",
+    "www.waterloo.be",
+    "www.fernelmont.be",
+    "www.chievres.be",
+    "www.verlaine.be",
+    "www.brugelette.be",
+    "www.fosses-la-ville.be",
+    "www.pecq.be",
+    "www.herbeumont.be",
+    "www.lalouviere.be",
+    "rumes-online.be",
+    "www.antoing.net",
+    "www.ans-ville.be",
+    "www.aubange.be",
+    "www.burdinne.be",
+    "www.crisnee.be",
+    "www.gesves.be",
+    "montdelenclus.be",
+    "www.orp-jauche.be",
+    "www.trooz.be",
+    "www.vaux-sur-sure.be",
+    "www.hastiere.be",
+    "www.pontacelles.be",
+    "www.province.namur.be",
+    "www.courcelles.eu",
+)
 COMMUNES = [2, 8, 9, 10, 12, 13, 14, 16, 17, 18, 22, 26, 28, 29, 37, 40, 41, 44, 46, 53, 58, 63, 64, 65, 66, 67, 68, 69, 70, 72, 78, 80, 83, 92, 93, 97, 98, 99, 104]
 # fixed values: the cascade, in order: (kind of test, its arguments, source type)
 RULES: list[tuple[str, list, str]] = [

@@ -31,8 +31,8 @@ def _made(kinds: list, key: str = "o_orderkey"):
     return out
 
 
-def _name(table_: list[str]):
-    return F.element_at(F.lit([n.split("/")[0] for n in table_]), F.month("d"))
+def _name(table_: dict[str, int]):
+    return dates.month_name(F.month("d"), table_)
 
 
 #: How a date is written in each kind of path; whether the rules can read it back, and which day they give.

@@ -112,7 +112,7 @@ def date_forms(spark, sf_dir):
     k, day = F.col("o_orderkey"), F.add_months(_day(), 120)
     slash = F.date_format(day, "dd/MM/yyyy")
     said = F.when(k % 3 == 0, slash).when(k % 3 == 1, _text("Séance du ", slash)).otherwise(_text("le ", slash))
-    spoken = F.concat(F.date_format(day, "d "), F.element_at(F.lit([n.split("/")[0] for n in dates.FRENCH]), F.month(day)), F.date_format(day, " yyyy"))
+    spoken = F.concat(F.date_format(day, "d "), dates.month_name(F.month(day), dates.FRENCH), F.date_format(day, " yyyy"))
     text = F.when(k % 4 < 2, spoken).otherwise("sans date")
     stem = F.when(k % 4 == 0, F.date_format(day, "'pv-'yyyy-MM-dd")).when(k % 4 == 1, F.date_format(day, "'pv-'yyyy-MM-dd")).when(k % 4 == 2, "pv-2001-02-03").otherwise("pv")
     p = lambda c, rules: dates.parsed(c, rules)

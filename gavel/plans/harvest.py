@@ -82,7 +82,7 @@ def _all_types(spark, sf_dir) -> DataFrame:
     kind = F.element_at(F.lit(sorted([*adapters.SOURCES, "forest"])), (F.col("page_id") % 21 + 1).cast("int"))
     day = F.date_sub(F.lit("2024-12-31").cast("date"), (F.col("pos") * 40 + F.col("page_id") % 30).cast("int"))
     of = lambda pattern: F.date_format(day, pattern)
-    month = lambda table: F.element_at(F.lit([n.split("/")[0] for n in table]), F.month(day))
+    month = lambda table: dates.month_name(F.month(day), table)
     spoken = lambda table: F.concat(of("d "), month(table), of(" yyyy"))
     said = F.when(kind.isin("meetingburger", "lblod", "ibabs"), spoken(dates.DUTCH)).when(kind == "imio", spoken(dates.FRENCH)).when(kind == "hainaut", F.concat(F.lit("du "), spoken(dates.FRENCH)))
     said = said.when(kind.isin("docodis", "idelibe", "gelinktnotuleren", "vlaamsbrabant"), of("yyyy-MM-dd")).when(kind.isin("pubcon", "brussel", "molenbeek", "wordpress"), of("dd/MM/yyyy")).when(kind == "ixelles", of("'Séance du 'dd/MM/yyyy")).when(kind == "schaerbeek", of("ddMMyyyy-"))

@@ -40,8 +40,8 @@ def _text(*parts) -> Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
 
 
-def _month(names: list[str]) -> Column:
-    return F.element_at(F.lit([n.split("/")[0] for n in names]), F.month(_day()))
+def _month(names: dict[str, int]) -> Column:
+    return dates.month_name(F.month(_day()), names)
 
 
 def _pages(rows: DataFrame, keys: list[str], fragment: Column, order: str = "o_orderkey", head: str = "", tail: str = "") -> DataFrame:

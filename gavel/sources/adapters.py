@@ -158,7 +158,7 @@ class DateFirstAdapter(SourceAdapter):
 
 
 def french_month(day: Column) -> Column:
-    return F.element_at(F.lit([n.split("/")[0] for n in dates.FRENCH]), F.month(day))
+    return dates.month_name(F.month(day), dates.FRENCH)
 
 
 #: Adapters of the types whose listings are not plain anchors; the others share one.

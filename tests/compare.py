@@ -23,10 +23,10 @@ def plain(value):
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, float):
-        return f"{value:.6g}"
+        return repr(float(value))
     if hasattr(value, "tolist"):
         return str([plain(x) for x in value.tolist()]) if hasattr(value, "__len__") else plain(value.tolist())
-    return str(value)[:19] if hasattr(value, "isoformat") else str(value)
+    return str(value)
 
 
 def rows(columns: list[str], data) -> list[tuple]:
