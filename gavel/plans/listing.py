@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavel.functions import dates, urls
-from gavel.operators import ordered
+from gavel.operators import ordered, scans
 from gavel.registry import query
 from gavel.session import scratch, table
 from gavel.sources import html, listing, payloads
@@ -109,3 +109,14 @@ def calendar_stream(spark, sf_dir):
         if not run.recentProgress or not any(p["sources"][0]["endOffset"] != p["sources"][0]["startOffset"] for p in run.recentProgress):
             break
     return spark.read.schema("month string, id string, day date").parquet(out)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN false ELSE c_custkey % 4 <> 0 END AS reachable, CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 5 = 0 THEN 'invalid URL' END AS error FROM customer")
+def reachability(spark, sf_dir):
+    """Entities whose addresses are probed: what answers, what does not, what is no address, and what has none."""
+    k, n = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    url = F.when(k % 7 == 0, None).when(k % 5 == 0, F.concat(F.lit("ftp://r.be/"), n)).otherwise(F.concat(F.lit("https://r"), (k % 3).cast("string"), F.lit(".be/c/"), n))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", url.alias("url"))
+    there = rows.filter((k % 4 != 0) & F.col("url").startswith("https")).select("url", F.lit("x").alias("body"))
+    results = listing.probes(rows, transport=published(spark, there), spacing=0.0)
+    return scans.probed(rows, results, "url").select("c_custkey", "reachable", "error")

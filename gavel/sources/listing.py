@@ -180,6 +180,26 @@ def follow(listings: DataFrame, cursor: Cursor, column: str = "listing", tasks:
     return dealt.mapInPandas(read, SCHEMA)
 
 
+def probes(urls: DataFrame, column: str = "url", transport: str = Cursor.transport, spacing: float = fetch.SPACING) -> DataFrame:
+    """url, status, error of each distinct URL that is not null: by HEAD, and by GET where that is not answered properly.
+
+    A host's URLs are asked for by one task, one after the other.
+    """
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        send, spaced = named(transport), {}
+        for batch in batches:
+            found = []
+            for url, host in zip(batch["url"], batch["host"], strict=True):
+                spaced.setdefault(host, Spaced(spacing))()
+                found.append((url, *(fetch.probe(url, send) if urlsplit(url).scheme in ("http", "https") else (None, "invalid URL"))))
+            yield pd.DataFrame({"url": [f[0] for f in found], "status": pd.array([f[1] for f in found], dtype="Int32"), "error": pd.Series([f[2] for f in found], dtype=object)})
+
+    wanted = urls.select(F.col(column).alias("url")).filter("url is not null").distinct()
+    wanted = wanted.withColumn("host", F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)))
+    return wanted.repartition("host").mapInPandas(ask, "url string, status int, error string")
+
+
 class _Host(InputPartition):
     def __init__(self, listings: list[str], cursor: Cursor) -> None:
         self.listings, self.cursor = listings, cursor

@@ -188,3 +188,9 @@ def test_a_mirror_answers_for_a_site(spark, tmp_path):
     ask = files.mirror(str(tmp_path))
     assert ask("https://a.be/") == (200, {"Content-Type": "text/html"}, "home")
     assert ask("https://a.be/x?page=2#top")[2] == "two" and ask("https://a.be/x")[0] == 404 and ask("https://a.be/", method="HEAD") == (200, {}, "")
+
+
+def test_probes(spark):
+    urls = spark.createDataFrame([("https://a.be/x",), ("https://a.be/gone",), ("https://b.be/fails",), ("ftp://c",), (None,), ("https://a.be/x",)], "url string")
+    found = {r["url"]: (r["status"], r["error"]) for r in listing.probes(urls, transport="transports:canned", spacing=0.0).collect()}
+    assert found == {"https://a.be/x": (200, None), "https://a.be/gone": (404, None), "https://b.be/fails": (None, "timeout"), "ftp://c": (None, "invalid URL")}
