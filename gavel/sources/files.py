@@ -31,9 +31,9 @@ def opened(path: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (arrow_fs.LocalFileSystem(), path)
 
 
-def inside(name: str) -> str:
+def inside(name: str | None) -> str:
     """A relative name that cannot leave its folder; anything else is an error."""
-    parts = name.split("/")
+    parts = (name or "").split("/")
     if not name or name.startswith("/") or "\\" in name or any(p in ("", ".", "..", STAGING) for p in parts):
         raise ValueError(f"not a file name inside the folder: {name!r}")
     return name
