@@ -163,6 +163,23 @@ def compress(vectors: DataFrame, column: str = "embedding", key: str = "vec_id",
     return held.table.withColumn("__e", encode("ints")).select(key, *keep, "__e.code", "__e.error"), books.entries
 
 
+def decode(coded: DataFrame, books: np.ndarray, length: int, into: str = "embedding", scale: int = SCALE) -> DataFrame:
+    """coded with the vectors of `length` components that its codes stand for: the middles of the entries' integer cells.
+
+    An integer component is floor(scale * x), so x lies between it and the next one, over scale.
+    """
+    shared = coded.sparkSession.sparkContext.broadcast(books)  # fixed size
+
+    @F.pandas_udf("array<double>")
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            at = np.array([list(c) for c in batch], dtype=np.int64).reshape(len(batch), -1)
+            parts = shared.value[np.arange(at.shape[1])[None, :], at].reshape(len(batch), -1)[:, :length] if len(batch) else np.zeros((0, length))
+            yield pd.Series(list((parts + 0.5) / scale))
+
+    return coded.withColumn(into, read("code"))
+
+
 def label_errors(coded: DataFrame, label: str = "label", broadcast_labels: int = BROADCAST_LABELS) -> DataFrame:
     """coded with label_error: the sum of `error` over all rows of an equal label, nulls together."""
     most = F.lit(2**63 - 1).cast("decimal(38,0)")

@@ -89,3 +89,16 @@ def test_only_what_moved_is_summed(spark):
     after = codes._assigned(rows, books, 2)
     assert {r["row"]: [(m["part"], m["was"], m["now"], m["values"]) for m in r["moved"]] for r in after.collect()} == {1: [], 2: [(0, 0, 1, [9])]}
     assert sorted((r["part"], r["entry"], r["count"], r["sums"]) for r in codes._changes(after, books.entries.shape).collect()) == [(0, 0, -1, [-9]), (0, 1, 1, [9])]
+
+
+def test_decoded_vectors_are_as_far_as_the_error_says(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.integers(0, 4, 12) + rng.normal(size=12) * 0.01).tolist()) for i in range(300)]
+    out, books = codes.compress(frame(spark, rows))
+    vectors = dict(rows)
+    for r in codes.decode(out, books, 12).collect():
+        own = np.array([math.floor(4096 * x) for x in vectors[r["vec_id"]]])
+        read = np.array(r["embedding"]) * 4096 - 0.5
+        padding = books.reshape(8, books.shape[1], -1).shape[2] * 8 - 12
+        assert len(read) == 12 and padding == 4
+        assert abs(((own - read) ** 2).sum() - r["error"]) < 1e-3  # padding is zero in every entry
