@@ -13,6 +13,12 @@ from gavel.functions import dates, filters, urls
 from gavel.operators import lookups, ordered
 
 
+# fixed values: where a portal's attachments are named and where they lie, a path of downloads, the type of an agenda item
+ATTACHMENT, ATTACHED = "/Agenda/Document/", "/Document/LoadAgendaItemDocument/"
+DOWNLOAD = "/download.ashx"
+AGENDA_ITEM = "besluit:Agendapunt"
+
+
 def _href() -> Column:
     return F.col("attrs")["href"]
 
@@ -221,14 +227,14 @@ def agenda_items(flow: DataFrame, keys: list[str], title: str, ends: list[str])
     return listed.unionByName(lines)
 
 
-def attachments(links: DataFrame, base: Column, path: str = "/Agenda/Document/", download: str = "/Document/LoadAgendaItemDocument/") -> DataFrame:
+def attachments(links: DataFrame, base: Column, path: str = ATTACHMENT, download: str = ATTACHED) -> DataFrame:
     """links (link, label, ...) to attachments, with `target`: the download that the ids in the link stand for, else the link itself."""
     document, item = (urls.query_parameter(F.col("link"), p) for p in ("documentId", "agendaItemId"))
     rebuilt = F.concat(base, F.lit(download), document, F.lit("?agendaItemId="), item)
     return links.filter(F.contains("link", F.lit(path)) & (F.trim("label") != "")).withColumn("target", F.coalesce(rebuilt, urls.absolute(F.col("link"), base)))
 
 
-def semantic_items(flow: DataFrame, keys: list[str], kind: str = "besluit:Agendapunt", longest: int = 300) -> DataFrame:
+def semantic_items(flow: DataFrame, keys: list[str], kind: str = AGENDA_ITEM, longest: int = 300) -> DataFrame:
     """pos, nr, title of the agenda items that `dl` elements of a type hold: what their first value says."""
     rows = _within(flow, keys, (F.col("tag") == "dl") & (F.col("attrs")["typeof"] == kind), "node").filter("tag = 'dd'")
     first = ordered.first_occurrence(rows, [], ["pos"], [*keys, "node"])
@@ -247,7 +253,7 @@ def found_documents(links: DataFrame, page: Column) -> DataFrame:
     return links.withColumn("kind", kind).filter("kind is not null").withColumns({"name": F.coalesce(F.nullif(F.trim("label"), F.lit("")), usual), "target": urls.absolute(F.col("link"), urls.origin(page))})
 
 
-def direct_downloads(links: DataFrame, keys: list[str], limit: Column, rules: str, path: str = "/download.ashx") -> DataFrame:
+def direct_downloads(links: DataFrame, keys: list[str], limit: Column, rules: str, path: str = DOWNLOAD) -> DataFrame:
     """link, label, day of a static list's downloads, each once; the day is read off the label, undated ones stay."""
     found = ordered.first_occurrence(links.filter(F.contains("link", F.lit(path))), ["link"], ["pos"], keys)
     return found.withColumn("day", dates.parsed(F.col("label"), rules)).filter(dates.since(F.col("day"), limit, True)).select(*keys, "link", "label", "day")

@@ -160,6 +160,16 @@ class Spaced:
         self.last = time.monotonic()
 
 
+def _dealt(urls: DataFrame, column: str, name: str, tasks: int | None) -> DataFrame:
+    """Distinct URLs that are not null, as `name`, with their host; all of a host's in one task.
+
+    The number of tasks is given, for one that is not would let small partitions be read one after the other.
+    """
+    wanted = urls.select(F.col(column).alias(name)).filter(F.col(name).isNotNull()).distinct()
+    wanted = wanted.withColumn("host", F.lower(F.regexp_extract(name, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)))
+    return wanted.repartition(tasks or int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions")), "host")
+
+
 def follow(listings: DataFrame, cursor: Cursor, column: str = "listing", tasks: int | None = None) -> DataFrame:
     """The pages (SCHEMA) of the listings, each distinct URL once; a host's are read by one task, so that its requests are spaced.
 
@@ -174,13 +184,10 @@ def follow(listings: DataFrame, cursor: Cursor, column: str = "listing", tasks:
                 for row in walk(listing, cursor, spaced.setdefault(host, Spaced(cursor.spacing))):
                     yield pd.DataFrame([row], columns=names)
 
-    wanted = listings.select(F.col(column).alias("listing")).filter("listing is not null").distinct()
-    wanted = wanted.withColumn("host", F.lower(F.regexp_extract("listing", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)))
-    dealt = wanted.repartition(tasks, "host") if tasks else wanted.repartition("host")
-    return dealt.mapInPandas(read, SCHEMA)
+    return _dealt(listings, column, "listing", tasks).mapInPandas(read, SCHEMA)
 
 
-def probes(urls: DataFrame, column: str = "url", transport: str = Cursor.transport, spacing: float = fetch.SPACING) -> DataFrame:
+def probes(urls: DataFrame, column: str = "url", transport: str = Cursor.transport, spacing: float = fetch.SPACING, tasks: int | None = None) -> DataFrame:
     """url, status, error of each distinct URL that is not null: by HEAD, and by GET where that is not answered properly.
 
     A host's URLs are asked for by one task, one after the other.
@@ -195,9 +202,7 @@ def probes(urls: DataFrame, column: str = "url", transport: str = Cursor.transpo
                 found.append((url, *(fetch.probe(url, send) if urlsplit(url).scheme in ("http", "https") else (None, "invalid URL"))))
             yield pd.DataFrame({"url": [f[0] for f in found], "status": pd.array([f[1] for f in found], dtype="Int32"), "error": pd.Series([f[2] for f in found], dtype=object)})
 
-    wanted = urls.select(F.col(column).alias("url")).filter("url is not null").distinct()
-    wanted = wanted.withColumn("host", F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)))
-    return wanted.repartition("host").mapInPandas(ask, "url string, status int, error string")
+    return _dealt(urls, column, "url", tasks).mapInPandas(ask, "url string, status int, error string")
 
 
 class _Host(InputPartition):
