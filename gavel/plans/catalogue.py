@@ -187,7 +187,8 @@ def accent_fold_join(spark, sf_dir):
     own = table(spark, sf_dir, "customer")
     one = own.select("c_custkey", names.folded(F.concat(mark, F.lit("-Stad "), n)).alias("key"))
     two = own.select(k.alias("other"), names.folded(F.concat(names.without_marks(F.lower(mark)), F.lit("STAD"), n)).alias("key"))
-    return one.join(two, "key").groupBy("c_custkey").agg(F.count("*").alias("spellings"), F.min("other").alias("first"))
+    met = two.groupBy("key").agg(F.count("*").alias("n"), F.min("other").alias("first"))  # a row a key, so that its names never meet in pairs
+    return one.join(met, "key").groupBy("c_custkey").agg(F.sum("n").alias("spellings"), F.min("first").alias("first"))
 
 
 @query("SELECT name, count(*) AS n, count(DISTINCT spelt) AS spellings FROM (SELECT strip_accents(lower(c_mktsegment)) AS name, CASE c_custkey % 3 WHEN 0 THEN upper(c_mktsegment) WHEN 1 THEN lower(c_mktsegment) ELSE replace(replace(lower(c_mktsegment), 'i', 'ï'), 'e', 'ė') END AS spelt FROM customer) GROUP BY name")
