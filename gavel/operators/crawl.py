@@ -60,7 +60,7 @@ CHOICES, ROOTS = ("year", "all", "last"), ("never", "also", "instead")
 def subfolders(links: DataFrame, index: DataFrame, keys: list[str], pattern: str, choose: str = "all", since: int | None = None, months: int = 12, root: str = "never") -> DataFrame:
     """link, pos: the sub-folders of a page that are worth reading, from its links (keys, pos, link).
 
-    Links that match the pattern count once. Of these: `year` keeps those with a year in the link that is `since` or
+    Links that match the pattern count once. Of these: `year` keeps those whose last year in the link is `since` or
     later (and those without any), `last` the newest that hold so many months, by their place on the page, `all` all.
     root: whether the page itself (index: keys, link) is read too: never, also, or instead where no link matched.
     """
@@ -69,7 +69,7 @@ def subfolders(links: DataFrame, index: DataFrame, keys: list[str], pattern: str
     matched = ordered.first_occurrence(links.filter(F.col("link").rlike(pattern)).select(*keys, "pos", "link"), ["link"], ["pos"], keys)
     kept = matched
     if choose == "year":
-        year = F.regexp_extract("link", r"(?<!\d)((?:19|20)\d{2})(?!\d)", 1)
+        year = F.regexp_extract("link", r"(?s).*(?<!\d)((?:19|20)\d{2})(?!\d)", 1)  # the last one: folders above may be numbered like years
         kept = matched.filter((year == "") | (year.try_cast("int") >= since))
     elif choose == "last":
         kept = ordered.ends(matched, ordered.folders_to_read(months), keys, ["pos"], last=True)
