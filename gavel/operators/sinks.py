@@ -44,7 +44,7 @@ def stored(documents: DataFrame, manifest: DataFrame, policy: Policy | None = No
     there = manifest.select(F.col("file").alias("__path")).distinct().withColumn("__there", F.lit(True))
     at = F.concat_ws("/", F.col(folder), "file") if folder else F.col("file")
     joined = checked.join(there, at == F.col("__path"), "left").drop("__path").withColumn("skipped", F.coalesce("__there", F.lit(False)))
-    size = F.length(F.coalesce("body", F.lit("")))
+    size = F.octet_length(F.coalesce("body", F.lit("")))
     error = (
         F.when(~urls.is_valid(F.col("url")), "invalid URL")
         .when(F.col("status") != 200, F.concat(F.lit("HTTP "), F.col("status").cast("string")))
