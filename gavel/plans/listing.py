@@ -11,7 +11,7 @@ from gavel.functions import dates, urls
 from gavel.operators import ordered, scans
 from gavel.registry import query
 from gavel.session import scratch, table
-from gavel.sources import html, listing, payloads
+from gavel.sources import files, html, listing, payloads
 
 SINCE = "1995-06-01"
 
@@ -29,6 +29,17 @@ def published(spark, pages: DataFrame) -> str:
     return f"mirror:{root}"
 
 
+#: Rows of the table behind a site that make a pack of it.
+PACKED = 50_000
+
+
+def packed(spark, pages: DataFrame, rows: int) -> str:
+    """Write pages (url, body), made of so many rows, as packs; their transport. The packs grow in number, not in size."""
+    packs, root = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // PACKED), scratch(spark, "packs")
+    files.write_packs(pages, root, packs)
+    return f"packs:{packs}:{root}"
+
+
 def _units(orders: DataFrame) -> DataFrame:
     """Each customer's meetings, latest first, eight a page of JSON:API that names the next one; three hosts."""
     attributes = F.struct(F.date_format(_day(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("planned"))
@@ -44,7 +55,7 @@ def _units(orders: DataFrame) -> DataFrame:
 
 def _followed(spark, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    cursor = listing.Cursor(transport=published(spark, _units(orders)), since=listing.day_of(SINCE), spacing=0.0)
+    cursor = listing.Cursor(transport=packed(spark, _units(orders), orders.count()), since=listing.day_of(SINCE), spacing=0.0)
     starts = orders.select("o_custkey").distinct().select(F.concat(F.lit("https://h"), (F.col("o_custkey") % 3).cast("string"), F.lit(".be/units/"), F.col("o_custkey").cast("string")).alias("listing"))
     return listing.follow(starts, cursor)
 

@@ -10,13 +10,17 @@ from __future__ import annotations
 
 import time
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
 from pyarrow import fs as arrow_fs
+from pyarrow import parquet as pq
 from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 STAGING = "_staging"
@@ -158,6 +162,44 @@ def mirror(root: str) -> Callable:
     return partial(_answer, root)
 
 
+def pack_of(url: Column, packs: int) -> Column:
+    """Number of the pack that holds a URL: all pages of one path are in one."""
+    path = F.regexp_replace(F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"[?#].*$", "")
+    return F.pmod(F.crc32(path.cast("binary")), F.lit(packs)).cast("int")
+
+
+def write_packs(pages: DataFrame, path: str, packs: int) -> None:
+    """Write pages (url, body) below path in so many packs, each read whole: for sites of more pages than files are good for."""
+    rows = pages.select("url", "body", pack_of(F.col("url"), packs).alias("pack"))
+    rows.repartition(packs, "pack").write.partitionBy("pack").parquet(path)
+
+
+class _Packs:
+    """A transport that answers from packs; it keeps the one that was asked for last."""
+
+    def __init__(self, packs: int, root: str) -> None:
+        self.packs, self.root, self.at, self.pages = packs, root.rstrip("/"), None, {}
+
+    def __call__(self, url: str, method: str = "GET", timeout: float = 0) -> tuple[int, dict, str]:
+        bare = url.split("#", 1)[0]
+        pack = zlib.crc32(bare.split("://", 1)[-1].split("?", 1)[0].encode()) % self.packs
+        if pack != self.at:
+            fs, folder = opened(f"{self.root}/pack={pack}")
+            there = fs.get_file_info(folder).type != arrow_fs.FileType.NotFound
+            found = pq.read_table(folder, filesystem=fs, columns=["url", "body"], partitioning=None).to_pydict() if there else {"url": [], "body": []}
+            self.at, self.pages = pack, dict(zip(found["url"], found["body"], strict=True))
+        if bare not in self.pages:
+            return 404, {}, ""
+        body = self.pages[bare] or ""
+        return 200, {"Content-Type": "application/json" if body[:1] in "{[" else "text/html"}, "" if method == "HEAD" else body
+
+
+def unpacked(spec: str) -> Callable:
+    """A transport from packs: "<number>:<folder>"."""
+    packs, _, root = spec.partition(":")
+    return _Packs(int(packs), root)
+
+
 def register(spark) -> None:
     """Make the sink known to a session."""
     spark.dataSource.register(FileSink)

@@ -77,7 +77,7 @@ def html_page(body: str) -> Seen:
 
 @dataclass(frozen=True)
 class Cursor:
-    """How listings are walked; look, transport: "module:function", or "mirror:<folder>" for a transport."""
+    """How listings are walked; look, transport: "module:function", or "mirror:<folder>" or "packs:<number>:<folder>" for a transport."""
 
     protocol: str = "next"
     parameter: str = "page"
@@ -104,8 +104,10 @@ class Cursor:
 
 
 def named(spec: str) -> Callable:
-    """The function that "module:function" names, or a transport from a mirror."""
+    """The function that "module:function" names, or a transport from a mirror or from packs."""
     module, _, name = spec.partition(":")
+    if module == "packs":
+        return files.unpacked(name)
     return files.mirror(name) if module == "mirror" else getattr(importlib.import_module(module), name)
 
 
@@ -113,9 +115,9 @@ def with_parameter(url: str, name: str, value: object) -> str:
     return f"{url}{'&' if '?' in url else '?'}{name}={value}"
 
 
-def walk(listing: str, cursor: Cursor, pause: Callable[[], None] = lambda: None) -> Iterator[tuple]:
+def walk(listing: str, cursor: Cursor, pause: Callable[[], None] = lambda: None, ask: Callable | None = None) -> Iterator[tuple]:
     """Rows of SCHEMA for one listing. A page that fails for good, or repeats the one before, is a row with an error, and the last."""
-    ask, look = named(cursor.transport), named(cursor.look)
+    ask, look = ask or named(cursor.transport), named(cursor.look)
     begun = with_parameter(listing, cursor.since_parameter, cursor.since.isoformat()) if cursor.since and cursor.since_parameter else listing
     at, page, before = cursor.first, 0, None
     url = begun if cursor.protocol == "next" else with_parameter(begun, cursor.parameter, at)
@@ -160,37 +162,55 @@ class Spaced:
         self.last = time.monotonic()
 
 
-def _dealt(urls: DataFrame, column: str, name: str, tasks: int | None) -> DataFrame:
-    """Distinct URLs that are not null, as `name`, with their host; all of a host's in one task.
+#: Rows that are passed on together, and characters of their pages.
+TOGETHER, LONG = 500, 1 << 22
 
-    The number of tasks is given, for one that is not would let small partitions be read one after the other.
+
+def _dealt(urls: DataFrame, column: str, name: str, tasks: int | None, transport: str, spacing: float) -> DataFrame:
+    """Distinct URLs that are not null, as `name`, with their host; all of a host's in one task if requests are spaced.
+
+    Without spacing they are dealt evenly, and by packs where the transport has them. The number of tasks is given, for
+    one that is not would let small partitions be read one after the other.
     """
     wanted = urls.select(F.col(column).alias(name)).filter(F.col(name).isNotNull()).distinct()
     wanted = wanted.withColumn("host", F.lower(F.regexp_extract(name, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)))
-    return wanted.repartition(tasks or int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions")), "host")
+    tasks = tasks or int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if spacing > 0:
+        return wanted.repartition(tasks, "host")
+    if not transport.startswith("packs:"):
+        return wanted.repartition(tasks, name)
+    packs = int(transport.split(":")[1])
+    return wanted.withColumn("pack", files.pack_of(F.col(name), packs)).repartition(max(tasks, packs), "pack").sortWithinPartitions("pack")
 
 
 def follow(listings: DataFrame, cursor: Cursor, column: str = "listing", tasks: int | None = None) -> DataFrame:
-    """The pages (SCHEMA) of the listings, each distinct URL once; a host's are read by one task, so that its requests are spaced.
+    """The pages (SCHEMA) of the listings, each distinct URL once; with spacing a host's are read by one task.
 
-    Null URLs bring nothing. Pages are passed on as they come; no task holds more than one.
+    Null URLs bring nothing. Pages are passed on a few at a time; no task holds more.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spaced: dict[str, Spaced] = {}
-        names = [c.split()[0] for c in SCHEMA.split(", ")]
+        names, ask = [c.split()[0] for c in SCHEMA.split(", ")], named(cursor.transport)
+        made, size = [], 0
         for batch in batches:
             for listing, host in zip(batch["listing"], batch["host"], strict=True):
-                for row in walk(listing, cursor, spaced.setdefault(host, Spaced(cursor.spacing))):
-                    yield pd.DataFrame([row], columns=names)
+                for row in walk(listing, cursor, spaced.setdefault(host, Spaced(cursor.spacing)), ask):
+                    made.append(row)
+                    size += len(row[6] or "")
+                    if cursor.spacing > 0 or len(made) >= TOGETHER or size >= LONG:
+                        yield pd.DataFrame(made, columns=names)
+                        made, size = [], 0
+        if made:
+            yield pd.DataFrame(made, columns=names)
 
-    return _dealt(listings, column, "listing", tasks).mapInPandas(read, SCHEMA)
+    return _dealt(listings, column, "listing", tasks, cursor.transport, cursor.spacing).mapInPandas(read, SCHEMA)
 
 
 def probes(urls: DataFrame, column: str = "url", transport: str = Cursor.transport, spacing: float = fetch.SPACING, tasks: int | None = None) -> DataFrame:
     """url, status, error of each distinct URL that is not null: by HEAD, and by GET where that is not answered properly.
 
-    A host's URLs are asked for by one task, one after the other.
+    With spacing a host's URLs are asked for by one task, one after the other.
     """
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,7 +222,7 @@ def probes(urls: DataFrame, column: str = "url", transport: str = Cursor.transpo
                 found.append((url, *(fetch.probe(url, send) if urlsplit(url).scheme in ("http", "https") else (None, "invalid URL"))))
             yield pd.DataFrame({"url": [f[0] for f in found], "status": pd.array([f[1] for f in found], dtype="Int32"), "error": pd.Series([f[2] for f in found], dtype=object)})
 
-    return _dealt(urls, column, "url", tasks).mapInPandas(ask, "url string, status int, error string")
+    return _dealt(urls, column, "url", tasks, transport, spacing).mapInPandas(ask, "url string, status int, error string")
 
 
 class _Host(InputPartition):
