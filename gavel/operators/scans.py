@@ -220,11 +220,21 @@ def agenda_lines(flow: DataFrame, keys: list[str], start: str, ends: list[str],
     return rows.select(*keys, nth.alias("nr"), F.substr("text", F.lit(1), F.lit(longest)).alias("item"))
 
 
-def agenda_items(flow: DataFrame, keys: list[str], title: str, ends: list[str]) -> DataFrame:
-    """nr, item: the list below the agenda's heading, and for pages without one the texts after it."""
-    listed = items_under_heading(flow, keys, title, ends[0].lower())
-    lines = agenda_lines(flow.join(listed.select(*keys).distinct(), keys, "left_anti"), keys, title, ends)
-    return listed.unionByName(lines)
+def agenda_items(flow: DataFrame, keys: list[str], title: str, ends: list[str], least: int = 3, shortest: int = 5, longest: int = 300) -> DataFrame:
+    """nr, item: the list below the agenda's heading (`items_under_heading`), and for pages without one the texts after it
+    (`agenda_lines`). Both are told in one pass over the elements, by windows of one order."""
+    said, low = F.col("text"), F.lower("text")
+    rows = ordered.sections(flow.select(*keys, "pos", "last", "tag", "text"), F.col("tag").isin("h2", "h3") & low.contains(title), keys, ["pos"], "__b")
+    rows = ordered.sections(rows, low.contains(ends[0].lower()) & (F.col("tag") != "body"), keys, ["pos"], "__e")
+    leaf, starts = (F.col("pos") == F.col("last")) & (said != ""), said.rlike(f"(?i)^{title}")
+    rows = ordered.sections(rows, leaf & starts, keys, ["pos"], "__s")
+    rows = ordered.sections(rows, leaf & (F.col("__s") > 0) & said.rlike(f"(?i)^(?:{'|'.join(ends)})"), keys, ["pos"], "__t")
+    item = (F.col("__b") > 0) & (F.col("__e") == 0) & (F.col("tag") == "li") & (F.length("text") > least)
+    line = leaf & (F.col("__s") > 0) & (F.col("__t") == 0) & ~starts & (F.length("text") > shortest)
+    rows = rows.withColumns({"__item": item, "__line": line}).filter("__item or __line").withColumn("__listed", F.max("__item").over(_whole(keys)))
+    rows = rows.filter(F.when(F.col("__listed"), F.col("__item")).otherwise(F.col("__line")))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("pos"))
+    return rows.select(*keys, nth.alias("nr"), F.when(F.col("__listed"), said).otherwise(F.substr("text", F.lit(1), F.lit(longest))).alias("item"))
 
 
 def attachments(links: DataFrame, base: Column, path: str = ATTACHMENT, download: str = ATTACHED) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from gavel.functions import dates, filters, names
 from gavel.operators import reports, scans
-from gavel.plans.scans import O, _c, _day, _flow, _k, _limit, _month, _pages, _text
+from gavel.plans.scans import O, _c, _customers, _day, _flow, _k, _limit, _lines, _month, _pages, _text
 from gavel.registry import query
-from gavel.session import table
+from gavel.session import spread, table
 from gavel.sources import html
 
 KEYS = ["o_custkey"]
@@ -30,12 +30,12 @@ def scan_classed_cards(spark, sf_dir):
 def scan_item_cards(spark, sf_dir):
     """Decisions and publications in one table: publications have a title and a link only; cards without a link go."""
     k = F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders")
+    orders, n = _customers(spark, sf_dir)
     status = F.when(k % 2 == 0, "projet").otherwise("definitief")
     decision = F.when(k % 3 == 0, _text('<div class="item-card"><h3>B ', _k(), '</h3><a href="/b/', _k(), '">x</a><dl><dt>Status</dt><dd>', status, "</dd></dl></div>")).otherwise("")
     publication = F.when(k % 3 == 1, _text('<div class="item-card x"><a href="/p/', _k(), '">P ', _k(), '</a><a href="/q">q</a></div>')).otherwise('<div class="item-card">none</div>')
     one = html.cards(_pages(orders, KEYS, decision), "html", KEYS, "item-card").select(F.lit("decision").alias("kind"), *KEYS, "title", "link", F.col("fields")["Status"].alias("status"))
-    two = scans.publication_cards(html.flow(_pages(orders, KEYS, publication), "html", KEYS), KEYS).withColumn("kind", F.lit("publication"))
+    two = scans.publication_cards(spread(html.flow(_pages(orders, KEYS, publication), "html", KEYS), n, *KEYS), KEYS).withColumn("kind", F.lit("publication"))
     return one.unionByName(two, allowMissingColumns=True)
 
 
@@ -44,10 +44,11 @@ def scan_agenda_forms(spark, sf_dir):
     """Agendas as lists, and for every second page as lines between two markers; short lines are none."""
     n = F.col("l_linenumber").cast("string")
     said = F.when(F.col("l_linenumber") % 3 == 0, "x").otherwise(_text("Punt ", n))
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.first(said).alias("said"))
+    own, of = _lines(spark, sf_dir)
+    rows = own.groupBy("l_orderkey", "l_linenumber").agg(F.first(said).alias("said"))
     listed = _pages(rows.filter("l_orderkey % 2 = 0"), ["l_orderkey"], _text("<li>", F.col("said"), "</li>"), "l_linenumber", "<h2>Agendapunten</h2><ol>", "</ol><h2>Bijlagen</h2><ul><li>Bijlage</li></ul>")
     lines = _pages(rows.filter("l_orderkey % 2 = 1"), ["l_orderkey"], _text("<p>", F.col("said"), "</p>"), "l_linenumber", "<p>Welkom op deze site</p><b>Agendapunten</b>", "<b>Inloggen</b><p>Contacteer ons</p>")
-    flow = html.flow(listed.unionByName(lines), "html", ["l_orderkey"])
+    flow = spread(html.flow(listed.unionByName(lines), "html", ["l_orderkey"]), of, "l_orderkey")
     return scans.agenda_items(flow, ["l_orderkey"], "agendapunten", ["Bijlagen", "iBabs", "Inloggen"])
 
 

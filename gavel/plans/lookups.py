@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gavel.operators import lookups
 from gavel.registry import query
-from gavel.session import table
+from gavel.session import spread, table
 
 
 @query("SELECT c_custkey, coalesce(n_name, 'onbekend') AS n_name FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON c_nationkey = n_nationkey")
@@ -73,9 +73,10 @@ def anti_seen(spark, sf_dir):
 @query("SELECT o_orderkey, 1 AS level, 'order' AS name FROM orders UNION ALL SELECT o_orderkey, 2, 'line ' || l_linenumber FROM orders JOIN lineitem ON o_orderkey = l_orderkey UNION ALL SELECT o_orderkey, 3, p_name FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey")
 def tree_expand(spark, sf_dir):
     """Meetings, their items and the items' documents as levels of one table."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    lines = orders.join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-    parts = lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    orders, items, part = table(spark, sf_dir, "orders").select("o_orderkey"), table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber"), table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    n = items.count()
+    lines = spread(orders, n, "o_orderkey").join(spread(items, n, "l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    parts = spread(lines, n, "l_partkey").join(spread(part, n, "p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
     level = lambda df, n, name: df.select("o_orderkey", F.lit(n).alias("level"), name.alias("name"))
     return lookups.levels(level(orders, 1, F.lit("order")), level(lines, 2, F.concat(F.lit("line "), F.col("l_linenumber").cast("string"))), level(parts, 3, F.col("p_name")))
 

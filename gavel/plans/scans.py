@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gavel.functions import dates
 from gavel.operators import ordered, reports, scans
 from gavel.registry import query
-from gavel.session import table
+from gavel.session import spread, table
 from gavel.sources import html
 
 O = "(SELECT o_orderkey AS k, o_custkey AS c, CAST(o_orderdate AS DATE) AS d FROM orders)"  # noqa: E741
@@ -50,9 +50,24 @@ def _pages(rows: DataFrame, keys: list[str], fragment: Column, order: str = "o_o
     return rows.groupBy(*keys).agg(F.concat(F.lit(head), F.array_join(F.transform(parts, lambda p: p["h"]), ""), F.lit(tail)).alias("html"))
 
 
+def _customers(spark, sf_dir) -> tuple[DataFrame, int]:
+    """Orders, a customer's in one task, and how many there are."""
+    orders = table(spark, sf_dir, "orders")
+    n = orders.count()
+    return spread(orders, n, "o_custkey"), n
+
+
 def _flow(spark, sf_dir, fragment: Column, **options) -> DataFrame:
     """Elements of one page a customer, made of the orders."""
-    return html.flow(_pages(table(spark, sf_dir, "orders"), ["o_custkey"], fragment, **options), "html", ["o_custkey"])
+    orders, n = _customers(spark, sf_dir)
+    return spread(html.flow(_pages(orders, ["o_custkey"], fragment, **options), "html", ["o_custkey"]), n, "o_custkey")
+
+
+def _lines(spark, sf_dir) -> tuple[DataFrame, int]:
+    """Order lines, an order's in one task, and how many there are."""
+    lines = table(spark, sf_dir, "lineitem")
+    n = lines.count()
+    return spread(lines, n, "l_orderkey"), n
 
 
 @query(f"SELECT c AS o_custkey, '/d/' || k || '.pdf' AS link, CASE WHEN k % 2 = 0 THEN CAST(k AS VARCHAR) ELSE 'Doc ' || k END AS name, d AS day FROM {O} WHERE k % 5 <> 0 AND d >= DATE '1995-06-01'")
@@ -89,7 +104,7 @@ def scan_cards(spark, sf_dir):
     """Cards with a heading, a link, label and value pairs, and sometimes a machine date."""
     time = F.when(F.col("o_orderkey") % 3 != 0, _text('<time datetime="', F.date_format(_day(), "yyyy-MM-dd"), 'T10:00:00">x</time>')).otherwise("")
     card = _text('<div class="item card"><h3>B ', _k(), '</h3><a href="/b/', _k(), '">x</a>', time, "<dl><dt>Status</dt><dd>", F.when(F.col("o_orderkey") % 2 == 0, "projet").otherwise("definitief"), "</dd></dl></div><p>between</p>")
-    found = html.cards(_pages(table(spark, sf_dir, "orders"), ["o_custkey"], card), "html", ["o_custkey"], "card")
+    found = html.cards(_pages(_customers(spark, sf_dir)[0], ["o_custkey"], card), "html", ["o_custkey"], "card")
     return found.select("o_custkey", "title", "link", F.col("fields")["Status"].alias("status"), dates.parsed(F.col("day"), "iso").alias("day"))
 
 
@@ -111,11 +126,12 @@ def scan_first_link_of_heading(spark, sf_dir):
 @query(f"SELECT c AS o_custkey, unnest(['/a' || k || '.pdf', '/b' || k || '.pdf']) AS link, d AS day FROM {O} WHERE d >= DATE '1995-01-01'")
 def scan_year_lists(spark, sf_dir):
     """Lists below years, newest first; reading ends at the first year that is too old."""
-    rows = table(spark, sf_dir, "orders").withColumn("year", F.year(_day()))
+    orders, n = _customers(spark, sf_dir)
+    rows = orders.withColumn("year", F.year(_day()))
     item = _text("<li>", F.date_format(_day(), "d"), " ", _month(dates.FRENCH), ': <a href="/a', _k(), '.pdf">A</a> <a href="/b', _k(), '.pdf">B</a></li>')
     lists = _pages(rows, ["o_custkey", "year"], item).withColumn("newest", -F.col("year"))
     pages = _pages(lists, ["o_custkey"], _text("<h3>", F.col("year").cast("string"), "</h3><ul>", F.col("html"), "</ul>"), "newest")
-    return scans.year_lists(html.flow(pages, "html", ["o_custkey"]), ["o_custkey"], F.lit("1995-01-01").cast("date"))
+    return scans.year_lists(spread(html.flow(pages, "html", ["o_custkey"]), n, "o_custkey"), ["o_custkey"], F.lit("1995-01-01").cast("date"))
 
 
 @query(f"SELECT c AS o_custkey, '/pub/n-' || strftime(d, '%Y-%m-%d') || '-' || k || '.pdf' AS link, 'Notulen ' || k AS name, coalesce(last_value(CASE WHEN k % 4 = 0 THEN d END IGNORE NULLS) OVER (PARTITION BY c ORDER BY k ROWS UNBOUNDED PRECEDING), d) AS day, 'notulen' AS doc_type FROM {O}")
@@ -150,8 +166,9 @@ def _organ_links(spark, sf_dir) -> DataFrame:
     """Links of organ pages, one page a customer: meetings of two organs, a static page, another host and an unknown form."""
     slug = F.element_at(F.lit(["raad", "college", "nieuws"]), (F.col("o_orderkey") % 3 + 1).cast("int"))
     links = _text('<a href="https://h.be/', slug, "/", _uuid(_k()), '">Zitting ', slug, " ", F.date_format(_day(), "d/M/yyyy"), '</a><a href="https://x.be/', slug, "/", _uuid(_k()), '">other</a><a href="https://h.be/raad/', _k(), '">no id</a><a href="https://h.be/raad/', _uuid(_k()), '/deel">deep</a>')
-    found = html.anchors(_pages(table(spark, sf_dir, "orders"), ["o_custkey"], links), "html", ["o_custkey"]).withColumnRenamed("href", "link")
-    return scans.two_part_links(found, F.lit("h.be"), ("nieuws",))
+    orders, n = _customers(spark, sf_dir)
+    found = html.anchors(_pages(orders, ["o_custkey"], links), "html", ["o_custkey"]).withColumnRenamed("href", "link")
+    return spread(scans.two_part_links(found, F.lit("h.be"), ("nieuws",)), n, "o_custkey")
 
 
 @query("SELECT c AS o_custkey, slug, 'Zitting ' || slug AS name FROM (SELECT DISTINCT o_custkey AS c, CASE o_orderkey % 3 WHEN 0 THEN 'raad' ELSE 'college' END AS slug FROM orders WHERE o_orderkey % 3 < 2)")
@@ -293,9 +310,10 @@ def scan_agenda_items(spark, sf_dir):
     """Items between the agenda's heading and the marker after it; very short ones are none."""
     n = F.col("l_linenumber").cast("string")
     item = F.when(F.col("l_linenumber") % 3 == 0, "<li>x</li>").otherwise(_text("<li>Punt ", n, "</li>"))
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.first(item).alias("item"))
+    lines, of = _lines(spark, sf_dir)
+    rows = lines.groupBy("l_orderkey", "l_linenumber").agg(F.first(item).alias("item"))
     pages = _pages(rows, ["l_orderkey"], F.col("item"), "l_linenumber", "<ul><li>Menu</li></ul><h2>Agenda van de zitting</h2><ol>", "</ol><h2>Bijlagen</h2><ul><li>Bijlage</li></ul>")
-    return scans.items_under_heading(html.flow(pages, "html", ["l_orderkey"]), ["l_orderkey"], "agenda", "bijlagen")
+    return scans.items_under_heading(spread(html.flow(pages, "html", ["l_orderkey"]), of, "l_orderkey"), ["l_orderkey"], "agenda", "bijlagen")
 
 
 SITES = [("www.h0.be", "Nul", r"/files/.*\.pdf"), ("h1.be", "Een", r"(?i)/PV/[0-9]+"), ("h2.be", "Twee", r"\?id=\d*7$")]

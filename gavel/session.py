@@ -28,6 +28,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a table that one task sorts or groups.
+PER_TASK = 250_000
+
+
+def spread(rows: DataFrame, of: int, *keys: str) -> DataFrame:
+    """rows dealt by keys to as many tasks as a table of so many rows needs, where the session's own number is too small.
+
+    A task's memory then stays the same however large the table is; groups, windows and joins by these keys need no
+    further shuffle.
+    """
+    tasks = of // PER_TASK
+    return rows.repartition(tasks, *keys) if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder below spark.checkpoint.dir, which all machines see; a temporary one where that is unset (a local test)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
