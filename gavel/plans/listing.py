@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gavel.functions import dates, urls
 from gavel.operators import ordered, scans
 from gavel.registry import query
-from gavel.session import scratch, table
+from gavel.session import scratch, spread, table
 from gavel.sources import files, html, listing, payloads
 
 SINCE = "1995-06-01"
@@ -53,11 +53,12 @@ def _units(orders: DataFrame) -> DataFrame:
     return page.select(F.concat(F.lit("https://h"), (F.col("o_custkey") % 3).cast("string"), F.lit(".be"), path(F.col("at"))).alias("url"), body.alias("body"))
 
 
-def _followed(spark, sf_dir: str) -> DataFrame:
+def _followed(spark, sf_dir: str, bodies: bool = True) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    cursor = listing.Cursor(transport=packed(spark, _units(orders), orders.count()), since=listing.day_of(SINCE), spacing=0.0)
+    n = orders.count()
+    cursor = listing.Cursor(transport=packed(spark, _units(spread(orders, n, "o_custkey")), n), since=listing.day_of(SINCE), spacing=0.0)
     starts = orders.select("o_custkey").distinct().select(F.concat(F.lit("https://h"), (F.col("o_custkey") % 3).cast("string"), F.lit(".be/units/"), F.col("o_custkey").cast("string")).alias("listing"))
-    return listing.follow(starts, cursor)
+    return listing.follow(starts, cursor, bodies=bodies)
 
 
 @query(f"SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderdate >= DATE '{SINCE}'")
@@ -71,7 +72,7 @@ def paged_meetings(spark, sf_dir):
 @query(f"SELECT o_custkey, least((count(*) + 7) // 8, count(*) FILTER (WHERE o_orderdate >= DATE '{SINCE}') // 8 + 1) AS pages, 0 AS failed FROM orders GROUP BY 1")
 def paged_requests(spark, sf_dir):
     """How many pages of each listing were asked for: none after the first that has something older."""
-    pages = _followed(spark, sf_dir)
+    pages = _followed(spark, sf_dir, bodies=False)
     return pages.groupBy(F.regexp_extract("listing", r"(\d+)$", 1).cast("long").alias("o_custkey")).agg(F.count("*").alias("pages"), F.count("error").alias("failed"))
 
 

@@ -37,7 +37,8 @@ def kind_of(error: Exception) -> str:
 
 def fetch(url: str, ask=request, attempts: int = ATTEMPTS, delay: float = DELAY, sleep=time.sleep) -> tuple[int | None, dict, str, str | None]:
     """Status, headers, body, error of a URL; failures and passing errors are tried again after a growing pause."""
-    if urlsplit(url).scheme not in ("http", "https") or not urlsplit(url).netloc:
+    parts = urlsplit(url)
+    if parts.scheme not in ("http", "https") or not parts.netloc:
         return None, {}, "", "invalid URL"
     for n in range(1, attempts + 1):
         try:

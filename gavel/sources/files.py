@@ -171,7 +171,7 @@ def pack_of(url: Column, packs: int) -> Column:
 def write_packs(pages: DataFrame, path: str, packs: int) -> None:
     """Write pages (url, body) below path in so many packs, each read whole: for sites of more pages than files are good for."""
     rows = pages.select("url", "body", pack_of(F.col("url"), packs).alias("pack"))
-    rows.repartition(packs, "pack").write.partitionBy("pack").parquet(path)
+    rows.repartitionById(packs, "pack").write.partitionBy("pack").parquet(path)
 
 
 class _Packs:

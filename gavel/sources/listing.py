@@ -23,6 +23,7 @@ from datetime import date
 from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, GreaterThan, GreaterThanOrEqual, InputPartition
@@ -53,6 +54,14 @@ def day_of(text: str) -> date | None:
         return None
 
 
+def _iso_day(text: str) -> date | None:
+    """The day that a text begins with."""
+    try:
+        return date(int(text[:4]), int(text[5:7]), int(text[8:10]))
+    except ValueError:
+        return None
+
+
 def json_page(body: str) -> Seen:
     """A JSON page with `data` or `items`, whose attributes hold ISO dates, and perhaps `links.next`. A broken one is empty."""
     try:
@@ -63,7 +72,7 @@ def json_page(body: str) -> Seen:
         return Seen(0)
     items, links = page.get("data") or page.get("items") or [], page.get("links") or {}
     values = [v for x in items if isinstance(x, dict) for v in (x.get("attributes") or x).values() if isinstance(v, str) and _ISO.match(v)]
-    return Seen(len(items), [d for d in map(day_of, values) if d], links.get("next") or page.get("next"))
+    return Seen(len(items), [d for d in map(_iso_day, values) if d], links.get("next") or page.get("next"))
 
 
 def html_page(body: str) -> Seen:
@@ -157,6 +166,8 @@ class Spaced:
         self.seconds, self.last = seconds, None
 
     def __call__(self) -> None:
+        if self.seconds <= 0:
+            return  # even a sleep of no seconds takes as long as reading a page
         if self.last is not None:
             time.sleep(max(0.0, self.last + self.seconds - time.monotonic()))
         self.last = time.monotonic()
@@ -180,31 +191,41 @@ def _dealt(urls: DataFrame, column: str, name: str, tasks: int | None, transport
     if not transport.startswith("packs:"):
         return wanted.repartition(tasks, name)
     packs = int(transport.split(":")[1])
-    return wanted.withColumn("pack", files.pack_of(F.col(name), packs)).repartition(max(tasks, packs), "pack").sortWithinPartitions("pack")
+    return wanted.withColumn("pack", files.pack_of(F.col(name), packs)).repartitionById(packs, "pack")
+
 
+_TYPES = {"string": pa.string(), "int": pa.int32(), "date": pa.date32()}
 
-def follow(listings: DataFrame, cursor: Cursor, column: str = "listing", tasks: int | None = None) -> DataFrame:
+
+def follow(listings: DataFrame, cursor: Cursor, column: str = "listing", tasks: int | None = None, bodies: bool = True) -> DataFrame:
     """The pages (SCHEMA) of the listings, each distinct URL once; with spacing a host's are read by one task.
 
-    Null URLs bring nothing. Pages are passed on a few at a time; no task holds more.
+    Null URLs bring nothing. Pages are passed on a few at a time; no task holds more. Without bodies the same pages are
+    read, but what they hold is not passed on.
     """
+    fields = [c.split() for c in SCHEMA.split(", ") if bodies or not c.startswith("body ")]
+    kept = [i for i, c in enumerate(SCHEMA.split(", ")) if bodies or not c.startswith("body ")]
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        values = list(zip(*rows, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(values[i], _TYPES[kind]) for i, (_, kind) in zip(kept, fields, strict=True)], names=[n for n, _ in fields])
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spaced: dict[str, Spaced] = {}
-        names, ask = [c.split()[0] for c in SCHEMA.split(", ")], named(cursor.transport)
-        made, size = [], 0
+        ask = named(cursor.transport)
+        found, size = [], 0
         for batch in batches:
-            for listing, host in zip(batch["listing"], batch["host"], strict=True):
+            for listing, host in zip(batch.column("listing").to_pylist(), batch.column("host").to_pylist(), strict=True):
                 for row in walk(listing, cursor, spaced.setdefault(host, Spaced(cursor.spacing)), ask):
-                    made.append(row)
+                    found.append(row)
                     size += len(row[6] or "")
-                    if cursor.spacing > 0 or len(made) >= TOGETHER or size >= LONG:
-                        yield pd.DataFrame(made, columns=names)
-                        made, size = [], 0
-        if made:
-            yield pd.DataFrame(made, columns=names)
+                    if cursor.spacing > 0 or len(found) >= TOGETHER or size >= LONG:
+                        yield made(found)
+                        found, size = [], 0
+        if found:
+            yield made(found)
 
-    return _dealt(listings, column, "listing", tasks, cursor.transport, cursor.spacing).mapInPandas(read, SCHEMA)
+    return _dealt(listings, column, "listing", tasks, cursor.transport, cursor.spacing).mapInArrow(read, ", ".join(" ".join(f) for f in fields))
 
 
 def probes(urls: DataFrame, column: str = "url", transport: str = Cursor.transport, spacing: float = fetch.SPACING, tasks: int | None = None) -> DataFrame:
