@@ -16,6 +16,12 @@ def first_occurrence(rows: DataFrame, keys: list[str], order: list[str], scope:
     return rows.withColumn("__n", nth).filter("__n = 1").drop("__n")
 
 
+def first_of_runs(rows: DataFrame, value: Column, scope: list[str], order: list[str]) -> DataFrame:
+    """The first row of each run of equal values, which are never null, in its scope; no sort but the scope's own order."""
+    before = F.lag(value).over(Window.partitionBy(*scope).orderBy(*order))
+    return rows.withColumn("__before", before).filter(~F.col("__before").eqNullSafe(value)).drop("__before")
+
+
 def carried_forward(rows: DataFrame, value: Column, scope: list[str], order: list[str], into: str) -> DataFrame:
     """The last value that is not null at or before each row of its scope."""
     return rows.withColumn(into, F.last(value, ignorenulls=True).over(_until(scope, order)))
@@ -23,7 +29,12 @@ def carried_forward(rows: DataFrame, value: Column, scope: list[str], order: lis
 
 def sections(rows: DataFrame, is_marker: Column, scope: list[str], order: list[str], into: str = "section") -> DataFrame:
     """Number of markers at or before each row; rows before the first marker have 0."""
-    return rows.withColumn(into, F.sum(is_marker.cast("int")).over(_until(scope, order)).cast("long"))
+    return counted(rows, {into: is_marker}, scope, order)
+
+
+def counted(rows: DataFrame, markers: dict[str, Column], scope: list[str], order: list[str]) -> DataFrame:
+    """Numbers of several kinds of markers at or before each row, told in one pass."""
+    return rows.withColumns({into: F.sum(m.cast("int")).over(_until(scope, order)).cast("long") for into, m in markers.items()})
 
 
 def until_first_old(rows: DataFrame, is_old: Column, scope: list[str], order: list[str]) -> DataFrame:

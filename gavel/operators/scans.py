@@ -1,7 +1,8 @@
 """Scans of page structure: rows, headings, lists and containers, on the elements that `html.flow` gives.
 
 All take elements (keys, pos, last, tag, attrs, text) and return links with what their place on the page says about
-them. Scopes are pages, so windows are as small as a page; nothing is collected over a table.
+them. Scopes are pages, so windows are as small as a page; nothing is collected over a table. Elements that a scan does
+not look at go first, so that they are neither shuffled nor sorted, and windows are in one order where that is possible.
 """
 
 from __future__ import annotations
@@ -23,9 +24,22 @@ def _href() -> Column:
     return F.col("attrs")["href"]
 
 
+def _first_link(of: Column | None = None) -> Column:
+    """The first link of a group, of the rows that `of` holds for."""
+    counts = F.col("link").isNotNull() if of is None else F.col("link").isNotNull() & of
+    return F.min_by("link", F.when(counts, F.col("pos")))
+
+
 def is_link(ending: str = "") -> Column:
     """Anchors with a target, whose path ends in `ending`."""
-    return (F.col("tag") == "a") & _href().isNotNull() & F.lower(urls.path_key(_href())).endswith(ending)
+    any_path = (F.col("tag") == "a") & _href().isNotNull()
+    return any_path & F.lower(urls.path_key(_href())).endswith(ending) if ending else any_path
+
+
+def _told(flow: DataFrame, ending: str = "", **more: Column) -> DataFrame:
+    """flow with `link`, the target of what is_link holds for, and more columns in place of its attributes: windows copy
+    whole rows, and a map is most of one."""
+    return flow.withColumns({"link": F.when(is_link(ending), _href()), **more}).drop("attrs")
 
 
 def _whole(keys: list[str]):
@@ -33,9 +47,12 @@ def _whole(keys: list[str]):
 
 
 def rows_of_tables(flow: DataFrame, keys: list[str], cells: tuple[str, ...] = ("td",)) -> DataFrame:
-    """flow with `row` (number of the table row that an element lies in, from 1) and `cell` (of the cell in it)."""
-    rows = ordered.sections(flow, F.col("tag") == "tr", keys, ["pos"], "row")
-    return ordered.sections(rows, F.col("tag").isin(*cells), [*keys, "row"], ["pos"], "cell").filter("row > 0")
+    """Rows, cells and anchors of flow with `row` (number of the table row that an element lies in, from 1) and `cell` (of
+    the cell in it). A cell's number is told from the cells before its row, so that all is in the order of pages."""
+    is_row = F.col("tag") == "tr"
+    rows = ordered.counted(flow.filter(F.col("tag").isin("tr", "a", *cells)), {"row": is_row, "__cells": F.col("tag").isin(*cells)}, keys, ["pos"])
+    rows = ordered.carried_forward(rows, F.when(is_row, F.col("__cells")), keys, ["pos"], "__before")
+    return rows.filter("row > 0").withColumn("cell", F.col("__cells") - F.col("__before")).drop("__cells", "__before")
 
 
 def date_first_rows(flow: DataFrame, keys: list[str], limit: Column, ending: str = ".pdf") -> DataFrame:
@@ -43,18 +60,20 @@ def date_first_rows(flow: DataFrame, keys: list[str], limit: Column, ending: str
 
     A link that is called nothing or "pdf" is named after its file.
     """
-    rows = rows_of_tables(flow, keys, ("td", "th"))
-    first = F.first(F.when(F.col("tag").isin("td", "th") & (F.col("cell") == 1), F.col("text")), ignorenulls=True).over(_whole([*keys, "row"]))
-    found = rows.withColumn("day", dates.parsed(first, "slash")).filter(is_link(ending) & (F.col("day") >= limit))
-    name = F.when(F.lower("text").isin("", "pdf"), urls.stem(_href())).otherwise(F.col("text"))
-    return found.select(*keys, _href().alias("link"), name.alias("name"), "day")
+    is_first = F.col("tag").isin("td", "th") & (F.col("cell") == 1)
+    rows = rows_of_tables(_told(flow, ending), keys, ("td", "th")).filter(is_first | F.col("link").isNotNull())
+    first = F.first(F.when(is_first, F.col("text")), ignorenulls=True).over(_whole([*keys, "row"]))
+    found = rows.withColumn("__said", first).filter("link is not null").withColumn("day", dates.parsed(F.col("__said"), "slash")).filter(F.col("day") >= limit)
+    name = F.when(F.lower("text").isin("", "pdf"), urls.stem(F.col("link"))).otherwise(F.col("text"))
+    return found.select(*keys, "link", name.alias("name"), "day")
 
 
 def positional_rows(flow: DataFrame, keys: list[str], parameter: str, title: int = 3, day: int = 4) -> DataFrame:
     """key, title, date_text of rows that have enough cells; the first row of each key (a query parameter of its link) counts."""
-    rows = rows_of_tables(flow, keys)
-    text = lambda n: F.max(F.when((F.col("tag") == "td") & (F.col("cell") == n), F.col("text")))
-    own = rows.groupBy(*keys, "row").agg(F.max("cell").alias("cells"), F.min_by(F.when(is_link(), _href()), F.when(is_link(), F.col("pos"))).alias("link"), text(title).alias("title"), text(day).alias("date_text"))
+    is_cell = F.col("tag") == "td"
+    rows = rows_of_tables(_told(flow), keys).filter((is_cell & F.col("cell").isin(title, day)) | F.col("link").isNotNull())
+    text = lambda n: F.max(F.when(is_cell & (F.col("cell") == n), F.col("text")))
+    own = rows.groupBy(*keys, "row").agg(F.max("cell").alias("cells"), _first_link().alias("link"), text(title).alias("title"), text(day).alias("date_text"))
     own = own.filter(F.col("cells") >= max(title, day)).withColumn("key", urls.query_parameter(F.col("link"), parameter)).filter("key is not null")
     return ordered.first_occurrence(own, ["key"], ["row"], keys).select(*keys, "key", "title", "date_text")
 
@@ -64,32 +83,32 @@ def attribute_rows(flow: DataFrame, keys: list[str], attribute: str, patterns: d
 
     The link is that of the first of `cells` that has one. Rows before limit, or without a stamp, go.
     """
-    rows = rows_of_tables(flow, keys)
-    said = F.first(F.when(F.col("tag") == "tr", F.col("attrs")[attribute]), ignorenulls=True)
-    link = F.coalesce(*(F.first(F.when(is_link() & (F.col("cell") == c), _href()), ignorenulls=True) for c in cells))
-    own = rows.groupBy(*keys, "row").agg(said.alias("said"), link.alias("link")).filter("said is not null and link is not null")
+    rows = rows_of_tables(_told(flow, said=F.when(F.col("tag") == "tr", F.col("attrs")[attribute])), keys)
+    rows = rows.filter(F.col("said").isNotNull() | (F.col("link").isNotNull() & F.col("cell").isin(*cells)))
+    link = F.coalesce(*(_first_link(F.col("cell") == c) for c in cells))
+    own = rows.groupBy(*keys, "row").agg(F.max("said").alias("said"), link.alias("link")).filter("said is not null and link is not null")
     parts = own.select(*keys, "row", "link", *(F.nullif(F.regexp_extract("said", p, 1), F.lit("")).alias(n) for n, p in patterns.items()))
     return parts.withColumn("day", F.timestamp_seconds(F.col("stamp").cast("long")).cast("date")).filter(F.col("day") >= limit).drop("stamp", "row")
 
 
 def first_links(flow: DataFrame, keys: list[str], heading: str, rules: str, ending: str = ".pdf") -> DataFrame:
     """day, link: for each heading with a date the first document before the next heading."""
-    rows = ordered.sections(flow, F.col("tag") == heading, keys, ["pos"])
-    own = rows.filter("section > 0").groupBy(*keys, "section").agg(
-        F.max(F.when(F.col("tag") == heading, F.col("text"))).alias("said"), F.min_by(F.when(is_link(ending), _href()), F.when(is_link(ending), F.col("pos"))).alias("link")
-    )
+    is_heading = F.col("tag") == heading
+    rows = ordered.sections(_told(flow, ending).filter(is_heading | F.col("link").isNotNull()), is_heading, keys, ["pos"]).filter("section > 0")
+    own = rows.groupBy(*keys, "section").agg(F.max(F.when(is_heading, F.col("text"))).alias("said"), _first_link().alias("link"))
     return own.withColumn("day", dates.parsed(F.col("said"), rules)).filter("day is not null and link is not null").select(*keys, "section", "day", "link")
 
 
 def year_lists(flow: DataFrame, keys: list[str], limit: Column, ending: str = ".pdf") -> DataFrame:
     """link, day: documents in list items "D month ..." below headings that are years; it ends with the first year before limit."""
     year = F.when(F.col("tag") == "h3", F.regexp_extract("text", r"^\s*(\d{4})\s*$", 1))
-    rows = ordered.carried_forward(flow, year, keys, ["pos"], "year").filter("year <> ''")
+    told = _told(flow, ending).filter(F.col("tag").isin("h3", "li") | F.col("link").isNotNull())
+    rows = ordered.carried_forward(told, year, keys, ["pos"], "year").filter("year <> ''")
     rows = ordered.until_first_old(rows, F.make_date(F.col("year").cast("int"), F.lit(12), F.lit(31)) < limit, keys, ["pos"])
     item = F.struct(F.col("last").alias("end"), F.col("text").alias("said"))
-    rows = ordered.carried_forward(rows, F.when(F.col("tag") == "li", item), keys, ["pos"], "item").filter(is_link(ending) & (F.col("pos") <= F.col("item.end")))
+    rows = ordered.carried_forward(rows, F.when(F.col("tag") == "li", item), keys, ["pos"], "item").filter(F.col("link").isNotNull() & (F.col("pos") <= F.col("item.end")))
     said = F.concat_ws(" ", F.regexp_extract("item.said", r"^\s*(\d{1,2})", 1), F.regexp_extract("item.said", r"^\s*\d{1,2}(?:er)?\s+(\p{L}+)", 1), "year")
-    return rows.withColumn("day", dates.parsed(said, "spoken_french")).filter(F.col("day") >= limit).select(*keys, _href().alias("link"), "day")
+    return rows.withColumn("day", dates.parsed(said, "spoken_french")).filter(F.col("day") >= limit).select(*keys, "link", "day")
 
 
 def inherited_dates(flow: DataFrame, keys: list[str], prefix: str, headings: tuple[str, ...] = ("h2", "h3", "h4", "strong", "b")) -> DataFrame:
@@ -98,10 +117,11 @@ def inherited_dates(flow: DataFrame, keys: list[str], prefix: str, headings: tup
     Links to pages, and those called nothing or HTML, are left out.
     """
     day = F.when(F.col("tag").isin(*headings), dates.parsed(F.col("text"), "dutch_heading"))
-    rows = ordered.carried_forward(flow, day, keys, ["pos"], "above").filter(is_link() & _href().startswith(prefix))
-    rows = rows.filter(~F.upper("text").isin("", "HTML") & ~F.lower(urls.path_key(_href())).endswith(".html"))
-    own = F.coalesce("above", dates.parsed(urls.last_segment(_href()), "iso"))
-    return rows.select(*keys, _href().alias("link"), F.col("text").alias("name"), own.alias("day"), filters.document_type(F.col("text")).alias("doc_type"))
+    wanted = is_link() & _href().startswith(prefix) & ~F.upper("text").isin("", "HTML") & ~is_link(".html")
+    told = _told(flow.filter(F.col("tag").isin(*headings) | wanted), wanted=wanted)
+    rows = ordered.carried_forward(told, day, keys, ["pos"], "above").filter("wanted")
+    own = F.coalesce("above", dates.parsed(urls.last_segment(F.col("link")), "iso"))
+    return rows.select(*keys, "link", F.col("text").alias("name"), own.alias("day"), filters.document_type(F.col("text")).alias("doc_type"))
 
 
 def in_container(flow: DataFrame, keys: list[str], containers: list[str], limit: Column, heading: str = "h3") -> DataFrame:
@@ -116,9 +136,10 @@ def in_container(flow: DataFrame, keys: list[str], containers: list[str], limit:
 
 def items_under_heading(flow: DataFrame, keys: list[str], title: str, end: str, least: int = 3) -> DataFrame:
     """nr, item: what the list after a heading holds, up to an end marker; texts of `least` characters or fewer are no items."""
-    rows = ordered.sections(flow, (F.col("tag").isin("h2", "h3")) & F.lower("text").contains(title), keys, ["pos"], "begun")
-    rows = ordered.sections(rows, F.lower("text").contains(end) & (F.col("tag") != "body"), keys, ["pos"], "ended").filter("begun > 0 and ended = 0")
-    rows = rows.filter((F.col("tag") == "li") & (F.length("text") > least))
+    begins, ends = F.col("tag").isin("h2", "h3") & F.lower("text").contains(title), F.lower("text").contains(end) & (F.col("tag") != "body")
+    is_item = (F.col("tag") == "li") & (F.length("text") > least)
+    rows = ordered.counted(flow.filter(begins | ends | is_item).drop("attrs"), {"begun": begins, "ended": ends}, keys, ["pos"])
+    rows = rows.filter("begun > 0 and ended = 0").filter(is_item)
     return rows.select(*keys, F.row_number().over(Window.partitionBy(*keys).orderBy("pos")).alias("nr"), F.col("text").alias("item"))
 
 
@@ -193,11 +214,12 @@ def dated_cards(flow: DataFrame, keys: list[str], classes: list[str], limit: Col
 
     Each document counts once a page; one without a text is named after its file; terms are looked for in name and link.
     """
-    rows = _within(flow, keys, of_classes(classes), "card")
+    is_file = is_link() & F.lower(_href()).contains(".pdf")
+    rows = _within(flow.filter(of_classes(classes) | (F.col("tag") == "time") | is_file), keys, of_classes(classes), "card")
     stamp = F.when((F.col("tag") == "time") & F.array_contains(F.split(F.col("attrs")["class"], r"\s+"), "datetime"), F.col("attrs")["datetime"])
-    rows = rows.withColumn("stamp", F.first(stamp, ignorenulls=True).over(Window.partitionBy(*keys, "card").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    rows = rows.withColumn("stamp", F.first(stamp, ignorenulls=True).over(Window.partitionBy(*keys, "card.pos").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     found = rows.withColumn("day", F.try_to_date(F.substr("stamp", F.lit(1), F.lit(10)), "yyyy-MM-dd"))
-    found = found.filter(is_link() & F.lower(_href()).contains(".pdf") & (F.col("day") >= limit))
+    found = found.filter(is_file & (F.col("day") >= limit))
     found = found.select(*keys, "pos", _href().alias("link"), F.coalesce(F.nullif("text", F.lit("")), urls.stem(_href())).alias("name"), "day")
     once = ordered.first_occurrence(found, ["link"], ["pos"], keys)
     return once.filter(filters.any_term([F.col("name"), F.col("link")], terms)).drop("pos")
@@ -205,8 +227,9 @@ def dated_cards(flow: DataFrame, keys: list[str], classes: list[str], limit: Col
 
 def publication_cards(flow: DataFrame, keys: list[str], css_class: str = "item-card") -> DataFrame:
     """title, link: the first link of each card; cards without one go."""
-    rows = _within(flow, keys, of_classes([css_class]), "card").filter(is_link())
-    return ordered.first_occurrence(rows, [], ["pos"], [*keys, "card"]).select(*keys, F.col("text").alias("title"), _href().alias("link"))
+    told = _told(flow, is_card=of_classes([css_class])).filter(F.col("is_card") | F.col("link").isNotNull())
+    rows = _within(told, keys, F.col("is_card"), "card").filter("link is not null")
+    return ordered.first_of_runs(rows, F.col("card.pos"), keys, ["pos"]).select(*keys, F.col("text").alias("title"), "link")
 
 
 def agenda_lines(flow: DataFrame, keys: list[str], start: str, ends: list[str], least: int = 5, longest: int = 300) -> DataFrame:
@@ -246,8 +269,9 @@ def attachments(links: DataFrame, base: Column, path: str = ATTACHMENT, download
 
 def semantic_items(flow: DataFrame, keys: list[str], kind: str = AGENDA_ITEM, longest: int = 300) -> DataFrame:
     """pos, nr, title of the agenda items that `dl` elements of a type hold: what their first value says."""
-    rows = _within(flow, keys, (F.col("tag") == "dl") & (F.col("attrs")["typeof"] == kind), "node").filter("tag = 'dd'")
-    first = ordered.first_occurrence(rows, [], ["pos"], [*keys, "node"])
+    is_node = F.coalesce((F.col("tag") == "dl") & (F.col("attrs")["typeof"] == kind), F.lit(False))
+    rows = _within(flow.filter(is_node | (F.col("tag") == "dd")), keys, is_node, "node").filter("tag = 'dd'")
+    first = ordered.first_of_runs(rows, F.col("node.pos"), keys, ["pos"])
     said = F.trim(F.coalesce(F.nullif(F.col("attrs")["content"], F.lit("")), F.col("text")))
     pattern = r"(?s)^(\d+[\w.]*\.?)\s+(.*)"
     numbered = said.rlike(pattern)

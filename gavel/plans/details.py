@@ -23,7 +23,7 @@ def scan_classed_cards(spark, sf_dir):
     time = F.when(k % 5 == 0, '<time class="datetime" datetime="soon">x</time>').otherwise(_text('<time datetime="1999-09-09">x</time><time class="datetime" datetime="', F.date_format(_day(), "yyyy-MM-dd"), 'T10:00:00Z">x</time>'))
     file = _text('<a href="/d/', _k(), '.pdf">', F.when(k % 2 == 0, "").otherwise(_text("PV ", _k())), "</a>")
     card = _text('<div class="', css, '">', time, "<p>", file, file, '<a href="/page">PV page</a></p></div><a href="/outside.pdf">PV</a>')
-    return scans.dated_cards(_flow(spark, sf_dir, card), KEYS, ["card", "meeting-card"], _limit(), ["pv", "4"])
+    return scans.dated_cards(_flow(spark, sf_dir, card, ("class", "href", "datetime")), KEYS, ["card", "meeting-card"], _limit(), ["pv", "4"])
 
 
 @query(f"SELECT 'decision' AS kind, c AS o_custkey, 'B ' || k AS title, '/b/' || k AS link, CASE WHEN k % 2 = 0 THEN 'projet' ELSE 'definitief' END AS status FROM {O} WHERE k % 3 = 0 UNION ALL SELECT 'publication', c, 'P ' || k, '/p/' || k, NULL FROM {O} WHERE k % 3 = 1")
@@ -35,7 +35,7 @@ def scan_item_cards(spark, sf_dir):
     decision = F.when(k % 3 == 0, _text('<div class="item-card"><h3>B ', _k(), '</h3><a href="/b/', _k(), '">x</a><dl><dt>Status</dt><dd>', status, "</dd></dl></div>")).otherwise("")
     publication = F.when(k % 3 == 1, _text('<div class="item-card x"><a href="/p/', _k(), '">P ', _k(), '</a><a href="/q">q</a></div>')).otherwise('<div class="item-card">none</div>')
     one = html.cards(_pages(orders, KEYS, decision), "html", KEYS, "item-card").select(F.lit("decision").alias("kind"), *KEYS, "title", "link", F.col("fields")["Status"].alias("status"))
-    two = scans.publication_cards(spread(html.flow(_pages(orders, KEYS, publication), "html", KEYS), n, *KEYS), KEYS).withColumn("kind", F.lit("publication"))
+    two = scans.publication_cards(spread(html.flow(_pages(orders, KEYS, publication), "html", KEYS, attributes=("class", "href")), n, *KEYS), KEYS).withColumn("kind", F.lit("publication"))
     return one.unionByName(two, allowMissingColumns=True)
 
 
@@ -69,7 +69,7 @@ def semantic_agenda(spark, sf_dir):
     title = _text("Titel ", _k(), F.repeat(F.lit(" lang"), (k % 90).cast("int")))
     said = F.when(k % 3 == 0, _text("Punt zonder nummer ", _k())).when(k % 3 == 1, _text(_k(), ". ", title)).otherwise(_text(_k(), "a ", title))
     value = F.when(k % 2 == 0, _text('<dd content="', said, '">anders</dd>')).otherwise(_text("<dd>", said, "</dd>"))
-    flow = _flow(spark, sf_dir, _text('<dl typeof="besluit:Agendapunt"><dt>Titel</dt>', value, "<dd>meer</dd></dl><dl><dd>1. anders</dd></dl>"))
+    flow = _flow(spark, sf_dir, _text('<dl typeof="besluit:Agendapunt"><dt>Titel</dt>', value, "<dd>meer</dd></dl><dl><dd>1. anders</dd></dl>"), ("typeof", "content"))
     return scans.semantic_items(flow, KEYS).select("o_custkey", "nr", "title")
 
 

@@ -57,10 +57,10 @@ def _customers(spark, sf_dir) -> tuple[DataFrame, int]:
     return spread(orders, n, "o_custkey"), n
 
 
-def _flow(spark, sf_dir, fragment: Column, **options) -> DataFrame:
-    """Elements of one page a customer, made of the orders."""
+def _flow(spark, sf_dir, fragment: Column, attributes: tuple[str, ...] = ("href",), **options) -> DataFrame:
+    """Elements of one page a customer, made of the orders, with the attributes that a scan looks at."""
     orders, n = _customers(spark, sf_dir)
-    return spread(html.flow(_pages(orders, ["o_custkey"], fragment, **options), "html", ["o_custkey"]), n, "o_custkey")
+    return spread(html.flow(_pages(orders, ["o_custkey"], fragment, **options), "html", ["o_custkey"], attributes=attributes), n, "o_custkey")
 
 
 def _lines(spark, sf_dir) -> tuple[DataFrame, int]:
@@ -95,7 +95,7 @@ def scan_attribute_rows(spark, sf_dir):
     said = _text("isShown(", F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).cast("string"), ", cat: ", (F.col("o_orderkey") % 4).cast("string"), ", type: ", (F.col("o_orderkey") % 3).cast("string"), ")")
     link = lambda n: _text('<td><a href="/', n, "/", _k(), '">x</a></td>')
     cells = F.when(F.col("o_orderkey") % 2 == 0, _text(link("one"), link("two"))).otherwise(_text("<td>-</td>", link("two")))
-    found = _flow(spark, sf_dir, _text('<tr x-show="', said, '">', cells, "</tr><tr><td>plain</td></tr>"), head="<table>", tail="</table>")
+    found = _flow(spark, sf_dir, _text('<tr x-show="', said, '">', cells, "</tr><tr><td>plain</td></tr>"), ("x-show", "href"), head="<table>", tail="</table>")
     return scans.attribute_rows(found, ["o_custkey"], "x-show", {"stamp": r"isShown\((\d+)", "category": r"cat: (\d+)", "kind": r"type: (\d+)"}, _limit())
 
 
@@ -131,7 +131,7 @@ def scan_year_lists(spark, sf_dir):
     item = _text("<li>", F.date_format(_day(), "d"), " ", _month(dates.FRENCH), ': <a href="/a', _k(), '.pdf">A</a> <a href="/b', _k(), '.pdf">B</a></li>')
     lists = _pages(rows, ["o_custkey", "year"], item).withColumn("newest", -F.col("year"))
     pages = _pages(lists, ["o_custkey"], _text("<h3>", F.col("year").cast("string"), "</h3><ul>", F.col("html"), "</ul>"), "newest")
-    return scans.year_lists(spread(html.flow(pages, "html", ["o_custkey"]), n, "o_custkey"), ["o_custkey"], F.lit("1995-01-01").cast("date"))
+    return scans.year_lists(spread(html.flow(pages, "html", ["o_custkey"], attributes=("href",)), n, "o_custkey"), ["o_custkey"], F.lit("1995-01-01").cast("date"))
 
 
 @query(f"SELECT c AS o_custkey, '/pub/n-' || strftime(d, '%Y-%m-%d') || '-' || k || '.pdf' AS link, 'Notulen ' || k AS name, coalesce(last_value(CASE WHEN k % 4 = 0 THEN d END IGNORE NULLS) OVER (PARTITION BY c ORDER BY k ROWS UNBOUNDED PRECEDING), d) AS day, 'notulen' AS doc_type FROM {O}")
@@ -313,7 +313,7 @@ def scan_agenda_items(spark, sf_dir):
     lines, of = _lines(spark, sf_dir)
     rows = lines.groupBy("l_orderkey", "l_linenumber").agg(F.first(item).alias("item"))
     pages = _pages(rows, ["l_orderkey"], F.col("item"), "l_linenumber", "<ul><li>Menu</li></ul><h2>Agenda van de zitting</h2><ol>", "</ol><h2>Bijlagen</h2><ul><li>Bijlage</li></ul>")
-    return scans.items_under_heading(spread(html.flow(pages, "html", ["l_orderkey"]), of, "l_orderkey"), ["l_orderkey"], "agenda", "bijlagen")
+    return scans.items_under_heading(spread(html.flow(pages, "html", ["l_orderkey"], attributes=()), of, "l_orderkey"), ["l_orderkey"], "agenda", "bijlagen")
 
 
 SITES = [("www.h0.be", "Nul", r"/files/.*\.pdf"), ("h1.be", "Een", r"(?i)/PV/[0-9]+"), ("h2.be", "Twee", r"\?id=\d*7$")]
