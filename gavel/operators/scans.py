@@ -102,11 +102,11 @@ def first_links(flow: DataFrame, keys: list[str], heading: str, rules: str, endi
 def year_lists(flow: DataFrame, keys: list[str], limit: Column, ending: str = ".pdf") -> DataFrame:
     """link, day: documents in list items "D month ..." below headings that are years; it ends with the first year before limit."""
     year = F.when(F.col("tag") == "h3", F.regexp_extract("text", r"^\s*(\d{4})\s*$", 1))
-    told = _told(flow, ending).filter(F.col("tag").isin("h3", "li") | F.col("link").isNotNull())
+    told = _told(flow).filter(F.col("tag").isin("h3", "li") | F.col("link").isNotNull())  # paths are looked at once, last
     rows = ordered.carried_forward(told, year, keys, ["pos"], "year").filter("year <> ''")
     rows = ordered.until_first_old(rows, F.make_date(F.col("year").cast("int"), F.lit(12), F.lit(31)) < limit, keys, ["pos"])
     item = F.struct(F.col("last").alias("end"), F.col("text").alias("said"))
-    rows = ordered.carried_forward(rows, F.when(F.col("tag") == "li", item), keys, ["pos"], "item").filter(F.col("link").isNotNull() & (F.col("pos") <= F.col("item.end")))
+    rows = ordered.carried_forward(rows, F.when(F.col("tag") == "li", item), keys, ["pos"], "item").filter((F.col("pos") <= F.col("item.end")) & F.lower(urls.path_key(F.col("link"))).endswith(ending))
     said = F.concat_ws(" ", F.regexp_extract("item.said", r"^\s*(\d{1,2})", 1), F.regexp_extract("item.said", r"^\s*\d{1,2}(?:er)?\s+(\p{L}+)", 1), "year")
     return rows.withColumn("day", dates.parsed(said, "spoken_french")).filter(F.col("day") >= limit).select(*keys, "link", "day")
 
