@@ -101,15 +101,11 @@ def write_files(judged: DataFrame, path: str, folder: str | None = None, existin
 
 
 def files_below(spark: SparkSession, path: str) -> DataFrame:
-    """file, bytes for every file below path that is not empty; none where there is no such folder. No content is read."""
-    try:
-        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "file string, bytes long")
-    root = path.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
-    return found.select(F.substring_index("path", root, -1).alias("file"), F.col("length").alias("bytes"))
+    """file, bytes for every file below path that is not empty; none where there is no such folder. No content is read.
+
+    It is listed anew, by tasks, whenever it is asked for: see files.below.
+    """
+    return files.below(spark, path)
 
 
 def json_documents(rows: DataFrame, keys: list[str], into: str = "document") -> DataFrame:

@@ -8,6 +8,7 @@ open by URI will do; a plain path is a local or mounted folder.
 
 from __future__ import annotations
 
+import os
 import time
 import uuid
 import zlib
@@ -15,11 +16,13 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
+from itertools import batched
 
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyarrow import parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
@@ -28,6 +31,8 @@ STAGING = "_staging"
 EXISTING = ("skip", "replace", "error")
 #: Moves that the driver has going at once; further attempts to delete what is staged.
 MOVERS, AGAIN = 16, 20
+#: Files that a task stages in one folder, whose names the driver has at once; files in a batch of a listing.
+PART = 10_000
 
 
 def opened(path: str) -> tuple[arrow_fs.FileSystem, str]:
@@ -45,9 +50,10 @@ def inside(name: str | None) -> str:
 
 @dataclass
 class Staged(WriterCommitMessage):
-    """What one task has written, to be moved."""
+    """What one task has written, to be moved: folders 0, 1, ... of PART files at most."""
 
     folder: str
+    parts: int
     files: int
     skipped: int
 
@@ -68,9 +74,8 @@ class FileWriter(DataSourceWriter):
     def write(self, iterator: Iterator) -> Staged:
         fs, root = opened(self.path)
         folder = f"{STAGING}/{self.job}/{TaskContext.get().taskAttemptId()}"
-        written = skipped = 0
+        written = skipped = parts = 0
         fs.create_dir(f"{root}/{folder}", recursive=False)
-        made = {f"{root}/{folder}"}
         for row in iterator:
             name = inside(row["file"])
             if self.existing != "replace" and self._there(fs, f"{root}/{name}"):
@@ -78,9 +83,13 @@ class FileWriter(DataSourceWriter):
                     raise FileExistsError(name)
                 skipped += 1
                 continue
-            target = f"{root}/{folder}/{name}"
+            if written == parts * PART:
+                part, made = f"{root}/{folder}/{parts}", set()
+                fs.create_dir(part, recursive=False)
+                parts += 1
+            target = f"{part}/{name}"
             for k in range(name.count("/")):
-                parent = f"{root}/{folder}/{name.rsplit('/', name.count('/') - k)[0]}"
+                parent = f"{part}/{name.rsplit('/', name.count('/') - k)[0]}"
                 if parent not in made:
                     fs.create_dir(parent, recursive=False)
                     made.add(parent)
@@ -88,19 +97,18 @@ class FileWriter(DataSourceWriter):
             with fs.open_output_stream(target) as out:
                 out.write(body.encode() if isinstance(body, str) else bytes(body or b""))
             written += 1
-        return Staged(folder, written, skipped)
+        return Staged(folder, parts, written, skipped)
 
     def commit(self, messages: list[Staged | None]) -> None:
         fs, root = opened(self.path)
         fs.create_dir(root, recursive=True)
         with ThreadPoolExecutor(MOVERS) as pool:
-            for m in filter(None, messages):
-                if m.files:  # names are listed one task at a time
-                    listed = fs.get_file_info(arrow_fs.FileSelector(f"{root}/{m.folder}", recursive=True))
-                    names = [f.path.split(f"{m.folder}/", 1)[1] for f in listed if f.type == arrow_fs.FileType.File]
-                    for parent in sorted({n.rpartition("/")[0] for n in names}):
-                        fs.create_dir(f"{root}/{parent}", recursive=True)
-                    list(pool.map(lambda n, m=m: self._move(fs, f"{root}/{m.folder}/{n}", f"{root}/{n}"), names))
+            for folder in (f"{m.folder}/{k}" for m in messages if m for k in range(m.parts)):
+                listed = fs.get_file_info(arrow_fs.FileSelector(f"{root}/{folder}", recursive=True))
+                names = [f.path.split(f"{folder}/", 1)[1] for f in listed if f.type == arrow_fs.FileType.File]
+                for parent in sorted({n.rpartition("/")[0] for n in names}):
+                    fs.create_dir(f"{root}/{parent}", recursive=True)
+                list(pool.map(lambda n, folder=folder: self._move(fs, f"{root}/{folder}/{n}", f"{root}/{n}"), names))
         self.abort(messages)
 
     def _move(self, fs: arrow_fs.FileSystem, source: str, target: str) -> None:
@@ -139,6 +147,48 @@ class FileSink(DataSource):
         return FileWriter(dict(self.options) | ({"existing": "replace"} if overwrite else {}))
 
 
+def _entries(fs: arrow_fs.FileSystem, folder: str) -> Iterator[tuple[str, int | None]]:
+    """Names in a folder with bytes, None for a folder; none if it is gone. A local folder is read entry by entry."""
+    if not isinstance(fs, arrow_fs.LocalFileSystem):
+        for f in fs.get_file_info(arrow_fs.FileSelector(folder, allow_not_found=True)):
+            yield f.base_name, None if f.type == arrow_fs.FileType.Directory else f.size
+    elif os.path.isdir(folder):
+        with os.scandir(folder) as found:
+            for f in found:
+                yield f.name, None if f.is_dir() else f.stat().st_size
+
+
+def _top(path: str) -> Iterator[tuple[str, int | None]]:
+    """What stands in path itself; what is staged there does not count."""
+    return (x for x in _entries(*opened(path.rstrip("/"))) if x[0] != STAGING)
+
+
+def _within(fs: arrow_fs.FileSystem, root: str, name: str, size: int | None) -> Iterator[tuple[str, int]]:
+    if size is None:
+        for entry, its in _entries(fs, f"{root}/{name}"):
+            yield from _within(fs, root, f"{name}/{entry}", its)
+    elif size:
+        yield name, size
+
+
+def _walked(path: str, tops: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fs, root = opened(path.rstrip("/"))
+    rows = (x for b in tops for name, size in zip(*(c.to_pylist() for c in b.columns), strict=True) for x in _within(fs, root, name, size))
+    for some in batched(rows, PART):
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in some], pa.string()), pa.array([x[1] for x in some], pa.int64())], ["file", "bytes"])
+
+
+def below(spark: SparkSession, path: str) -> DataFrame:
+    """file, bytes for every file below path that is not empty; none where there is no such folder.
+
+    Tasks list, so that no name is in the driver: one lists path itself, and the folders that it finds are dealt to all
+    cores. Each is read as a stream (in stores that are not local, whole). To Spark the size is unknown, so that a join
+    broadcasts no listing but one that it has found to be small.
+    """
+    tops = spark.createDataFrame(spark.sparkContext.parallelize([path], 1).flatMap(_top), "name string, bytes long", verifySchema=False)
+    return tops.repartition(spark.sparkContext.defaultParallelism).mapInArrow(partial(_walked, path), "file string, bytes long")
+
+
 def mirrored(url: str) -> str:
     """Name of the file that stands for a URL in a mirror."""
     bare = url.split("://", 1)[-1].split("#", 1)[0]
